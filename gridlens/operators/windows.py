@@ -113,3 +113,22 @@ def top_k_per(df: DataFrame, keys: list[str], order_cols: list, k: int, salt_buc
     s = s.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
     w2 = Window.partitionBy(*keys).orderBy(*order_cols)
     return s.withColumn(out, F.row_number().over(w2)).where(F.col(out) <= k)
+
+
+def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets: int = 64,
+                         out: str = "pos") -> DataFrame:
+    """Global 1-based position in the order of a uniform [0,1) column ``u``.
+
+    The uniform is cut into ``n_buckets`` equal ranges (equal expected size,
+    so no skew); rows are numbered inside each range and shifted by the
+    prefix sum of the range counts: a total order without a single-task sort.
+    """
+    b = df.withColumn("_b", F.least(F.floor(F.col(u) * F.lit(float(n_buckets))), F.lit(n_buckets - 1)).cast("long"))
+    w = Window.partitionBy("_b").orderBy(u, *tiebreak)
+    b = b.withColumn("_lrn", F.row_number().over(w))
+    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.withColumn("_off", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    # ``offs`` has at most n_buckets rows: broadcasting it is size-bounded.
+    return (b.join(F.broadcast(offs), "_b").withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
+            .drop("_b", "_lrn", "_off"))
