@@ -112,7 +112,7 @@ def top_k_per(df: DataFrame, keys: list[str], order_cols: list, k: int, salt_buc
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order_cols)
     s = s.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
     w2 = Window.partitionBy(*keys).orderBy(*order_cols)
-    return s.withColumn(out, F.row_number().over(w2)).where(F.col(out) <= k)
+    return s.withColumn(out, F.row_number().over(w2).cast("long")).where(F.col(out) <= k)
 
 
 def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets: int = 64,

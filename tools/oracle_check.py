@@ -72,13 +72,19 @@ def check(spark, con, key, fn, sql, sf_dir):
     drows = cur.fetchall()
     if sorted(scols) != sorted(dcols):
         return "MISMATCH", f"cols spark={sorted(scols)} duck={sorted(dcols)}"
+    tmap = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+            "TIMESTAMP": "timestamp_ntz", "DATE": "date", "FLOAT": "float", "SMALLINT": "smallint"}
+    st = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dtypes = {d[0]: tmap.get(str(d[1]), str(d[1])) for d in cur.description}
+    tdiff = {c: (st[c], dtypes[c]) for c in scols if st[c] != dtypes[c]}
     if len(srows) != len(drows):
         return "MISMATCH", f"rows spark={len(srows)} duck={len(drows)}"
     # align duck columns to spark order
     idx = [dcols.index(c) for c in scols]
     drows = [tuple(r[i] for i in idx) for r in drows]
+    tnote = f" TYPES {tdiff}" if tdiff else ""
     if rows_of(scols, srows, False) == rows_of(scols, drows, False):
-        return "OK", f"rows={len(srows)} {ts:.1f}s"
+        return "OK", f"rows={len(srows)} {ts:.1f}s{tnote}"
     a, b = rows_of(scols, srows, True), rows_of(scols, drows, True)
     if a == b:
         return "OK~", f"rows={len(srows)} (1e-9) {ts:.1f}s"
