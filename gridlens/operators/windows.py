@@ -69,10 +69,12 @@ def with_halo(df: DataFrame, ts: str, span_seconds: float, bucket_seconds: int =
     ``span_seconds`` of the next bucket start, a copy in the next bucket."""
     if span_seconds > bucket_seconds:
         raise ValueError("span must not exceed the bucket width")
-    e = epoch_s(F.col(ts))
-    b = F.floor(e / F.lit(float(bucket_seconds))).cast("long")
-    nxt = (b + 1) * F.lit(bucket_seconds)
-    near = e >= nxt - F.lit(float(span_seconds))
+    # exact integer microseconds, so range frames have integral bounds
+    e = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    bus = int(bucket_seconds) * 1_000_000
+    b = F.floor(e / F.lit(bus)).cast("long")
+    nxt = (b + 1) * F.lit(bus)
+    near = e >= nxt - F.lit(int(round(span_seconds * 1_000_000)))
     return (df.withColumn("_e", e).withColumn("_bb", b)
             .withColumn("_copies", F.when(near, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
             .withColumn("_k", F.explode("_copies"))
@@ -88,7 +90,7 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, span_seconds: float, aggs
     ``aggs`` maps output name -> aggregate Column (e.g. F.count(F.lit(1))).
     """
     h = with_halo(df, ts, span_seconds, bucket_seconds)
-    w = Window.partitionBy(*keys, "_b").orderBy("_e").rangeBetween(-float(span_seconds), 0)
+    w = Window.partitionBy(*keys, "_b").orderBy("_e").rangeBetween(-int(round(span_seconds * 1_000_000)), 0)
     for name, agg in aggs.items():
         h = h.withColumn(name, agg.over(w))
     return h.where(~F.col("_halo")).drop("_b", "_halo", "_e")
@@ -132,3 +134,26 @@ def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets:
     # ``offs`` has at most n_buckets rows: broadcasting it is size-bounded.
     return (b.join(F.broadcast(offs), "_b").withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
             .drop("_b", "_lrn", "_off"))
+
+
+def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float, tiebreak: list[str] | None = None,
+               bucket_seconds: int = DAY, out: str = "session_start") -> DataFrame:
+    """Session (gap-based) start per row, skew-safe.
+
+    A row opens a session when the previous row of its key is more than
+    ``gap_seconds`` earlier.  The session start of a row is the latest
+    opening at or before it: found inside its (key, bucket) window, or else
+    carried over from earlier buckets through the per-bucket summary.
+    """
+    tiebreak = tiebreak or []
+    p = prev_row(df, keys, ts, [], tiebreak, bucket_seconds, prefix="_p_")
+    opens = F.col("_p_" + ts).isNull() | ((epoch_s(F.col(ts)) - epoch_s(F.col("_p_" + ts))) > F.lit(float(gap_seconds)))
+    p = p.withColumn("_open", opens).withColumn("_b", _bucket(ts, bucket_seconds))
+    w = Window.partitionBy(*keys, "_b").orderBy(ts, *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    p = p.withColumn("_in", F.max(F.when(F.col("_open"), F.col(ts))).over(w))
+    last = p.groupBy(*keys, "_b").agg(F.max(F.when(F.col("_open"), F.col(ts))).alias("_lb"))
+    wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.withColumn("_carry", F.max("_lb").over(wk)).select(*keys, "_b", "_carry")
+    j = p.join(carry, [*keys, "_b"], "left")
+    return (j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry")))
+            .drop("_p_" + ts, "_open", "_b", "_in", "_carry"))
