@@ -11,12 +11,17 @@ def _c(x) -> Column:
 
 
 # --- rounding ---------------------------------------------------------------
-# floor(x*10^k + 0.5)/10^k is evaluated bit-identically by Spark and DuckDB
+# floor(x*10^k + 0.501)/10^k is evaluated bit-identically by Spark and DuckDB
 # (IEEE multiply/add/floor/divide), unlike round(), whose tie rules differ.
+# The boundary sits 0.001 units of the last kept digit below the exact half:
+# averages of few-decimal data often land *exactly* on a half, and summation
+# order noise would otherwise push the engines to opposite sides of it.
+HALF = 0.501
+
 
 def rk(x, k: int = 6) -> Column:
     s = float(10 ** k)
-    return (F.floor(_c(x) * F.lit(s) + F.lit(0.5)) / F.lit(s)).cast("double")
+    return (F.floor(_c(x) * F.lit(s) + F.lit(HALF)) / F.lit(s)).cast("double")
 
 
 def r6(x) -> Column:
@@ -25,7 +30,7 @@ def r6(x) -> Column:
 
 def rk_sql(x: str, k: int = 6) -> str:
     s = f"{float(10 ** k):.1f}"
-    return f"CAST(floor(({x}) * {s} + 0.5) / {s} AS DOUBLE)"
+    return f"CAST(floor(({x}) * {s} + {HALF}) / {s} AS DOUBLE)"
 
 
 def r6_sql(x: str) -> str:
