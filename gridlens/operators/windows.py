@@ -118,21 +118,24 @@ def top_k_per(df: DataFrame, keys: list[str], order_cols: list, k: int, salt_buc
 
 
 def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets: int = 64,
-                         out: str = "pos") -> DataFrame:
+                         out: str = "pos", keys: list[str] | None = None) -> DataFrame:
     """Global 1-based position in the order of a uniform [0,1) column ``u``.
 
     The uniform is cut into ``n_buckets`` equal ranges (equal expected size,
     so no skew); rows are numbered inside each range and shifted by the
     prefix sum of the range counts: a total order without a single-task sort.
     """
+    keys = keys or []
     b = df.withColumn("_b", F.least(F.floor(F.col(u) * F.lit(float(n_buckets))), F.lit(n_buckets - 1)).cast("long"))
-    w = Window.partitionBy("_b").orderBy(u, *tiebreak)
+    w = Window.partitionBy(*keys, "_b").orderBy(u, *tiebreak)
     b = b.withColumn("_lrn", F.row_number().over(w))
-    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn("_off", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    # ``offs`` has at most n_buckets rows: broadcasting it is size-bounded.
-    return (b.join(F.broadcast(offs), "_b").withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
+        F.sum("_n").over(Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0))).drop("_n")
+    # ``offs`` has n_buckets rows per key: without keys it is size-bounded and broadcast.
+    side = F.broadcast(offs) if not keys else offs
+    return (b.join(side, [*keys, "_b"]).withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
             .drop("_b", "_lrn", "_off"))
 
 
@@ -157,3 +160,20 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float, tieb
     j = p.join(carry, [*keys, "_b"], "left")
     return (j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry")))
             .drop("_p_" + ts, "_open", "_b", "_in", "_carry"))
+
+
+def prefix_sum(df: DataFrame, order: str, value: str, bucket_width: float, out: str = "cum",
+               keys: list[str] | None = None) -> DataFrame:
+    """Running sum of ``value`` in ``order`` (a numeric key, unique per keys),
+    exclusive (``out``_lo) and inclusive (``out``_hi), by bucket sums + prefix
+    over the small bucket table: no single-task global window."""
+    keys = keys or []
+    b = df.withColumn("_b", F.floor(F.col(order) / F.lit(float(bucket_width))).cast("long"))
+    w = Window.partitionBy(*keys, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumn("_in", F.sum(value).over(w))
+    sums = b.groupBy(*keys, "_b").agg(F.sum(value).alias("_s"))
+    offs = sums.withColumn("_off", F.coalesce(F.sum("_s").over(
+        Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_s")
+    j = b.join(offs, [*keys, "_b"])
+    return (j.withColumn(out + "_hi", F.col("_off") + F.col("_in"))
+            .withColumn(out + "_lo", F.col(out + "_hi") - F.col(value)).drop("_b", "_in", "_off"))
