@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def with_exprs(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
-    """Add columns from SQL expression text, in order (later ones may use earlier)."""
-    for name, e in exprs.items():
+def with_exprs(df: DataFrame, exprs) -> DataFrame:
+    """Add or replace columns from SQL expression text, in order (later ones
+    may use earlier).  ``exprs``: dict or list of (name, sql) pairs."""
+    for name, e in (exprs.items() if isinstance(exprs, dict) else exprs):
         df = df.withColumn(name, F.expr(e))
     return df
 
@@ -66,13 +67,20 @@ def curve_sql(x: str, knots: list[tuple[float, float]], alias: str = "seg") -> t
     return cte, join, val
 
 
-def chain_sql(base: str, exprs: dict[str, str], prefix: str = "c") -> tuple[str, str]:
-    """Oracle twin of :func:`with_exprs`: CTE chain adding one column per step.
+def chain_sql(base: str, exprs, prefix: str = "c", base_cols: list[str] | None = None) -> tuple[str, str]:
+    """Oracle twin of :func:`with_exprs`: CTE chain adding (or, for names in
+    ``base_cols`` or added before, replacing) one column per step.
     Returns (CTE text, name of the last CTE)."""
+    items = list(exprs.items() if isinstance(exprs, dict) else exprs)
+    known = set(base_cols or [])
     parts = [f"{prefix}0 AS ({base})"]
-    for i, (name, e) in enumerate(exprs.items(), 1):
-        parts.append(f"{prefix}{i} AS (SELECT *, {e} AS {name} FROM {prefix}{i - 1})")
-    return ",\n".join(parts), f"{prefix}{len(exprs)}"
+    for i, (name, e) in enumerate(items, 1):
+        if name in known:
+            parts.append(f"{prefix}{i} AS (SELECT * REPLACE ({e} AS {name}) FROM {prefix}{i - 1})")
+        else:
+            parts.append(f"{prefix}{i} AS (SELECT *, {e} AS {name} FROM {prefix}{i - 1})")
+            known.add(name)
+    return ",\n".join(parts), f"{prefix}{len(items)}"
 
 
 def residual_summary(df: DataFrame, keys: list, expected: str, actual: str, under: float | None = None) -> DataFrame:

@@ -35,9 +35,9 @@ _CFG_SCHEMA = T.StructType([
     T.StructField("ramp_seconds", T.DoubleType()), T.StructField("ramp_down_seconds", T.DoubleType())])
 
 
-def _cfg_values_sql() -> str:
+def _cfg_values_sql(types=None) -> str:
     rows = []
-    for k, name, shape, mx, ramp, rd in FAULT_TYPES:
+    for k, name, shape, mx, ramp, rd in (types or FAULT_TYPES):
         ramp_s = "CAST(NULL AS DOUBLE)" if ramp is None else f"{ramp!r}"
         rows.append(f"({k}, '{name}', '{shape}', {mx!r}, {ramp_s}, {rd!r})")
     return ("cfg(k, event_type, shape, max_severity, ramp_seconds, ramp_down_seconds) AS "
@@ -49,9 +49,9 @@ def telemetry(spark, sf):
         "event_id", F.col("user_id").alias("device"), F.col("ts").alias("time"), "value")
 
 
-def fault_events(spark, sf):
+def fault_events(spark, sf, types=None):
     """Derived fault-event table in the unified schema."""
-    cfg = F.broadcast(spark.createDataFrame(FAULT_TYPES, _CFG_SCHEMA))
+    cfg = F.broadcast(spark.createDataFrame(types or FAULT_TYPES, _CFG_SCHEMA))
     trig = (table(spark, sf, "events")
             .where((F.col("event_type") == "error") & (F.col("value") >= MIN_VALUE))
             .select("event_id", "user_id", "ts", "value"))
@@ -63,7 +63,9 @@ def fault_events(spark, sf):
                     F.col("k").cast("int").alias("ord")))
 
 
-FE_SQL = f"""{_cfg_values_sql()},
+def fe_sql(types=None) -> str:
+    """Oracle text of the derived fault events, joined to telemetry, with severity (CTE ``s``)."""
+    return f"""{_cfg_values_sql(types)},
 fe AS (
   SELECT e.user_id AS device, c.event_type, e.ts AS start_time,
          CASE WHEN e.value < {OPEN_VALUE} THEN e.ts + to_seconds(CAST(floor(e.value * 360.0) AS BIGINT)) END AS end_time,
@@ -80,6 +82,9 @@ j AS (
 s AS (SELECT *, CASE WHEN event_type IS NULL THEN 0.0 ELSE {fo.severity_sql()} END AS severity FROM j)"""
 
 
+FE_SQL = fe_sql()
+
+
 def _labelled(spark, sf):
     return fo.label_telemetry(telemetry(spark, sf), fault_events(spark, sf), TYPE_NAMES,
                               keep=["event_id", "value"])
