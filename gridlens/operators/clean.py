@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlens.operators.faults import attach_faults
+from gridlens.operators.faults import attach_faults, join_strategy
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -106,7 +106,9 @@ def apply_outages(tel: DataFrame, events: DataFrame, cols: list[str], device: st
     outages overlap.
     """
     out = events.where(F.col("event_type") == "downtime")
-    inside = attach_faults(tel, out, device, time, how="left_semi", **join_kw)
-    outside = attach_faults(tel, out, device, time, how="left_anti", **join_kw)
+    kw = dict(join_kw)
+    kw["force"] = join_strategy(out, force=kw.get("force"))
+    inside = attach_faults(tel, out, device, time, how="left_semi", **kw)
+    outside = attach_faults(tel, out, device, time, how="left_anti", **kw)
     inside = mask_when(inside, F.lit(True), cols).withColumn("in_outage", F.lit(1))
     return inside.unionByName(outside.withColumn("in_outage", F.lit(0)))

@@ -108,8 +108,19 @@ def normalise_events(faults: DataFrame, site_start: str, outages: DataFrame | No
 
 
 def _event_bytes_ok(events: DataFrame, limit: int) -> bool:
-    """Size check before broadcasting: count the (small) event side."""
-    return events.count() * EVENT_ROW_BYTES <= limit
+    """Size check before broadcasting.  Counting stops after the first
+    limit/row-size + 1 rows, so a large event table is never fully counted."""
+    cap = max(1, limit // EVENT_ROW_BYTES)
+    return events.limit(cap + 1).count() <= cap
+
+
+def join_strategy(events: DataFrame, broadcast_limit: int = BROADCAST_LIMIT, force: str | None = None) -> str:
+    """'broadcast' when the event table passes the size check, else 'bucketed'."""
+    if force:
+        return force
+    ev = events.select("device", "event_type", "start_time", "end_time", "shape", "max_severity",
+                       "ramp_seconds", "ramp_down_seconds", "ord")
+    return "broadcast" if _event_bytes_ok(ev, broadcast_limit) else "bucketed"
 
 
 def attach_faults(tel: DataFrame, events: DataFrame, device: str = "device", time: str = "time",
@@ -175,7 +186,14 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
     """
     keep = keep or []
     base = tel.select(device, time, *keep)
-    j = with_severity(attach_faults(base, events, device, time, **join_kw))
+    # Rows no window touches skip the join and the grouping shuffle: they are
+    # healthy by definition (broadcast anti join).  Only rows inside a window
+    # are joined and grouped per (device, time).
+    kw = dict(join_kw)
+    kw["force"] = join_strategy(events, kw.get("broadcast_limit", BROADCAST_LIMIT), kw.get("force"))
+    hit = attach_faults(base, events, device, time, how="left_semi", **kw)
+    miss = attach_faults(base, events, device, time, how="left_anti", **kw)
+    j = with_severity(attach_faults(hit, events, device, time, how="inner", **kw))
     sev = F.col("severity") / F.col("max_severity") if normalise else F.col("severity")
     active = F.col("severity") > 0
     aggs = [F.max(F.coalesce(sev, F.lit(0.0))).alias("severity")]
@@ -184,6 +202,10 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
     aggs.append(F.max(F.when(active & (F.col("event_type") == "downtime"), 1).otherwise(0)).alias("fault_downtime"))
     aggs.append(F.array_sort(F.collect_set(F.when(active, F.struct(F.col("ord"), F.col("event_type"))))).alias("_lab"))
     g = j.groupBy(device, time, *keep).agg(*aggs)
+    healthy = miss.select(device, time, *keep, F.lit(0.0).alias("severity"),
+                          *[F.lit(0).alias(f"fault_{t}") for t in fault_types], F.lit(0).alias("fault_downtime"),
+                          F.array_sort(F.array().cast("array<struct<ord:int,event_type:string>>")).alias("_lab"))
+    g = g.unionByName(healthy)
     labels = F.array_join(F.array_distinct(F.col("_lab.event_type")), "|")
     out = (g.withColumn("is_faulted", (F.col("severity") > 0).cast("int"))
            .withColumn("fault_labels", F.when(F.size("_lab") > 0, labels).otherwise(F.lit("healthy")))

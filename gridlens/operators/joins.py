@@ -23,15 +23,20 @@ def _width(t) -> int:
     return 8
 
 
-def est_bytes(df: DataFrame) -> int:
-    """Upper-bound-ish size of a dimension: rows x estimated row width."""
-    width = sum(_width(f.dataType) for f in df.schema.fields) + 16
-    return df.count() * width
+def row_width(df: DataFrame) -> int:
+    return sum(_width(f.dataType) for f in df.schema.fields) + 16
+
+
+def fits(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """True when rows x estimated row width stays within ``limit`` bytes.
+    Counting stops after limit/width + 1 rows (never a full count of a big side)."""
+    cap = max(1, limit // row_width(df))
+    return df.limit(cap + 1).count() <= cap
 
 
 def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "inner", limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Join a fact table with a dimension; broadcast only after a size check."""
-    side = F.broadcast(dim) if est_bytes(dim) <= limit else dim
+    side = F.broadcast(dim) if fits(dim, limit) else dim
     return big.join(side, on, how)
 
 

@@ -14,7 +14,7 @@ from gridlens.functions import physics as PH
 from gridlens.functions.draws import keyed_uniform, keyed_uniform_sql as KU
 from gridlens.functions.exprs import r6, r6_sql as R
 from gridlens.operators import overlay as OV
-from gridlens.operators.faults import attach_faults
+from gridlens.operators.faults import attach_faults, join_strategy
 from gridlens.operators.scoring import with_exprs, chain_sql, interp_curve, curve_sql
 from gridlens.plans.faults import FAULT_TYPES, fault_events, fe_sql
 from gridlens.plans.registry import register, table
@@ -36,7 +36,7 @@ TEL_BASE_COLS = ["event_id", "device", "time", "value", "eid", "doy", "hour_f"]
 
 
 def tel_base(spark, sf):
-    return table(spark, sf, "events").select(
+    return table(spark, sf, "events", spread=True).select(
         "event_id", F.col("user_id").alias("device"), F.col("ts").alias("time"), F.col("value").cast("double").alias("value"),
         F.col("event_id").cast("double").alias("eid"), F.dayofyear("ts").cast("double").alias("doy"),
         (F.hour("ts").cast("double") + F.minute("ts").cast("double") / F.lit(60.0)).alias("hour_f"))
@@ -52,10 +52,11 @@ def _with_sev(spark, sf, base, types, order):
     skip the aggregation (broadcast anti join -> sev = 0); only the faulted
     rows go through the interval join and the grouping shuffle."""
     ev = fault_events(spark, sf, types)
+    how = join_strategy(ev)
     keys = base.select("event_id", "device", "time")
-    hit = attach_faults(keys, ev, how="left_semi")
-    miss = attach_faults(base, ev, how="left_anti")
-    sev = OV.severity_wide(hit, ev, order, keep=["event_id"]).drop("device", "time")
+    hit = attach_faults(keys, ev, how="left_semi", force=how)
+    miss = attach_faults(base, ev, how="left_anti", force=how)
+    sev = OV.severity_wide(hit, ev, order, keep=["event_id"], how="inner", force=how).drop("device", "time")
     faulted = base.join(sev, "event_id")
     return faulted.unionByName(miss.select(*miss.columns, *[F.lit(0.0).alias(f"sev_{t}") for t in order]))
 
@@ -183,7 +184,7 @@ def _pump_sql():
 @register("overlay_pump", _pump_sql())
 def q_overlay_pump(spark, sf):
     """Cavitation, impeller wear and bearing friction by a per-row assignment, power chain recomputed."""
-    li = table(spark, sf, "lineitem").select(
+    li = table(spark, sf, "lineitem", spread=True).select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", F.col("l_quantity").cast("double").alias("q"),
         F.col("l_extendedprice").cast("double").alias("p"), F.col("l_discount").cast("double").alias("d"),
         F.col("l_tax").cast("double").alias("t"), keyed_uniform(SEED, "pump_severity", "l_orderkey", "l_linenumber").alias("u"))

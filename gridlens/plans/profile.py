@@ -99,7 +99,7 @@ def _desc_sql(c, src="lineitem"):
 
 @register("describe_num", "\nUNION ALL\n".join(_desc_sql(c) for c in DESC_COLS))
 def q_describe_num(spark, sf):
-    return P.describe_num(table(spark, sf, "lineitem"), DESC_COLS)
+    return P.describe_num(table(spark, sf, "lineitem", spread=True), DESC_COLS)
 
 
 @register("describe_all", """WITH p AS (SELECT 'c_name' AS column_name, c_name AS value FROM customer

@@ -35,5 +35,11 @@ def load_all() -> tuple[dict, dict]:
     return QUERIES, ORACLE
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one driver table.  ``spread=True`` for scans feeding a CPU-heavy
+    row-wise pipeline: see :func:`gridlens.sources.files.ensure_parallel`."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        from gridlens.sources.files import ensure_parallel
+        df = ensure_parallel(df)
+    return df

@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Generated methods above 8000 bytecodes are never JIT-compiled by HotSpot;
+    # fall back to per-expression codegen instead of running them interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -21,6 +21,17 @@ def catalogue(spark: SparkSession, base: str) -> DataFrame:
         F.col("path"), F.col("length").alias("size_bytes"))
 
 
+def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster's cores when it arrives in fewer input
+    partitions (e.g. one Parquet file with a single row group).  A big table
+    has far more splits than cores, so then this is a no-op and adds no
+    shuffle.  Filters and column pruning still reach the Parquet reader."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def pick_time_col(schema: T.StructType) -> str | None:
     """S4: 'time', then 'timestamp', else the first timestamp column."""
     names = [f.name for f in schema.fields]
