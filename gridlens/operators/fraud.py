@@ -40,8 +40,9 @@ def high_value(tx: DataFrame, amount: str, category: str, risky: list[str], q: f
                normal: F.Column | None = None) -> DataFrame:
     """A3: amount above the q-quantile of normal rows at a high-risk category.
     The threshold is one scalar aggregate."""
+    from gridlens.operators.quantiles import exact_quantiles
     base = tx.where(normal) if normal is not None else tx
-    thr = base.agg(F.percentile(F.col(amount), q)).first()[0]
+    thr = exact_quantiles(base, amount, [q]).first()["value"]
     return tx.where((F.col(amount) > F.lit(thr)) & F.col(category).isin(risky)).withColumn("threshold", F.lit(thr))
 
 

@@ -91,7 +91,8 @@ def attach_rate(lines: DataFrame, order: str, item: str, anchors: list[str]) ->
 
 def older_than_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
     """Rows strictly below the exact q-quantile of ``col`` (scalar first)."""
-    thr = df.agg(F.percentile(F.col(col), q)).first()[0]
+    from gridlens.operators.quantiles import exact_quantiles
+    thr = exact_quantiles(df, col, [q]).first()["value"]
     return df.where(F.col(col) < F.lit(thr))
 
 

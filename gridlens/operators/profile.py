@@ -17,12 +17,41 @@ from pyspark.sql import functions as F
 
 from gridlens.functions.exprs import r6
 from gridlens.operators.clean import cols_of_kind, kind_of
+from gridlens.operators.quantiles import exact_quantiles
+
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def _pct(c, qs, exact=True):
     return F.percentile(c, qs) if exact else F.percentile_approx(c, qs, 10000)
 
 
+def quantile_columns(df: DataFrame, col: str, qs: list[float], names: list[str], keys: list[str] | None = None,
+                     exact: bool = True) -> DataFrame:
+    """One row per group with one column per quantile.  Exact quantiles come
+    from :func:`exact_quantiles` (no group gathered in one task); otherwise
+    ``percentile_approx``."""
+    keys = keys or []
+    if not exact:
+        a = df.groupBy(*keys).agg(F.percentile_approx(F.col(col).cast("double"), qs, 10000).alias("_q"))
+        return a.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    q = exact_quantiles(df, col, qs, keys)
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == F.lit(float(v)), F.col("value"))).alias(n)
+                                  for v, n in zip(qs, names)])
+
+
+def _join_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Null-safe join of two small per-group tables."""
+    if not keys:
+        raise ValueError("keys required")
+    bb = b.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = a[k].eqNullSafe(bb[f"_k_{k}"])
+        cond = c if cond is None else cond & c
+    return a.join(F.broadcast(bb), cond).drop(*[f"_k_{k}" for k in keys])
+
+
 def overview(df: DataFrame) -> DataFrame:
     """Rows, columns, numeric columns, mean per-column null rate (%)."""
     cols = df.columns
@@ -94,12 +123,14 @@ def describe_num(df: DataFrame, cols: list[str] | None = None, exact: bool = Tru
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"_c{i}"), F.avg(x).alias(f"_m{i}"), F.stddev_samp(x).alias(f"_s{i}"),
-                 F.min(x).alias(f"_lo{i}"), _pct(x, [0.25, 0.5, 0.75], exact).alias(f"_q{i}"),
-                 F.max(x).alias(f"_hi{i}")]
+                 F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
     a = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', _c{i}, _m{i}, _s{i}, _lo{i}, _q{i}[0], _q{i}[1], _q{i}[2], _hi{i}"
-                      for i, c in enumerate(cols))
-    long = a.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, p25, p50, p75, max)")
+    parts = ", ".join(f"'{c}', _c{i}, _m{i}, _s{i}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
+    moments = a.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, max)")
+    stacked = df.selectExpr(f"stack({len(cols)}, " + ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+                            + ") AS (column_name, _v)")
+    qs = quantile_columns(stacked, "_v", QUARTILES, ["p25", "p50", "p75"], ["column_name"], exact)
+    long = _join_keys(moments, qs, ["column_name"])
     return long.select("column_name", F.col("n").cast("long").alias("n"),
                        *[r6(c).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
@@ -121,12 +152,11 @@ def describe_all(df: DataFrame) -> DataFrame:
 def describe_by(df: DataFrame, keys: list[str], col: str, exact: bool = True) -> DataFrame:
     """Describe of one column per group."""
     x = F.col(col).cast("double")
-    return (df.groupBy(*keys).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                                  F.min(x).alias("min"), _pct(x, [0.25, 0.5, 0.75], exact).alias("_q"),
-                                  F.max(x).alias("max"))
-            .select(*keys, "n", r6("mean").alias("mean"), r6("std").alias("std"), r6("min").alias("min"),
-                    r6(F.col("_q")[0]).alias("p25"), r6(F.col("_q")[1]).alias("p50"),
-                    r6(F.col("_q")[2]).alias("p75"), r6("max").alias("max")))
+    m = df.groupBy(*keys).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                              F.min(x).alias("min"), F.max(x).alias("max"))
+    qs = quantile_columns(df, col, QUARTILES, ["p25", "p50", "p75"], keys, exact)
+    j = _join_keys(m, qs, keys)
+    return j.select(*keys, "n", *[r6(c).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
 
 def rates_by(df: DataFrame, keys: list[str], cols: list[str], rollup: bool = False) -> DataFrame:
@@ -138,8 +168,10 @@ def rates_by(df: DataFrame, keys: list[str], cols: list[str], rollup: bool = Fal
 def agg_named(df: DataFrame, keys: list[str], col: str, exact: bool = True) -> DataFrame:
     """Mean / median / std with names."""
     x = F.col(col).cast("double")
-    return df.groupBy(*keys).agg(r6(F.avg(x)).alias("mean"), r6(_pct(x, 0.5, exact)).alias("median"),
-                                 r6(F.stddev_samp(x)).alias("std"))
+    m = df.groupBy(*keys).agg(F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
+    med = quantile_columns(df, col, [0.5], ["median"], keys, exact)
+    j = _join_keys(m, med, keys)
+    return j.select(*keys, r6("mean").alias("mean"), r6("median").alias("median"), r6("std").alias("std"))
 
 
 def top_n_by(df: DataFrame, key: str, col: str, n: int = 10) -> DataFrame:

@@ -99,7 +99,7 @@ def _desc_sql(c, src="lineitem"):
 
 @register("describe_num", "\nUNION ALL\n".join(_desc_sql(c) for c in DESC_COLS))
 def q_describe_num(spark, sf):
-    return P.describe_num(table(spark, sf, "lineitem", spread=True), DESC_COLS)
+    return P.describe_num(table(spark, sf, "lineitem"), DESC_COLS)
 
 
 @register("describe_all", """WITH p AS (SELECT 'c_name' AS column_name, c_name AS value FROM customer
@@ -174,9 +174,10 @@ def q_corr_matrix(spark, sf):
 @register("quantile99", f"SELECT {R('quantile_cont(o_totalprice, 0.99)')} AS q99, count(*) AS n FROM orders")
 def q_quantile99(spark, sf):
     """Exact 99 % quantile of order value."""
-    return table(spark, sf, "orders").agg(
-        F.expr("percentile(o_totalprice, 0.99)").alias("q"), F.count(F.lit(1)).alias("n")).select(
-        F.expr(R("q")).alias("q99"), "n")
+    from gridlens.operators.quantiles import exact_quantiles
+    o = table(spark, sf, "orders")
+    q = exact_quantiles(o, "o_totalprice", [0.99]).first()["value"]   # one scalar
+    return o.agg(F.count(F.lit(1)).alias("n")).select(F.expr(R(f"CAST({q!r} AS DOUBLE)")).alias("q99"), "n")
 
 
 @register("class_balance", f"""SELECT count(*) AS n_rows, count_if(toxic = 1) AS n_pos, count_if(toxic = 0) AS n_neg,

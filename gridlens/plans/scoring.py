@@ -390,10 +390,13 @@ SELECT l_returnflag, count(*) AS n, {R('avg(resid)')} AS mean, {R('stddev_samp(r
   {R('quantile_cont(resid, 0.5)')} AS p50, {R('max(resid)')} AS max FROM {_VB_LAST} GROUP BY l_returnflag""")
 def q_vibration_residual(spark, sf):
     """Vibration vs the off-BEP model; residual described per group."""
+    from gridlens.operators.profile import quantile_columns, _join_keys
     x = SC.with_exprs(li_base(spark, sf), VIB_EXPRS)
-    return x.groupBy("l_returnflag").agg(
-        F.count(F.lit(1)).alias("n"), r6(F.avg("resid")).alias("mean"), r6(F.stddev_samp("resid")).alias("std"),
-        r6(F.min("resid")).alias("min"), r6(F.percentile("resid", 0.5)).alias("p50"), r6(F.max("resid")).alias("max"))
+    m = x.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("resid").alias("mean"), F.stddev_samp("resid").alias("std"),
+        F.min("resid").alias("min"), F.max("resid").alias("max"))
+    j = _join_keys(m, quantile_columns(x, "resid", [0.5], ["p50"], ["l_returnflag"]), ["l_returnflag"])
+    return j.select("l_returnflag", "n", *[r6(c).alias(c) for c in ["mean", "std", "min", "p50", "max"]])
 
 
 # --- D17 -------------------------------------------------------------------------------------------

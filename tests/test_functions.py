@@ -99,3 +99,16 @@ def test_nanosecond_parquet(spark, tmp_path):
     rows = df.orderBy("v").collect()
     assert str(df.schema["time"].dataType) == "TimestampNTZType()"
     assert rows[0]["time"].microsecond == 123456 and rows[1]["time"].hour == 12
+
+
+def test_exact_quantiles_match_percentile(spark):
+    import random
+    from gridlens.operators.quantiles import exact_quantiles
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([1.0, 2.0, rnd.random(), rnd.gauss(0, 1e6)])) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    qs = [0.0, 0.1, 0.5, 0.99, 1.0]
+    ours = {(r["k"], r["q"]): r["value"] for r in exact_quantiles(df, "x", qs, ["k"], buckets=4, max_final=7).collect()}
+    for r in df.groupBy("k").agg(F.percentile("x", qs).alias("p")).collect():
+        for q, v in zip(qs, r["p"]):
+            assert ours[(r["k"], q)] == pytest.approx(v, rel=1e-12, abs=1e-9)
