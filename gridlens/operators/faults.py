@@ -191,9 +191,8 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
     # are joined and grouped per (device, time).
     kw = dict(join_kw)
     kw["force"] = join_strategy(events, kw.get("broadcast_limit", BROADCAST_LIMIT), kw.get("force"))
-    hit = attach_faults(base, events, device, time, how="left_semi", **kw)
     miss = attach_faults(base, events, device, time, how="left_anti", **kw)
-    j = with_severity(attach_faults(hit, events, device, time, how="inner", **kw))
+    j = with_severity(attach_faults(base, events, device, time, how="inner", **kw))
     sev = F.col("severity") / F.col("max_severity") if normalise else F.col("severity")
     active = F.col("severity") > 0
     aggs = [F.max(F.coalesce(sev, F.lit(0.0))).alias("severity")]

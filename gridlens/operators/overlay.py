@@ -142,6 +142,9 @@ def check_types(events: DataFrame, kind: str, type_col: str = "event_type") -> N
 def steps(kind: str, order: list[str], power_sql: str | None = None, outside_window: str = "none") -> list[tuple[str, str]]:
     """Ordered (column, SQL) assignments for the fault types in ``order``."""
     eff = REGISTRY[kind]
+    unknown = [t for t in order if t not in eff]
+    if unknown:
+        raise ValueError(f"unknown {kind} fault type(s): {unknown}")
     out = []
     for t in order:
         s = f"sev_{t}"
@@ -154,15 +157,22 @@ def steps(kind: str, order: list[str], power_sql: str | None = None, outside_win
 
 
 def severity_wide(tel: DataFrame, events: DataFrame, types: list[str], device: str = "device", time: str = "time",
-                  keep: list[str] | None = None, **join_kw) -> DataFrame:
+                  keep: list[str] | None = None, row_key: str | None = None, **join_kw) -> DataFrame:
     """Telemetry + one ``sev_<type>`` column per type (max over that type's
-    active faults, 0 when none) from the interval join (L1 + L2)."""
+    active faults, 0 when none) from the interval join (L1 + L2).
+
+    With ``row_key`` (a unique row id) every column of ``tel`` is carried
+    through the grouping on that id, so no join back to the full table is
+    needed; otherwise the result has (device, time, keep) + severities."""
     keep = keep or []
-    j = with_severity(attach_faults(tel.select(device, time, *keep), events, device, time, **join_kw))
+    src = tel if row_key else tel.select(device, time, *keep)
+    j = with_severity(attach_faults(src, events, device, time, **join_kw))
     aggs = [F.max(F.when(F.col("event_type") == t, F.col("severity")).otherwise(F.lit(0.0))).alias(f"sev_{t}")
             for t in types]
-    sev = j.groupBy(device, time, *keep).agg(*aggs)
-    return sev
+    if row_key:
+        carry = [F.first(c).alias(c) for c in tel.columns if c != row_key]
+        return j.groupBy(row_key).agg(*carry, *aggs).select(*tel.columns, *[f"sev_{t}" for t in types])
+    return j.groupBy(device, time, *keep).agg(*aggs)
 
 
 def overlay(df: DataFrame, kind: str, order: list[str], power_sql: str | None = None,

@@ -53,11 +53,8 @@ def _with_sev(spark, sf, base, types, order):
     rows go through the interval join and the grouping shuffle."""
     ev = fault_events(spark, sf, types)
     how = join_strategy(ev)
-    keys = base.select("event_id", "device", "time")
-    hit = attach_faults(keys, ev, how="left_semi", force=how)
     miss = attach_faults(base, ev, how="left_anti", force=how)
-    sev = OV.severity_wide(hit, ev, order, keep=["event_id"], how="inner", force=how).drop("device", "time")
-    faulted = base.join(sev, "event_id")
+    faulted = OV.severity_wide(base, ev, order, row_key="event_id", how="inner", force=how)
     return faulted.unionByName(miss.select(*miss.columns, *[F.lit(0.0).alias(f"sev_{t}") for t in order]))
 
 
