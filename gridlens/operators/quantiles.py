@@ -32,7 +32,9 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
     """DataFrame(keys..., q, value): exact quantiles of ``col`` per group."""
     keys = keys or []
     spark = df.sparkSession
-    gk = F.to_json(F.struct(*[F.col(k) for k in keys])) if keys else F.lit("")
+    # null-safe group id: each key tagged N (null) or V<value>, joined by \x01
+    gk = (F.concat_ws("\x01", *[F.when(F.col(k).isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.col(k).cast("string")))
+                                for k in keys]) if keys else F.lit(""))
     base = (df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
             .withColumn("_gk", gk))
     key_fields = [f for f in df.schema.fields if f.name in keys]
@@ -55,33 +57,42 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
         if st["lo"] == st["hi"]:
             st["val"] = st["lo"]
 
-    tid_of = {t: i for i, t in enumerate(state)}
-    sschema = T.StructType([T.StructField("_gk", T.StringType()), T.StructField("_tid", T.LongType()),
+    sschema = T.StructType([T.StructField("_gk", T.StringType()), T.StructField("_rid", T.LongType()),
                             T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())])
 
     def pending(final: bool):
         return [t for t, st in state.items() if st["val"] is None and st["final"] == final]
 
-    def in_range(targets):
-        rows = [(t[0], tid_of[t], state[t]["lo"], state[t]["hi"]) for t in targets]
+    def ranges_of(targets):
+        """Targets sharing (group, lo, hi) share one histogram / value set."""
+        rid = {}
+        for t in targets:
+            rid.setdefault((t[0], state[t]["lo"], state[t]["hi"]), len(rid))
+        return rid
+
+    def in_range(rid):
+        rows = [(g, i, lo, hi) for (g, lo, hi), i in rid.items()]
         sdf = spark.createDataFrame(rows, sschema)  # small: bounded by max_targets
         return (base.join(F.broadcast(sdf), "_gk")
                 .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
 
     while pending(False):
         todo = pending(False)
-        j = in_range(todo)
+        rid = ranges_of(todo)
+        j = in_range(rid)
         b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(buckets))),
                     F.lit(buckets - 1)).cast("long")
-        hist = (j.groupBy("_tid", b.alias("_b"))
+        hist = (j.groupBy("_rid", b.alias("_b"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("bmin"), F.max("_x").alias("bmax")).collect())
-        by_t = {}
+        by_r = {}
         for r in hist:
-            by_t.setdefault(r["_tid"], []).append(r)
+            by_r.setdefault(r["_rid"], []).append(r)
+        for v in by_r.values():
+            v.sort(key=lambda r: r["_b"])
         for t in todo:
             st = state[t]
             cum = 0
-            for r in sorted(by_t.get(tid_of[t], []), key=lambda r: r["_b"]):
+            for r in by_r.get(rid[(t[0], st["lo"], st["hi"])], []):
                 if cum + r["c"] > st["k"]:
                     st["k"] -= cum
                     st["lo"], st["hi"] = r["bmin"], r["bmax"]
@@ -94,12 +105,15 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
 
     fin = pending(True)
     if fin:
+        rid = ranges_of(fin)
         vals = {}
-        for r in in_range(fin).select("_tid", "_x").collect():   # <= max_final rows per target
-            vals.setdefault(r["_tid"], []).append(r["_x"])
+        for r in in_range(rid).select("_rid", "_x").collect():   # <= max_final rows per range
+            vals.setdefault(r["_rid"], []).append(r["_x"])
+        for v in vals.values():
+            v.sort()
         for t in fin:
             st = state[t]
-            st["val"] = sorted(vals[tid_of[t]])[st["k"]]
+            st["val"] = vals[rid[(t[0], st["lo"], st["hi"])]][st["k"]]
 
     out = []
     for r in stats:
