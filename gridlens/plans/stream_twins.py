@@ -42,6 +42,15 @@ def q_stream_velocity(spark, sf):
     return ST.run_available_now(s, "velocity")
 
 
+@register("stream_velocity_exact", """SELECT event_type, event_id, ts, n_in_window FROM (
+  SELECT event_id, event_type, ts, count(*) OVER (PARTITION BY event_type ORDER BY ts
+    RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW) AS n_in_window FROM events) WHERE n_in_window >= 25""")
+def q_stream_velocity_exact(spark, sf):
+    """T2 exact: stateful per-merchant window of event times (applyInPandasWithState); equals A1."""
+    s = ST.stream_velocity_exact(_ev(spark, sf), "ts", ["event_type"], "event_id", 25, 6 * 3600)
+    return ST.run_available_now(s, "velocity_exact")
+
+
 @register("stream_ping", f"""WITH t AS (SELECT user_id, ts, event_id FROM events WHERE value < 5.0),
 l AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM t),
 s AS (SELECT *, max(CASE WHEN p IS NULL OR ts - p >= INTERVAL 12 HOUR THEN ts END)
