@@ -214,6 +214,8 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
     # (no device-wide window, so a hot device is not sorted in one task).
     starts = (out.where(F.col("is_faulted") == 1).groupBy(device)
               .agg(F.min(time).alias("fault_start_time")))
+    # Derived per-device table: AQE broadcasts it at run time from its measured
+    # size (no extra counting job); unused, the join is pruned away entirely.
     out = out.join(starts, device, "left")
     return out.withColumn(
         "time_since_fault",

@@ -111,7 +111,10 @@ def stream_velocity_exact(ev: DataFrame, ts: str, keys: list[str], id_col: str,
     def count_window(key, pdfs, state):
         import numpy as np
         import pandas as pd
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", id_col], kind="mergesort")
+        parts = [p for p in pdfs if len(p)]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True).sort_values(["_us", id_col], kind="mergesort")
         prev = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
         allus = np.sort(np.concatenate([prev, pdf["_us"].to_numpy(dtype=np.int64)]))
         us = pdf["_us"].to_numpy(dtype=np.int64)
