@@ -38,8 +38,8 @@ _CFG_SCHEMA = T.StructType([
 def _cfg_values_sql(types=None) -> str:
     rows = []
     for k, name, shape, mx, ramp, rd in (types or FAULT_TYPES):
-        ramp_s = "CAST(NULL AS DOUBLE)" if ramp is None else f"{ramp!r}"
-        rows.append(f"({k}, '{name}', '{shape}', {mx!r}, {ramp_s}, {rd!r})")
+        ramp_s = "CAST(NULL AS DOUBLE)" if ramp is None else f"CAST({ramp!r} AS DOUBLE)"
+        rows.append(f"({k}, '{name}', '{shape}', CAST({mx!r} AS DOUBLE), {ramp_s}, CAST({rd!r} AS DOUBLE))")
     return ("cfg(k, event_type, shape, max_severity, ramp_seconds, ramp_down_seconds) AS "
             f"(VALUES {', '.join(rows)})")
 
@@ -233,3 +233,53 @@ def q_fault_episodes(spark, sf):
     """Runs of consecutive readings above a threshold per device -> episode table."""
     t = telemetry(spark, sf).withColumn("flag", (F.col("value") > EPISODE_THRESHOLD).cast("int"))
     return fo.episodes(t, "flag", tiebreak=["event_id"])
+
+
+# --- L5 -------------------------------------------------------------------------
+SITE_START = "2024-01-01 00:00:00"
+
+
+def fault_config(spark, sf):
+    """Configuration rows in the reference's form (day offsets from the site
+    start, ramp days, outage hours), derived from the events: error events
+    with value >= 150 are faults, those with 100 <= value < 150 outages."""
+    cfg = F.broadcast(spark.createDataFrame(FAULT_TYPES, _CFG_SCHEMA))
+    ev = table(spark, sf, "events").where(F.col("event_type") == "error").select("event_id", "user_id", "ts", "value")
+    day = F.floor(epoch_s(F.col("ts")) - epoch_s(F.expr(f"TIMESTAMP_NTZ'{SITE_START}'"))) / F.lit(86400.0)
+    faults = (ev.where(F.col("value") >= MIN_VALUE).join(cfg, F.pmod(F.col("event_id"), F.lit(5)) == F.col("k"))
+              .where(F.col("event_type") != "downtime")
+              .select(F.col("user_id").cast("string").alias("device"), "event_type", day.alias("start_day"),
+                      F.when(F.col("value") < OPEN_VALUE, day + F.col("value") / F.lit(240.0)).alias("end_day"),
+                      "shape", "max_severity", (F.col("ramp_seconds") / F.lit(86400.0)).alias("ramp_days"),
+                      (F.col("ramp_down_seconds") / F.lit(86400.0)).alias("ramp_down_days"), F.col("k").cast("int").alias("ord")))
+    outages = (ev.where((F.col("value") >= 100.0) & (F.col("value") < MIN_VALUE))
+               .select(F.col("user_id").cast("string").alias("device"), day.alias("start_day"),
+                       (F.col("value") / F.lit(50.0)).alias("hours"), F.lit(1.0).alias("severity")))
+    return faults, outages
+
+
+_DAY_SQL = "(floor(epoch_us(ts) / 1e6 - epoch_us(TIMESTAMP '2024-01-01 00:00:00') / 1e6) / 86400.0)"
+_AT_SQL = "TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(round({d} * 86400.0) AS BIGINT))"
+
+
+@register("normalise_events", f"""WITH {_cfg_values_sql()},
+f AS (SELECT CAST(e.user_id AS VARCHAR) AS device, c.event_type, {_DAY_SQL} AS start_day,
+        CASE WHEN e.value < {OPEN_VALUE} THEN {_DAY_SQL} + e.value / 240.0 END AS end_day, c.shape, c.max_severity,
+        c.ramp_seconds / 86400.0 AS ramp_days, c.ramp_down_seconds / 86400.0 AS ramp_down_days, CAST(c.k AS INTEGER) AS ord
+      FROM events e JOIN cfg c ON c.k = ((e.event_id % 5) + 5) % 5
+      WHERE e.event_type = 'error' AND e.value >= {MIN_VALUE} AND c.event_type <> 'downtime'),
+o AS (SELECT CAST(user_id AS VARCHAR) AS device, {_DAY_SQL} AS start_day, value / 50.0 AS hours FROM events
+      WHERE event_type = 'error' AND value >= 100.0 AND value < {MIN_VALUE})
+SELECT device, event_type, {_AT_SQL.format(d='start_day')} AS start_time,
+  CASE WHEN end_day IS NOT NULL THEN {_AT_SQL.format(d='end_day')} END AS end_time, shape, max_severity,
+  greatest(600.0, coalesce(ramp_days, 1.0) * 86400.0) AS ramp_seconds, coalesce(ramp_down_days, 0.0) * 86400.0 AS ramp_down_seconds, ord
+FROM f
+UNION ALL
+SELECT device, 'downtime', {_AT_SQL.format(d='start_day')},
+  {_AT_SQL.format(d='start_day')} + to_seconds(CAST(round(hours * 3600.0) AS BIGINT)), 'abrupt', CAST(1.0 AS DOUBLE),
+  CAST(NULL AS DOUBLE), CAST(0.0 AS DOUBLE), {1 << 30}
+FROM o""")
+def q_normalise_events(spark, sf):
+    """Configuration rows (day offsets, ramp days, outage hours) -> wall-clock fault events."""
+    faults, outages = fault_config(spark, sf)
+    return fo.normalise_events(faults, SITE_START, outages)
