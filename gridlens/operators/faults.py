@@ -234,7 +234,7 @@ def fault_progress(tel: DataFrame, events: DataFrame, device: str = "device", ti
 
 
 def episodes(labelled: DataFrame, flag: str, device: str = "device", time: str = "time",
-             tiebreak: list[str] | None = None, bucket_seconds: int = DAY) -> DataFrame:
+             tiebreak: list[str] | None = None, bucket_seconds: int | None = None) -> DataFrame:
     """Gaps-and-islands: consecutive rows with ``flag``=1 -> one episode.
 
     Skew-safe: rows are numbered inside (device, day) buckets; the bucket

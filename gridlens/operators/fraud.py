@@ -15,7 +15,7 @@ from gridlens.operators.windows import range_count, prev_row, sessionize, DAY
 
 
 def velocity(tx: DataFrame, keys: list[str], ts: str, n: int = 10, secs: float = 300,
-             bucket_seconds: int = DAY) -> DataFrame:
+             bucket_seconds: int | None = None) -> DataFrame:
     """A1: rows with >= n transactions of the same keys in [ts - secs, ts].
     The range window runs per (keys, day) with a halo of the previous day's
     tail, so a hot merchant is split by day."""

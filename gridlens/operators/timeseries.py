@@ -15,7 +15,7 @@ from gridlens.operators.windows import global_row_number, prev_row, DAY
 
 
 def step_audit(tel: DataFrame, device: str = "device", time: str = "time", tiebreak: list[str] | None = None,
-               bucket_seconds: int = DAY) -> DataFrame:
+               bucket_seconds: int | None = None) -> DataFrame:
     """Measured sampling interval per device: step statistics, the modal
     step in whole minutes (ties to the smaller) and steps that differ from it."""
     p = prev_row(tel.select(device, time, *(tiebreak or [])), [device], time, [], tiebreak, bucket_seconds)
@@ -32,7 +32,7 @@ def step_audit(tel: DataFrame, device: str = "device", time: str = "time", tiebr
 
 
 def assign_ids(df: DataFrame, order: str, tiebreak: list[str], start: int = 1, out: str = "seq_id",
-               bucket_seconds: int = DAY) -> DataFrame:
+               bucket_seconds: int | None = None) -> DataFrame:
     """Consecutive ids in (order, tiebreak) order starting at ``start``,
     by per-bucket counts + prefix sum (no single-partition window)."""
     n = global_row_number(df, [], order, tiebreak, bucket_seconds, out="_rn")

@@ -18,6 +18,8 @@ small per-bucket summary tables (one row per key and bucket):
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,13 +28,35 @@ from gridlens.functions.exprs import epoch_s
 DAY = 86400
 
 
+# Target rows per (key, time bucket) window partition when widths are chosen
+# from the data (bucket_seconds=None).
+TARGET_BUCKET_ROWS = 2_000_000
+
+
 def _bucket(ts: str, seconds: int):
     return F.floor(epoch_s(F.col(ts)) / F.lit(float(seconds))).cast("long")
 
 
+def auto_bucket_seconds(df: DataFrame, keys: list[str], ts: str, min_seconds: float = 1.0,
+                        target_rows: int = TARGET_BUCKET_ROWS, start: int = DAY) -> int:
+    """Bucket width (seconds) so that no (key, bucket) holds more than about
+    ``target_rows`` rows: one map-side-combined count per (key, day) gives the
+    fullest day, then the width is halved as often as needed (never below
+    ``min_seconds``, e.g. the span of a range frame).  Rows sharing one
+    timestamp cannot be split further."""
+    mx = (df.groupBy(*keys, _bucket(ts, start).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+          .agg(F.max("_n")).first()[0]) or 0
+    width = start
+    while mx > target_rows and width / 2 >= max(min_seconds, 1):
+        width //= 2
+        mx = (mx + 1) // 2
+    return int(width)
+
+
 def global_row_number(df: DataFrame, keys: list[str], order: str, tiebreak: list[str] | None = None,
-                      bucket_seconds: int = DAY, out: str = "rn") -> DataFrame:
+                      bucket_seconds: int | None = None, out: str = "rn") -> DataFrame:
     tiebreak = tiebreak or []
+    bucket_seconds = bucket_seconds or auto_bucket_seconds(df, keys, order)
     b = df.withColumn("_b", _bucket(order, bucket_seconds))
     w = Window.partitionBy(*keys, "_b").orderBy(order, *tiebreak)
     b = b.withColumn("_lrn", F.row_number().over(w))
@@ -44,9 +68,10 @@ def global_row_number(df: DataFrame, keys: list[str], order: str, tiebreak: list
 
 
 def prev_row(df: DataFrame, keys: list[str], order: str, cols: list[str], tiebreak: list[str] | None = None,
-             bucket_seconds: int = DAY, prefix: str = "prev_") -> DataFrame:
+             bucket_seconds: int | None = None, prefix: str = "prev_") -> DataFrame:
     """Adds ``prev_<c>`` for c in [order] + cols: the previous row of the same key."""
     tiebreak = tiebreak or []
+    bucket_seconds = bucket_seconds or auto_bucket_seconds(df, keys, order)
     carry = [order] + [c for c in cols if c != order]
     b = df.withColumn("_b", _bucket(order, bucket_seconds))
     w = Window.partitionBy(*keys, "_b").orderBy(order, *tiebreak)
@@ -84,11 +109,15 @@ def with_halo(df: DataFrame, ts: str, span_seconds: float, bucket_seconds: int =
 
 
 def range_agg(df: DataFrame, keys: list[str], ts: str, span_seconds: float, aggs: dict,
-              bucket_seconds: int = DAY) -> DataFrame:
+              bucket_seconds: int | None = None) -> DataFrame:
     """Trailing-range aggregates over [ts - span, ts] per key.
 
     ``aggs`` maps output name -> aggregate Column (e.g. F.count(F.lit(1))).
+    Buckets are never narrower than the span (the halo needs that).
     """
+    if bucket_seconds is None:
+        bucket_seconds = auto_bucket_seconds(df, keys, ts, min_seconds=span_seconds,
+                                             start=max(DAY, int(math.ceil(span_seconds))))
     h = with_halo(df, ts, span_seconds, bucket_seconds)
     w = Window.partitionBy(*keys, "_b").orderBy("_e").rangeBetween(-int(round(span_seconds * 1_000_000)), 0)
     for name, agg in aggs.items():
@@ -97,7 +126,7 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, span_seconds: float, aggs
 
 
 def range_count(df: DataFrame, keys: list[str], ts: str, span_seconds: float, out: str = "n_in_range",
-                bucket_seconds: int = DAY) -> DataFrame:
+                bucket_seconds: int | None = None) -> DataFrame:
     return range_agg(df, keys, ts, span_seconds, {out: F.count(F.lit(1))}, bucket_seconds)
 
 
@@ -117,7 +146,7 @@ def top_k_per(df: DataFrame, keys: list[str], order_cols: list, k: int, salt_buc
     return s.withColumn(out, F.row_number().over(w2).cast("long")).where(F.col(out) <= k)
 
 
-def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets: int = 64,
+def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets: int | None = None,
                          out: str = "pos", keys: list[str] | None = None) -> DataFrame:
     """Global 1-based position in the order of a uniform [0,1) column ``u``.
 
@@ -126,6 +155,8 @@ def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets:
     prefix sum of the range counts: a total order without a single-task sort.
     """
     keys = keys or []
+    # equal-probability buckets: enough of them to keep every core busy
+    n_buckets = n_buckets or max(64, 4 * df.sparkSession.sparkContext.defaultParallelism)
     b = df.withColumn("_b", F.least(F.floor(F.col(u) * F.lit(float(n_buckets))), F.lit(n_buckets - 1)).cast("long"))
     w = Window.partitionBy(*keys, "_b").orderBy(u, *tiebreak)
     b = b.withColumn("_lrn", F.row_number().over(w))
@@ -140,7 +171,7 @@ def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets:
 
 
 def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float, tiebreak: list[str] | None = None,
-               bucket_seconds: int = DAY, out: str = "session_start") -> DataFrame:
+               bucket_seconds: int | None = None, out: str = "session_start") -> DataFrame:
     """Session (gap-based) start per row, skew-safe.
 
     A row opens a session when the previous row of its key is more than
@@ -149,6 +180,7 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float, tieb
     carried over from earlier buckets through the per-bucket summary.
     """
     tiebreak = tiebreak or []
+    bucket_seconds = bucket_seconds or auto_bucket_seconds(df, keys, ts)
     p = prev_row(df, keys, ts, [], tiebreak, bucket_seconds, prefix="_p_")
     opens = F.col("_p_" + ts).isNull() | ((epoch_s(F.col(ts)) - epoch_s(F.col("_p_" + ts))) > F.lit(float(gap_seconds)))
     p = p.withColumn("_open", opens).withColumn("_b", _bucket(ts, bucket_seconds))

@@ -79,3 +79,14 @@ def test_positions_and_prefix_sum(spark):
     ps = W.prefix_sum(df, "k", "w", 100.0)
     plain2 = df.withColumn("cum_hi", F.sum("w").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(ps.select("k", "cum_hi").collect()) == sorted(plain2.select("k", "cum_hi").collect())
+
+
+def test_auto_bucket_splits_hot_key(data):
+    wide = W.auto_bucket_seconds(data, ["k"], "ts")
+    narrow = W.auto_bucket_seconds(data, ["k"], "ts", target_rows=50)
+    assert wide == 86400 and narrow < 86400
+    plain = data.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")))
+    ours = W.global_row_number(data, ["k"], "ts", ["id"], bucket_seconds=narrow)
+    assert sorted(plain.select("id", "rn").collect()) == sorted(ours.select("id", "rn").collect())
+    ranged = W.auto_bucket_seconds(data, ["k"], "ts", min_seconds=3600, target_rows=50)
+    assert ranged >= 3600
