@@ -6,7 +6,7 @@ Spark through ``F.expr`` — both engines then evaluate the same expression.
 """
 
 from gridlens.functions.exprs import (  # noqa: F401
-    r6, rk, r6_sql, rk_sql, safe_div, epoch_s, epoch_s_sql, ntz_floor, wrap_deg, angle_diff,
+    r6, rk, r6_sql, rk_sql, safe_div, epoch_s, epoch_s_sql, wrap_deg, angle_diff,
     wrap_deg_sql, angle_diff_sql, clip, severity_class, severity_class_sql,
 )
 from gridlens.functions.draws import (  # noqa: F401

@@ -71,9 +71,6 @@ def epoch_s_sql(ts: str) -> str:
     return f"(epoch_us({ts}) / 1e6)"
 
 
-def ntz_floor(ts, seconds: int) -> Column:
-    """Truncate a timestamp_ntz to a multiple of ``seconds`` since epoch, zone-free."""
-    return F.window(_c(ts), f"{int(seconds)} seconds").start
 
 
 # --- angles ---------------------------------------------------------------------

@@ -22,8 +22,6 @@ from gridlens.operators.quantiles import exact_quantiles
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def _pct(c, qs, exact=True):
-    return F.percentile(c, qs) if exact else F.percentile_approx(c, qs, 10000)
 
 
 def quantile_columns(df: DataFrame, col: str, qs: list[float], names: list[str], keys: list[str] | None = None,
@@ -245,23 +243,26 @@ def density2d(df: DataFrame, x: str, y: str, by: str | None = None, bins: int =
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table: rows, columns, mean null % and column kinds.
-    Per-table aggregates are unioned into one job."""
+def manifest(tables: dict[str, DataFrame], with_samples: bool = False, sample_order: dict | None = None) -> DataFrame:
+    """One row per table: rows, columns, mean null % and column kinds
+    (from the schema, no job); per-table aggregates are unioned into one job.
+    ``with_samples`` adds the first 3 rows (by ``sample_order[name]`` or the
+    first column) as a JSON array - a top-3, not a scan into the driver."""
     parts = []
     for name, df in tables.items():
         ov = overview(df)
         kinds = ",".join(f"{f.name}:{kind_of(f.dataType)}" for f in df.schema.fields)
-        parts.append(ov.select(F.lit(name).alias("dataset"), "n_rows", "n_cols", "null_pct",
-                               F.lit(kinds).alias("schema_kinds")))
-    return reduce(DataFrame.unionByName, parts)
+        row = ov.select(F.lit(name).alias("dataset"), "n_rows", "n_cols", "null_pct", F.lit(kinds).alias("schema_kinds"))
+        if with_samples:
+            order = (sample_order or {}).get(name, [df.columns[0]])
+            samples = sample_rows_json(df, order).agg(F.to_json(F.collect_list("row_json")).alias("sample_rows"))
+            # both sides hold exactly one row: a one-to-one pairing on a constant key
+            row = row.withColumn("_k", F.lit(1)).join(samples.withColumn("_k", F.lit(1)), "_k").drop("_k")
+        parts.append(row)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def sample_rows_json(df: DataFrame, order: list[str], n: int = 3) -> DataFrame:
     """First ``n`` rows by ``order`` as JSON strings (for the manifest view)."""
     return df.orderBy(*order).limit(n).select(F.to_json(F.struct(*df.columns)).alias("row_json"))
 
-
-def top_k_within(df: DataFrame, part: str, order, k: int) -> DataFrame:
-    w = Window.partitionBy(part).orderBy(*order)
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")

@@ -22,8 +22,3 @@ def parse_sales(lines: DataFrame, date_col: str, addr_col: str, key: str) -> Dat
         F.expr(f"nullif(regexp_extract(`{addr_col}`, '^([^,]+),', 1), '')").alias("street"),
         part(1).alias("city"), part(2).alias("state"), part(3).alias("zip"))
 
-
-def revenue_rollup(lines: DataFrame, keys: list, qty: str, price: str) -> DataFrame:
-    """Revenue = quantity x price, rolled up over ``keys`` (subtotals included)."""
-    return lines.rollup(*keys).agg(F.count(F.lit(1)).alias("n_lines"),
-                                   F.sum(F.col(qty) * F.col(price)).alias("revenue"))

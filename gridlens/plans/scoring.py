@@ -33,10 +33,6 @@ def ev_base(spark, sf):
         F.col("value").cast("double").alias("value"), F.col("event_id").cast("double").alias("eid"))
 
 
-def _job(base_df, base_sql, exprs):
-    """(Spark DataFrame with derived columns, oracle CTE text, last CTE name)."""
-    cte, last = SC.chain_sql(base_sql, exprs)
-    return SC.with_exprs(base_df, exprs), cte, last
 
 
 def _summary_sql(src, keys, expected, actual, under=None):

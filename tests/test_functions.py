@@ -112,3 +112,12 @@ def test_exact_quantiles_match_percentile(spark):
     for r in df.groupBy("k").agg(F.percentile("x", qs).alias("p")).collect():
         for q, v in zip(qs, r["p"]):
             assert ours[(r["k"], q)] == pytest.approx(v, rel=1e-12, abs=1e-9)
+
+
+def test_manifest_with_samples(spark):
+    from conftest import SF_SMALL
+    tabs = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("region", "nation")}
+    rows = {r["dataset"]: r for r in P.manifest(tabs, with_samples=True).collect()}
+    assert rows["region"]["n_rows"] == 5 and rows["region"]["schema_kinds"] == "r_regionkey:int,r_name:string"
+    import json
+    assert len(json.loads(rows["nation"]["sample_rows"])) == 3
