@@ -32,11 +32,16 @@ def step_audit(tel: DataFrame, device: str = "device", time: str = "time", tiebr
 
 
 def assign_ids(df: DataFrame, order: str, tiebreak: list[str], start: int = 1, out: str = "seq_id",
-               bucket_seconds: int | None = None) -> DataFrame:
-    """Consecutive ids in (order, tiebreak) order starting at ``start``,
-    by per-bucket counts + prefix sum (no single-partition window)."""
-    n = global_row_number(df, [], order, tiebreak, bucket_seconds, out="_rn")
-    return n.withColumn(out, F.col("_rn") + F.lit(start - 1)).drop("_rn")
+               keys: list[str] | None = None) -> DataFrame:
+    """Consecutive ids in (order, tiebreak) order starting at ``start``.
+    Without keys: sampled range partitions + per-partition offsets (ties in
+    ``order`` still spread evenly); with keys: numbering restarts per key via
+    the time-bucketed row number.  Never a single-partition window."""
+    if keys:
+        n = global_row_number(df, keys, order, tiebreak, out="_rn")
+        return n.withColumn(out, F.col("_rn") + F.lit(start - 1)).drop("_rn")
+    from gridlens.operators.windows import sequential_ids
+    return sequential_ids(df, [order, *tiebreak], start, out)
 
 
 def ar1_fit(tel: DataFrame, col: str, device: str = "device", time: str = "time",

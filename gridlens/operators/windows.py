@@ -209,3 +209,29 @@ def prefix_sum(df: DataFrame, order: str, value: str, bucket_width: float, out:
     j = b.join(offs, [*keys, "_b"])
     return (j.withColumn(out + "_hi", F.col("_off") + F.col("_in"))
             .withColumn(out + "_lo", F.col(out + "_hi") - F.col(value)).drop("_b", "_in", "_off"))
+
+
+def sequential_ids(df: DataFrame, order_cols: list[str], start: int = 1, out: str = "seq_id",
+                   n_parts: int | None = None) -> DataFrame:
+    """Consecutive ids in the total order ``order_cols`` (which must be unique).
+
+    Rows are range-partitioned on the whole composite key (Spark samples
+    it, so ties in the leading column still split evenly), sorted inside
+    each partition and tagged with ``monotonically_increasing_id`` (partition
+    index in the high bits, position in the low 33 bits).  An eager
+    ``checkpoint`` into the shared checkpoint folder fixes the range
+    boundaries, so ids and per-partition counts come from the same data; the
+    offset of each partition is a prefix sum over <= n_parts rows.
+    """
+    from gridlens.session import checkpoint_dir
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n_parts = n_parts or max(8, 4 * spark.sparkContext.defaultParallelism)
+    s = (df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
+         .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    s = s.withColumn("_p", F.shiftright("_mid", 33)).withColumn("_i", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = s.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_p", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (s.join(F.broadcast(offs), "_p").withColumn(out, F.col("_off") + F.col("_i") + F.lit(start))
+            .drop("_mid", "_p", "_i", "_off"))

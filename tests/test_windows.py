@@ -90,3 +90,10 @@ def test_auto_bucket_splits_hot_key(data):
     assert sorted(plain.select("id", "rn").collect()) == sorted(ours.select("id", "rn").collect())
     ranged = W.auto_bucket_seconds(data, ["k"], "ts", min_seconds=3600, target_rows=50)
     assert ranged >= 3600
+
+
+def test_sequential_ids_with_ties(spark):
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("day"))  # heavy ties
+    ours = W.sequential_ids(df.repartition(7), ["day", "k"], start=100, n_parts=5)
+    plain = df.withColumn("seq_id", F.row_number().over(Window.orderBy("day", "k")) + 99)
+    assert sorted(ours.select("k", "seq_id").collect()) == sorted(plain.select("k", F.col("seq_id").cast("long")).collect())
