@@ -114,18 +114,19 @@ def _event_bytes_ok(events: DataFrame, limit: int) -> bool:
     return events.limit(cap + 1).count() <= cap
 
 
-def join_strategy(events: DataFrame, broadcast_limit: int = BROADCAST_LIMIT, force: str | None = None) -> str:
+def join_strategy(events: DataFrame, broadcast_limit: int | None = None, force: str | None = None) -> str:
     """'broadcast' when the event table passes the size check, else 'bucketed'."""
     if force:
         return force
+    broadcast_limit = broadcast_limit or BROADCAST_LIMIT
     ev = events.select("device", "event_type", "start_time", "end_time", "shape", "max_severity",
                        "ramp_seconds", "ramp_down_seconds", "ord")
     return "broadcast" if _event_bytes_ok(ev, broadcast_limit) else "bucketed"
 
 
 def attach_faults(tel: DataFrame, events: DataFrame, device: str = "device", time: str = "time",
-                  how: str = "left", broadcast_limit: int = BROADCAST_LIMIT,
-                  force: str | None = None) -> DataFrame:
+                  how: str = "left", broadcast_limit: int | None = None,
+                  force: str | None = None, open_until=None) -> DataFrame:
     """Interval join telemetry x fault events (L1), half-open, NULL end = open.
 
     If the event table passes the size check it is broadcast (hash join on
@@ -133,21 +134,25 @@ def attach_faults(tel: DataFrame, events: DataFrame, device: str = "device", tim
     Otherwise both sides are keyed by (device, day): each event is exploded
     to the days it covers and joined on equality, so the join shuffles on a
     key that also splits a hot device across days.
-    Output: telemetry columns + event columns (prefixed ``ev_`` where they
-    would clash) + ``_dt`` / ``_dur`` seconds for the severity expression.
+    Output: telemetry columns + event columns + ``_dt`` / ``_dur`` seconds
+    for the severity expression.
     """
     ev = events.select(
         F.col("device").alias("_ev_device"), "event_type", "start_time", "end_time", "shape",
         "max_severity", "ramp_seconds", "ramp_down_seconds", "ord")
     cond_time = ((F.col(time) >= F.col("start_time")) &
                  (F.col("end_time").isNull() | (F.col(time) < F.col("end_time"))))
-    strategy = force or ("broadcast" if _event_bytes_ok(ev, broadcast_limit) else "bucketed")
+    strategy = force or ("broadcast" if _event_bytes_ok(ev, broadcast_limit or BROADCAST_LIMIT) else "bucketed")
     if strategy == "broadcast":
         j = tel.join(F.broadcast(ev), (F.col(device) == F.col("_ev_device")) & cond_time, how)
     else:
-        # Open-ended events cover up to the last telemetry day (one scalar).
-        last_day = tel.agg(F.max(F.col(time)).cast("date")).first()[0]
-        last = F.lit(last_day) if last_day is not None else F.col("start_time").cast("date")
+        # Open-ended events cover up to the last telemetry day (one scalar), or
+        # up to ``open_until`` when given (a stream has no last day).
+        last_day = open_until if open_until is not None else tel.agg(F.max(F.col(time)).cast("date")).first()[0]
+        if last_day is None:
+            last = F.col("start_time").cast("date")
+        else:
+            last = last_day if isinstance(last_day, F.Column) else F.lit(last_day)
         evd = ev.withColumn("_day", F.explode(F.sequence(
             F.col("start_time").cast("date"),
             F.coalesce((F.col("end_time") - F.expr("INTERVAL 1 MICROSECOND")).cast("date"),
@@ -190,7 +195,7 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
     # healthy by definition (broadcast anti join).  Only rows inside a window
     # are joined and grouped per (device, time).
     kw = dict(join_kw)
-    kw["force"] = join_strategy(events, kw.get("broadcast_limit", BROADCAST_LIMIT), kw.get("force"))
+    kw["force"] = join_strategy(events, kw.get("broadcast_limit"), kw.get("force"))
     miss = attach_faults(base, events, device, time, how="left_anti", **kw)
     j = with_severity(attach_faults(base, events, device, time, how="inner", **kw))
     sev = F.col("severity") / F.col("max_severity") if normalise else F.col("severity")

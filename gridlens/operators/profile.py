@@ -47,7 +47,7 @@ def _join_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     for k in keys:
         c = a[k].eqNullSafe(bb[f"_k_{k}"])
         cond = c if cond is None else cond & c
-    return a.join(F.broadcast(bb), cond).drop(*[f"_k_{k}" for k in keys])
+    return a.join(F.broadcast(bb), cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def overview(df: DataFrame) -> DataFrame:

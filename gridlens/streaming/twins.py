@@ -138,11 +138,20 @@ def stream_ping(ev: DataFrame, ts: str, keys: list[str], amount: str, max_amount
     return g.where(F.col("n").between(min_n, max_n)).select(*keys, "session_start", "session_end", "n")
 
 
-def stream_label(ev: DataFrame, events_static: DataFrame, device: str, time: str) -> DataFrame:
-    """T4 (twin of L1): stream x static fault windows (broadcast) - stateless,
-    so every micro-batch is labelled against the current event table."""
-    from gridlens.operators.faults import attach_faults
-    return attach_faults(ev, events_static, device, time, how="inner", force="broadcast")
+def stream_label(ev: DataFrame, events_static: DataFrame, device: str, time: str,
+                 open_days: int = 366) -> DataFrame:
+    """T4 (twin of L1): stream x static fault windows - stateless, so every
+    micro-batch is labelled against the current event table.  The static
+    side gets the same size check as the batch join: broadcast when it fits,
+    else the (device, day) equi-join, with open-ended faults expanded up to
+    ``open_days`` after the latest fault start (a stream has no last day)."""
+    from gridlens.operators.faults import attach_faults, join_strategy
+    how = join_strategy(events_static)
+    until = None
+    if how == "bucketed":
+        last = events_static.agg(F.max("start_time").cast("date")).first()[0]
+        until = F.date_add(F.lit(last), open_days) if last is not None else None
+    return attach_faults(ev, events_static, device, time, how="inner", force=how, open_until=until)
 
 
 def stream_dedup(ev: DataFrame, ts: str, keys: list[str], delay: str = "10 minutes") -> DataFrame:

@@ -121,3 +121,9 @@ def test_manifest_with_samples(spark):
     assert rows["region"]["n_rows"] == 5 and rows["region"]["schema_kinds"] == "r_regionkey:int,r_name:string"
     import json
     assert len(json.loads(rows["nation"]["sample_rows"])) == 3
+
+
+def test_describe_keeps_all_null_column(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None)], "x double, y double")
+    rows = {r["column_name"]: r for r in P.describe_num(df, ["x", "y"]).collect()}
+    assert rows["x"]["p50"] == 2.0 and rows["y"]["n"] == 0 and rows["y"]["p50"] is None

@@ -44,3 +44,23 @@ def test_stream_dedup_removes_copies(spark):
     b = ST.file_stream(spark, SF_SMALL, "events.parquet")
     got = ST.run_available_now(ST.stream_dedup(a.unionByName(b), "ts", ["user_id"]), "t_dedup")
     assert got.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_stream_label_bucketed_path(spark):
+    from gridlens.operators.faults import BROADCAST_LIMIT  # noqa: F401
+    from gridlens.plans.faults import fault_events
+    import gridlens.operators.faults as fo
+    ev = ST.file_stream(spark, SF_SMALL, "events.parquet").select(
+        "event_id", F.col("user_id").alias("device"), F.col("ts").alias("time"))
+    static = fault_events(spark, SF_SMALL)
+    old = fo.BROADCAST_LIMIT
+    try:
+        fo.BROADCAST_LIMIT = 1     # force the size check to fail -> (device, day) equi-join
+        assert fo.join_strategy(static) == "bucketed"
+        s = ST.stream_label(ev, static, "device", "time").select("event_id", "event_type")
+        got = ST.run_available_now(s, "t_label_b")
+    finally:
+        fo.BROADCAST_LIMIT = old
+    batch = fo.attach_faults(spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
+        "event_id", F.col("user_id").alias("device"), F.col("ts").alias("time")), static, how="inner")
+    assert sorted(got.collect()) == sorted(batch.select("event_id", "event_type").collect())
