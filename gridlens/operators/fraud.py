@@ -149,3 +149,13 @@ def detector_report(pred: DataFrame, truth: DataFrame, key: str, pred_col: str,
     rec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
     f1 = F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
     return g.withColumn("precision", prec).withColumn("recall", rec).withColumn("f1", f1)
+
+
+def velocity_bursts(tx: DataFrame, keys: list[str], ts: str, n: int = 10, secs: float = 300,
+                    tiebreak: list[str] | None = None) -> DataFrame:
+    """A1 report: flagged rows grouped into bursts - flagged rows of the same
+    keys less than ``secs`` apart belong to one burst (skew-safe sessions)."""
+    flagged = velocity(tx, keys, ts, n, secs)
+    s = sessionize(flagged, keys, ts, secs, tiebreak)
+    return s.groupBy(*keys, F.col("session_start").alias("burst_start")).agg(
+        F.max(ts).alias("burst_end"), F.count(F.lit(1)).alias("n_flagged"), F.max("n_in_window").alias("peak"))

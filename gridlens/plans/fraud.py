@@ -216,3 +216,18 @@ def q_volume_audit(spark, sf):
     j = m.join(F.broadcast(e), F.month("month") == F.col("_moy"))
     return j.select("month", "n", r6("mu").alias("expected_mean"), r6("sd").alias("expected_sd"),
                     r6(F.try_divide(F.col("n") - F.col("mu"), F.col("sd"))).alias("z"))
+
+
+@register("velocity_bursts", """WITH f AS (
+  SELECT event_id, event_type, ts, n_in_window FROM (
+    SELECT event_id, event_type, ts, count(*) OVER (PARTITION BY event_type ORDER BY ts
+      RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW) AS n_in_window FROM events) WHERE n_in_window >= 25),
+l AS (SELECT *, lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS p FROM f),
+s AS (SELECT *, max(CASE WHEN p IS NULL OR epoch_us(ts) / 1e6 - epoch_us(p) / 1e6 > 21600.0 THEN ts END)
+        OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS burst_start FROM l)
+SELECT event_type, burst_start, max(ts) AS burst_end, count(*) AS n_flagged, max(n_in_window) AS peak
+FROM s GROUP BY event_type, burst_start""")
+def q_velocity_bursts(spark, sf):
+    """A1 report: velocity hits merged into bursts per merchant."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    return A.velocity_bursts(ev, ["event_type"], "ts", n=25, secs=6 * 3600, tiebreak=["event_id"])

@@ -469,3 +469,16 @@ def q_parse_sales(spark, sf):
                  addr.alias("address"))
     from gridlens.operators.sales import parse_sales
     return parse_sales(s, "order_date", "address", key="o_orderkey")
+
+
+@register("overheat_episodes", f"""WITH {_OH_CTE},
+f AS (SELECT device, time, CAST(severity >= 7e-1 AS INTEGER) AS flag,
+        row_number() OVER (PARTITION BY device ORDER BY time, event_id) AS rn, event_id FROM {_OH_LAST}),
+g AS (SELECT device, time, rn - row_number() OVER (PARTITION BY device ORDER BY time, rn) AS island FROM f WHERE flag = 1)
+SELECT device, min(time) AS start_time, max(time) AS end_time, count(*) AS n_rows FROM g GROUP BY device, island""")
+def q_overheat_episodes(spark, sf):
+    """D17 + W2: runs of consecutive trip-level overheat readings per device."""
+    from gridlens.operators.faults import episodes
+    x = SC.with_exprs(ev_base(spark, sf), _overheat_exprs_spark())
+    t = x.select("device", "time", "event_id", (F.col("severity") >= 0.7).cast("int").alias("flag"))
+    return episodes(t, "flag", tiebreak=["event_id"])
