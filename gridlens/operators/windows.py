@@ -156,7 +156,8 @@ def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets:
     """
     keys = keys or []
     # equal-probability buckets: enough of them to keep every core busy
-    n_buckets = n_buckets or max(64, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    from gridlens.session import default_parallelism
+    n_buckets = n_buckets or max(64, 4 * default_parallelism(df.sparkSession))
     b = df.withColumn("_b", F.least(F.floor(F.col(u) * F.lit(float(n_buckets))), F.lit(n_buckets - 1)).cast("long"))
     w = Window.partitionBy(*keys, "_b").orderBy(u, *tiebreak)
     b = b.withColumn("_lrn", F.row_number().over(w))
@@ -226,7 +227,8 @@ def sequential_ids(df: DataFrame, order_cols: list[str], start: int = 1, out: st
     from gridlens.session import checkpoint_dir
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n_parts = n_parts or max(8, 4 * spark.sparkContext.defaultParallelism)
+    from gridlens.session import default_parallelism
+    n_parts = n_parts or max(8, 4 * default_parallelism(spark))
     s = (df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
          .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
     s = s.withColumn("_p", F.shiftright("_mid", 33)).withColumn("_i", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))

@@ -41,6 +41,19 @@ def get_session(master: str | None = None, app: str = "gridlens",
     return spark
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (falls back to configuration values when
+    the session exposes no SparkContext, e.g. a Spark Connect client)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        for k in ("spark.default.parallelism", "spark.sql.shuffle.partitions"):
+            v = spark.conf.get(k, None)
+            if v:
+                return int(v)
+        return 8
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
@@ -48,14 +61,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     file system).  Only when the session has none (local tests) do we pick
     a fresh scratch folder.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no SparkContext on this client)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="gridlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
+    if sc is None:
+        return d
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

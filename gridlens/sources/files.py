@@ -26,10 +26,13 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     partitions (e.g. one Parquet file with a single row group).  A big table
     has far more splits than cores, so then this is a no-op and adds no
     shuffle.  Filters and column pruning still reach the Parquet reader."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    from gridlens.session import default_parallelism
+    want = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        have = df.rdd.getNumPartitions()   # planning only, no job
+    except Exception:  # noqa: BLE001  (no RDD view on this client)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def pick_time_col(schema: T.StructType) -> str | None:

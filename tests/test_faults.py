@@ -131,3 +131,12 @@ def test_unknown_shape_raises(spark):
     e = ev(spark, [("d", "x", ts("2024-01-01 10:00"), None, "wobbly", 1.0, None, 0.0, 0)])
     with pytest.raises(Exception):
         fo.label_telemetry(t, e, ["x"]).collect()
+
+
+def test_normalised_severity_class(spark):
+    t = tel(spark, "d", "2024-01-01 10:00", 3)
+    e = ev(spark, [("d", "pitch", ts("2024-01-01 10:00"), None, "abrupt", 10.0, None, 0.0, 0)])
+    raw = fo.label_telemetry(t, e, ["pitch"]).first()
+    norm = fo.label_telemetry(t, e, ["pitch"], normalise=True).first()
+    assert raw["severity"] == 10.0 and raw["fault_severity"] == "high"
+    assert norm["severity"] == 1.0 and norm["fault_severity"] == "high" and norm["fault_pitch"] == 1
