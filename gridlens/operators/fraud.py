@@ -112,27 +112,65 @@ def mix_audit(df: DataFrame, col: str, weights: dict) -> DataFrame:
                  F.count_if(e == 0).alias("n_unexpected"), F.count_if(F.col("n") == 0).alias("n_missing"))
 
 
-def dist_audit_expo(df: DataFrame, col: str, bins: int = 1000) -> DataFrame:
-    """Exponential fit (scale = mean) and KS distance on a binned CDF.
+# Abramowitz & Stegun 7.1.26 rational approximation of erf (|error| < 1.5e-7):
+# neither Spark nor DuckDB has erf, and the formula is the same text for both.
+_ERF_P = 0.3275911
+_ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+
+
+def erf_sql(z: str) -> str:
+    t = f"(1e0 / (1e0 + {_ERF_P!r} * abs({z})))"
+    a1, a2, a3, a4, a5 = _ERF_A
+    poly = f"({a1!r} * {t} + {a2!r} * pow({t}, 2) + {a3!r} * pow({t}, 3) + {a4!r} * pow({t}, 4) + {a5!r} * pow({t}, 5))"
+    return f"(CASE WHEN ({z}) < 0 THEN -1e0 ELSE 1e0 END * (1e0 - {poly} * exp(-(({z}) * ({z})))))"
+
+
+def cdf_sql(dist: str, x: str, mean: str, mu: str = "0e0", sigma: str = "1e0") -> str:
+    """Model CDF at ``x`` as SQL text; parameters by the method of moments
+    (exponential/gamma(2)/geometric from the mean, log-normal from the mean
+    and standard deviation of ln x)."""
+    if dist == "exponential":
+        return f"(1e0 - exp(-({x}) / ({mean})))"
+    if dist == "gamma2":
+        th = f"(({mean}) / 2e0)"
+        return f"(1e0 - exp(-({x}) / {th}) * (1e0 + ({x}) / {th}))"
+    if dist == "geometric":
+        return f"(1e0 - pow(1e0 - 1e0 / ({mean}), floor({x})))"
+    if dist == "lognormal":
+        z = f"((ln({x}) - ({mu})) / ({sigma}) / sqrt(2e0))"
+        return f"(5e-1 * (1e0 + {erf_sql(z)}))"
+    raise ValueError(f"unknown distribution {dist}")
+
+
+def dist_audit(df: DataFrame, col: str, dist: str = "exponential", bins: int = 1000) -> DataFrame:
+    """Fit of a reference distribution and KS distance on a binned CDF.
 
     Values are counted in ``bins`` equal bins over [0, max]; the empirical
     CDF at each bin edge (prefix sum over the small bin table) is compared
-    with 1 - exp(-edge / mean).  No window over the rows themselves.
+    with the model CDF.  No window over the rows themselves.
     """
-    st = df.where(F.col(col).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-        F.max(col).alias("mx")).first()
+    x = F.col(col).cast("double")
+    d = df.where(x.isNotNull())
+    st = d.agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+               F.max(x).alias("mx"), F.avg(F.log(F.when(x > 0, x))).alias("mu"),
+               F.stddev_samp(F.log(F.when(x > 0, x))).alias("sigma")).first()
     n, mean, std, mx = st["n"], st["mean"], st["std"], st["mx"]
+    mu, sigma = st["mu"] or 0.0, st["sigma"] or 1.0
     w = mx / bins if mx and mx > 0 else 1.0
-    b = F.least(F.floor(F.col(col) / F.lit(w)), F.lit(bins - 1)).cast("long")
-    counts = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    b = F.least(F.floor(x / F.lit(w)), F.lit(bins - 1)).cast("long")
+    counts = d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     from pyspark.sql import Window
     cum = counts.withColumn("cum", F.sum("c").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
-    edge = (F.col("bin") + 1) * F.lit(w)
-    d = F.abs(F.col("cum") / F.lit(float(n)) - (F.lit(1.0) - F.exp(-edge / F.lit(mean))))
-    ks = cum.agg(F.max(d).alias("ks"))
-    return ks.select(F.lit(n).cast("long").alias("n"), F.lit(mean).alias("mean"), F.lit(std).alias("std"),
-                     (F.lit(std) / F.lit(mean)).alias("cv"), "ks")
+    edge = f"((bin + 1) * {w!r})"
+    model = F.expr(cdf_sql(dist, edge, repr(float(mean)), repr(float(mu)), repr(float(sigma))))
+    ks = cum.agg(F.max(F.abs(F.col("cum") / F.lit(float(n)) - model)).alias("ks"))
+    return ks.select(F.lit(dist).alias("dist"), F.lit(n).cast("long").alias("n"), F.lit(mean).alias("mean"),
+                     F.lit(std).alias("std"), (F.lit(std) / F.lit(mean)).alias("cv"), "ks")
+
+
+def dist_audit_expo(df: DataFrame, col: str, bins: int = 1000) -> DataFrame:
+    """A12 for the exponential model (kept for callers of the first form)."""
+    return dist_audit(df, col, "exponential", bins).drop("dist")
 
 
 def detector_report(pred: DataFrame, truth: DataFrame, key: str, pred_col: str, truth_col: str,

@@ -231,3 +231,36 @@ def q_velocity_bursts(spark, sf):
     """A1 report: velocity hits merged into bursts per merchant."""
     ev = table(spark, sf, "events").select("event_id", "event_type", "ts")
     return A.velocity_bursts(ev, ["event_type"], "ts", n=25, secs=6 * 3600, tiebreak=["event_id"])
+
+
+
+def _dist_sql(dist, src_sql):
+    from gridlens.operators.fraud import cdf_sql
+    edge = "((bin + 1) * w.w)"
+    model = cdf_sql(dist, edge, "w.mean", "w.mu", "w.sigma")
+    return f"""WITH v AS ({src_sql}),
+st AS (SELECT count(*) AS n, avg(x) AS mean, stddev_samp(x) AS std, max(x) AS mx,
+         avg(ln(CASE WHEN x > 0 THEN x END)) AS mu, stddev_samp(ln(CASE WHEN x > 0 THEN x END)) AS sigma FROM v),
+w AS (SELECT n, mean, std, coalesce(mu, 0.0) AS mu, coalesce(sigma, 1.0) AS sigma,
+        CASE WHEN mx > 0 THEN mx / 1000 ELSE 1.0 END AS w FROM st),
+c AS (SELECT CAST(least(floor(x / w.w), 999) AS BIGINT) AS bin, count(*) AS c FROM v, w GROUP BY 1),
+cu AS (SELECT bin, sum(c) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM c)
+SELECT '{dist}' AS dist, w.n, {R('w.mean')} AS mean, {R('w.std')} AS std, {R('w.std / w.mean')} AS cv,
+  {R(f'max(abs(cum / w.n - {model}))')} AS ks
+FROM cu, w GROUP BY w.n, w.mean, w.std, w.w, w.mu, w.sigma"""
+
+
+def _dist_query(dist, tbl, col):
+    def q(spark, sf):
+        d = A.dist_audit(table(spark, sf, tbl), col, dist)
+        return d.select("dist", "n", r6("mean").alias("mean"), r6("std").alias("std"), r6("cv").alias("cv"),
+                        r6("ks").alias("ks"))
+    q.__doc__ = f"A12: {dist} fit of {tbl}.{col} and KS distance on a binned CDF."
+    return q
+
+
+for _key, _dist, _tbl, _col in [("dist_audit_gamma2", "gamma2", "events", "value"),
+                                 ("dist_audit_lognormal", "lognormal", "orders", "o_totalprice"),
+                                 ("dist_audit_geometric", "geometric", "lineitem", "l_quantity")]:
+    register(_key, _dist_sql(_dist, f"SELECT CAST({_col} AS DOUBLE) AS x FROM {_tbl} WHERE {_col} IS NOT NULL"))(
+        _dist_query(_dist, _tbl, _col))

@@ -127,3 +127,12 @@ def test_describe_keeps_all_null_column(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None)], "x double, y double")
     rows = {r["column_name"]: r for r in P.describe_num(df, ["x", "y"]).collect()}
     assert rows["x"]["p50"] == 2.0 and rows["y"]["n"] == 0 and rows["y"]["p50"] is None
+
+
+def test_erf_approximation(spark):
+    import math
+    from gridlens.operators.fraud import erf_sql
+    zs = [i / 10 for i in range(-40, 41)]
+    df = spark.createDataFrame([(z,) for z in zs], "z double")
+    got = [r[0] for r in df.select(F.expr(erf_sql("z"))).collect()]
+    assert max(abs(g - math.erf(z)) for g, z in zip(got, zs)) < 2e-7
