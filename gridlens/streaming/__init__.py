@@ -1,6 +1,6 @@
 """Structured Streaming twins of the batch detectors."""
 
 from gridlens.streaming.twins import (  # noqa: F401
-    file_stream, run_available_now, to_instant, to_ntz, stream_resample, stream_velocity, stream_velocity_exact, stream_ping,
+    file_stream, run_available_now, late_rows_dropped, to_instant, to_ntz, stream_resample, stream_velocity, stream_velocity_exact, stream_ping,
     stream_label, stream_dedup, stream_copy,
 )

@@ -64,3 +64,25 @@ def test_stream_label_bucketed_path(spark):
     batch = fo.attach_faults(spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
         "event_id", F.col("user_id").alias("device"), F.col("ts").alias("time")), static, how="inner")
     assert sorted(got.collect()) == sorted(batch.select("event_id", "event_type").collect())
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    """Late-row filtering uses the watermark of the previous micro-batch, so
+    the late file comes third: early rows, rows that advance time, late rows."""
+    import datetime as dt
+    import time as _time
+    d = str(tmp_path / "late")
+    schema = "user_id long, ts timestamp_ntz, v double"
+    t0 = dt.datetime(2024, 1, 1, 10, 0)
+    files = [[(1, t0 + dt.timedelta(minutes=i), 1.0) for i in range(50)],
+             [(1, t0 + dt.timedelta(minutes=60 + i), 1.0) for i in range(10)],
+             [(1, t0 - dt.timedelta(hours=1), 2.0), (1, t0 + dt.timedelta(minutes=65), 3.0)]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d}/f{i}")
+        _time.sleep(1.1)   # file sources take files in modification-time order
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+         .parquet(d))
+    m = {}
+    out = ST.run_available_now(ST.stream_dedup(s, "ts", ["user_id"]), "t_late", metrics=m)
+    assert m["late_rows_dropped"] >= 1
+    assert out.count() == 60   # the late row is dropped, the 11:05 duplicate is removed
