@@ -248,9 +248,12 @@ def episodes(labelled: DataFrame, flag: str, device: str = "device", time: str =
     end_time (last flagged row), n_rows.
     """
     from gridlens.operators.windows import global_row_number
+    from gridlens.operators.windows import auto_bucket_seconds
     tiebreak = tiebreak or []
-    numbered = global_row_number(labelled.select(device, time, flag, *tiebreak), [device], time, tiebreak,
-                                 bucket_seconds=bucket_seconds, out="_rn")
+    src = labelled.select(device, time, flag, *tiebreak)
+    # the flagged rows are a subset, so one width (measured on all rows) serves both numberings
+    bucket_seconds = bucket_seconds or auto_bucket_seconds(src, [device], time)
+    numbered = global_row_number(src, [device], time, tiebreak, bucket_seconds=bucket_seconds, out="_rn")
     fl = numbered.where(F.col(flag) == 1)
     # island id = row number among all rows - row number among flagged rows
     fl = global_row_number(fl, [device], time, tiebreak, bucket_seconds=bucket_seconds, out="_rf")
