@@ -70,7 +70,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="gridlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001  (static on some deployments; the context setting below suffices)
+            pass
     if sc is None:
         return d
     sc.setCheckpointDir(d)
