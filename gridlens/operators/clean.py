@@ -112,3 +112,60 @@ def apply_outages(tel: DataFrame, events: DataFrame, cols: list[str], device: st
     outside = attach_faults(tel, out, device, time, how="left_anti", **kw)
     inside = mask_when(inside, F.lit(True), cols).withColumn("in_outage", F.lit(1))
     return inside.unionByName(outside.withColumn("in_outage", F.lit(0)))
+
+
+# --- bounds tables ------------------------------------------------------------------
+# Fixed values that must equal the reference: per column (low, high, decimals);
+# None = open side, "mod360" = wrap the angle into [0, 360).
+SOLAR_BOUNDS = {
+    "active_power": (0.0, 4400.0, 2), "irradiance": (0.0, 1250.0, 2), "clear_sky_irradiance": (0.0, 1250.0, 2),
+    "ambient_temp": (-20.0, 55.0, 2), "module_temp": (-20.0, 95.0, 2), "inverter_temp": (-20.0, 100.0, 2),
+    "dc_voltage": (0.0, 950.0, 2), "dc_current": (0.0, 12.0, 3), "ac_voltage": (0.0, 460.0, 2),
+    "ac_current": (0.0, 8.0, 3), "performance_ratio": (0.0, 1.05, 4), "cloud_cover": (0.0, 1.0, 3),
+    "sun_elevation": (-90.0, 90.0, 2), "sun_azimuth": ("mod360", None, 2), "day_length_hours": (0.0, 24.0, 2),
+}
+# Solar night mask: these columns are 0 when sun elevation <= 0.5 deg or irradiance <= 0.5.
+SOLAR_NIGHT_COLS = ["active_power", "irradiance", "dc_voltage", "dc_current", "ac_voltage", "ac_current",
+                    "performance_ratio"]
+WIND_BOUNDS = {
+    "active_power": (0.0, None, 2), "wind_speed": (0.0, 30.0, 2), "air_density": (1.10, 1.35, 4),
+    "wind_direction": ("mod360", None, 2), "nacelle_direction": ("mod360", None, 2),
+    "nacelle_position": ("mod360", None, 2), "ambient_temp": (None, None, 2), "rotor_speed": (0.0, 22.0, 2),
+    "generator_speed": (0.0, 2200.0, 2), "gearbox_oil_temp": (-20.0, 120.0, 2), "generator_temp": (-20.0, 140.0, 2),
+    "bearing_temp": (-20.0, 120.0, 2), "converter_temp": (-20.0, 120.0, 2), "pitch_blade_angle_1": (0.0, 90.0, 2),
+    "pitch_blade_angle_2": (0.0, 90.0, 2), "pitch_blade_angle_3": (0.0, 90.0, 2),
+}
+PUMP_BOUNDS = {
+    "speed_rpm": (0.0, 1800.0, 1), "flow_m3h": (0.0, 240.0, 2), "differential_head_m": (0.0, 80.0, 2),
+    "suction_abs_pressure_bar": (0.8, 3.0, 3), "discharge_pressure_bar": (0.8, 10.0, 3),
+    "ambient_temp_c": (0.0, 50.0, 2), "fluid_temp_c": (0.0, 80.0, 2), "fluid_density_kgm3": (960.0, 1001.0, 2),
+    "efficiency": (0.30, 0.90, 4), "hydraulic_power_kw": (0.0, 40.0, 3), "shaft_power_kw": (0.0, 55.0, 3),
+    "motor_power_kw": (0.0, 60.0, 3), "motor_current_a": (0.0, 120.0, 3), "vibration_mm_s": (0.0, 20.0, 3),
+    "bearing_temp_c": (0.0, 120.0, 2), "npsha_m": (-10.0, 30.0, 3), "npshr_m": (0.0, 15.0, 3),
+    "cavitation_margin_m": (-15.0, 25.0, 3),
+}
+
+
+def bound_sql(col: str, lo, hi, dec) -> str:
+    """Oracle twin of :func:`apply_bounds` for one column."""
+    x = f"CAST({col} AS DOUBLE)"
+    if lo == "mod360":   # Spark's pmod: r = x % n; r < 0 -> (r + n) % n
+        x = f"(CASE WHEN ({x} % 360.0) < 0 THEN (({x} % 360.0) + 360.0) % 360.0 ELSE {x} % 360.0 END)"
+    else:
+        if lo is not None:
+            x = f"greatest({lo!r}, {x})"
+        if hi is not None:
+            x = f"least({hi!r}, {x})"
+    if dec is not None:
+        s = f"{float(10 ** dec):.1f}"
+        x = f"CAST(floor({x} * {s} + 0.5) / {s} AS DOUBLE)"
+    return x
+
+
+def finish_table(df: DataFrame, bounds: dict, night_cols: list[str] | None = None) -> DataFrame:
+    """F8 + F6 as the last step of a telemetry table: optional night mask,
+    then clip and round every column that has a bound."""
+    if night_cols:
+        night = (F.col("sun_elevation") <= 0.5) | (F.col("irradiance") <= 0.5)
+        df = mask_when(df, night, [c for c in night_cols if c in df.columns])
+    return apply_bounds(df, {c: b for c, b in bounds.items() if c in df.columns})

@@ -14,6 +14,8 @@ from gridlens.functions import physics as PH
 from gridlens.functions.draws import keyed_uniform, keyed_uniform_sql as KU
 from gridlens.functions.exprs import r6, r6_sql as R
 from gridlens.operators import overlay as OV
+from gridlens.operators.clean import (SOLAR_BOUNDS, WIND_BOUNDS, PUMP_BOUNDS, SOLAR_NIGHT_COLS, bound_sql,
+                                      finish_table)
 from gridlens.operators.faults import attach_faults, join_strategy
 from gridlens.operators.scoring import with_exprs, chain_sql, interp_curve, curve_sql
 from gridlens.plans.faults import FAULT_TYPES, fault_events, fe_sql
@@ -42,6 +44,24 @@ def tel_base(spark, sf):
         (F.hour("ts").cast("double") + F.minute("ts").cast("double") / F.lit(60.0)).alias("hour_f"))
 
 
+def _finish_sql(last: str, out: list[str], bounds: dict, night: list[str] | None = None) -> tuple[str, str]:
+    """Oracle twin of finish_table + output projection: (extra CTE, select list)."""
+    cte = ""
+    src = last
+    if night:
+        cond = "(sun_elevation <= 0.5 OR irradiance <= 0.5)"
+        rep = ", ".join(f"CASE WHEN {cond} THEN 0.0 ELSE {c} END AS {c}" for c in night)
+        cte = f",\nfin AS (SELECT * REPLACE ({rep}) FROM {last})"
+        src = "fin"
+    cols = ", ".join(f"{bound_sql(c, *bounds[c])} AS {c}" if c in bounds else f"{R(c)} AS {c}" for c in out)
+    return cte, cols, src
+
+
+def _finish(df, out, bounds, night=None):
+    f = finish_table(df, bounds, night)
+    return [F.col(c) if c in bounds else r6(c).alias(c) for c in out], f
+
+
 def _sev_sql(types, order, src="s"):
     cols = ", ".join(f"max(CASE WHEN event_type = '{t}' THEN severity ELSE 0.0 END) AS sev_{t}" for t in order)
     return f"sev AS (SELECT event_id, {cols} FROM {src} GROUP BY event_id)"
@@ -81,8 +101,9 @@ def _solar_sql():
     cols = TEL_BASE_COLS + [c for c, _ in SOLAR_BASE] + [f"sev_{t}" for t in SOLAR_ORDER]
     ov_cte, ov_last = OV.overlay_sql(f"SELECT b.*, {', '.join(f'sev.sev_{t}' for t in SOLAR_ORDER)} FROM {base_last} b JOIN sev USING (event_id)",
                                      cols, "solar", SOLAR_ORDER, SOLAR_POWER)
-    return (f"WITH {fe_sql(FAULT_TYPES)},\n{_sev_sql(FAULT_TYPES, SOLAR_ORDER)},\n{base_cte},\n{ov_cte}\n"
-            f"SELECT event_id, device, time, {', '.join(f'{R(c)} AS {c}' for c in SOLAR_OUT)} FROM {ov_last}")
+    fin_cte, cols, src = _finish_sql(ov_last, SOLAR_OUT, SOLAR_BOUNDS, SOLAR_NIGHT_COLS)
+    return (f"WITH {fe_sql(FAULT_TYPES)},\n{_sev_sql(FAULT_TYPES, SOLAR_ORDER)},\n{base_cte},\n{ov_cte}{fin_cte}\n"
+            f"SELECT event_id, device, time, {cols} FROM {src}")
 
 
 @register("overlay_solar", _solar_sql())
@@ -91,7 +112,8 @@ def q_overlay_solar(spark, sf):
     base = with_exprs(tel_base(spark, sf), SOLAR_BASE)
     w = _with_sev(spark, sf, base, FAULT_TYPES, SOLAR_ORDER)
     o = OV.overlay(w, "solar", SOLAR_ORDER, SOLAR_POWER)
-    return o.select("event_id", "device", "time", *[r6(c).alias(c) for c in SOLAR_OUT])
+    cols, f = _finish(o, SOLAR_OUT, SOLAR_BOUNDS, SOLAR_NIGHT_COLS)   # night mask, clip, round (F8 + F6)
+    return f.select("event_id", "device", "time", *cols)
 
 
 # --- J13 wind ---------------------------------------------------------------------------
@@ -125,8 +147,9 @@ def _wind_sql():
     cols = TEL_BASE_COLS + ["ws", "raw_power"] + [c for c, _ in WIND_BASE_B] + [f"sev_{t}" for t in WIND_ORDER]
     ov_cte, ov_last = OV.overlay_sql(f"SELECT b.*, {', '.join(f'sev.sev_{t}' for t in WIND_ORDER)} FROM {b_last} b JOIN sev USING (event_id)",
                                      cols, "wind", WIND_ORDER, prefix="wo")
-    return (f"WITH {fe_sql(WIND_TYPES)},\n{_sev_sql(WIND_TYPES, WIND_ORDER)},\n{a_cte},\n{c_cte},\n{b_cte},\n{ov_cte}\n"
-            f"SELECT event_id, device, time, {', '.join(f'{R(c)} AS {c}' for c in WIND_OUT)} FROM {ov_last}")
+    fin_cte, cols, src = _finish_sql(ov_last, WIND_OUT, WIND_BOUNDS)
+    return (f"WITH {fe_sql(WIND_TYPES)},\n{_sev_sql(WIND_TYPES, WIND_ORDER)},\n{a_cte},\n{c_cte},\n{b_cte},\n{ov_cte}{fin_cte}\n"
+            f"SELECT event_id, device, time, {cols} FROM {src}")
 
 
 @register("overlay_wind", _wind_sql())
@@ -136,7 +159,8 @@ def q_overlay_wind(spark, sf):
     base = with_exprs(interp_curve(a, "ws", PH.WIND_CURVE, "raw_power"), WIND_BASE_B)
     w = _with_sev(spark, sf, base, WIND_TYPES, WIND_ORDER)
     o = OV.overlay(w, "wind", WIND_ORDER)
-    return o.select("event_id", "device", "time", *[r6(c).alias(c) for c in WIND_OUT])
+    cols, f = _finish(o, WIND_OUT, WIND_BOUNDS)
+    return f.select("event_id", "device", "time", *cols)
 
 
 # --- J14 pump -----------------------------------------------------------------------------
@@ -174,8 +198,8 @@ def _pump_sql():
     b_cte, b_last = chain_sql(PUMP_BASE_SQL, PUMP_BASE, "pb", PUMP_BASE_COLS)
     cols = PUMP_BASE_COLS + [c for c, _ in PUMP_BASE]
     ov_cte, ov_last = OV.overlay_sql(f"SELECT * FROM {b_last}", cols, "pump", PUMP_ORDER, prefix="po")
-    return (f"WITH {b_cte},\n{ov_cte}\nSELECT l_orderkey, l_linenumber, active_fault, "
-            f"{', '.join(f'{R(c)} AS {c}' for c in PUMP_OUT)} FROM {ov_last}")
+    fin_cte, cols, src = _finish_sql(ov_last, PUMP_OUT, PUMP_BOUNDS)
+    return f"WITH {b_cte},\n{ov_cte}{fin_cte}\nSELECT l_orderkey, l_linenumber, active_fault, {cols} FROM {src}"
 
 
 @register("overlay_pump", _pump_sql())
@@ -186,4 +210,5 @@ def q_overlay_pump(spark, sf):
         F.col("l_extendedprice").cast("double").alias("p"), F.col("l_discount").cast("double").alias("d"),
         F.col("l_tax").cast("double").alias("t"), keyed_uniform(SEED, "pump_severity", "l_orderkey", "l_linenumber").alias("u"))
     o = OV.overlay(with_exprs(li, PUMP_BASE), "pump", PUMP_ORDER)
-    return o.select("l_orderkey", "l_linenumber", "active_fault", *[r6(c).alias(c) for c in PUMP_OUT])
+    cols, f = _finish(o, PUMP_OUT, PUMP_BOUNDS)
+    return f.select("l_orderkey", "l_linenumber", "active_fault", *cols)

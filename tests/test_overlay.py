@@ -38,3 +38,16 @@ def test_pump_effects_recompute_chain(spark):
     assert r["shaft_power_kw"] == pytest.approx(10.0 * (1.06 + 0.14 * 0.5))
     assert r["motor_power_kw"] == pytest.approx(r["shaft_power_kw"] / 0.93)
     assert r["bearing_temp_c"] == pytest.approx(50.0 + 5 + 11 * 0.5)
+
+
+def test_finish_table_night_mask_and_bounds(spark):
+    from gridlens.operators.clean import finish_table, SOLAR_BOUNDS, SOLAR_NIGHT_COLS, WIND_BOUNDS
+    df = spark.createDataFrame([(0.2, 500.0, 5000.0, 1.23456, 370.5), (30.0, 0.3, 10.0, 0.5, -10.0),
+                                (30.0, 800.0, 5000.0, 1.23456, 370.5)],
+                               "sun_elevation double, irradiance double, active_power double, performance_ratio double, sun_azimuth double")
+    r = finish_table(df, SOLAR_BOUNDS, SOLAR_NIGHT_COLS).collect()
+    assert r[0]["active_power"] == 0.0 and r[0]["irradiance"] == 0.0          # sun below 0.5 deg
+    assert r[1]["active_power"] == 0.0                                          # irradiance below 0.5
+    assert r[2]["active_power"] == 4400.0 and r[2]["performance_ratio"] == 1.05 and r[2]["sun_azimuth"] == 10.5
+    w = spark.createDataFrame([(-5.0, 725.0)], "nacelle_direction double, active_power double")
+    assert finish_table(w, WIND_BOUNDS).first()["nacelle_direction"] == 355.0
