@@ -212,3 +212,28 @@ def q_overlay_pump(spark, sf):
     o = OV.overlay(with_exprs(li, PUMP_BASE), "pump", PUMP_ORDER)
     cols, f = _finish(o, PUMP_OUT, PUMP_BOUNDS)
     return f.select("l_orderkey", "l_linenumber", "active_fault", *cols)
+
+
+_PUMP_REPORT_COLS = [c for c in PUMP_BOUNDS if c in {n for n, _ in PUMP_BASE}]
+
+
+def _pump_report_sql():
+    b_cte, b_last = chain_sql(PUMP_BASE_SQL, PUMP_BASE, "pb", PUMP_BASE_COLS)
+    parts = []
+    for c in _PUMP_REPORT_COLS:
+        lo, hi, _d = PUMP_BOUNDS[c]
+        parts.append(f"SELECT '{c}' AS column_name, CAST(count_if({c} < {lo!r}) AS BIGINT) AS n_below, "
+                     f"CAST(count_if({c} > {hi!r}) AS BIGINT) AS n_above, count({c}) AS n_rows FROM {b_last}")
+    return f"WITH {b_cte}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("bounds_report_pump", _pump_report_sql())
+def q_bounds_report_pump(spark, sf):
+    """F7 with the reference's pump bounds: readings outside the physical range per column, before clipping."""
+    from gridlens.operators.clean import bounds_report
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", F.col("l_quantity").cast("double").alias("q"),
+        F.col("l_extendedprice").cast("double").alias("p"), F.col("l_discount").cast("double").alias("d"),
+        F.col("l_tax").cast("double").alias("t"), keyed_uniform(SEED, "pump_severity", "l_orderkey", "l_linenumber").alias("u"))
+    base = with_exprs(li, PUMP_BASE)
+    return bounds_report(base, {c: PUMP_BOUNDS[c] for c in _PUMP_REPORT_COLS})

@@ -43,7 +43,7 @@ def _overview_sql(src, cols, n_num):
 
 
 def _profile_sql(src, cols):
-    parts = [f"SELECT '{c}' AS column_name, '{k}' AS kind, count_if({c} IS NULL) AS n_nulls, "
+    parts = [f"SELECT '{c}' AS column_name, '{k}' AS kind, CAST(count_if({c} IS NULL) AS BIGINT) AS n_nulls, "
              f"{R(f'CASE WHEN count(*) > 0 THEN count_if({c} IS NULL) / count(*) * 100.0 ELSE 0.0 END')} AS null_pct, "
              f"count(DISTINCT {c}) AS n_distinct FROM {src} t" for c, k in cols]
     return "\nUNION ALL\n".join(parts)
@@ -180,7 +180,7 @@ def q_quantile99(spark, sf):
     return o.agg(F.count(F.lit(1)).alias("n")).select(F.expr(R(f"CAST({q!r} AS DOUBLE)")).alias("q99"), "n")
 
 
-@register("class_balance", f"""SELECT count(*) AS n_rows, count_if(toxic = 1) AS n_pos, count_if(toxic = 0) AS n_neg,
+@register("class_balance", f"""SELECT count(*) AS n_rows, CAST(count_if(toxic = 1) AS BIGINT) AS n_pos, CAST(count_if(toxic = 0) AS BIGINT) AS n_neg,
   {R('count_if(toxic = 1) / count(*)')} AS pos_rate, CAST(floor(count_if(toxic = 0) * 0.01 / 0.99 + 0.5) AS BIGINT) AS pos_needed
 FROM labels""")
 def q_class_balance(spark, sf):

@@ -115,7 +115,8 @@ def q_apply_bounds(spark, sf):
 
 
 @register("bounds_report", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, count_if({c} < {lo!r}) AS n_below, count_if({c} > {hi!r}) AS n_above, count({c}) AS n_rows FROM lineitem"
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} < {lo!r}) AS BIGINT) AS n_below, "
+    f"CAST(count_if({c} > {hi!r}) AS BIGINT) AS n_above, count({c}) AS n_rows FROM lineitem"
     for c, (lo, hi, _d) in LI_BOUNDS.items()))
 def q_bounds_report(spark, sf):
     return C.bounds_report(table(spark, sf, "lineitem"), LI_BOUNDS)
