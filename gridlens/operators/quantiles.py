@@ -28,8 +28,15 @@ from pyspark.sql import types as T
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] | None = None,
-                    buckets: int = 1024, max_final: int = 20000, max_targets: int = 200000) -> DataFrame:
-    """DataFrame(keys..., q, value): exact quantiles of ``col`` per group."""
+                    buckets: int = 1024, max_final: int = 20000, max_targets: int = 200000,
+                    hot_rows: int = 5_000_000) -> DataFrame:
+    """DataFrame(keys..., q, value): exact quantiles of ``col`` per group.
+
+    Groups with more than ``hot_rows`` values are refined as described
+    above; the others - however many there are - use the built-in
+    ``percentile`` aggregate, whose per-group buffer is then bounded by
+    ``hot_rows``.  Only the hot groups' statistics reach the driver (at most
+    rows / hot_rows of them)."""
     keys = keys or []
     spark = df.sparkSession
     # null-safe group id: each key tagged N (null) or V<value>, joined by \x01
@@ -38,11 +45,23 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
     base = (df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
             .withColumn("_gk", gk))
     key_fields = [f for f in df.schema.fields if f.name in keys]
+    out_schema = T.StructType([*key_fields, T.StructField("q", T.DoubleType()), T.StructField("value", T.DoubleType())])
 
-    stats = base.groupBy("_gk").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("mn"), F.max("_x").alias("mx"),
-                                    *[F.first(k).alias(k) for k in keys]).collect()
+    all_stats = base.groupBy("_gk").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("mn"),
+                                        F.max("_x").alias("mx"), *[F.first(k).alias(k) for k in keys])
+    stats = all_stats.where(F.col("n") > hot_rows).collect()
     if len(stats) * len(qs) * 2 > max_targets:
-        raise ValueError("too many groups for refinement; use the grouped percentile aggregate")
+        raise ValueError("too many hot groups for refinement")
+    hot_keys = [r["_gk"] for r in stats]
+
+    # ordinary groups: the grouped aggregate (bounded by hot_rows per group)
+    small = base if not hot_keys else base.join(
+        F.broadcast(spark.createDataFrame([(g,) for g in hot_keys], "_gk string")), "_gk", "left_anti")
+    pq = small.groupBy("_gk", *keys).agg(F.percentile("_x", [float(q) for q in qs]).alias("_p"))
+    small_out = pq.select(*keys, F.posexplode("_p").alias("_i", "value")).select(
+        *keys, F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("_i") + 1).alias("q"), "value")
+    if not stats:
+        return small_out
 
     # targets: (group key, rank) -> state
     state = {}
@@ -124,5 +143,4 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
             vlo, vhi = state[(r["_gk"], lo)]["val"], state[(r["_gk"], hi)]["val"]
             v = vlo if lo == hi else vlo + (h - lo) * (vhi - vlo)
             out.append((*[r[k] for k in keys], float(q), float(v)))
-    schema = T.StructType([*key_fields, T.StructField("q", T.DoubleType()), T.StructField("value", T.DoubleType())])
-    return spark.createDataFrame(out, schema)
+    return small_out.unionByName(spark.createDataFrame(out, out_schema))

@@ -108,10 +108,19 @@ def test_exact_quantiles_match_percentile(spark):
     rows = [(rnd.choice(["a", "b", None]), rnd.choice([1.0, 2.0, rnd.random(), rnd.gauss(0, 1e6)])) for _ in range(4000)]
     df = spark.createDataFrame(rows, "k string, x double")
     qs = [0.0, 0.1, 0.5, 0.99, 1.0]
-    ours = {(r["k"], r["q"]): r["value"] for r in exact_quantiles(df, "x", qs, ["k"], buckets=4, max_final=7).collect()}
-    for r in df.groupBy("k").agg(F.percentile("x", qs).alias("p")).collect():
-        for q, v in zip(qs, r["p"]):
-            assert ours[(r["k"], q)] == pytest.approx(v, rel=1e-12, abs=1e-9)
+    want = {r["k"]: r["p"] for r in df.groupBy("k").agg(F.percentile("x", qs).alias("p")).collect()}
+    sizes = sorted(r["count"] for r in df.where(F.col("x").isNotNull()).groupBy("k").count().collect())
+    assert sizes[0] < sizes[-1]
+    # hot_rows=0: every group refined; between the sizes: big groups refined, the rest aggregated
+    for hot in (0, sizes[0]):
+        res = exact_quantiles(df, "x", qs, ["k"], buckets=4, max_final=7, hot_rows=hot).collect()
+        ours = {(r["k"], r["q"]): r["value"] for r in res}
+        assert len(res) == len(want) * len(qs)
+        for k, p in want.items():
+            for q, v in zip(qs, p):
+                assert ours[(k, q)] == pytest.approx(v, rel=1e-12, abs=1e-9)
+    glob = exact_quantiles(df, "x", [0.5], hot_rows=0).first()["value"]
+    assert glob == pytest.approx(df.agg(F.percentile("x", 0.5)).first()[0], rel=1e-12)
 
 
 def test_manifest_with_samples(spark):
