@@ -133,8 +133,9 @@ SELECT device, count(*) AS n, {R('avg(value - fleet_median)')} AS mean_drift, {R
 FROM t JOIN m USING (hr_start) GROUP BY device""")
 def q_fleet_residual(spark, sf):
     """Reading minus the fleet median of the same hour (thermal drift vs fleet)."""
+    from gridlens.operators.profile import quantile_columns
     b = ev_base(spark, sf).withColumn("hr_start", F.window("time", "1 hour").start)
-    med = b.groupBy("hr_start").agg(F.percentile("value", 0.5).alias("fleet_median"))
+    med = quantile_columns(b, "value", [0.5], ["fleet_median"], ["hr_start"])   # exact; hot hours refined
     j = b.join(med, "hr_start").withColumn("_d", F.col("value") - F.col("fleet_median"))
     return j.groupBy("device").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("_d")).alias("mean_drift"),
                                    r6(F.stddev_samp("_d")).alias("std_drift"))
