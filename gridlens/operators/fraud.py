@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.functions.exprs import epoch_s
-from gridlens.operators.windows import range_count, prev_row, sessionize, DAY
+from gridlens.operators.windows import range_count, prev_row, sessionize
 
 
 def velocity(tx: DataFrame, keys: list[str], ts: str, n: int = 10, secs: float = 300,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.functions.exprs import epoch_s, r6
-from gridlens.operators.windows import global_row_number, prev_row, DAY
+from gridlens.operators.windows import global_row_number, prev_row
 
 
 def step_audit(tel: DataFrame, device: str = "device", time: str = "time", tiebreak: list[str] | None = None,
