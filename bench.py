@@ -56,6 +56,10 @@ def main():
             print(f"# {k} failed: {str(e).splitlines()[0][:200]}", file=sys.stderr)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus}))
 
