@@ -118,7 +118,8 @@ def join_strategy(events: DataFrame, broadcast_limit: int | None = None, force:
     """'broadcast' when the event table passes the size check, else 'bucketed'."""
     if force:
         return force
-    broadcast_limit = broadcast_limit or BROADCAST_LIMIT
+    from gridlens.session import setting
+    broadcast_limit = broadcast_limit or setting(events.sparkSession, "broadcastLimitBytes", BROADCAST_LIMIT)
     ev = events.select("device", "event_type", "start_time", "end_time", "shape", "max_severity",
                        "ramp_seconds", "ramp_down_seconds", "ord")
     return "broadcast" if _event_bytes_ok(ev, broadcast_limit) else "bucketed"
@@ -142,7 +143,7 @@ def attach_faults(tel: DataFrame, events: DataFrame, device: str = "device", tim
         "max_severity", "ramp_seconds", "ramp_down_seconds", "ord")
     cond_time = ((F.col(time) >= F.col("start_time")) &
                  (F.col("end_time").isNull() | (F.col(time) < F.col("end_time"))))
-    strategy = force or ("broadcast" if _event_bytes_ok(ev, broadcast_limit or BROADCAST_LIMIT) else "bucketed")
+    strategy = force or join_strategy(events, broadcast_limit)
     if strategy == "broadcast":
         j = tel.join(F.broadcast(ev), (F.col(device) == F.col("_ev_device")) & cond_time, how)
     else:

@@ -27,14 +27,17 @@ def row_width(df: DataFrame) -> int:
     return sum(_width(f.dataType) for f in df.schema.fields) + 16
 
 
-def fits(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """True when rows x estimated row width stays within ``limit`` bytes.
+def fits(df: DataFrame, limit: int | None = None) -> bool:
+    """True when rows x estimated row width stays within ``limit`` bytes
+    (default: ``spark.gridlens.broadcastLimitBytes``, else 64 MB).
     Counting stops after limit/width + 1 rows (never a full count of a big side)."""
+    from gridlens.session import setting
+    limit = limit or setting(df.sparkSession, "broadcastLimitBytes", BROADCAST_LIMIT)
     cap = max(1, limit // row_width(df))
     return df.limit(cap + 1).count() <= cap
 
 
-def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "inner", limit: int = BROADCAST_LIMIT) -> DataFrame:
+def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "inner", limit: int | None = None) -> DataFrame:
     """Join a fact table with a dimension; broadcast only after a size check."""
     side = F.broadcast(dim) if fits(dim, limit) else dim
     return big.join(side, on, how)

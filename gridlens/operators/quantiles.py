@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] | None = None,
                     buckets: int = 1024, max_final: int = 20000, max_targets: int = 200000,
-                    hot_rows: int = 5_000_000) -> DataFrame:
+                    hot_rows: int | None = None) -> DataFrame:
     """DataFrame(keys..., q, value): exact quantiles of ``col`` per group.
 
     Groups with more than ``hot_rows`` values are refined as described
@@ -39,6 +39,9 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
     rows / hot_rows of them)."""
     keys = keys or []
     spark = df.sparkSession
+    if hot_rows is None:
+        from gridlens.session import setting
+        hot_rows = setting(spark, "quantileHotRows", 5_000_000)
     # null-safe group id: each key tagged N (null) or V<value>, joined by \x01
     gk = (F.concat_ws("\x01", *[F.when(F.col(k).isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.col(k).cast("string")))
                                 for k in keys]) if keys else F.lit(""))

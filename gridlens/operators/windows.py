@@ -38,12 +38,14 @@ def _bucket(ts: str, seconds: int):
 
 
 def auto_bucket_seconds(df: DataFrame, keys: list[str], ts: str, min_seconds: float = 1.0,
-                        target_rows: int = TARGET_BUCKET_ROWS, start: int = DAY) -> int:
+                        target_rows: int | None = None, start: int = DAY) -> int:
     """Bucket width (seconds) so that no (key, bucket) holds more than about
     ``target_rows`` rows: one map-side-combined count per (key, day) gives the
     fullest day, then the width is halved as often as needed (never below
     ``min_seconds``, e.g. the span of a range frame).  Rows sharing one
     timestamp cannot be split further."""
+    from gridlens.session import setting
+    target_rows = target_rows or setting(df.sparkSession, "bucketTargetRows", TARGET_BUCKET_ROWS)
     mx = (df.groupBy(*keys, _bucket(ts, start).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
           .agg(F.max("_n")).first()[0]) or 0
     width = start

@@ -41,6 +41,16 @@ def get_session(master: str | None = None, app: str = "gridlens",
     return spark
 
 
+def setting(spark: SparkSession, name: str, default: int) -> int:
+    """Integer tuning knob from the session configuration (``spark.gridlens.<name>``):
+    broadcastLimitBytes, bucketTargetRows, quantileHotRows."""
+    try:
+        v = spark.conf.get(f"spark.gridlens.{name}", None)
+    except Exception:  # noqa: BLE001
+        v = None
+    return int(v) if v else default
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Cores available to the session (falls back to configuration values when
     the session exposes no SparkContext, e.g. a Spark Connect client)."""

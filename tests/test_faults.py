@@ -140,3 +140,13 @@ def test_normalised_severity_class(spark):
     norm = fo.label_telemetry(t, e, ["pitch"], normalise=True).first()
     assert raw["severity"] == 10.0 and raw["fault_severity"] == "high"
     assert norm["severity"] == 1.0 and norm["fault_severity"] == "high" and norm["fault_pitch"] == 1
+
+
+def test_broadcast_limit_from_session_conf(spark):
+    e = ev(spark, [("d", "x", ts("2024-01-01 10:00"), None, "abrupt", 1.0, None, 0.0, 0)])
+    assert fo.join_strategy(e) == "broadcast"
+    spark.conf.set("spark.gridlens.broadcastLimitBytes", "1")
+    try:
+        assert fo.join_strategy(e) == "bucketed"
+    finally:
+        spark.conf.unset("spark.gridlens.broadcastLimitBytes")
