@@ -143,7 +143,8 @@ def test_normalised_severity_class(spark):
 
 
 def test_broadcast_limit_from_session_conf(spark):
-    e = ev(spark, [("d", "x", ts("2024-01-01 10:00"), None, "abrupt", 1.0, None, 0.0, 0)])
+    e = ev(spark, [("d", "x", ts("2024-01-01 10:00"), None, "abrupt", 1.0, None, 0.0, 0),
+                   ("e", "x", ts("2024-01-01 11:00"), None, "abrupt", 1.0, None, 0.0, 0)])
     assert fo.join_strategy(e) == "broadcast"
     spark.conf.set("spark.gridlens.broadcastLimitBytes", "1")
     try:
