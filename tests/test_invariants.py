@@ -77,3 +77,20 @@ def test_severity_expression_brute_force(spark):
     got = {r["i"]: r["s"] for r in df.select("i", F.expr(fo.severity_sql()).alias("s")).collect()}
     for i, dt, dur, shape, mx, ramp, rd in rows:
         assert got[i] == pytest.approx(_severity_py(dt, dur, shape, mx, ramp, rd), rel=1e-9, abs=1e-12), (shape, dt, dur)
+
+
+def test_labels_independent_of_partitioning(spark):
+    from gridlens.plans.faults import telemetry, fault_events, TYPE_NAMES
+    tel = telemetry(spark, SF_SMALL)
+    ev = fault_events(spark, SF_SMALL)
+    a = fo.label_telemetry(tel.repartition(1), ev.repartition(1), TYPE_NAMES, keep=["event_id"])
+    b = fo.label_telemetry(tel.repartition(13, "time"), ev.repartition(3), TYPE_NAMES, keep=["event_id"])
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_ensure_parallel_only_when_needed(spark):
+    from gridlens.sources.files import ensure_parallel
+    one = spark.range(1000).coalesce(1)
+    many = spark.range(1000).repartition(16)
+    assert ensure_parallel(one, 4).rdd.getNumPartitions() == 4
+    assert ensure_parallel(many, 4).rdd.getNumPartitions() == 16   # already spread: no extra shuffle
