@@ -145,3 +145,20 @@ def test_erf_approximation(spark):
     df = spark.createDataFrame([(z,) for z in zs], "z double")
     got = [r[0] for r in df.select(F.expr(erf_sql("z"))).collect()]
     assert max(abs(g - math.erf(z)) for g, z in zip(got, zs)) < 2e-7
+
+
+def test_shuffle_positions_are_a_permutation(spark):
+    from gridlens.operators.windows import positions_by_uniform
+    df = spark.range(3000).select(F.col("id").alias("k")).withColumn("u", keyed_uniform(5, "p", "k"))
+    pos = sorted(r["pos"] for r in positions_by_uniform(df, "u", ["k"], n_buckets=7).collect())
+    assert pos == list(range(1, 3001))
+
+
+def test_weighted_draws_follow_weights(spark):
+    df = spark.createDataFrame([(i, 1 if i < 50 else 20) for i in range(100)], "k long, w long")
+    d = J.sample_weighted(df, "k", "w", 20000, 9, bucket_width=16.0)
+    got = {r["k"]: r["count"] for r in d.groupBy("k").count().collect()}
+    assert sum(got.values()) == 20000
+    light = sum(got.get(i, 0) for i in range(50)) / 50
+    heavy = sum(got.get(i, 0) for i in range(50, 100)) / 50
+    assert 15 < heavy / light < 27      # expected ratio 20
