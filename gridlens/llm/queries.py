@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlens.llm import chat, packing, seekable, sharding
+from gridlens.llm import chat, decontam, packing, seekable, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +24,13 @@ def op4_tokens(spark, sf_dir):
     return seekable.token_digest(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_decontamination(spark, sf_dir):
+    return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_chat, op4_tokens, op10_packing)}
-ORACLE = {"op3_chat": chat.ROTATE_SQL}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_chat, op4_tokens, op7_decontamination, op10_packing)}
+ORACLE = {"op3_chat": chat.ROTATE_SQL, "op7_decontamination": decontam.CONTAMINATION_SQL}
