@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlens.llm import chat, decontam, packing, seekable, sharding
+from gridlens.llm import chat, decontam, langid, packing, quality, seekable, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_langid(spark, sf_dir):
+    return langid.predictions(_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark, sf_dir):
     return sharding.shard_documents(spark, _table(spark, sf_dir, "documents"), shards=24)
 
@@ -28,9 +32,13 @@ def op7_decontamination(spark, sf_dir):
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality(spark, sf_dir):
+    return quality.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_chat, op4_tokens, op7_decontamination, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_sharding, op3_chat, op4_tokens, op7_decontamination, op8_quality, op10_packing)}
 ORACLE = {"op3_chat": chat.ROTATE_SQL, "op7_decontamination": decontam.CONTAMINATION_SQL}
