@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlens.llm import chat, decontam, langid, packing, quality, seekable, sharding
+from gridlens.llm import ann, chat, decontam, langid, packing, quality, seekable, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,9 +36,13 @@ def op8_quality(spark, sf_dir):
     return quality.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_neighbours(spark, sf_dir):
+    return ann.neighbours(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_sharding, op3_chat, op4_tokens, op7_decontamination, op8_quality, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_sharding, op3_chat, op4_tokens, op7_decontamination, op8_quality, op9_neighbours, op10_packing)}
 ORACLE = {"op3_chat": chat.ROTATE_SQL, "op7_decontamination": decontam.CONTAMINATION_SQL}
