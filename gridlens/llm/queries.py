@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlens.llm import ann, chat, decontam, langid, minhash, packing, quality, seekable, sharding
+from gridlens.llm import ann, chat, decontam, langid, minhash, packing, quality, seekable, sharding, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_tokens(spark, sf_dir):
     return seekable.token_digest(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_suffix(spark, sf_dir):
+    return suffix.repeats(spark, _table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark, sf_dir):
     return minhash.duplicates(spark, _table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op10_packing(spark, sf_dir):
     return packing.pack_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_sharding, op3_chat, op4_tokens, op6_minhash, op7_decontamination, op8_quality, op9_neighbours, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_sharding, op3_chat, op4_tokens, op5_suffix, op6_minhash, op7_decontamination, op8_quality, op9_neighbours, op10_packing)}
 ORACLE = {"op3_chat": chat.ROTATE_SQL, "op7_decontamination": decontam.CONTAMINATION_SQL}
