@@ -238,13 +238,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0.5) -> DataFrame:
     """``docs`` without hit spans; documents covered beyond ``max_coverage`` are dropped."""
-    got = screen_documents(docs, benchmark)
-    got = got.where(F.col("screen.n_hit") <= max_coverage * F.col("screen.n_words"))
-    hit = F.col("screen.n_hit") > 0
-    cols = [F.when(hit, F.col("screen.clean_text")).otherwise(F.col("text")).alias("text") if c == "text"
-            else F.when(hit, F.length("screen.clean_text")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars"
-            else F.col(f"`{c}`") for c in docs.columns]
-    return got.select(*cols)
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    got = screen_documents(rows, benchmark, carry=["_row"]).where(F.col("screen.n_hit") <= max_coverage * F.col("screen.n_words"))
+    hit, clean = F.col("screen.n_hit") > 0, F.col("screen.clean_text")
+    new = {"text": clean, "n_chars": F.length(clean)}
+    return got.select(*[(F.when(hit, new[c].cast(docs.schema[c].dataType)).otherwise(F.col(f"_row.`{c}`")) if c in new
+                         else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -224,7 +224,7 @@ def train(docs: DataFrame) -> Model | None:
     return Model(langs).train([p[0] for p in pairs], [p[1] for p in pairs])
 
 
-def _predictor(model, carry: bool):
+def _predictor(model):
     def run(batches):
         m = model.value
         for batch in batches:
@@ -251,7 +251,7 @@ def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = Non
     work = docs.select(F.col("text").cast("binary").alias("_text"), doc.alias("_doc"))
     handle = docs.sparkSession.sparkContext.broadcast(model)  # some 50 kB
     kind = work.schema["_doc"].dataType.simpleString()
-    work = work.mapInArrow(_predictor(handle, True), f"_lang string, _score double, _doc {kind}")
+    work = work.mapInArrow(_predictor(handle), f"_lang string, _score double, _doc {kind}")
     return work.select(*[F.col(f"_doc.`{c}`") for c in carry],
                        F.when(F.col("_doc._letters"), F.col("_lang")).otherwise(UNKNOWN).alias("lang_pred"),
                        F.when(F.col("_doc._letters"), F.col("_score")).otherwise(0.0).alias("score"))
@@ -265,5 +265,9 @@ def predictions(docs: DataFrame) -> DataFrame:
 
 def reject(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
     """``docs`` without those of no language: ``und``, or position labels that agree too little."""
-    got = identify(docs, train(docs))
-    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    model = train(docs)
+    if model is None:  # nothing to learn from: only letterless texts go
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    rows = docs.select(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    got = identify(rows, model, carry=["_row"])
+    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("_row.*")

@@ -276,7 +276,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # a null id loses against any other
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
     keep = first.select(F.col("first.key").alias("_key")).distinct()
-    docs = docs.withColumn("_key", row_key())
-    has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = docs.where(has_words).join(keep, "_key", "left_semi").dropDuplicates(["_key"])
-    return kept.unionByName(docs.where(~has_words)).drop("_key")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_key().alias("_key"), has_words.alias("_words"))
+    kept = rows.where("_words").join(keep, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.select("_row.*").unionByName(rows.where("NOT _words").select("_row.*"))

@@ -6,15 +6,15 @@ offset.  Each round sends rank pairs to the partition of their rank, sorts them
 there and hands the answer back; positions whose string is in one document only
 drop out.  Since only equality matters, a rank is a 64-bit name of the string.
 
-Round 1 ranks 24-byte strings.  A window of 50 bytes has 27 of them, and the
+Round 1 ranks 25-byte strings.  A window of 50 bytes has 26 of them, and the
 one of least name (its anchor) is the same wherever the window occurs, so
-anchors, one position in 14, stand for all positions.
-Round 2 ranks the whole stretch of windows that share an anchor (up to 76
+anchors, one position in 13, stand for all positions.
+Round 2 ranks the whole stretch of windows that share an anchor (up to 75
 bytes): if a smaller document has the same stretch, all its windows repeat.
 Only where an anchor occurs in several different stretches (where copies begin,
 end or were edited) do single positions go on.
-Round 3 doubles their ranks: a window is the pair of 24-byte ranks at offsets 0
-and 26, 50 bytes, past the threshold.
+Round 3 doubles their ranks: a window is the pair of 25-byte ranks at offsets 0
+and 25, 50 bytes, past the threshold.
 
 Before anything is sent, a batch of documents answers for itself what it can:
 of equal strings only that of its smallest document asks, so a string in a
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from gridlens.llm.common import stored, workspace
 
 WIDTH = 50
-GRAM = 24
+GRAM = 25
 WINDOW = WIDTH - GRAM + 1
 #: Bytes worked on at once; positions in a piece fit 20 bits.
 PIECE, ROOM = 1 << 19, 1 << 20
@@ -114,7 +114,7 @@ class Stretch:
         self.shift = (np.array([base for _, base, _ in parts]) - starts)[piece]
 
     def names(self) -> np.ndarray:
-        """24-byte rank of each anchor."""
+        """25-byte rank of each anchor."""
         return self.gram[self.anchor]
 
     def stretch_names(self) -> np.ndarray:
@@ -193,7 +193,7 @@ def _classes(k1, k2, doc):
 
 
 def _round1(table: pa.Table) -> pa.Table:
-    """Anchors whose 24 bytes are in two documents or more.  (A batch that has a class twice says so: size 1.)"""
+    """Anchors whose 25 bytes are in two documents or more.  (A batch that has a class twice says so: size 1.)"""
     cols, known = _unpack(table)
     ask = np.flatnonzero(~known)
     order, group, least, _ = _classes(cols["k1"][ask], cols["k2"][ask], cols["doc"][ask])
@@ -303,7 +303,7 @@ def _pass3(parts: int):
             for row, (at, size) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
                 at, size = np.frombuffer(b"".join(at), np.uint32).astype(np.int64), np.frombuffer(b"".join(size), np.uint8)
                 at, size = at[size < 100], size[size < 100].astype(np.int64)
-                # every window of the open stretches, as two 24-byte ranks
+                # every window of the open stretches, as two 25-byte ranks
                 p = np.repeat(at, size + 1) + (np.arange(int((size + 1).sum())) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1))
                 for base in range(0, len(texts[row]) - WIDTH + 1, PIECE):
                     here = p[(p >= base) & (p < base + PIECE)] - base
@@ -375,7 +375,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     least = narrow.groupBy(*text).agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most")).where("_least < _most")
     copies = stored(narrow.join(least, text).where("doc_id > _least").select("doc_id", "tid", "_n").distinct(), folder + "/copies")
 
-    first = rows.select("doc_id", "tid", "text").mapInArrow(_pass1(parts(total // 14)), ASK)
+    first = rows.select("doc_id", "tid", "text").mapInArrow(_pass1(parts(total // 13)), ASK)
     flagged = answered(first, _round1, ["k1"]).join(copies, ["doc_id", "tid"], "left_anti")
     flagged = stored(flagged, folder + "/flagged")
     n = flagged.agg(F.sum("n")).first()[0] or 0
@@ -385,7 +385,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     open_ = stretches.where("n > 0")
     n = open_.agg(F.sum("n")).first()[0] or 0
     third = (rows.join(open_, ["doc_id", "tid"]).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", "text", "at", "size")
-             .mapInArrow(_pass3(parts(n * 14)), ASK))
+             .mapInArrow(_pass3(parts(n * 13)), ASK))
     windows = answered(third, _round3, ["at"]).select("doc_id", "tid", F.col("at").alias("single"))
     spans = stretches.join(windows, ["doc_id", "tid"], "left").select("doc_id", "tid", "at", "size", "single").mapInArrow(
         _spans, "doc_id long, tid long, spans array<array<long>>").where(F.size("spans") > 0)
@@ -424,15 +424,13 @@ def repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
                        F.when(F.col("_r") == F.col("n_bytes"), F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("sha", "sha_all")).alias("kept_sha256"))
 
 
-def _cut_text(names):
-    def run(batches):
-        for batch in batches:
-            cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            # what is left of a character that a span cuts through is dropped with it
-            text = [None if t is None else cut(t, s).decode("utf-8", "ignore") if s else t.decode("utf-8", "replace")
-                    for t, s in zip(cols["_bytes"].to_pylist(), cols["_spans"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([cols["_doc"], pa.array(text, pa.string())], names=["_doc", "_text"])
-    return run
+def _cut_text(batches):
+    for batch in batches:
+        cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        # what is left of a character that a span cuts through is dropped with it
+        text = [None if t is None else cut(t, s).decode("utf-8", "ignore") if s else t.decode("utf-8", "replace")
+                for t, s in zip(cols["_bytes"].to_pylist(), cols["_spans"].to_pylist())]
+        yield pa.RecordBatch.from_arrays([cols["_doc"], pa.array(text, pa.string())], names=["_doc", "_text"])
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -445,7 +443,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     work = work.join(hit, ["_id", "_tid"], "left").select("_doc", F.col("_doc.text").cast("binary").alias("_bytes"), "_spans")
     kind = work.schema["_doc"].dataType.simpleString()
     same = work.where("_spans IS NULL").select("_doc.*")
-    changed = work.where("_spans IS NOT NULL").mapInArrow(_cut_text(names), f"_doc {kind}, _text string")
+    changed = work.where("_spans IS NOT NULL").mapInArrow(_cut_text, f"_doc {kind}, _text string")
     cols = [F.col("_text").alias("text") if c == "text" else F.length("_text").cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars"
             else F.col(f"_doc.`{c}`") for c in names]
     return same.unionByName(changed.select(*cols))
