@@ -38,10 +38,12 @@ class _Memo(dict):
         self.tokenizer = tokenizer
 
     def __missing__(self, unit):
-        ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
-        got = self[unit] = np.array(ids, dtype="<u4").tobytes()
+        got = self[unit] = self.whole(unit)
         return got
 
+    def whole(self, text):
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
 
 class UnitEncoder:
     """Encodes texts to little-endian u32 id bytes, equal to encoding each whole text."""
@@ -52,11 +54,15 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.find = re.compile(units).findall
         self.lower = lower
+        marks = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(marks) or r"(?!)").search
         self.memo = _Memo(self.tokenizer)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.special(text):  # cuts around special tokens are the tokenizer's own
+            return self.memo.whole(text)
         if len(self.memo) > MEMO_UNITS:
             self.memo.clear()
         if self.lower and not _KEEP_CASE(text):
