@@ -11,26 +11,32 @@ def _c(x) -> Column:
 
 
 # --- rounding ---------------------------------------------------------------
-# floor(x*10^k + 0.501)/10^k is evaluated bit-identically by Spark and DuckDB
-# (IEEE multiply/add/floor/divide), unlike round(), whose tie rules differ.
-# The boundary sits 0.001 units of the last kept digit below the exact half:
+# For query results only (operators return raw doubles).  round(x*10^k + 0.001)
+# / 10^k stays a double at any magnitude and is the same text in both engines
+# (without decimals both round a half away from zero).  The boundary sits 0.001 units of the last kept digit below the exact half:
 # averages of few-decimal data often land *exactly* on a half, and summation
 # order noise would otherwise push the engines to opposite sides of it.
-HALF = 0.501
+NUDGE = 0.001
 
 
 def rk(x, k: int = 6) -> Column:
     s = float(10 ** k)
-    return (F.floor(_c(x) * F.lit(s) + F.lit(HALF)) / F.lit(s)).cast("double")
+    return F.round(_c(x).cast("double") * F.lit(s) + F.lit(NUDGE), 0) / F.lit(s)
 
 
 def r6(x) -> Column:
     return rk(x, 6)
 
 
+def rounded(df, k: int = 6):
+    """Every double column of a query's result rounded to ``k`` digits."""
+    return df.select(*[rk(F.col(f"`{f.name}`"), k).alias(f.name) if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def rk_sql(x: str, k: int = 6) -> str:
     s = f"{float(10 ** k):.1f}"
-    return f"CAST(floor(({x}) * {s} + {HALF}) / {s} AS DOUBLE)"
+    return f"CAST(round(CAST(({x}) AS DOUBLE) * {s} + {NUDGE}, 0) / {s} AS DOUBLE)"
 
 
 def r6_sql(x: str) -> str:

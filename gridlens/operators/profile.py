@@ -15,7 +15,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.functions.exprs import r6
 from gridlens.operators.clean import cols_of_kind, kind_of
 from gridlens.operators.quantiles import exact_quantiles
 
@@ -59,7 +58,7 @@ def overview(df: DataFrame) -> DataFrame:
     nulls = reduce(lambda x, y: x + y, [F.col(f"_n{i}") for i in range(len(cols))])
     rate = F.when(F.col("n_rows") > 0, nulls / F.col("n_rows") / F.lit(len(cols)) * 100.0).otherwise(0.0)
     return a.select("n_rows", F.lit(len(cols)).cast("long").alias("n_cols"),
-                    F.lit(n_num).cast("long").alias("n_numeric"), r6(rate).alias("null_pct"))
+                    F.lit(n_num).cast("long").alias("n_numeric"), rate.alias("null_pct"))
 
 
 def profile_columns(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -74,7 +73,7 @@ def profile_columns(df: DataFrame, approx: bool = False) -> DataFrame:
     parts = ", ".join(f"'{c}', '{kinds[c]}', _z{i}, _d{i}" for i, c in enumerate(cols))
     long = a.selectExpr("_rows", f"stack({len(cols)}, {parts}) AS (column_name, kind, n_nulls, n_distinct)")
     return long.select("column_name", "kind", F.col("n_nulls").cast("long").alias("n_nulls"),
-                       r6(F.when(F.col("_rows") > 0, F.col("n_nulls") / F.col("_rows") * 100.0).otherwise(0.0)).alias("null_pct"),
+                       (F.when(F.col("_rows") > 0, F.col("n_nulls") / F.col("_rows") * 100.0).otherwise(0.0)).alias("null_pct"),
                        F.col("n_distinct").cast("long").alias("n_distinct"))
 
 
@@ -93,7 +92,7 @@ def value_shares(df: DataFrame, col: str) -> DataFrame:
     """P5: value counts normalised to shares of the non-null total."""
     vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     total = df.where(F.col(col).isNotNull()).count()
-    return vc.select("value", "n", r6(F.col("n") / F.lit(float(max(total, 1)))).alias("share"))
+    return vc.select("value", "n", (F.col("n") / F.lit(float(max(total, 1)))).alias("share"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
@@ -109,7 +108,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     b = F.least(F.floor((F.col(col).cast("double") - F.lit(lo)) / F.lit(w) * F.lit(float(bins))) + 1, F.lit(bins))
     counts = df.where(F.col(col).isNotNull()).groupBy(b.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     j = ids.join(F.broadcast(counts), "bin", "left")
-    edge = lambda k: r6(F.lit(lo) + (k - 1) * F.lit(w) / F.lit(float(bins)))
+    edge = lambda k: (F.lit(lo) + (k - 1) * F.lit(w) / F.lit(float(bins)))
     return j.select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
@@ -130,7 +129,7 @@ def describe_num(df: DataFrame, cols: list[str] | None = None, exact: bool = Tru
     qs = quantile_columns(stacked, "_v", QUARTILES, ["p25", "p50", "p75"], ["column_name"], exact)
     long = _join_keys(moments, qs, ["column_name"])
     return long.select("column_name", F.col("n").cast("long").alias("n"),
-                       *[r6(c).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
+                       *["mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
 def describe_all(df: DataFrame) -> DataFrame:
@@ -154,13 +153,13 @@ def describe_by(df: DataFrame, keys: list[str], col: str, exact: bool = True) ->
                               F.min(x).alias("min"), F.max(x).alias("max"))
     qs = quantile_columns(df, col, QUARTILES, ["p25", "p50", "p75"], keys, exact)
     j = _join_keys(m, qs, keys)
-    return j.select(*keys, "n", *[r6(c).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
+    return j.select(*keys, "n", *["mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
 def rates_by(df: DataFrame, keys: list[str], cols: list[str], rollup: bool = False) -> DataFrame:
     """Grouped means (booleans as rates); ``rollup`` adds subtotals."""
     g = df.rollup(*keys) if rollup else df.groupBy(*keys)
-    return g.agg(F.count(F.lit(1)).alias("n"), *[r6(F.avg(F.col(c).cast("double"))).alias(f"mean_{c}") for c in cols])
+    return g.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in cols])
 
 
 def agg_named(df: DataFrame, keys: list[str], col: str, exact: bool = True) -> DataFrame:
@@ -169,13 +168,13 @@ def agg_named(df: DataFrame, keys: list[str], col: str, exact: bool = True) -> D
     m = df.groupBy(*keys).agg(F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
     med = quantile_columns(df, col, [0.5], ["median"], keys, exact)
     j = _join_keys(m, med, keys)
-    return j.select(*keys, r6("mean").alias("mean"), r6("median").alias("median"), r6("std").alias("std"))
+    return j.select(*keys, "mean", "median", "std")
 
 
 def top_n_by(df: DataFrame, key: str, col: str, n: int = 10) -> DataFrame:
     """Count / mean / max per key, top n by count (TakeOrderedAndProject)."""
     x = F.col(col).cast("double")
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), r6(F.avg(x)).alias("mean"), r6(F.max(x)).alias("max"))
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.max(x).alias("max"))
             .orderBy(F.desc("n"), F.col(key)).limit(n))
 
 
@@ -196,7 +195,7 @@ def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     wide = df.agg(*aggs)
     parts = ", ".join(f"'{a}', '{b}', _r{k}" for k, (a, b) in enumerate(names))
     return wide.selectExpr(f"stack({len(names)}, {parts}) AS (col_a, col_b, corr)").select(
-        "col_a", "col_b", r6("corr").alias("corr"))
+        "col_a", "col_b", "corr")
 
 
 def class_balance(df: DataFrame, label: str, target_rate: float) -> DataFrame:
@@ -205,7 +204,7 @@ def class_balance(df: DataFrame, label: str, target_rate: float) -> DataFrame:
     y = F.col(label).cast("int")
     a = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(y == 1).alias("n_pos"), F.count_if(y == 0).alias("n_neg"))
     need = F.floor(F.col("n_neg") * F.lit(target_rate) / F.lit(1 - target_rate) + 0.5).cast("long")
-    return a.select("n_rows", "n_pos", "n_neg", r6(F.col("n_pos") / F.col("n_rows")).alias("pos_rate"),
+    return a.select("n_rows", "n_pos", "n_neg", (F.col("n_pos") / F.col("n_rows")).alias("pos_rate"),
                     need.alias("pos_needed"))
 
 
@@ -225,7 +224,7 @@ def hourly_profile(df: DataFrame, ts: str) -> DataFrame:
     """Rows per hour of day and their share."""
     vc = df.groupBy(F.hour(F.col(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
     total = df.count()
-    return vc.select("hour", "n", r6(F.col("n") / F.lit(float(max(total, 1)))).alias("share"))
+    return vc.select("hour", "n", (F.col("n") / F.lit(float(max(total, 1)))).alias("share"))
 
 
 def density2d(df: DataFrame, x: str, y: str, by: str | None = None, bins: int = 50) -> DataFrame:

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.functions.exprs import epoch_s, r6
-from gridlens.operators.windows import global_row_number, prev_row
+from gridlens.functions.exprs import epoch_s
+from gridlens.operators.windows import global_row_number, null_safe_join, prev_row
 
 
 def step_audit(tel: DataFrame, device: str = "device", time: str = "time", tiebreak: list[str] | None = None,
@@ -22,12 +22,12 @@ def step_audit(tel: DataFrame, device: str = "device", time: str = "time", tiebr
     d = p.where(F.col("prev_" + time).isNotNull()).withColumn(
         "_s", epoch_s(F.col(time)) - epoch_s(F.col("prev_" + time)))
     d = d.withColumn("_m", F.floor(F.col("_s") / 60.0).cast("long"))
-    per = d.groupBy(device).agg(F.count(F.lit(1)).alias("n_steps"), r6(F.min("_s")).alias("min_step_s"),
-                                r6(F.max("_s")).alias("max_step_s"), r6(F.avg("_s")).alias("mean_step_s"))
+    per = d.groupBy(device).agg(F.count(F.lit(1)).alias("n_steps"), F.min("_s").alias("min_step_s"),
+                                F.max("_s").alias("max_step_s"), F.avg("_s").alias("mean_step_s"))
     modes = (d.groupBy(device, "_m").agg(F.count(F.lit(1)).alias("_n"))
              .groupBy(device).agg(F.min_by("_m", F.struct(-F.col("_n"), F.col("_m"))).alias("mode_step_min"),
                                   F.max("_n").alias("_nm")))
-    return per.join(modes, device).select(device, "n_steps", "min_step_s", "max_step_s", "mean_step_s",
+    return null_safe_join(per, modes, [device]).select(device, "n_steps", "min_step_s", "max_step_s", "mean_step_s",
                                           "mode_step_min", (F.col("n_steps") - F.col("_nm")).alias("n_irregular"))
 
 
@@ -52,11 +52,10 @@ def ar1_fit(tel: DataFrame, col: str, device: str = "device", time: str = "time"
     fit = pairs.groupBy(device).agg(F.regr_slope(F.col(col), F.col("prev_" + col)).alias("slope"),
                                     F.regr_intercept(F.col(col), F.col("prev_" + col)).alias("intercept"),
                                     F.count(F.lit(1)).alias("n_pairs"))
-    res = pairs.join(fit, device).withColumn(
+    res = null_safe_join(pairs, fit, [device]).withColumn(
         "_e", F.col(col) - (F.col("intercept") + F.col("slope") * F.col("prev_" + col)))
     return res.groupBy(device, "slope", "intercept", "n_pairs").agg(F.stddev_samp("_e").alias("innovation_std")).select(
-        device, "n_pairs", r6("slope").alias("slope"), r6("intercept").alias("intercept"),
-        r6("innovation_std").alias("innovation_std"))
+        device, "n_pairs", "slope", "intercept", "innovation_std")
 
 
 def seasonal_residual(tel: DataFrame, col: str, time: str = "time", keys: list[str] | None = None) -> DataFrame:
@@ -65,7 +64,7 @@ def seasonal_residual(tel: DataFrame, col: str, time: str = "time", keys: list[s
     keys = keys or []
     t = tel.withColumn("_dow", F.dayofweek(time)).withColumn("_hr", F.hour(time))
     base = t.groupBy(*keys, "_dow", "_hr").agg(F.avg(F.col(col)).alias("baseline"))
-    j = t.join(F.broadcast(base) if not keys else base, [*keys, "_dow", "_hr"])
+    j = null_safe_join(t, F.broadcast(base) if not keys else base, [*keys, "_dow", "_hr"])
     return j.withColumn("residual", F.col(col) - F.col("baseline")).drop("_dow", "_hr")
 
 
@@ -74,22 +73,20 @@ def rows_agg(df: DataFrame, keys: list[str], order: str, tiebreak: list[str], w:
     """Aggregates over the ``w`` preceding rows per key (optionally + current).
 
     Rows get a per-key row number (skew-safe), are cut into blocks of
-    ``rows_per_bucket`` rows and each block also receives the last ``w`` rows
-    of the block before it, so frames are complete without a per-key sort.
+    ``rows_per_bucket`` rows and each block also receives the ``w`` rows before
+    it, from as many blocks as they span, so frames are complete without a
+    per-key sort.
     """
     n = global_row_number(df, keys, order, tiebreak, out="_rn")
-    B = int(rows_per_bucket)
-    if w > B:
-        raise ValueError("window longer than a block")
-    blk = F.floor((F.col("_rn") - 1) / F.lit(B)).cast("long")
-    tail = F.pmod(F.col("_rn") - 1, F.lit(B)) >= B - w
-    h = (n.withColumn("_blk0", blk)
-         .withColumn("_k", F.explode(F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-         .withColumn("_blk", F.col("_blk0") + F.col("_k")))
+    B = max(int(rows_per_bucket), int(w))  # a longer window gets longer blocks
+    own = F.floor((F.col("_rn") - 1) / F.lit(B)).cast("long")
+    h = (n.withColumn("_own", own)
+         .withColumn("_blk", F.explode(F.sequence(F.col("_own"), F.floor((F.col("_rn") - 1 + w) / F.lit(B)).cast("long"))))
+         .withColumn("_k", (F.col("_blk") > F.col("_own")).cast("int")))
     frame = Window.partitionBy(*keys, "_blk").orderBy("_rn").rowsBetween(-w, 0 if include_current else -1)
     for name, agg in aggs.items():
         h = h.withColumn(name, agg.over(frame))
-    return h.where(F.col("_k") == 0).drop("_blk0", "_k", "_blk")
+    return h.where(F.col("_k") == 0).drop("_own", "_k", "_blk")
 
 
 def spike_windows(tel: DataFrame, col: str, width: int = 5, k: float = 2.0, device: str = "device",
@@ -105,7 +102,7 @@ def spike_windows(tel: DataFrame, col: str, width: int = 5, k: float = 2.0, devi
 def resample(tel: DataFrame, step: str, time: str, group: list[str], y: list[str]) -> DataFrame:
     """Mean of the signals per (time bucket, group)."""
     return (tel.groupBy(F.window(time, step).start.alias("window_start"), *group)
-            .agg(F.count(F.lit(1)).alias("n"), *[r6(F.avg(c)).alias(f"mean_{c}") for c in y]))
+            .agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"mean_{c}") for c in y]))
 
 
 def time_spine_gaps(tel: DataFrame, device: str = "device", time: str = "time") -> DataFrame:

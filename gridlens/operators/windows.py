@@ -11,8 +11,8 @@ small per-bucket summary tables (one row per key and bucket):
 * :func:`prev_row` - previous row per key (``lag``), the first row of a
   bucket takes the last row of the nearest earlier non-empty bucket.
 * :func:`range_count` / :func:`range_agg` - aggregates over a trailing time
-  range; rows near the end of a bucket are copied into the next bucket
-  ("halo") so the frame is complete.  Exact while span <= bucket width.
+  range; rows are copied into every later bucket their range reaches ("halo"),
+  so the frame is complete for any span and bucket width.
 * :func:`top_k_per` - two-phase top-k per key with salted first phase.
 """
 
@@ -37,6 +37,16 @@ def _bucket(ts: str, seconds: int):
     return F.floor(epoch_s(F.col(ts)) / F.lit(float(seconds))).cast("long")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null, with one copy of the key columns."""
+    side = right.select(*[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        eq = left[k].eqNullSafe(side[f"_j_{k}"])
+        cond = eq if cond is None else cond & eq
+    return left.join(side, cond, how).drop(*[f"_j_{k}" for k in keys])
+
+
 def auto_bucket_seconds(df: DataFrame, keys: list[str], ts: str, min_seconds: float = 1.0,
                         target_rows: int | None = None, start: int = DAY) -> int:
     """Bucket width (seconds) so that no (key, bucket) holds more than about
@@ -65,7 +75,7 @@ def global_row_number(df: DataFrame, keys: list[str], order: str, tiebreak: list
     counts = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wk), F.lit(0))).drop("_n")
-    return (b.join(offs, [*keys, "_b"]).withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
+    return (null_safe_join(b, offs, [*keys, "_b"]).withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
             .drop("_b", "_lrn", "_off"))
 
 
@@ -85,29 +95,23 @@ def prev_row(df: DataFrame, keys: list[str], order: str, cols: list[str], tiebre
                           F.struct(F.col(order), *[F.col(t) for t in tiebreak])).alias("_last")))
     wk = Window.partitionBy(*keys).orderBy("_b")
     prevb = last.withColumn("_pl", F.lag("_last").over(wk)).select(*keys, "_b", "_pl")
-    j = b.join(prevb, [*keys, "_b"], "left")
+    j = null_safe_join(b, prevb, [*keys, "_b"], "left")
     for c in carry:
         j = j.withColumn(prefix + c, F.when(F.col("_first"), F.col(f"_pl.{c}")).otherwise(F.col(prefix + c)))
     return j.drop("_b", "_first", "_pl")
 
 
 def with_halo(df: DataFrame, ts: str, span_seconds: float, bucket_seconds: int = DAY) -> DataFrame:
-    """Each row in its own bucket (``_halo`` false) and, if it lies within
-    ``span_seconds`` of the next bucket start, a copy in the next bucket."""
-    if span_seconds > bucket_seconds:
-        raise ValueError("span must not exceed the bucket width")
+    """Each row in its own bucket (``_halo`` false), and a copy in every later
+    bucket that begins within ``span_seconds`` of it."""
     # exact integer microseconds, so range frames have integral bounds
     e = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
-    bus = int(bucket_seconds) * 1_000_000
-    b = F.floor(e / F.lit(bus)).cast("long")
-    nxt = (b + 1) * F.lit(bus)
-    near = e >= nxt - F.lit(int(round(span_seconds * 1_000_000)))
-    return (df.withColumn("_e", e).withColumn("_bb", b)
-            .withColumn("_copies", F.when(near, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-            .withColumn("_k", F.explode("_copies"))
-            .withColumn("_b", F.col("_bb") + F.col("_k"))
-            .withColumn("_halo", F.col("_k") == 1)
-            .drop("_copies", "_k", "_bb"))
+    bus = F.lit(int(bucket_seconds) * 1_000_000)
+    span = F.lit(int(round(span_seconds * 1_000_000)))
+    return (df.withColumn("_e", e).withColumn("_own", F.floor(e / bus).cast("long"))
+            # a row without a time is in no range, but stays
+            .withColumn("_b", F.explode_outer(F.sequence("_own", F.floor((F.col("_e") + span) / bus).cast("long"))))
+            .withColumn("_halo", F.coalesce(F.col("_b") > F.col("_own"), F.lit(False))).drop("_own"))
 
 
 def range_agg(df: DataFrame, keys: list[str], ts: str, span_seconds: float, aggs: dict,
@@ -115,10 +119,11 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, span_seconds: float, aggs
     """Trailing-range aggregates over [ts - span, ts] per key.
 
     ``aggs`` maps output name -> aggregate Column (e.g. F.count(F.lit(1))).
-    Buckets are never narrower than the span (the halo needs that).
+    A dense key gets buckets narrower than the span, down to an eighth of it
+    (then a row is copied into up to nine buckets).
     """
     if bucket_seconds is None:
-        bucket_seconds = auto_bucket_seconds(df, keys, ts, min_seconds=span_seconds,
+        bucket_seconds = auto_bucket_seconds(df, keys, ts, min_seconds=span_seconds / 8,
                                              start=max(DAY, int(math.ceil(span_seconds))))
     h = with_halo(df, ts, span_seconds, bucket_seconds)
     w = Window.partitionBy(*keys, "_b").orderBy("_e").rangeBetween(-int(round(span_seconds * 1_000_000)), 0)
@@ -169,7 +174,7 @@ def positions_by_uniform(df: DataFrame, u: str, tiebreak: list[str], n_buckets:
         F.lit(0))).drop("_n")
     # ``offs`` has n_buckets rows per key: without keys it is size-bounded and broadcast.
     side = F.broadcast(offs) if not keys else offs
-    return (b.join(side, [*keys, "_b"]).withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
+    return (null_safe_join(b, side, [*keys, "_b"]).withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
             .drop("_b", "_lrn", "_off"))
 
 
@@ -192,28 +197,42 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float, tieb
     last = p.groupBy(*keys, "_b").agg(F.max(F.when(F.col("_open"), F.col(ts))).alias("_lb"))
     wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = last.withColumn("_carry", F.max("_lb").over(wk)).select(*keys, "_b", "_carry")
-    j = p.join(carry, [*keys, "_b"], "left")
+    j = null_safe_join(p, carry, [*keys, "_b"], "left")
     return (j.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry")))
             .drop("_p_" + ts, "_open", "_b", "_in", "_carry"))
 
 
 def prefix_sum(df: DataFrame, order: str, value: str, bucket_width: float, out: str = "cum",
-               keys: list[str] | None = None) -> DataFrame:
+               keys: list[str] | None = None, fan: int = 4096) -> DataFrame:
     """Running sum of ``value`` in ``order`` (a numeric key, unique per keys),
-    exclusive (``out``_lo) and inclusive (``out``_hi), by bucket sums + prefix
-    over the small bucket table: no single-task global window."""
+    exclusive (``out``_lo) and inclusive (``out``_hi).
+
+    Rows are summed in buckets of the order key, buckets in groups of ``fan``,
+    groups in groups again until one is left: no window holds more than
+    ``fan`` sums, however many buckets there are."""
     keys = keys or []
     b = df.withColumn("_b", F.floor(F.col(order) / F.lit(float(bucket_width))).cast("long"))
     w = Window.partitionBy(*keys, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     b = b.withColumn("_in", F.sum(value).over(w))
     sums = b.groupBy(*keys, "_b").agg(F.sum(value).alias("_s"))
-    offs = sums.withColumn("_off", F.coalesce(F.sum("_s").over(
-        Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_s")
-    j = b.join(offs, [*keys, "_b"])
+    j = null_safe_join(b, _offsets(sums, keys, fan), [*keys, "_b"])
     return (j.withColumn(out + "_hi", F.col("_off") + F.col("_in"))
             .withColumn(out + "_lo", F.col(out + "_hi") - F.col(value)).drop("_b", "_in", "_off"))
 
 
+def _offsets(sums: DataFrame, keys: list[str], fan: int) -> DataFrame:
+    """(keys, _b, _off): sum of ``_s`` over the earlier ``_b`` of the same keys."""
+    g = sums.withColumn("_g", F.floor(F.col("_b") / fan).cast("long"))
+    ends = g.agg(F.min("_g"), F.max("_g")).first()
+    before = Window.partitionBy(*keys, "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+    if ends[0] != ends[1]:
+        up = g.groupBy(*keys, "_g").agg(F.sum("_s").alias("_s")).withColumnRenamed("_g", "_b")
+        up = _offsets(up, keys, fan).select(*keys, F.col("_b").alias("_g"), F.col("_off").alias("_up"))
+        g = null_safe_join(g, up, [*keys, "_g"]).withColumn("_off", F.col("_off") + F.col("_up"))
+    return g.select(*keys, "_b", "_off")
+
+
 def sequential_ids(df: DataFrame, order_cols: list[str], start: int = 1, out: str = "seq_id",
                    n_parts: int | None = None) -> DataFrame:
     """Consecutive ids in the total order ``order_cols`` (which must be unique).

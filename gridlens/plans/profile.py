@@ -49,17 +49,17 @@ def _profile_sql(src, cols):
     return "\nUNION ALL\n".join(parts)
 
 
-@register("overview", _overview_sql(CUSTOMER_N, CUST_COLS, 3))
+@register("overview", _overview_sql(CUSTOMER_N, CUST_COLS, 3), digits=6)
 def q_overview(spark, sf):
     return P.overview(customer_n(spark, sf))
 
 
-@register("profile_columns", _profile_sql(CUSTOMER_N, CUST_COLS))
+@register("profile_columns", _profile_sql(CUSTOMER_N, CUST_COLS), digits=6)
 def q_profile_columns(spark, sf):
     return P.profile_columns(customer_n(spark, sf))
 
 
-@register("null_report", f"SELECT column_name, n_nulls, null_pct FROM ({_profile_sql(ORDERS_N, ORDER_COLS)}) x WHERE n_nulls > 0")
+@register("null_report", f"SELECT column_name, n_nulls, null_pct FROM ({_profile_sql(ORDERS_N, ORDER_COLS)}) x WHERE n_nulls > 0", digits=6)
 def q_null_report(spark, sf):
     return P.null_report(orders_n(spark, sf))
 
@@ -71,7 +71,7 @@ def q_value_counts(spark, sf):
 
 @register("value_shares", f"""SELECT event_type AS value, count(*) AS n,
   {R('count(*) / (SELECT count(*) FROM events WHERE event_type IS NOT NULL)')} AS share
-FROM events WHERE event_type IS NOT NULL GROUP BY 1""")
+FROM events WHERE event_type IS NOT NULL GROUP BY 1""", digits=6)
 def q_value_shares(spark, sf):
     return P.value_shares(table(spark, sf, "events"), "event_type")
 
@@ -82,7 +82,7 @@ c AS (SELECT CAST(least(floor((CAST(l_extendedprice AS DOUBLE) - lo) / w * 50.0)
       FROM lineitem, w WHERE l_extendedprice IS NOT NULL GROUP BY 1)
 SELECT b.bin, {R('w.lo + (b.bin - 1) * w.w / 50.0')} AS lo, {R('w.lo + (b.bin + 1 - 1) * w.w / 50.0')} AS hi,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n
-FROM range(1, 51) b(bin) CROSS JOIN w LEFT JOIN c ON c.bin = b.bin""")
+FROM range(1, 51) b(bin) CROSS JOIN w LEFT JOIN c ON c.bin = b.bin""", digits=6)
 def q_histogram(spark, sf):
     return P.histogram(table(spark, sf, "lineitem"), "l_extendedprice", 50)
 
@@ -97,7 +97,7 @@ def _desc_sql(c, src="lineitem"):
             f"{R(f'quantile_cont({x}, 0.75)')} AS p75, {R(f'max({x})')} AS max FROM {src}")
 
 
-@register("describe_num", "\nUNION ALL\n".join(_desc_sql(c) for c in DESC_COLS))
+@register("describe_num", "\nUNION ALL\n".join(_desc_sql(c) for c in DESC_COLS), digits=6)
 def q_describe_num(spark, sf):
     return P.describe_num(table(spark, sf, "lineitem"), DESC_COLS)
 
@@ -114,41 +114,41 @@ def q_describe_all(spark, sf):
 
 @register("describe_by", f"""SELECT event_type, count(value) AS n, {R('avg(value)')} AS mean, {R('stddev_samp(value)')} AS std,
   {R('min(value)')} AS min, {R('quantile_cont(value, 0.25)')} AS p25, {R('quantile_cont(value, 0.5)')} AS p50,
-  {R('quantile_cont(value, 0.75)')} AS p75, {R('max(value)')} AS max FROM events GROUP BY event_type""")
+  {R('quantile_cont(value, 0.75)')} AS p75, {R('max(value)')} AS max FROM events GROUP BY event_type""", digits=6)
 def q_describe_by(spark, sf):
     return P.describe_by(table(spark, sf, "events"), ["event_type"], "value")
 
 
 @register("rates_by", f"""SELECT l_returnflag, count(*) AS n, {R('avg(CAST(l_discount AS DOUBLE))')} AS mean_l_discount,
   {R('avg(CAST(l_tax AS DOUBLE))')} AS mean_l_tax, {R('avg(CAST((l_quantity > 25) AS DOUBLE))')} AS mean_is_big
-FROM lineitem GROUP BY l_returnflag""")
+FROM lineitem GROUP BY l_returnflag""", digits=6)
 def q_rates_by(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("is_big", F.col("l_quantity") > 25)
     return P.rates_by(li, ["l_returnflag"], ["l_discount", "l_tax", "is_big"])
 
 
 @register("device_severity_mean", f"""SELECT l_returnflag, l_linestatus, count(*) AS n, {R('avg(CAST(l_quantity AS DOUBLE))')} AS mean_l_quantity
-FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+FROM lineitem GROUP BY l_returnflag, l_linestatus""", digits=6)
 def q_device_severity_mean(spark, sf):
     return P.rates_by(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], ["l_quantity"])
 
 
 @register("device_severity_rollup", f"""SELECT l_returnflag, l_linestatus, count(*) AS n, {R('avg(CAST(l_quantity AS DOUBLE))')} AS mean_l_quantity
-FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
+FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""", digits=6)
 def q_device_severity_rollup(spark, sf):
     return P.rates_by(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], ["l_quantity"], rollup=True)
 
 
 @register("agg_named", f"""SELECT l_linestatus, {R('avg(CAST(l_extendedprice AS DOUBLE))')} AS mean,
   {R('quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.5)')} AS median, {R('stddev_samp(CAST(l_extendedprice AS DOUBLE))')} AS std
-FROM lineitem GROUP BY l_linestatus""")
+FROM lineitem GROUP BY l_linestatus""", digits=6)
 def q_agg_named(spark, sf):
     return P.agg_named(table(spark, sf, "lineitem"), ["l_linestatus"], "l_extendedprice")
 
 
 @register("top_products", f"""SELECT p_name, count(*) AS n, {R('avg(CAST(l_extendedprice AS DOUBLE))')} AS mean,
   {R('max(CAST(l_extendedprice AS DOUBLE))')} AS max
-FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name ORDER BY n DESC, p_name LIMIT 10""")
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name ORDER BY n DESC, p_name LIMIT 10""", digits=6)
 def q_top_products(spark, sf):
     li = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return P.top_n_by(li, "p_name", "l_extendedprice", 10)
@@ -166,7 +166,7 @@ def _corr_sql(cols, src="lineitem"):
     return "\nUNION ALL\n".join(parts)
 
 
-@register("corr_matrix", _corr_sql(DESC_COLS))
+@register("corr_matrix", _corr_sql(DESC_COLS), digits=6)
 def q_corr_matrix(spark, sf):
     return P.corr_matrix(table(spark, sf, "lineitem"), DESC_COLS)
 
@@ -182,7 +182,7 @@ def q_quantile99(spark, sf):
 
 @register("class_balance", f"""SELECT count(*) AS n_rows, CAST(count_if(toxic = 1) AS BIGINT) AS n_pos, CAST(count_if(toxic = 0) AS BIGINT) AS n_neg,
   {R('count_if(toxic = 1) / count(*)')} AS pos_rate, CAST(floor(count_if(toxic = 0) * 0.01 / 0.99 + 0.5) AS BIGINT) AS pos_needed
-FROM labels""")
+FROM labels""", digits=6)
 def q_class_balance(spark, sf):
     return P.class_balance(table(spark, sf, "labels"), "toxic", 0.01)
 
@@ -216,7 +216,7 @@ def q_distinct_values(spark, sf):
 
 
 @register("hourly_profile", f"""SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n,
-  {R('count(*) / (SELECT count(*) FROM events)')} AS share FROM events GROUP BY 1""")
+  {R('count(*) / (SELECT count(*) FROM events)')} AS share FROM events GROUP BY 1""", digits=6)
 def q_hourly_profile(spark, sf):
     return P.hourly_profile(table(spark, sf, "events"), "ts")
 
@@ -230,7 +230,7 @@ def _bin_sql(c, bins=50):
 mm AS (SELECT a AS lo_l_quantity, CASE WHEN b > a THEN b - a ELSE 1.0 END AS w_l_quantity,
               c AS lo_l_discount, CASE WHEN d > c THEN d - c ELSE 1.0 END AS w_l_discount FROM m0)
 SELECT {_bin_sql('l_quantity')} AS bin_x, {_bin_sql('l_discount')} AS bin_y, l_returnflag, count(*) AS n
-FROM lineitem, mm WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL GROUP BY 1, 2, 3""")
+FROM lineitem, mm WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL GROUP BY 1, 2, 3""", digits=6)
 def q_density2d(spark, sf):
     return P.density2d(table(spark, sf, "lineitem"), "l_quantity", "l_discount", "l_returnflag")
 
@@ -264,7 +264,7 @@ def _manifest_sql():
     return "\nUNION ALL\n".join(parts)
 
 
-@register("dataset_manifest", _manifest_sql())
+@register("dataset_manifest", _manifest_sql(), digits=6)
 def q_dataset_manifest(spark, sf):
     """All tables loaded lazily, sized up in one union of aggregates."""
     tabs = {t: table(spark, sf, t) for t in TABLE_COLS}

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridlens.functions.exprs import rounded
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -14,11 +16,15 @@ MODULES = ["faults", "profile", "scans", "timeseries", "joins", "fraud", "scorin
            "sampling", "overlays", "stream_twins"]
 
 
-def register(key: str, sql: str | None = None):
+def register(key: str, sql: str | None = None, digits: int | None = None):
+    """Register a query and its oracle SQL; ``digits`` rounds the doubles of its result.
+
+    (Operators return raw doubles; both engines' summation noise goes here.)
+    """
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+        QUERIES[key] = fn if digits is None else lambda spark, sf_dir: rounded(fn(spark, sf_dir), digits)
         if sql is not None:
             ORACLE[key] = sql
         return fn
@@ -27,11 +33,7 @@ def register(key: str, sql: str | None = None):
 
 def load_all() -> tuple[dict, dict]:
     for m in MODULES:
-        try:
-            importlib.import_module(f"gridlens.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"gridlens.plans.{m}":
-                raise
+        importlib.import_module(f"gridlens.plans.{m}")
     return QUERIES, ORACLE
 
 

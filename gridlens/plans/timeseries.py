@@ -20,7 +20,7 @@ per AS (SELECT device, count(*) AS n_steps, {R('min(s)')} AS min_step_s, {R('max
 mc AS (SELECT device, m, count(*) AS n FROM d2 GROUP BY device, m),
 mo AS (SELECT device, m AS mode_step_min, n AS nm FROM (SELECT *, row_number() OVER (PARTITION BY device ORDER BY n DESC, m) AS rk FROM mc) WHERE rk = 1)
 SELECT per.device, n_steps, min_step_s, max_step_s, mean_step_s, mode_step_min, n_steps - nm AS n_irregular
-FROM per JOIN mo USING (device)""")
+FROM per JOIN mo USING (device)""", digits=6)
 def q_step_audit(spark, sf):
     return TS.step_audit(telemetry(spark, sf), tiebreak=["event_id"])
 
@@ -37,7 +37,7 @@ q AS (SELECT * FROM p WHERE pv IS NOT NULL),
 f AS (SELECT device, regr_slope(value, pv) AS slope, regr_intercept(value, pv) AS intercept, count(*) AS n_pairs FROM q GROUP BY device)
 SELECT device, n_pairs, {R('slope')} AS slope, {R('intercept')} AS intercept,
        {R('stddev_samp(value - (intercept + slope * pv))')} AS innovation_std
-FROM q JOIN f USING (device) GROUP BY device, n_pairs, slope, intercept""")
+FROM q JOIN f USING (device) GROUP BY device, n_pairs, slope, intercept""", digits=6)
 def q_ar1_fit(spark, sf):
     return TS.ar1_fit(telemetry(spark, sf), "value", tiebreak=["event_id"])
 
@@ -82,7 +82,7 @@ def q_angle_error_trend(spark, sf):
 
 
 @register("resample", f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,
-  {R('avg(value)')} AS mean_value FROM events GROUP BY 1, 2""")
+  {R('avg(value)')} AS mean_value FROM events GROUP BY 1, 2""", digits=6)
 def q_resample(spark, sf):
     return TS.resample(table(spark, sf, "events"), "1 hour", "ts", ["event_type"], ["value"])
 
