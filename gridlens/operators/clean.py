@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlens.operators.faults import attach_faults, join_strategy
+from gridlens.operators.faults import with_active_events
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -101,17 +101,12 @@ def apply_outages(tel: DataFrame, events: DataFrame, cols: list[str], device: st
                   time: str = "time", key: str | None = None, **join_kw) -> DataFrame:
     """zero ``cols`` on rows inside a 'downtime' window; adds ``in_outage``.
 
-    Semi + anti join against the outage windows (broadcast when the size
-    check passes): no shuffle of the telemetry and no duplicates when
-    outages overlap.
+    Each row meets the outage windows of its device once (broadcast when the
+    size check passes): one scan, no duplicates when outages overlap.
     """
     out = events.where(F.col("event_type") == "downtime")
-    kw = dict(join_kw)
-    kw["force"] = join_strategy(out, force=kw.get("force"))
-    inside = attach_faults(tel, out, device, time, how="left_semi", **kw)
-    outside = attach_faults(tel, out, device, time, how="left_anti", **kw)
-    inside = mask_when(inside, F.lit(True), cols).withColumn("in_outage", F.lit(1))
-    return inside.unionByName(outside.withColumn("in_outage", F.lit(0)))
+    j = with_active_events(tel, out, device, time, **join_kw).withColumn("in_outage", (F.size("_active") > 0).cast("int"))
+    return mask_when(j.drop("_active"), F.col("in_outage") == 1, cols)
 
 
 # --- bounds tables ------------------------------------------------------------------

@@ -125,49 +125,66 @@ def join_strategy(events: DataFrame, broadcast_limit: int | None = None, force:
     return "broadcast" if _event_bytes_ok(ev, broadcast_limit) else "bucketed"
 
 
-def attach_faults(tel: DataFrame, events: DataFrame, device: str = "device", time: str = "time",
-                  how: str = "left", broadcast_limit: int | None = None,
-                  force: str | None = None, open_until=None) -> DataFrame:
-    """Interval join telemetry x fault events (L1), half-open, NULL end = open.
-
-    If the event table passes the size check it is broadcast (hash join on
-    device, the time range as residual: no shuffle of the telemetry).
-    Otherwise both sides are keyed by (device, day): each event is exploded
-    to the days it covers and joined on equality, so the join shuffles on a
-    key that also splits a hot device across days.
-    Output: telemetry columns + event columns + ``_dt`` / ``_dur`` seconds
-    for the severity expression.
+EVENT_FIELDS = ["event_type", "start_time", "end_time", "shape", "max_severity", "ramp_seconds", "ramp_down_seconds", "ord"]
+
+
+def with_active_events(tel: DataFrame, events: DataFrame, device: str = "device", time: str = "time",
+                       broadcast_limit: int | None = None, force: str | None = None) -> DataFrame:
+    """Telemetry rows as they are, plus ``_active``: the fault events that hold at the row's time.
+
+    Windows are half-open; a NULL end never ends.  Events come as one array per
+    key, so a row is joined once and never multiplied.  If the event table
+    passes the size check, the arrays are keyed by device and broadcast: no
+    shuffle of the telemetry.  Otherwise bounded events are keyed by
+    (device, day), which splits a hot device over its days, and open ones by
+    device alone, however long ago they began.  Each event carries ``dt`` /
+    ``dur`` seconds for the severity expression.
     """
-    ev = events.select(
-        F.col("device").alias("_ev_device"), "event_type", "start_time", "end_time", "shape",
-        "max_severity", "ramp_seconds", "ramp_down_seconds", "ord")
-    cond_time = ((F.col(time) >= F.col("start_time")) &
-                 (F.col("end_time").isNull() | (F.col(time) < F.col("end_time"))))
+    one = F.collect_list(F.struct(*EVENT_FIELDS))
+    ev = events.select(F.col("device").alias("_ev_device"), *EVENT_FIELDS)
     strategy = force or join_strategy(events, broadcast_limit)
     if strategy == "broadcast":
-        j = tel.join(F.broadcast(ev), (F.col(device) == F.col("_ev_device")) & cond_time, how)
+        per = ev.groupBy("_ev_device").agg(one.alias("_all"))
+        j = tel.join(F.broadcast(per), F.col(device) == F.col("_ev_device"), "left").drop("_ev_device")
     else:
-        # Open-ended events cover up to the last telemetry day (one scalar), or
-        # up to ``open_until`` when given (a stream has no last day).
-        last_day = open_until if open_until is not None else tel.agg(F.max(F.col(time)).cast("date")).first()[0]
-        if last_day is None:
-            last = F.col("start_time").cast("date")
-        else:
-            last = last_day if isinstance(last_day, F.Column) else F.lit(last_day)
-        evd = ev.withColumn("_day", F.explode(F.sequence(
-            F.col("start_time").cast("date"),
-            F.coalesce((F.col("end_time") - F.expr("INTERVAL 1 MICROSECOND")).cast("date"),
-                       F.greatest(last, F.col("start_time").cast("date"))))))
-        telk = tel.withColumn("_tday", F.col(time).cast("date"))
-        j = (telk.join(evd, (F.col(device) == F.col("_ev_device")) & (F.col("_tday") == F.col("_day")) & cond_time, how)
-             .drop("_tday"))
-        if how not in ("left_semi", "left_anti"):
-            j = j.drop("_day")
+        bounded = ev.where("end_time IS NOT NULL AND end_time > start_time").withColumn("_day", F.explode(F.sequence(
+            F.col("start_time").cast("date"), (F.col("end_time") - F.expr("INTERVAL 1 MICROSECOND")).cast("date"))))
+        by_day = bounded.groupBy("_ev_device", "_day").agg(one.alias("_all"))
+        open_ = ev.where("end_time IS NULL").groupBy(F.col("_ev_device").alias("_op_device")).agg(one.alias("_open"))
+        j = tel.join(by_day, (F.col(device) == F.col("_ev_device")) & (F.col(time).cast("date") == F.col("_day")), "left")
+        j = j.join(open_, F.col(device) == F.col("_op_device"), "left").drop("_ev_device", "_op_device", "_day")
+        none = F.array().cast(by_day.schema["_all"].dataType)
+        j = j.withColumn("_all", F.concat(F.coalesce("_all", none), F.coalesce("_open", none))).drop("_open")
+    seconds = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {}) / 1e6"
+    t = f"`{time}`"
+    active = (f"filter(_all, e -> {t} >= e.start_time AND (e.end_time IS NULL OR {t} < e.end_time))")
+    fields = ", ".join(f"e.{f} AS {f}" for f in EVENT_FIELDS)
+    return j.withColumn("_active", F.expr(
+        f"transform(coalesce({active}, array()), e -> struct({fields}, "
+        f"{seconds.format(t)} - {seconds.format('e.start_time')} AS dt, "
+        f"{seconds.format('e.end_time')} - {seconds.format('e.start_time')} AS dur))")).drop("_all")
+
+
+def active_severities(period: float = INTERMITTENT_PERIOD_S) -> F.Column:
+    """``_active`` as structs of ord, event_type, max_severity and severity (L2)."""
+    sev = severity_sql("e.dt", "e.dur", "e.shape", "e.max_severity", "e.ramp_seconds", "e.ramp_down_seconds", period,
+                       "raise_error(concat('unknown fault shape: ', e.shape))")
+    return F.expr("transform(_active, e -> struct(e.ord AS ord, e.event_type AS event_type, "
+                  f"e.max_severity AS max_severity, CAST({sev} AS DOUBLE) AS severity))")
+
+
+def attach_faults(tel: DataFrame, events: DataFrame, device: str = "device", time: str = "time",
+                  how: str = "left", broadcast_limit: int | None = None, force: str | None = None) -> DataFrame:
+    """Interval join telemetry x fault events (L1): telemetry columns, event
+    columns, ``_dt`` / ``_dur`` seconds; ``how`` is left, inner, left_semi or
+    left_anti.  See :func:`with_active_events` for the join."""
+    j = with_active_events(tel, events, device, time, broadcast_limit, force)
     if how in ("left_semi", "left_anti"):
-        return j
-    return (j.drop("_ev_device")
-            .withColumn("_dt", epoch_s(F.col(time)) - epoch_s(F.col("start_time")))
-            .withColumn("_dur", epoch_s(F.col("end_time")) - epoch_s(F.col("start_time"))))
+        return j.where(F.size("_active") > 0 if how == "left_semi" else F.size("_active") == 0).drop("_active")
+    explode = F.explode if how == "inner" else F.explode_outer
+    j = j.withColumn("_e", explode("_active")).drop("_active")
+    return j.select(*tel.columns, *[F.col(f"_e.{f}").alias(f) for f in EVENT_FIELDS],
+                    F.col("_e.dt").alias("_dt"), F.col("_e.dur").alias("_dur"))
 
 
 def with_severity(joined: DataFrame, period: float = INTERMITTENT_PERIOD_S) -> DataFrame:
@@ -183,7 +200,7 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
                     normalise: bool = False, **join_kw) -> DataFrame:
     """Ground-truth labels per telemetry row (L1 -> L2 -> L3 -> L4).
 
-    One output row per input row with: ``fault_<type>`` 0/1 per configured
+    One output row per input row, equal rows included, with: ``fault_<type>`` 0/1 per configured
     type, ``is_faulted``, ``fault_labels`` ('|'-joined types in event order,
     'downtime' last, 'healthy' when none), ``severity`` (max over active
     faults), ``fault_severity`` class, ``fault_start_time`` (earliest
@@ -191,31 +208,20 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
     ``time_since_fault`` (NULL before that start).
     """
     keep = keep or []
-    base = tel.select(device, time, *keep)
-    # Rows no window touches skip the join and the grouping shuffle: they are
-    # healthy by definition (broadcast anti join).  Only rows inside a window
-    # are joined and grouped per (device, time).
-    kw = dict(join_kw)
-    kw["force"] = join_strategy(events, kw.get("broadcast_limit"), kw.get("force"))
-    miss = attach_faults(base, events, device, time, how="left_anti", **kw)
-    j = with_severity(attach_faults(base, events, device, time, how="inner", **kw))
-    sev = F.col("severity") / F.col("max_severity") if normalise else F.col("severity")
-    active = F.col("severity") > 0
-    aggs = [F.max(F.coalesce(sev, F.lit(0.0))).alias("severity")]
-    for t in fault_types:
-        aggs.append(F.max(F.when(active & (F.col("event_type") == t), 1).otherwise(0)).alias(f"fault_{t}"))
-    aggs.append(F.max(F.when(active & (F.col("event_type") == "downtime"), 1).otherwise(0)).alias("fault_downtime"))
-    aggs.append(F.array_sort(F.collect_set(F.when(active, F.struct(F.col("ord"), F.col("event_type"))))).alias("_lab"))
-    g = j.groupBy(device, time, *keep).agg(*aggs)
-    healthy = miss.select(device, time, *keep, F.lit(0.0).alias("severity"),
-                          *[F.lit(0).alias(f"fault_{t}") for t in fault_types], F.lit(0).alias("fault_downtime"),
-                          F.array_sort(F.array().cast("array<struct<ord:int,event_type:string>>")).alias("_lab"))
-    g = g.unionByName(healthy)
-    labels = F.array_join(F.array_distinct(F.col("_lab.event_type")), "|")
-    out = (g.withColumn("is_faulted", (F.col("severity") > 0).cast("int"))
-           .withColumn("fault_labels", F.when(F.size("_lab") > 0, labels).otherwise(F.lit("healthy")))
-           .withColumn("fault_severity", severity_class(F.col("severity")))
-           .drop("_lab"))
+    j = with_active_events(tel.select(device, time, *keep), events, device, time, **join_kw)
+    j = j.withColumn("_sev", active_severities()).drop("_active")
+    # a fault type of no severity counts as it is when normalised
+    value = "s.severity / nullif(s.max_severity, 0)" if normalise else "s.severity"
+    flags = [F.expr(f"CAST(exists(_sev, s -> s.severity > 0 AND s.event_type = '{t}') AS INT)").alias(f"fault_{t}")
+             for t in [*fault_types, *([] if "downtime" in fault_types else ["downtime"])]]
+    on = "filter(_sev, s -> s.severity > 0)"
+    labels = F.expr(f"array_join(array_distinct(transform(array_sort(transform({on}, s -> struct(s.ord AS ord, s.event_type AS event_type))), "
+                    "s -> s.event_type)), '|')")
+    out = j.select(device, time, *keep, F.expr(f"coalesce(array_max(transform(_sev, s -> {value})), 0.0D)").alias("severity"), *flags,
+                   F.expr(f"size({on}) > 0").alias("_on"), labels.alias("_lab"))
+    out = (out.withColumn("is_faulted", (F.col("severity") > 0).cast("int"))
+           .withColumn("fault_labels", F.when(F.col("_on"), F.col("_lab")).otherwise(F.lit("healthy")))
+           .withColumn("fault_severity", severity_class(F.col("severity"))).drop("_on", "_lab"))
     # L4: earliest fault start per device, as a small aggregate joined back
     # (no device-wide window, so a hot device is not sorted in one task).
     starts = (out.where(F.col("is_faulted") == 1).groupBy(device)

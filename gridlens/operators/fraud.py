@@ -41,8 +41,9 @@ def high_value(tx: DataFrame, amount: str, category: str, risky: list[str], q: f
     The threshold is one scalar aggregate."""
     from gridlens.operators.quantiles import exact_quantiles
     base = tx.where(normal) if normal is not None else tx
-    thr = exact_quantiles(base, amount, [q]).first()["value"]
-    return tx.where((F.col(amount) > F.lit(thr)) & F.col(category).isin(risky)).withColumn("threshold", F.lit(thr))
+    got = exact_quantiles(base, amount, [q]).first()
+    thr = F.lit(got["value"] if got else None).cast("double")  # no normal row, no threshold, no row
+    return tx.where((F.col(amount) > thr) & F.col(category).isin(risky)).withColumn("threshold", thr)
 
 
 def amount_residual(tx: DataFrame, amount: str, spend: str, mult: str, sigma: float = 0.75,
@@ -144,8 +145,9 @@ def cdf_sql(dist: str, x: str, mean: str, mu: str = "0e0", sigma: str = "1e0") -
 def dist_audit(df: DataFrame, col: str, dist: str = "exponential", bins: int = 1000) -> DataFrame:
     """Fit of a reference distribution and KS distance on a binned CDF.
 
-    Values are counted in ``bins`` equal bins over [0, max]; the empirical
-    CDF at each bin edge (prefix sum over the small bin table) is compared
+    Values are counted in ``bins`` equal bins over [0, max] (negative ones in
+    the first); an empty column gives one row with n = 0.  The empirical CDF at
+    each bin edge (prefix sum over the small bin table) is compared
     with the model CDF.  No window over the rows themselves.
     """
     x = F.col(col).cast("double")
@@ -154,9 +156,13 @@ def dist_audit(df: DataFrame, col: str, dist: str = "exponential", bins: int = 1
                F.max(x).alias("mx"), F.avg(F.log(F.when(x > 0, x))).alias("mu"),
                F.stddev_samp(F.log(F.when(x > 0, x))).alias("sigma")).first()
     n, mean, std, mx = st["n"], st["mean"], st["std"], st["mx"]
+    if not n:
+        none = F.lit(None).cast("double")
+        return df.sparkSession.range(1).select(F.lit(dist).alias("dist"), F.lit(0).cast("long").alias("n"), none.alias("mean"),
+                                               none.alias("std"), none.alias("cv"), none.alias("ks"))
     mu, sigma = st["mu"] or 0.0, st["sigma"] or 1.0
     w = mx / bins if mx and mx > 0 else 1.0
-    b = F.least(F.floor(x / F.lit(w)), F.lit(bins - 1)).cast("long")
+    b = F.greatest(F.least(F.floor(x / F.lit(w)), F.lit(bins - 1)), F.lit(0)).cast("long")
     counts = d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     from pyspark.sql import Window
     cum = counts.withColumn("cum", F.sum("c").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
@@ -167,21 +173,23 @@ def dist_audit(df: DataFrame, col: str, dist: str = "exponential", bins: int = 1
                      F.lit(std).alias("std"), (F.lit(std) / F.lit(mean)).alias("cv"), "ks")
 
 
-def dist_audit_expo(df: DataFrame, col: str, bins: int = 1000) -> DataFrame:
-    """A12 for the exponential model (kept for callers of the first form)."""
-    return dist_audit(df, col, "exponential", bins).drop("dist")
-
-
 def detector_report(pred: DataFrame, truth: DataFrame, key: str, pred_col: str, truth_col: str,
                     by: list[str] | None = None) -> DataFrame:
-    """Confusion counts, precision, recall, F1 per group."""
+    """Confusion counts, precision, recall, F1 per group.
+
+    ``pred`` may hold the flagged rows only: a true row without a prediction
+    counts as predicted 0.  Predictions without a true row are counted apart
+    (``n_no_truth``).  ``by`` are columns of ``truth`` if it has them, else of
+    ``pred`` (null for rows without a prediction).
+    """
     by = by or []
-    j = pred.select(key, *by, F.col(pred_col).cast("int").alias("_p")).join(
-        truth.select(key, F.col(truth_col).cast("int").alias("_t")), key)
-    g = j.groupBy(*by).agg(F.count_if((F.col("_p") == 1) & (F.col("_t") == 1)).alias("tp"),
-                           F.count_if((F.col("_p") == 1) & (F.col("_t") == 0)).alias("fp"),
-                           F.count_if((F.col("_p") == 0) & (F.col("_t") == 1)).alias("fn"),
-                           F.count_if((F.col("_p") == 0) & (F.col("_t") == 0)).alias("tn"))
+    side = lambda df: [c for c in by if (c in truth.columns) == (df is truth)]
+    p = pred.select(F.col(key).alias("_k"), *side(pred), F.col(pred_col).cast("int").alias("_p"))
+    j = p.join(truth.select(key, *side(truth), F.col(truth_col).cast("int").alias("_t")), F.col("_k") == F.col(key), "full_outer")
+    flag, true = F.coalesce("_p", F.lit(0)) == 1, F.col("_t") == 1
+    g = j.groupBy(*by).agg(F.count_if(flag & true).alias("tp"), F.count_if(flag & (F.col("_t") == 0)).alias("fp"),
+                           F.count_if(~flag & true).alias("fn"), F.count_if(~flag & (F.col("_t") == 0)).alias("tn"),
+                           F.count_if(F.col("_t").isNull()).alias("n_no_truth"))
     prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
     f1 = F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))

@@ -95,8 +95,8 @@ def attach_rate(lines: DataFrame, order: str, item: str, anchors: list[str]) ->
 def older_than_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
     """Rows strictly below the exact q-quantile of ``col`` (scalar first)."""
     from gridlens.operators.quantiles import exact_quantiles
-    thr = exact_quantiles(df, col, [q]).first()["value"]
-    return df.where(F.col(col) < F.lit(thr))
+    got = exact_quantiles(df, col, [q]).first()
+    return df.where(F.col(col) < F.lit(got["value"] if got else None).cast("double"))
 
 
 def expected_months(subs: DataFrame, key: list[str], start: str, end: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.functions import physics as PH
-from gridlens.operators.faults import attach_faults, with_severity
+from gridlens.operators.faults import active_severities, with_active_events
 from gridlens.operators.scoring import with_exprs, chain_sql
 
 # Each effect: list of (column, SQL expression); ``{s}`` is the severity
@@ -130,13 +130,12 @@ REGISTRY = {"solar": SOLAR_EFFECTS, "wind": WIND_EFFECTS, "pump": PUMP_EFFECTS}
 
 
 def check_types(events: DataFrame, kind: str, type_col: str = "event_type") -> None:
-    """Every fault type in the event table must have an effect; the
-    distinct types are few, so they are compared on the driver."""
-    known = set(REGISTRY[kind])
-    seen = {r[0] for r in events.select(type_col).distinct().collect()}
-    unknown = sorted(t for t in seen if t not in known)
-    if unknown:
-        raise ValueError(f"unknown {kind} fault type(s): {unknown}")
+    """Every fault type in the event table must have an effect; one
+    aggregate counts the rows of other types and names a few."""
+    other = events.where(~F.col(type_col).isin(*REGISTRY[kind]) | F.col(type_col).isNull())
+    got = other.agg(F.count(F.lit(1)).alias("n"), F.min(type_col).alias("a"), F.max(type_col).alias("z")).first()
+    if got["n"]:
+        raise ValueError(f"unknown {kind} fault type(s) in {got['n']} rows: {sorted({str(got['a']), str(got['z'])})}")
 
 
 def steps(kind: str, order: list[str], power_sql: str | None = None, outside_window: str = "none") -> list[tuple[str, str]]:
@@ -159,20 +158,14 @@ def steps(kind: str, order: list[str], power_sql: str | None = None, outside_win
 def severity_wide(tel: DataFrame, events: DataFrame, types: list[str], device: str = "device", time: str = "time",
                   keep: list[str] | None = None, row_key: str | None = None, **join_kw) -> DataFrame:
     """Telemetry + one ``sev_<type>`` column per type (max over that type's
-    active faults, 0 when none) from the interval join (L1 + L2).
-
-    With ``row_key`` (a unique row id) every column of ``tel`` is carried
-    through the grouping on that id, so no join back to the full table is
-    needed; otherwise the result has (device, time, keep) + severities."""
-    keep = keep or []
-    src = tel if row_key else tel.select(device, time, *keep)
-    j = with_severity(attach_faults(src, events, device, time, **join_kw))
-    aggs = [F.max(F.when(F.col("event_type") == t, F.col("severity")).otherwise(F.lit(0.0))).alias(f"sev_{t}")
-            for t in types]
-    if row_key:
-        carry = [F.first(c).alias(c) for c in tel.columns if c != row_key]
-        return j.groupBy(row_key).agg(*carry, *aggs).select(*tel.columns, *[f"sev_{t}" for t in types])
-    return j.groupBy(device, time, *keep).agg(*aggs)
+    active faults, 0 when none): one scan, one row out per row in.
+
+    With ``row_key`` all columns of ``tel`` are kept, otherwise (device, time, keep)."""
+    src = tel if row_key else tel.select(device, time, *(keep or []))
+    j = with_active_events(src, events, device, time, **join_kw).withColumn("_sev", active_severities())
+    return j.select(*src.columns, *[
+        F.expr(f"coalesce(array_max(transform(filter(_sev, s -> s.event_type = '{t}'), s -> s.severity)), 0.0D)").alias(f"sev_{t}")
+        for t in types])
 
 
 def overlay(df: DataFrame, kind: str, order: list[str], power_sql: str | None = None,

@@ -1,149 +1,56 @@
-"""Exact quantiles without gathering a group in one task.
+"""Exact quantiles without gathering a large group in one task.
 
 ``percentile`` merges every distinct value of a group into one aggregation
-buffer, i.e. one task holds the whole group.  :func:`exact_quantiles`
-finds the same values (linear interpolation between the order statistics
-at floor/ceil of (n-1)q, as ``percentile``/``quantile_cont``) by histogram
-refinement:
-
-1. one aggregate gives n, min and max per group;
-2. each pass counts the values of every pending target's current range
-   [lo, hi] in ``buckets`` equal buckets (distributed, map-side combined,
-   <= targets x buckets result rows) and keeps the bucket holding the
-   target's rank, narrowed to its exact min/max;
-3. a target is done when its range holds one distinct value, or at most
-   ``max_final`` values, which are then fetched and ranked.
-
-Each pass shrinks a range by about ``buckets``, so a few passes suffice;
-the state that travels between passes is small (targets x buckets).
+buffer, i.e. one task holds the whole group.  Groups above ``hot_rows`` values
+are ranked instead: their values are sorted by (group, value) over range
+partitions, rows are numbered by per-partition offsets, and the two order
+statistics at floor/ceil of (n-1)q are picked by position.  Nothing but scalars
+reaches the driver, and values may be infinite or NaN (the greatest, as in
+``percentile``).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from gridlens.operators.windows import null_safe_join, sequential_ids
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] | None = None,
-                    buckets: int = 1024, max_final: int = 20000, max_targets: int = 200000,
                     hot_rows: int | None = None) -> DataFrame:
-    """DataFrame(keys..., q, value): exact quantiles of ``col`` per group.
-
-    Groups with more than ``hot_rows`` values are refined as described
-    above; the others - however many there are - use the built-in
-    ``percentile`` aggregate, whose per-group buffer is then bounded by
-    ``hot_rows``.  Only the hot groups' statistics reach the driver (at most
-    rows / hot_rows of them)."""
+    """DataFrame(keys..., q, value): exact quantiles of ``col`` per group, by
+    linear interpolation; the same for groups below and above ``hot_rows``."""
+    from gridlens.session import setting
     keys = keys or []
-    spark = df.sparkSession
     if hot_rows is None:
-        from gridlens.session import setting
-        hot_rows = setting(spark, "quantileHotRows", 5_000_000)
-    # null-safe group id: each key tagged N (null) or V<value>, joined by \x01
-    gk = (F.concat_ws("\x01", *[F.when(F.col(k).isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.col(k).cast("string")))
-                                for k in keys]) if keys else F.lit(""))
-    base = (df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-            .withColumn("_gk", gk))
-    key_fields = [f for f in df.schema.fields if f.name in keys]
-    out_schema = T.StructType([*key_fields, T.StructField("q", T.DoubleType()), T.StructField("value", T.DoubleType())])
-
-    all_stats = base.groupBy("_gk").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("mn"),
-                                        F.max("_x").alias("mx"), *[F.first(k).alias(k) for k in keys])
-    stats = all_stats.where(F.col("n") > hot_rows).collect()
-    if len(stats) * len(qs) * 2 > max_targets:
-        raise ValueError("too many hot groups for refinement")
-    hot_keys = [r["_gk"] for r in stats]
-
-    # ordinary groups: the grouped aggregate (bounded by hot_rows per group)
-    small = base if not hot_keys else base.join(
-        F.broadcast(spark.createDataFrame([(g,) for g in hot_keys], "_gk string")), "_gk", "left_anti")
-    pq = small.groupBy("_gk", *keys).agg(F.percentile("_x", [float(q) for q in qs]).alias("_p"))
-    small_out = pq.select(*keys, F.posexplode("_p").alias("_i", "value")).select(
-        *keys, F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("_i") + 1).alias("q"), "value")
-    if not stats:
-        return small_out
-
-    # targets: (group key, rank) -> state
-    state = {}
-    for r in stats:
-        n = r["n"]
-        for q in qs:
-            h = (n - 1) * q
-            for rank in {int(math.floor(h)), int(math.ceil(h))}:
-                state.setdefault((r["_gk"], rank), {"lo": r["mn"], "hi": r["mx"], "k": rank, "val": None,
-                                                    "final": False})
-    for st in state.values():
-        if st["lo"] == st["hi"]:
-            st["val"] = st["lo"]
-
-    sschema = T.StructType([T.StructField("_gk", T.StringType()), T.StructField("_rid", T.LongType()),
-                            T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())])
-
-    def pending(final: bool):
-        return [t for t, st in state.items() if st["val"] is None and st["final"] == final]
-
-    def ranges_of(targets):
-        """Targets sharing (group, lo, hi) share one histogram / value set."""
-        rid = {}
-        for t in targets:
-            rid.setdefault((t[0], state[t]["lo"], state[t]["hi"]), len(rid))
-        return rid
-
-    def in_range(rid):
-        rows = [(g, i, lo, hi) for (g, lo, hi), i in rid.items()]
-        sdf = spark.createDataFrame(rows, sschema)  # small: bounded by max_targets
-        return (base.join(F.broadcast(sdf), "_gk")
-                .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
-
-    while pending(False):
-        todo = pending(False)
-        rid = ranges_of(todo)
-        j = in_range(rid)
-        b = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(buckets))),
-                    F.lit(buckets - 1)).cast("long")
-        hist = (j.groupBy("_rid", b.alias("_b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("bmin"), F.max("_x").alias("bmax")).collect())
-        by_r = {}
-        for r in hist:
-            by_r.setdefault(r["_rid"], []).append(r)
-        for v in by_r.values():
-            v.sort(key=lambda r: r["_b"])
-        for t in todo:
-            st = state[t]
-            cum = 0
-            for r in by_r.get(rid[(t[0], st["lo"], st["hi"])], []):
-                if cum + r["c"] > st["k"]:
-                    st["k"] -= cum
-                    st["lo"], st["hi"] = r["bmin"], r["bmax"]
-                    if r["bmin"] == r["bmax"]:
-                        st["val"] = r["bmin"]
-                    elif r["c"] <= max_final:
-                        st["final"] = True
-                    break
-                cum += r["c"]
-
-    fin = pending(True)
-    if fin:
-        rid = ranges_of(fin)
-        vals = {}
-        for r in in_range(rid).select("_rid", "_x").collect():   # <= max_final rows per range
-            vals.setdefault(r["_rid"], []).append(r["_x"])
-        for v in vals.values():
-            v.sort()
-        for t in fin:
-            st = state[t]
-            st["val"] = vals[rid[(t[0], st["lo"], st["hi"])]][st["k"]]
-
-    out = []
-    for r in stats:
-        n = r["n"]
-        for q in qs:
-            h = (n - 1) * q
-            lo, hi = int(math.floor(h)), int(math.ceil(h))
-            vlo, vhi = state[(r["_gk"], lo)]["val"], state[(r["_gk"], hi)]["val"]
-            v = vlo if lo == hi else vlo + (h - lo) * (vhi - vlo)
-            out.append((*[r[k] for k in keys], float(q), float(v)))
-    return small_out.unionByName(spark.createDataFrame(out, out_schema))
+        hot_rows = setting(df.sparkSession, "quantileHotRows", 5_000_000)
+    base = df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") > hot_rows)
+    quantiles = F.array(*[F.lit(float(q)) for q in qs])
+
+    def by_percentile(rows):
+        p = rows.groupBy(*keys).agg(F.percentile("_x", [float(q) for q in qs]).alias("_p"), F.count(F.lit(1)).alias("_n"))
+        p = p.where("_n > 0").select(*keys, F.posexplode("_p").alias("_i", "value"))
+        return p.select(*keys, F.element_at(quantiles, F.col("_i") + 1).alias("q"), "value")
+
+    if hot.isEmpty():
+        return by_percentile(base)
+    marked = null_safe_join(base, hot, keys, "left") if keys else base.withColumn("_n", F.lit(hot.first()["_n"]))
+    small = by_percentile(marked.where("_n IS NULL").drop("_n"))
+    # NaN sorts after infinity; positions count from 0 within the group
+    ranked = sequential_ids(marked.where("_n IS NOT NULL"), [*keys, "_x"], start=0, out="_at")
+    first = ranked.groupBy(*keys).agg(F.min("_at").alias("_first"))
+    ranked = null_safe_join(ranked, first, keys) if keys else ranked.withColumn("_first", F.lit(0))
+    place = F.col("_at") - F.col("_first")
+    wanted = F.transform(quantiles, lambda q: (F.col("_n") - 1) * q)
+    pick = ranked.where(F.exists(wanted, lambda h: (F.floor(h) == place) | (F.ceil(h) == place)))
+    pick = pick.withColumn("_h", F.explode(F.arrays_zip(quantiles.alias("q"), wanted.alias("h")))).withColumn("_p", place)
+    h = F.col("_h.h")
+    low = F.max(F.when(F.floor(h) == F.col("_p"), F.col("_x"))).alias("_lo")
+    high = F.max(F.when(F.ceil(h) == F.col("_p"), F.col("_x"))).alias("_hi")
+    got = pick.groupBy(*keys, F.col("_h.q").alias("q"), h.alias("_hh")).agg(low, high)
+    up = F.col("_hh") - F.floor("_hh")
+    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise((1 - up) * F.col("_lo") + up * F.col("_hi"))
+    return small.unionByName(got.select(*keys, "q", value.alias("value")))

@@ -184,7 +184,7 @@ SELECT w.n, {R('w.mean')} AS mean, {R('w.std')} AS std, {R('w.std / w.mean')} AS
 FROM cu, w GROUP BY w.n, w.mean, w.std, w.w""")
 def q_dist_audit(spark, sf):
     """Exponential fit of the amounts and KS distance on a binned CDF."""
-    d = A.dist_audit_expo(table(spark, sf, "events"), "value", 1000)
+    d = A.dist_audit(table(spark, sf, "events"), "value", "exponential", 1000)
     return d.select("n", r6("mean").alias("mean"), r6("std").alias("std"), r6("cv").alias("cv"), r6("ks").alias("ks"))
 
 
@@ -193,15 +193,30 @@ g AS (SELECT source, CAST(count_if(p = 1 AND t = 1) AS BIGINT) AS tp, CAST(count
   CAST(count_if(p = 0 AND t = 1) AS BIGINT) AS fn, CAST(count_if(p = 0 AND t = 0) AS BIGINT) AS tn FROM j GROUP BY source)
 SELECT source, tp, fp, fn, tn, {R('CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END')} AS precision,
   {R('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END')} AS recall,
-  {R('CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) END')} AS f1 FROM g""")
+  {R('CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) END')} AS f1 FROM g""", digits=6)
 def q_detector_report(spark, sf):
     """Precision / recall / F1 of a detector (low quality -> toxic) per source."""
-    lab = table(spark, sf, "labels")
-    docs = table(spark, sf, "documents").select("doc_id", "source")
-    pred = lab.join(docs, "doc_id").withColumn("pred", (F.col("quality") == 0).cast("int"))
-    r = A.detector_report(pred, lab, "doc_id", "pred", "toxic", by=["source"])
-    return r.select("source", "tp", "fp", "fn", "tn", r6("precision").alias("precision"),
-                    r6("recall").alias("recall"), r6("f1").alias("f1"))
+    truth = _labels_with_source(spark, sf)
+    pred = truth.select("doc_id", (F.col("quality") == 0).cast("int").alias("pred"))
+    return A.detector_report(pred, truth, "doc_id", "pred", "toxic", by=["source"]).drop("n_no_truth")
+
+
+def _labels_with_source(spark, sf):
+    return table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+
+
+@register("detector_report_flagged", f"""WITH j AS (SELECT source, CAST(quality = 0 AND doc_id % 3 > 0 AS INTEGER) AS p, toxic AS t
+  FROM labels JOIN documents USING (doc_id)),
+g AS (SELECT source, CAST(count_if(p = 1 AND t = 1) AS BIGINT) AS tp, CAST(count_if(p = 1 AND t = 0) AS BIGINT) AS fp,
+  CAST(count_if(p = 0 AND t = 1) AS BIGINT) AS fn, CAST(count_if(p = 0 AND t = 0) AS BIGINT) AS tn FROM j GROUP BY source)
+SELECT source, tp, fp, fn, tn, CAST(0 AS BIGINT) AS n_no_truth, {R('CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END')} AS precision,
+  {R('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END')} AS recall,
+  {R('CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) END')} AS f1 FROM g""", digits=6)
+def q_detector_report_flagged(spark, sf):
+    """A13 on a prediction that holds flagged rows only: what it misses counts against its recall."""
+    truth = _labels_with_source(spark, sf)
+    pred = truth.where((F.col("quality") == 0) & (F.col("doc_id") % 3 > 0)).select("doc_id", F.lit(1).alias("pred"))
+    return A.detector_report(pred, truth, "doc_id", "pred", "toxic", by=["source"])
 
 
 @register("volume_audit", f"""WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders GROUP BY 1),

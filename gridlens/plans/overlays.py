@@ -16,7 +16,6 @@ from gridlens.functions.exprs import r6, r6_sql as R
 from gridlens.operators import overlay as OV
 from gridlens.operators.clean import (SOLAR_BOUNDS, WIND_BOUNDS, PUMP_BOUNDS, SOLAR_NIGHT_COLS, bound_sql,
                                       finish_table)
-from gridlens.operators.faults import attach_faults, join_strategy
 from gridlens.operators.scoring import with_exprs, chain_sql, interp_curve, curve_sql
 from gridlens.plans.faults import FAULT_TYPES, fault_events, fe_sql
 from gridlens.plans.registry import register, table
@@ -68,14 +67,8 @@ def _sev_sql(types, order, src="s"):
 
 
 def _with_sev(spark, sf, base, types, order):
-    """Healthy table + per-type severities.  Rows that no fault window touches
-    skip the aggregation (broadcast anti join -> sev = 0); only the faulted
-    rows go through the interval join and the grouping shuffle."""
-    ev = fault_events(spark, sf, types)
-    how = join_strategy(ev)
-    miss = attach_faults(base, ev, how="left_anti", force=how)
-    faulted = OV.severity_wide(base, ev, order, row_key="event_id", how="inner", force=how)
-    return faulted.unionByName(miss.select(*miss.columns, *[F.lit(0.0).alias(f"sev_{t}") for t in order]))
+    """Healthy table + per-type severities, in one scan."""
+    return OV.severity_wide(base, fault_events(spark, sf, types), order, row_key="event_id")
 
 
 # --- J12 solar -------------------------------------------------------------------------

@@ -397,26 +397,33 @@ def q_vibration_residual(spark, sf):
 
 
 # --- D17 -------------------------------------------------------------------------------------------
-# Fixed values that must equal the reference's overheat rule: temperature
-# 34 C over 10, irradiance 780 over 350, window 11:00-16:30, 0.45/0.55 mix,
-# sine of step/2.3 above 0.15, trip at 0.70, derate 0.22 x severity.
-OVERHEAT_EXPRS = {
-    "temp": "2e1 + value / 1e1",
-    "irr": "least(value * 4e0, 1.25e3)",
-    "hr": "CAST(hour(time) AS DOUBLE) + CAST(minute(time) AS DOUBLE) / 6e1",
-    "step": f"floor({'(epoch_us(time) / 1e6)'} / 6e2)",
-    "hot": "hr >= 1.1e1 AND hr <= 1.65e1 AND temp > 3.4e1",
-    "base": "least(greatest((temp - 3.4e1) / 1e1, 0e0), 1e0) + least(greatest((irr - 7.8e2) / 3.5e2, 0e0), 1e0)",
-    "severity": "CASE WHEN hot THEN least(greatest(4.5e-1 * base + 5.5e-1 * (CASE WHEN sin(step / 2.3e0) > 1.5e-1 THEN 1e0 ELSE 0e0 END), 0e0), 1e0) ELSE 0e0 END",
-    "action": "CASE WHEN severity >= 7e-1 THEN 'trip' WHEN severity > 0 THEN 'derate' ELSE 'none' END",
-    "power_factor": "CASE WHEN severity >= 7e-1 THEN 0e0 ELSE 1e0 - 2.2e-1 * severity END",
-}
+# Fixed values that must equal the reference's overheat rule: 34 C and over,
+# 780 W/m2 and over, 11:00-16:30; excess over 10 C and 350 W/m2; 0.45/0.55 mix;
+# sine of steps/2.3 above 0.15; trip at 0.70, derate 0.22 x severity.
+def overheat_exprs(seconds: str, start_s: float, step_s: float = 600.0, temp_min: float = 34.0, irr_min: float = 780.0,
+                   from_hour: float = 11.0, to_hour: float = 16.5, trigger: float = 0.15, trip: float = 0.70) -> dict:
+    """D17 as ordered (column, SQL); ``seconds`` is the row's epoch time, steps count from ``start_s``."""
+    share = f"least(greatest((temp - {temp_min!r}) / 1e1, 0e0), 1e0) + least(greatest((irr - {irr_min!r}) / 3.5e2, 0e0), 1e0)"
+    return {
+        "temp": "2e1 + value / 1e1",
+        "irr": "least(value * 4e0, 1.25e3)",
+        "hr": "CAST(hour(time) AS DOUBLE) + CAST(minute(time) AS DOUBLE) / 6e1",
+        "step": f"floor(({seconds} - {start_s!r}) / {step_s!r})",
+        "hot": f"hr >= {from_hour!r} AND hr <= {to_hour!r} AND temp >= {temp_min!r} AND irr >= {irr_min!r}",
+        "base": share,
+        "severity": f"CASE WHEN hot THEN least(greatest(4.5e-1 * base + 5.5e-1 * (CASE WHEN sin(step / 2.3e0) > {trigger!r} THEN 1e0 ELSE 0e0 END), 0e0), 1e0) ELSE 0e0 END",
+        "action": f"CASE WHEN severity >= {trip!r} THEN 'trip' WHEN severity > 0 THEN 'derate' ELSE 'none' END",
+        "power_factor": f"CASE WHEN severity >= {trip!r} THEN 0e0 ELSE 1e0 - 2.2e-1 * severity END",
+    }
+
+
+#: The event table begins on 2024-01-01.
+OVERHEAT_START_S = 1704067200.0
+OVERHEAT_EXPRS = overheat_exprs("(epoch_us(time) / 1e6)", OVERHEAT_START_S)
 
 
 def _overheat_exprs_spark():
-    e = dict(OVERHEAT_EXPRS)
-    e["step"] = "floor((timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', time) / 1e6) / 6e2)"
-    return e
+    return overheat_exprs("(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', time) / 1e6)", OVERHEAT_START_S)
 
 
 _OH_CTE, _OH_LAST = SC.chain_sql(EV_BASE_SQL, OVERHEAT_EXPRS, "o")

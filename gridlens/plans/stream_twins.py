@@ -77,7 +77,7 @@ def q_stream_label(spark, sf):
 def q_stream_dedup(spark, sf):
     """T5: the events stream arriving twice; duplicates dropped within the watermark."""
     a, b = _ev(spark, sf), _ev(spark, sf)
-    s = ST.stream_dedup(a.unionByName(b), "ts", ["user_id"])
+    s = ST.stream_dedup(a.unionByName(b), "ts", ["event_id"])
     return ST.run_available_now(s, "dedup")
 
 

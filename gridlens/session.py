@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -68,8 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when the session has none (local tests) do we pick
-    a fresh scratch folder.
+    file system), and it must name one.  Only a local session without it gets
+    a fresh scratch folder, removed when Python ends.
     """
     try:
         sc = spark.sparkContext
@@ -79,7 +80,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="gridlens-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001  (static on some deployments; the context setting below suffices)
@@ -92,8 +96,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     import uuid
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

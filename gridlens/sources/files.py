@@ -83,17 +83,13 @@ def write_dataset(df: DataFrame, path: str, partition_by: list[str] | None = Non
 def read_pandas_parquet(spark: SparkSession, path: str, ts_cols: list[str]) -> DataFrame:
     """Parquet written by pandas with nanosecond timestamps.  Spark
     rejects INT64 NANOS unless ``nanosAsLong``; the longs are turned back
-    into microsecond timestamp_ntz."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    try:
-        df = spark.read.parquet(path)
-        cols = [
-            (F.timestamp_micros(F.floor(F.col(c) / 1000)).cast("timestamp_ntz").alias(c)
-             if c in ts_cols else F.col(c)) for c in df.columns
-        ]
-        return df.select(*cols)
-    finally:
-        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+    into microsecond timestamp_ntz.  The setting belongs to a session of its
+    own, so reads beside this one never see it."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    df = own.read.parquet(path)
+    return df.select(*[F.timestamp_micros(F.floor(F.col(c) / 1000)).cast("timestamp_ntz").alias(c) if c in ts_cols else F.col(c)
+                       for c in df.columns])
 
 
 def publish_view(df: DataFrame, target: str, row_id: str, ignore: list[str] | None = None,

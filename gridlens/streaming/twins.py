@@ -47,22 +47,19 @@ def file_stream(spark: SparkSession, directory: str, file_glob: str = "*.parquet
     return r.parquet(directory)
 
 
-def late_rows_dropped(query) -> int:
-    """Rows dropped by watermarks (state operators' numRowsDroppedByWatermark
-    over the query's progress reports)."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", []):
-            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(op, "numRowsDroppedByWatermark", 0)
-            total += int(v or 0)
-    return total
+def _dropped(progress) -> int:
+    ops = progress.get("stateOperators", []) if isinstance(progress, dict) else getattr(progress, "stateOperators", [])
+    return sum(int((op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(op, "numRowsDroppedByWatermark", 0)) or 0)
+               for op in ops)
 
 
 def run_available_now(sdf: DataFrame, name: str, output_mode: str = "append",
                       partition_by: list[str] | None = None, metrics: dict | None = None) -> DataFrame:
     """Run a streaming query to completion over all available input and
     return its Parquet sink as a batch DataFrame.  ``metrics`` (a dict), when
-    given, receives the number of late rows dropped by watermarks."""
+    given, receives the number of batches and of late rows dropped by
+    watermarks, gathered while the query runs (a query keeps its last 100
+    progress reports only)."""
     spark = sdf.sparkSession
     out = scratch_path(spark, f"stream-{name}")
     w = (sdf.writeStream.format("parquet").outputMode(output_mode)
@@ -71,12 +68,18 @@ def run_available_now(sdf: DataFrame, name: str, output_mode: str = "append",
     if partition_by:
         w = w.partitionBy(*partition_by)
     q = w.start()
-    q.awaitTermination()
+    seen = {}
+    while True:
+        ended = q.awaitTermination(0.5 if metrics is not None else 3600)
+        for p in q.recentProgress if metrics is not None else []:
+            seen[p["batchId"] if isinstance(p, dict) else p.batchId] = _dropped(p)
+        if ended:
+            break
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     if metrics is not None:
-        metrics["late_rows_dropped"] = late_rows_dropped(q)
-        metrics["batches"] = len(q.recentProgress)
+        metrics["late_rows_dropped"] = sum(seen.values())
+        metrics["batches"] = len(seen)
     return spark.read.schema(sdf.schema).parquet(out + "/data")
 
 
@@ -153,20 +156,14 @@ def stream_ping(ev: DataFrame, ts: str, keys: list[str], amount: str, max_amount
     return g.where(F.col("n").between(min_n, max_n)).select(*keys, "session_start", "session_end", "n")
 
 
-def stream_label(ev: DataFrame, events_static: DataFrame, device: str, time: str,
-                 open_days: int = 366) -> DataFrame:
-    """T4 (twin of L1): stream x static fault windows - stateless, so every
-    micro-batch is labelled against the current event table.  The static
-    side gets the same size check as the batch join: broadcast when it fits,
-    else the (device, day) equi-join, with open-ended faults expanded up to
-    ``open_days`` after the latest fault start (a stream has no last day)."""
-    from gridlens.operators.faults import attach_faults, join_strategy
-    how = join_strategy(events_static)
-    until = None
-    if how == "bucketed":
-        last = events_static.agg(F.max("start_time").cast("date")).first()[0]
-        until = F.date_add(F.lit(last), open_days) if last is not None else None
-    return attach_faults(ev, events_static, device, time, how="inner", force=how, open_until=until)
+def stream_label(ev: DataFrame, events_static: DataFrame, device: str, time: str) -> DataFrame:
+    """T4 (twin of L1): stream x static fault windows - stateless.  The static
+    side gets the same size check as the batch join, and open faults hold for
+    any later row on either path.  The fault table is the one given when the
+    query starts; restart the query (its checkpoint keeps its place) to take
+    up new faults."""
+    from gridlens.operators.faults import attach_faults
+    return attach_faults(ev, events_static, device, time, how="inner")
 
 
 def stream_dedup(ev: DataFrame, ts: str, keys: list[str], delay: str = "10 minutes") -> DataFrame:

@@ -113,7 +113,7 @@ def test_exact_quantiles_match_percentile(spark):
     assert sizes[0] < sizes[-1]
     # hot_rows=0: every group refined; between the sizes: big groups refined, the rest aggregated
     for hot in (0, sizes[0]):
-        res = exact_quantiles(df, "x", qs, ["k"], buckets=4, max_final=7, hot_rows=hot).collect()
+        res = exact_quantiles(df, "x", qs, ["k"], hot_rows=hot).collect()
         ours = {(r["k"], r["q"]): r["value"] for r in res}
         assert len(res) == len(want) * len(qs)
         for k, p in want.items():
@@ -162,3 +162,26 @@ def test_weighted_draws_follow_weights(spark):
     light = sum(got.get(i, 0) for i in range(50)) / 50
     heavy = sum(got.get(i, 0) for i in range(50, 100)) / 50
     assert 15 < heavy / light < 27      # expected ratio 20
+
+
+def test_exact_quantiles_of_infinite_and_nan_values(spark):
+    """The ranked path orders and interpolates like ``percentile``, with as many hot groups as there are keys."""
+    from gridlens.operators.quantiles import exact_quantiles
+    inf, nan = float("inf"), float("nan")
+    rows = [(g, v) for g in range(40) for v in (1.0, 2.5, float(g), -inf, inf, 7.0)] + [(40, nan), (40, 1.0), (40, inf), (None, 3.0), (None, 9.0)]
+    df = spark.createDataFrame(rows, "k long, x double").repartition(5)
+    qs = [0.0, 0.25, 0.4, 0.5, 1.0]
+    key = lambda r: (r["k"] is not None, r["k"] or 0, r["q"])
+    a = sorted(exact_quantiles(df, "x", qs, ["k"], hot_rows=10 ** 9).collect(), key=key)
+    b = sorted(exact_quantiles(df, "x", qs, ["k"], hot_rows=0).collect(), key=key)
+    assert [(r["k"], r["q"], repr(r["value"])) for r in a] == [(r["k"], r["q"], repr(r["value"])) for r in b]
+    one = exact_quantiles(df.where("k = 3"), "x", [0.5], hot_rows=0).first()["value"]
+    assert one == exact_quantiles(df.where("k = 3"), "x", [0.5], hot_rows=100).first()["value"]
+    assert exact_quantiles(df.limit(0), "x", [0.5]).count() == 0
+
+
+def test_rounding_stays_a_double(spark):
+    from gridlens.functions.exprs import r6, r6_sql
+    row = spark.createDataFrame([(2e13, 1e-5, -2.5e15, 1.23456749)], "a double, b double, c double, d double").select(
+        *[r6(c).alias(c) for c in "abcd"], F.expr(r6_sql("a")).alias("e")).first()
+    assert tuple(row) == (2e13, 1e-5, -2.5e15, 1.234567, 2e13)
