@@ -9,7 +9,39 @@ greatest, abs).
 
 from __future__ import annotations
 
+import re
+
 # --- fixed values that must equal the reference --------------------------------
+# Solar power curve, (irradiance W/m2, power kW), linear between knots, clamped
+# at both ends.
+SOLAR_CURVE = [
+    (0.0, 4.491939776), (10.0, 50.3), (20.0, 92.425), (30.0, 136.525), (40.0, 183.075),
+    (50.0, 227.775), (60.0, 270.95), (70.0, 316.84), (80.0, 361.025), (90.0, 407.675),
+    (100.0, 451.425), (110.0, 494.175), (120.0, 536.575), (130.0, 575.675), (140.0, 616.6),
+    (150.0, 658.925), (160.0, 700.375), (170.0, 741.425), (180.0, 782.66), (190.0, 825.625),
+    (200.0, 869.505), (210.0, 910.325), (220.0, 953.05), (230.0, 997.69), (240.0, 1040.575),
+    (250.0, 1080.95), (260.0, 1122.225), (270.0, 1164.075), (280.0, 1205.5), (290.0, 1247.45),
+    (300.0, 1288.25), (310.0, 1329.715), (320.0, 1372.76), (330.0, 1417.265), (340.0, 1459.125),
+    (350.0, 1500.935), (360.0, 1543.2), (370.0, 1582.975), (380.0, 1621.5), (390.0, 1663.0),
+    (400.0, 1704.075), (410.0, 1744.75), (420.0, 1783.55), (430.0, 1824.76), (440.0, 1867.475),
+    (450.0, 1908.075), (460.0, 1950.25), (470.0, 1991.78), (480.0, 2031.95), (490.0, 2073.0),
+    (500.0, 2113.375), (510.0, 2155.16), (520.0, 2197.5), (530.0, 2237.0), (540.0, 2276.815),
+    (550.0, 2318.0), (560.0, 2359.45), (570.0, 2402.225), (580.0, 2445.75), (590.0, 2488.55),
+    (600.0, 2529.0), (610.0, 2572.0), (620.0, 2612.725), (630.0, 2656.25), (640.0, 2698.2),
+    (650.0, 2742.55), (660.0, 2784.55), (670.0, 2825.33), (680.0, 2867.325), (690.0, 2905.89),
+    (700.0, 2945.05), (710.0, 2984.575), (720.0, 3023.0), (730.0, 3062.03), (740.0, 3101.84),
+    (750.0, 3139.8), (760.0, 3177.5), (770.0, 3214.875), (780.0, 3250.975), (790.0, 3286.54675),
+    (800.0, 3322.25), (810.0, 3358.125), (820.0, 3394.05), (830.0, 3431.825), (840.0, 3471.65),
+    (850.0, 3512.475), (860.0, 3551.125), (870.0, 3591.155), (880.0, 3629.935), (890.0, 3669.375),
+    (900.0, 3707.5), (910.0, 3745.9), (920.0, 3786.625), (930.0, 3826.53), (940.0, 3867.3),
+    (950.0, 3904.8), (960.0, 3942.05), (970.0, 3979.0), (980.0, 4015.0), (990.0, 4052.4),
+    (1000.0, 4087.0), (1010.0, 4124.5), (1020.0, 4164.85), (1030.0, 4200.0), (1040.0, 4234.0),
+    (1050.0, 4265.78), (1060.0, 4294.325), (1070.0, 4319.375), (1080.0, 4343.0), (1090.0, 4363.125),
+    (1100.0, 4378.5), (1110.0, 4390.0), (1120.0, 4395.5), (1130.0, 4400.0), (1140.0, 4400.0),
+    (1150.0, 4400.0), (1160.0, 4400.0), (1170.0, 4400.0), (1180.0, 4400.0), (1200.0, 4400.0),
+    (1210.0, 4400.0), (1220.0, 4400.0), (1230.0, 4400.0), (1240.0, 4400.0), (1250.0, 4400.0),
+]
+
 # Wind turbine power curve, (wind speed m/s, power kW), linear between knots,
 # clamped at both ends; cut-out between 22.5 and 23 m/s.
 WIND_CURVE = [
@@ -154,3 +186,45 @@ def hydraulic_kw(rho: str, flow_m3h: str, head: str) -> str:
 
 def motor_current_a(p_kw: str, volts: str, pf: str) -> str:
     return f"((({p_kw}) * 1000.0) / (sqrt(3.0) * ({volts}) * ({pf})))"
+
+
+# --- curves as expressions -------------------------------------------------------
+_CURVE_CALL = re.compile(r"solar_curve\((\w+)\)")
+
+
+def _every(knots, step: float):
+    """(value, rise per unit) of the curve at each multiple of ``step``."""
+    xs, ys = zip(*knots)
+    at = []
+    for i in range(round(xs[-1] / step) + 1):
+        x = i * step
+        k = max(j for j in range(len(xs)) if xs[j] <= x)
+        rise = (ys[k + 1] - ys[k]) / (xs[k + 1] - xs[k]) if k + 1 < len(xs) else 0.0
+        at.append((ys[k] + rise * (x - xs[k]), rise))
+    return at
+
+
+_SOLAR_STEP = 10.0
+_SOLAR_AT = _every(SOLAR_CURVE, _SOLAR_STEP)
+
+
+def _solar_text(x: str, pick) -> str:
+    clamped = f"least(greatest({x}, 0e0), {SOLAR_CURVE[-1][0]!r}e0)"
+    place = f"CAST(floor({clamped} / {_SOLAR_STEP!r}e0) AS INT)"
+    value = pick([v for v, _ in _SOLAR_AT], f"{place} + 1")
+    rise = pick([r for _, r in _SOLAR_AT], f"{place} + 1")
+    return f"({value} + {rise} * ({clamped} - {place} * {_SOLAR_STEP!r}e0))"
+
+
+def for_spark(sql: str) -> str:
+    """``solar_curve(column)`` as a lookup in a constant array."""
+    def pick(values, i):
+        return f"element_at(array({', '.join(f'{v!r}D' for v in values)}), {i})"
+    return _CURVE_CALL.sub(lambda m: _solar_text(m[1], pick), sql)
+
+
+def for_oracle(sql: str) -> str:
+    """The same lookup in a DuckDB list."""
+    def pick(values, i):
+        return f"list_extract([{', '.join(f'CAST({v!r} AS DOUBLE)' for v in values)}], {i})"
+    return _CURVE_CALL.sub(lambda m: _solar_text(m[1], pick), sql)

@@ -11,12 +11,14 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlens.functions.physics import for_oracle, for_spark
+
 
 def with_exprs(df: DataFrame, exprs) -> DataFrame:
     """Add or replace columns from SQL expression text, in order (later ones
     may use earlier).  ``exprs``: dict or list of (name, sql) pairs."""
     for name, e in (exprs.items() if isinstance(exprs, dict) else exprs):
-        df = df.withColumn(name, F.expr(e))
+        df = df.withColumn(name, F.expr(for_spark(e)))
     return df
 
 
@@ -75,6 +77,7 @@ def chain_sql(base: str, exprs, prefix: str = "c", base_cols: list[str] | None =
     known = set(base_cols or [])
     parts = [f"{prefix}0 AS ({base})"]
     for i, (name, e) in enumerate(items, 1):
+        e = for_oracle(e)
         if name in known:
             parts.append(f"{prefix}{i} AS (SELECT * REPLACE ({e} AS {name}) FROM {prefix}{i - 1})")
         else:

@@ -75,7 +75,7 @@ def _with_sev(spark, sf, base, types, order):
 SOLAR_BASE = [
     ("irradiance", "least(value * 4e0, 1.25e3)"),
     ("sun_elevation", PH.sun_elevation_deg("doy", "hour_f", 40.0)),
-    ("active_power", "least(irradiance * 3.52e0, 4.4e3)"),
+    ("active_power", "CASE WHEN sun_elevation > 0e0 THEN solar_curve(irradiance) ELSE 0e0 END"),
     ("module_temp", "2e1 + 2.8e-2 * irradiance"),
     ("inverter_temp", "2.5e1 + 1.05e-2 * active_power"),
     ("dc_voltage", "8.2e2"),
@@ -84,7 +84,7 @@ SOLAR_BASE = [
     ("ac_current", "active_power / (sqrt(3e0) * 4e2)"),
     ("performance_ratio", "9e-1"),
 ]
-SOLAR_POWER = "least(irradiance * 3.52e0, 4.4e3)"
+SOLAR_POWER = "solar_curve(irradiance)"
 SOLAR_OUT = ["irradiance", "active_power", "module_temp", "inverter_temp", "dc_voltage", "dc_current", "ac_voltage",
              "ac_current", "performance_ratio"]
 

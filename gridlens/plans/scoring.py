@@ -67,6 +67,21 @@ def q_power_residual(spark, sf):
     return _summary(x, ["device", "day"], "expected", "actual", 0.9)
 
 
+D1_SOLAR_EXPRS = {"irr": "least(value * 4e0, 1.25e3)", "actual": "least(value * 13e0, 4.4e3)"}
+_D1S_CTE, _D1S_LAST = SC.chain_sql(EV_BASE_SQL, D1_SOLAR_EXPRS)
+_SCURVE_CTE, _SCURVE_JOIN, _SCURVE_VAL = SC.curve_sql("irr", PH.SOLAR_CURVE)
+
+
+@register("power_residual_solar", f"""WITH {_D1S_CTE}, {_SCURVE_CTE},
+x AS (SELECT d.*, {_SCURVE_VAL} AS expected FROM {_D1S_LAST} d {_SCURVE_JOIN})
+{_summary_sql('x', 'device, day', 'expected', 'actual', 0.9)}""")
+def q_power_residual_solar(spark, sf):
+    """Expected power from the solar curve vs a measured signal, per device and day."""
+    d = SC.with_exprs(ev_base(spark, sf), D1_SOLAR_EXPRS)
+    x = SC.interp_curve(d, "irr", PH.SOLAR_CURVE, "expected")
+    return _summary(x, ["device", "day"], "expected", "actual", 0.9)
+
+
 # --- D2 / D3 / D4 --------------------------------------------------------------------
 SOLAR_EXPRS = {
     "doy": "CAST(dayofyear(time) AS DOUBLE)",
@@ -77,8 +92,8 @@ SOLAR_EXPRS = {
     "clear": PH.clear_sky_irradiance("doy", "elev"),
     "irr_raw": "least(value * 4e0, 1.25e3)",
     "irr": "CASE WHEN elev > 5e-1 THEN irr_raw ELSE 0e0 END",
-    "power": "irr * 3.52e0",
-    "clear_power": "clear * 3.52e0",
+    "power": "CASE WHEN elev > 0e0 THEN solar_curve(irr) ELSE 0e0 END",
+    "clear_power": "solar_curve(clear)",
     "pr": "CASE WHEN clear_power > 1e0 THEN least(greatest(power / clear_power, 0e0), 1.02e0) ELSE 0e0 END",
     "cloud": "least(greatest(value / 5e2, 2e-2), 9.8e-1)",
     "expected_irr": f"clear * {PH.transmittance('cloud')}",

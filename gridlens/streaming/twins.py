@@ -36,15 +36,18 @@ def to_ntz(ts) -> F.Column:
 
 def file_stream(spark: SparkSession, directory: str, file_glob: str = "*.parquet", schema: T.StructType | None = None,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of the Parquet files in ``directory`` whose names match
-    ``file_glob``; new files arriving there are picked up by later triggers.
-    The schema comes from the batch footer when not given (file streams need
-    a fixed schema)."""
-    schema = schema or spark.read.option("pathGlobFilter", file_glob).parquet(directory).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """Streaming read of what in ``directory`` matches ``file_glob``: Parquet
+    files, or folders of part files; new files arriving there are picked up by
+    later triggers.  The schema comes from the batch footer when not given
+    (file streams need a fixed schema)."""
+    if not any(c in file_glob for c in "*?[{"):
+        file_glob = f"{file_glob[:-1]}[{file_glob[-1]}]"  # a stream takes a single file as a pattern only
+    path = f"{directory.rstrip('/')}/{file_glob}"
+    schema = schema or spark.read.parquet(path).schema
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(directory)
+    return r.parquet(path)
 
 
 def _dropped(progress) -> int:
