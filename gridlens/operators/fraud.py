@@ -167,7 +167,8 @@ def dist_audit(df: DataFrame, col: str, dist: str = "exponential", bins: int = 1
     from pyspark.sql import Window
     cum = counts.withColumn("cum", F.sum("c").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
     edge = f"((bin + 1) * {w!r})"
-    model = F.expr(cdf_sql(dist, edge, repr(float(mean)), repr(float(mu)), repr(float(sigma))))
+    # a mean below zero fits none of the models; their formulas then leave [0, 1]
+    model = F.least(F.greatest(F.expr(cdf_sql(dist, edge, repr(float(mean)), repr(float(mu)), repr(float(sigma)))), F.lit(0.0)), F.lit(1.0))
     ks = cum.agg(F.max(F.abs(F.col("cum") / F.lit(float(n)) - model)).alias("ks"))
     return ks.select(F.lit(dist).alias("dist"), F.lit(n).cast("long").alias("n"), F.lit(mean).alias("mean"),
                      F.lit(std).alias("std"), (F.lit(std) / F.lit(mean)).alias("cv"), "ks")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.functions.draws import keyed_uniform
-from gridlens.operators.windows import positions_by_uniform, prefix_sum, top_k_per
+from gridlens.operators.windows import null_safe_join, positions_by_uniform, prefix_sum, top_k_per
 
 
 def choice(u, items: list[tuple[str, float]]):
@@ -26,7 +26,7 @@ def choice(u, items: list[tuple[str, float]]):
 
 
 def sample_weighted(df: DataFrame, key: str, weight: str, n: int, seed: int, bucket_width: float,
-                    n_cells: int = 4096) -> DataFrame:
+                    rows_per_cell: int = 256) -> DataFrame:
     """N draws with replacement, P(row) proportional to ``weight``.
 
     Cumulative weights come from a bucketed prefix sum; draw i lands at
@@ -36,9 +36,10 @@ def sample_weighted(df: DataFrame, key: str, weight: str, n: int, seed: int, buc
     """
     spark = df.sparkSession
     c = prefix_sum(df.select(key, F.col(weight).alias("_w")).where(F.col("_w") > 0), key, "_w", bucket_width)
-    total = c.agg(F.sum("_w")).first()[0] or 0
+    total, rows = c.agg(F.sum("_w"), F.count(F.lit(1))).first()
     if not total:
         return spark.createDataFrame([], f"draw long, {key} long")
+    n_cells = max(4096, rows // rows_per_cell)  # a draw meets about rows_per_cell rows, whatever the table
     cw = float(total) / n_cells
     cells = c.withColumn("_cell", F.explode(F.sequence(
         F.floor(F.col("cum_lo") / F.lit(cw)).cast("long"),
@@ -63,7 +64,7 @@ def split_by_share(df: DataFrame, strata: list[str], key: str, shares: list[tupl
     u = df.withColumn("_u", keyed_uniform(seed, "split", key))
     pos = positions_by_uniform(u, "_u", [key], keys=strata, out="_pos")
     n = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
-    j = pos.join(n, strata)
+    j = null_safe_join(pos, n, strata)  # a null stratum is a stratum
     acc, expr = 0.0, None
     for name, s in shares[:-1]:
         acc += s
