@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.operators.windows import range_count, prev_row, sessionize
+from gridlens.operators.windows import null_safe_join, prev_row, range_count, sessionize
 
 
 def velocity(tx: DataFrame, keys: list[str], ts: str, n: int = 10, secs: float = 300,
@@ -24,10 +24,14 @@ def velocity(tx: DataFrame, keys: list[str], ts: str, n: int = 10, secs: float =
 
 def ping(tx: DataFrame, keys: list[str], ts: str, amount: str, max_amount: float = 2.0,
          gap_seconds: float = 720, min_n: int = 3, max_n: int = 5, late_hour: int = 5,
-         tiebreak: list[str] | None = None) -> DataFrame:
+         tiebreak: list[str] | None = None, channel: str | None = None, channels: list[str] | None = None) -> DataFrame:
     """A2: bursts of min_n..max_n tiny payments (amount < max_amount) with
-    gaps <= gap_seconds per keys; flags bursts that start before ``late_hour``."""
+    gaps <= gap_seconds per keys (customer and merchant); flags bursts that
+    start before ``late_hour``.  With ``channel`` only payments of the listed
+    channels (online card) count."""
     tiny = tx.where(F.col(amount) < max_amount)
+    if channel:
+        tiny = tiny.where(F.col(channel).isin(*(channels or [])))
     s = sessionize(tiny, keys, ts, gap_seconds, tiebreak)
     g = s.groupBy(*keys, "session_start").agg(F.max(ts).alias("session_end"), F.count(F.lit(1)).alias("n"),
                                               F.sum(amount).alias("total_amount"))
@@ -54,10 +58,12 @@ def amount_residual(tx: DataFrame, amount: str, spend: str, mult: str, sigma: fl
 
 
 def distance_score(tx: DataFrame, distance: str, radius: str, channel: str, online: list[str],
-                   k: float = 3.0) -> DataFrame:
-    """A5: distance / usual radius; online channels are not scored."""
+                   k: float = 3.0, cross_border: str | None = None) -> DataFrame:
+    """A5: distance / usual radius; online channels are not scored, unless the
+    row is cross-border (``cross_border``, boolean), which overrides the channel."""
     ratio = F.try_divide(F.col(distance), F.col(radius))
-    flag = F.when(F.col(channel).isin(online), 0).when(ratio > k, 1).otherwise(0)
+    abroad = F.coalesce(F.col(cross_border), F.lit(False)) if cross_border else F.lit(False)
+    flag = F.when(F.col(channel).isin(online) & ~abroad, 0).when(ratio > k, 1).otherwise(0)
     return tx.withColumn("distance_ratio", ratio).withColumn("distance_flag", flag)
 
 
@@ -69,6 +75,17 @@ def device_switch(tx: DataFrame, key: str, ts: str, device: str, tiebreak: list[
         "switch_rate", F.col("n_switch") / F.col("n"))
 
 
+def off_primary_device(tx: DataFrame, key: str, device: str, label: str) -> DataFrame:
+    """Per class of ``label``, the share of transactions that are not on the
+    customer's primary device (the most frequent, ties to the smaller name)."""
+    used = tx.where(F.col(device).isNotNull()).groupBy(key, device).agg(F.count(F.lit(1)).alias("_n"))
+    primary = used.groupBy(key).agg(F.min_by(device, F.struct(-F.col("_n"), F.col(device))).alias("primary_device"))
+    j = null_safe_join(tx.select(key, device, label), primary, [key], "left")
+    off = (F.col(device) != F.col("primary_device")).cast("int")
+    return j.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum(off).cast("long").alias("n_off")).withColumn(
+        "off_rate", F.col("n_off") / F.col("n"))
+
+
 def new_account(tx: DataFrame, age_col: str, max_days: int = 15) -> DataFrame:
     """Transactions of accounts younger than ``max_days``."""
     return tx.where(F.col(age_col) < max_days)
@@ -82,16 +99,26 @@ def late_night(tx: DataFrame, key: str, ts: str, hour: int = 5) -> DataFrame:
 
 
 def recurring(tx: DataFrame, keys: list[str], ts: str, amount: str, min_days: int = 27, max_days: int = 32,
-              tol: float = 0.10, tiebreak: list[str] | None = None) -> DataFrame:
-    """Links between consecutive charges of the same keys that are about
-    a month apart with an amount within +-tol; per key: links and chain rows."""
+              tol: float = 0.10, tiebreak: list[str] | None = None, min_charges: int = 2) -> DataFrame:
+    """Links between consecutive charges of the same keys (customer and
+    merchant) that are about a month apart with an amount within +-tol; per key
+    with ``min_charges`` charges or more: links and chain rows."""
     p = prev_row(tx.select(*keys, ts, amount, *(tiebreak or [])), keys, ts, [amount], tiebreak)
     gap = F.datediff(F.col(ts).cast("date"), F.col("prev_" + ts).cast("date"))
     ok = (gap.between(min_days, max_days) &
           (F.abs(F.try_divide(F.col(amount), F.col("prev_" + amount)) - 1.0) <= tol))
     links = p.where(ok)
-    return links.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_links"), F.min(ts).alias("first_link_time"),
-                                    F.max(ts).alias("last_link_time"))
+    got = links.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_links"), F.min(ts).alias("first_link_time"),
+                                   F.max(ts).alias("last_link_time"))
+    return got.where(F.col("n_links") >= min_charges - 1)
+
+
+def volume_against(monthly: DataFrame, expected: DataFrame) -> DataFrame:
+    """Monthly volumes (month, n) against a given table (month_of_year,
+    expected_mean, expected_sd) of at most twelve rows: z-score per month."""
+    j = monthly.join(F.broadcast(expected), F.month("month") == F.col("month_of_year"), "left")
+    return j.select("month", "n", "expected_mean", "expected_sd",
+                    F.try_divide(F.col("n") - F.col("expected_mean"), F.col("expected_sd")).alias("z"))
 
 
 def mix_audit(df: DataFrame, col: str, weights: dict) -> DataFrame:

@@ -105,10 +105,22 @@ def expected_months(subs: DataFrame, key: list[str], start: str, end: str) -> Da
                                                   F.expr("INTERVAL 1 MONTH"))).alias("month"))
 
 
-def missing_charges(charges: DataFrame, key: list[str], ts: str) -> DataFrame:
-    """Months between a key's first and last charge without a charge
-    (month spine anti-joined with the months that have one)."""
+def missing_charges(charges: DataFrame, key: list[str], ts: str, until: str | None = None) -> DataFrame:
+    """Months between a key's first charge and ``until`` (a date; its own
+    last charge by default) without a charge: month spine anti-joined with the
+    months that have one, so a key that stops paying is reported."""
     have = charges.select(*key, F.trunc(F.col(ts).cast("date"), "MM").alias("month")).distinct()
-    span = have.groupBy(*key).agg(F.min("month").alias("_a"), F.max("month").alias("_z"))
+    end = F.greatest(F.max("month"), F.trunc(F.lit(until).cast("date"), "MM")) if until else F.max("month")
+    span = have.groupBy(*key).agg(F.min("month").alias("_a"), end.alias("_z"))
     spine = expected_months(span, key, "_a", "_z")
     return spine.join(have, [*key, "month"], "left_anti")
+
+
+def late_charges(charges: DataFrame, key: list[str], ts: str, period_days: int = 31, grace_days: int = 3,
+                 tiebreak: list[str] | None = None) -> DataFrame:
+    """Charges that come more than ``grace_days`` after the previous one of
+    the same key plus a period, with the days they are late."""
+    from gridlens.operators.windows import prev_row
+    p = prev_row(charges, key, ts, [], tiebreak, prefix="_prev_")
+    late = F.datediff(F.col(ts).cast("date"), F.col("_prev_" + ts).cast("date")) - F.lit(period_days)
+    return p.withColumn("days_late", late).where(F.col("days_late") > grace_days).drop("_prev_" + ts)

@@ -99,6 +99,16 @@ def spike_windows(tel: DataFrame, col: str, width: int = 5, k: float = 2.0, devi
     return r.withColumn("is_spike", spike)
 
 
+def yearly_residual(tel: DataFrame, col: str, time: str = "time", keys: list[str] | None = None) -> DataFrame:
+    """W5 with the season: baseline = mean by (day of year, hour); residual per
+    row.  The baseline has at most 8,784 rows per key set."""
+    keys = keys or []
+    t = tel.withColumn("_doy", F.dayofyear(time)).withColumn("_hr", F.hour(time))
+    base = t.groupBy(*keys, "_doy", "_hr").agg(F.avg(F.col(col)).alias("baseline"))
+    j = null_safe_join(t, F.broadcast(base) if not keys else base, [*keys, "_doy", "_hr"])
+    return j.withColumn("residual", F.col(col) - F.col("baseline")).drop("_doy", "_hr")
+
+
 def resample(tel: DataFrame, step: str, time: str, group: list[str], y: list[str]) -> DataFrame:
     """Mean of the signals per (time bucket, group)."""
     return (tel.groupBy(F.window(time, step).start.alias("window_start"), *group)
@@ -112,3 +122,21 @@ def time_spine_gaps(tel: DataFrame, device: str = "device", time: str = "time")
     spine = (days.groupBy(device).agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
              .select(device, F.explode(F.sequence("_a", "_b")).alias("day")))
     return spine.join(days, [device, "day"], "left_anti")
+
+
+def spine_gaps(tel: DataFrame, step_seconds: int, start: str, end: str, device: str = "device", time: str = "time") -> DataFrame:
+    """L13 for any step: every step of [start, end) that a device has no reading
+    in.  Each device gets its steps of each day from a row per (device, day), so
+    the spine is made in parallel."""
+    us = step_seconds * 1_000_000
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    a, b = (F.expr(f"timestampdiff(MICROSECOND, {epoch}, TIMESTAMP_NTZ'{x}')") for x in (start, end))
+    step = F.floor((F.timestamp_diff("MICROSECOND", F.expr(epoch), F.col(time)) - a) / F.lit(us)).cast("long")
+    have = tel.select(device, step.alias("_step")).where((F.col("_step") >= 0) & (F.col("_step") < F.ceil((b - a) / F.lit(us)))).distinct()
+    last = (F.ceil((b - a) / F.lit(us)) - 1).cast("long")
+    per_chunk = 10_000
+    chunks = tel.select(device).distinct().withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / per_chunk).cast("long"))))
+    spine = chunks.withColumn("_step", F.explode(F.sequence(F.col("_c") * per_chunk, F.least((F.col("_c") + 1) * per_chunk - 1, last)))).drop("_c")
+    gone = spine.join(have.withColumnRenamed(device, "_d").withColumnRenamed("_step", "_s"),
+                      F.col(device).eqNullSafe(F.col("_d")) & (F.col("_step") == F.col("_s")), "left_anti")
+    return gone.select(device, F.timestamp_add("MICROSECOND", F.col("_step") * us, F.expr(f"TIMESTAMP_NTZ'{start}'")).alias(time))
