@@ -167,7 +167,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = training_rows(docs, labels)
     if not rows:
         return None
-    x, counts = passages(["".join(s).encode() for _, _, s in rows])
+    # features of some texts at a time: the working arrays are many times a text's size
+    parts = [passages(["".join(s).encode() for _, _, s in rows[i:i + 250]]) for i in range(0, len(rows), 250)]
+    x, counts = (np.concatenate(p) for p in zip(*parts))
     return Model().train(x, counts, np.array([float(q) for _, q, _ in rows], np.float32))
 
 
