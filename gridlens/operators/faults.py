@@ -249,22 +249,28 @@ def episodes(labelled: DataFrame, flag: str, device: str = "device", time: str =
              tiebreak: list[str] | None = None, bucket_seconds: int | None = None) -> DataFrame:
     """Gaps-and-islands: consecutive rows with ``flag``=1 -> one episode.
 
-    Skew-safe: rows are numbered inside (device, day) buckets; the bucket
-    offsets come from a per-bucket count prefix sum over the small bucket
-    table, so no task holds a whole device.  Output: device, start_time,
+    Where the fullest device is small, one sort per device does it; else rows
+    are numbered inside (device, day) buckets and shifted by a prefix sum over
+    the small bucket table, so no task holds a whole device.  Output: device, start_time,
     end_time (last flagged row), n_rows.
     """
-    from gridlens.operators.windows import global_row_number
-    from gridlens.operators.windows import auto_bucket_seconds
+    from pyspark.sql import Window
+
+    from gridlens.operators.windows import auto_bucket_seconds, global_row_number, one_sort_per_key
     tiebreak = tiebreak or []
     src = labelled.select(device, time, flag, *tiebreak)
-    # the flagged rows are a subset, so one width (measured on all rows) serves both numberings
-    bucket_seconds = bucket_seconds or auto_bucket_seconds(src, [device], time)
-    numbered = global_row_number(src, [device], time, tiebreak, bucket_seconds=bucket_seconds, out="_rn")
-    fl = numbered.where(F.col(flag) == 1)
-    # island id = row number among all rows - row number among flagged rows
-    fl = global_row_number(fl, [device], time, tiebreak, bucket_seconds=bucket_seconds, out="_rf")
-    isl = fl.withColumn("_island", F.col("_rn") - F.col("_rf"))
+    if bucket_seconds is None and one_sort_per_key(src, [device]):
+        # one sort: the island id is the number of unflagged rows so far
+        w = Window.partitionBy(device).orderBy(time, *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+        isl = src.withColumn("_island", F.count_if(F.coalesce(F.col(flag), F.lit(0)) != 1).over(w)).where(F.col(flag) == 1)
+    else:
+        # the flagged rows are a subset, so one width (measured on all rows) serves both numberings
+        bucket_seconds = bucket_seconds or auto_bucket_seconds(src, [device], time)
+        numbered = global_row_number(src, [device], time, tiebreak, bucket_seconds=bucket_seconds, out="_rn")
+        fl = numbered.where(F.col(flag) == 1)
+        # island id = row number among all rows - row number among flagged rows
+        fl = global_row_number(fl, [device], time, tiebreak, bucket_seconds=bucket_seconds, out="_rf")
+        isl = fl.withColumn("_island", F.col("_rn") - F.col("_rf"))
     return (isl.groupBy(device, "_island")
             .agg(F.min(time).alias("start_time"), F.max(time).alias("end_time"),
                  F.count(F.lit(1)).alias("n_rows"))

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from gridlens.operators.clean import cols_of_kind, kind_of
 from gridlens.operators.quantiles import exact_quantiles
+from gridlens.operators.windows import null_safe_join
+from gridlens.session import setting
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -38,15 +40,8 @@ def quantile_columns(df: DataFrame, col: str, qs: list[float], names: list[str],
 
 
 def _join_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Null-safe join of two small per-group tables."""
-    if not keys:
-        raise ValueError("keys required")
-    bb = b.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = a[k].eqNullSafe(bb[f"_k_{k}"])
-        cond = c if cond is None else cond & c
-    return a.join(F.broadcast(bb), cond, "left").drop(*[f"_k_{k}" for k in keys])
+    """Null-safe join of two per-group tables (one row per key: AQE broadcasts a small one)."""
+    return null_safe_join(a, b, keys, "left")
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -78,8 +73,12 @@ def profile_columns(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def null_report(df: DataFrame) -> DataFrame:
-    """Only the columns that have nulls."""
-    return profile_columns(df).where(F.col("n_nulls") > 0).select("column_name", "n_nulls", "null_pct")
+    """Only the columns that have nulls (one aggregate of counts)."""
+    cols = df.columns
+    a = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_z{i}") for i, c in enumerate(cols)])
+    parts = ", ".join(f"'{c}', _z{i}" for i, c in enumerate(cols))
+    long = a.selectExpr("_rows", f"stack({len(cols)}, {parts}) AS (column_name, n_nulls)").where("n_nulls > 0")
+    return long.select("column_name", "n_nulls", (F.col("n_nulls") / F.col("_rows") * 100.0).alias("null_pct"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -116,20 +115,33 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 def describe_num(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, std (sample), min, quartiles, max per numeric column."""
     cols = cols or cols_of_kind(df, "numeric")
+    if exact and df.count() <= setting(df.sparkSession, "quantileHotRows", 5_000_000):
+        def quartiles(x):
+            return F.percentile(x, QUARTILES)
+    elif exact:
+        quartiles = None
+    else:
+        def quartiles(x):
+            return F.percentile_approx(x, QUARTILES, 10000)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"_c{i}"), F.avg(x).alias(f"_m{i}"), F.stddev_samp(x).alias(f"_s{i}"),
                  F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-    a = df.agg(*aggs)
+        if quartiles:
+            aggs.append(quartiles(x).alias(f"_q{i}"))
+    names = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    if quartiles:  # one scan, one aggregate
+        parts = ", ".join(f"'{c}', _c{i}, _m{i}, _s{i}, _lo{i}, _hi{i}, _q{i}" for i, c in enumerate(cols))
+        long = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, max, _q)")
+        long = long.withColumns({n: F.col("_q")[k] for k, n in enumerate(["p25", "p50", "p75"])})
+        return long.select("column_name", F.col("n").cast("long").alias("n"), *names)
     parts = ", ".join(f"'{c}', _c{i}, _m{i}, _s{i}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
-    moments = a.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, max)")
+    moments = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, max)")
     stacked = df.selectExpr(f"stack({len(cols)}, " + ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
                             + ") AS (column_name, _v)")
-    qs = quantile_columns(stacked, "_v", QUARTILES, ["p25", "p50", "p75"], ["column_name"], exact)
-    long = _join_keys(moments, qs, ["column_name"])
-    return long.select("column_name", F.col("n").cast("long").alias("n"),
-                       *["mean", "std", "min", "p25", "p50", "p75", "max"])
+    qs = quantile_columns(stacked, "_v", QUARTILES, ["p25", "p50", "p75"], ["column_name"])
+    return _join_keys(moments, qs, ["column_name"]).select("column_name", F.col("n").cast("long").alias("n"), *names)
 
 
 def describe_all(df: DataFrame) -> DataFrame:

@@ -65,9 +65,21 @@ def auto_bucket_seconds(df: DataFrame, keys: list[str], ts: str, min_seconds: fl
     return int(width)
 
 
+def one_sort_per_key(df: DataFrame, keys: list[str]) -> bool:
+    """Whether the fullest key is small enough for a plain window over the key
+    (one map-side-combined count per key)."""
+    from gridlens.session import setting
+    target = setting(df.sparkSession, "bucketTargetRows", TARGET_BUCKET_ROWS)
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return (n or 0) <= target
+
+
 def global_row_number(df: DataFrame, keys: list[str], order: str, tiebreak: list[str] | None = None,
                       bucket_seconds: int | None = None, out: str = "rn") -> DataFrame:
+    """Row number per key: one sort per key where every key is small, else by time buckets."""
     tiebreak = tiebreak or []
+    if bucket_seconds is None and one_sort_per_key(df, keys):
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(order, *tiebreak)).cast("long"))
     bucket_seconds = bucket_seconds or auto_bucket_seconds(df, keys, order)
     b = df.withColumn("_b", _bucket(order, bucket_seconds))
     w = Window.partitionBy(*keys, "_b").orderBy(order, *tiebreak)
@@ -81,8 +93,12 @@ def global_row_number(df: DataFrame, keys: list[str], order: str, tiebreak: list
 
 def prev_row(df: DataFrame, keys: list[str], order: str, cols: list[str], tiebreak: list[str] | None = None,
              bucket_seconds: int | None = None, prefix: str = "prev_") -> DataFrame:
-    """Adds ``prev_<c>`` for c in [order] + cols: the previous row of the same key."""
+    """Adds ``prev_<c>`` for c in [order] + cols: the previous row of the same key
+    (one sort per key where every key is small, else by time buckets)."""
     tiebreak = tiebreak or []
+    if bucket_seconds is None and one_sort_per_key(df, keys):
+        w = Window.partitionBy(*keys).orderBy(order, *tiebreak)
+        return df.withColumns({prefix + c: F.lag(c).over(w) for c in [order, *(c for c in cols if c != order)]})
     bucket_seconds = bucket_seconds or auto_bucket_seconds(df, keys, order)
     carry = [order] + [c for c in cols if c != order]
     b = df.withColumn("_b", _bucket(order, bucket_seconds))
@@ -188,9 +204,14 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_seconds: float, tieb
     carried over from earlier buckets through the per-bucket summary.
     """
     tiebreak = tiebreak or []
+    opens = F.col("_p_" + ts).isNull() | ((epoch_s(F.col(ts)) - epoch_s(F.col("_p_" + ts))) > F.lit(float(gap_seconds)))
+    if bucket_seconds is None and one_sort_per_key(df, keys):
+        w = Window.partitionBy(*keys).orderBy(ts, *tiebreak)
+        p = df.withColumn("_p_" + ts, F.lag(ts).over(w)).withColumn("_open", opens)
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        return p.withColumn(out, F.max(F.when(F.col("_open"), F.col(ts))).over(upto)).drop("_p_" + ts, "_open")
     bucket_seconds = bucket_seconds or auto_bucket_seconds(df, keys, ts)
     p = prev_row(df, keys, ts, [], tiebreak, bucket_seconds, prefix="_p_")
-    opens = F.col("_p_" + ts).isNull() | ((epoch_s(F.col(ts)) - epoch_s(F.col("_p_" + ts))) > F.lit(float(gap_seconds)))
     p = p.withColumn("_open", opens).withColumn("_b", _bucket(ts, bucket_seconds))
     w = Window.partitionBy(*keys, "_b").orderBy(ts, *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
     p = p.withColumn("_in", F.max(F.when(F.col("_open"), F.col(ts))).over(w))

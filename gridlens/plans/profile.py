@@ -87,7 +87,7 @@ def q_histogram(spark, sf):
     return P.histogram(table(spark, sf, "lineitem"), "l_extendedprice", 50)
 
 
-DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+DESC_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _desc_sql(c, src="lineitem"):
