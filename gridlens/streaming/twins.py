@@ -106,47 +106,63 @@ def stream_velocity(ev: DataFrame, ts: str, keys: list[str], n: int, width: str,
     return g.where(F.col("n") >= n).select(to_ntz("w.start").alias("window_start"), *keys, "n")
 
 
-def stream_velocity_exact(ev: DataFrame, ts: str, keys: list[str], id_col: str, n: int,
-                          span_seconds: float) -> DataFrame:
-    """T2 exact (twin of A1): a custom stateful operator that keeps, per key,
-    the event times of the last ``span_seconds`` in state and counts every
-    arriving row against them - the trailing range frame of the batch form.
-
-    State per key is bounded by the rate x span, not by the stream length.
-    Exact when each key's rows arrive in time order across micro-batches (as
-    with file sources); within a micro-batch rows are sorted.  All rows of a
-    key in one micro-batch go to one task, so size batches with
-    maxFilesPerTrigger / maxBytesPerTrigger when one key is very hot.
+def stream_velocity_exact(ev: DataFrame, ts: str, keys: list[str], id_col: str, n: int, span_seconds: float,
+                          slice_seconds: float | None = None, delay: str = "10 minutes") -> DataFrame:
+    """T2 exact (twin of A1): per row the number of events of its keys in the
+    trailing range, as the batch form counts them, for rows of closed slices.
+
+    Time is cut into slices (by default as long as the range); an event goes to
+    its own slice and to the later ones its range reaches.  A custom stateful
+    operator keeps each (keys, slice) until the watermark passes its end, then
+    counts and emits its rows and drops its state.  Files may arrive in any
+    order within the watermark delay.  State is bounded by the events of a
+    slice and the range before it; a hot key is spread over its slices.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     span_us = int(round(span_seconds * 1_000_000))
+    slice_us = int(round((slice_seconds or span_seconds) * 1_000_000))
     key_fields = [f for f in ev.schema.fields if f.name in keys]
     id_field = ev.schema[id_col]
     out_schema = T.StructType([*key_fields, id_field, T.StructField(ts, T.TimestampNTZType()),
                                T.StructField("n_in_window", T.LongType())])
-    state_schema = T.StructType([T.StructField("us", T.ArrayType(T.LongType()))])
-    s = ev.select(*keys, id_col, ts, F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col(ts)).alias("_us"))
-    out_cols = [*keys, id_col, ts, "n_in_window"]
-
-    def count_window(key, pdfs, state):
+    state_schema = T.StructType([T.StructField("us", T.ArrayType(T.LongType())), T.StructField("id", T.ArrayType(id_field.dataType)),
+                                 T.StructField("own", T.ArrayType(T.BooleanType()))])
+    s = (ev.select(*keys, id_col, ts).withColumn("_t", to_instant(ts)).withWatermark("_t", delay)
+         .withColumn("_us", F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col(ts)))
+         .withColumn("_own", F.floor(F.col("_us") / F.lit(slice_us)).cast("long"))
+         .withColumn("_slice", F.explode(F.sequence("_own", F.floor((F.col("_us") + span_us) / F.lit(slice_us)).cast("long")))))
+    names = [*keys, id_col, ts, "n_in_window"]
+
+    def count_slice(key, pdfs, state):
         import numpy as np
         import pandas as pd
-        parts = [p for p in pdfs if len(p)]
-        if not parts:
+
+        got = [list(x) for x in state.get] if state.exists else [[], [], []]
+        for p in [] if state.hasTimedOut else pdfs:
+            got[0] += p["_us"].tolist()
+            got[1] += p[id_col].tolist()
+            got[2] += (p["_slice"] == p["_own"]).tolist()
+        end_ms = int((key[-1] + 1) * slice_us // 1000)
+        if not state.hasTimedOut and end_ms > state.getCurrentWatermarkMs():
+            state.update(tuple(got))
+            state.setTimeoutTimestamp(end_ms)
             return
-        pdf = pd.concat(parts, ignore_index=True).sort_values(["_us", id_col], kind="mergesort")
-        prev = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
-        allus = np.sort(np.concatenate([prev, pdf["_us"].to_numpy(dtype=np.int64)]))
-        us = pdf["_us"].to_numpy(dtype=np.int64)
-        cnt = np.searchsorted(allus, us, side="right") - np.searchsorted(allus, us - span_us, side="left")
-        pdf = pdf.assign(n_in_window=cnt.astype(np.int64))
-        keep = allus[allus >= allus[-1] - span_us] if len(allus) else allus
-        state.update((keep.tolist(),))
-        yield pdf.loc[pdf["n_in_window"] >= n, out_cols]
-
-    return s.groupBy(*keys).applyInPandasWithState(count_window, out_schema, state_schema, "append",
-                                                   GroupStateTimeout.NoTimeout)
+        # closed: later batches drop rows older than this watermark
+        if state.exists:
+            state.remove()
+        us, ids, own = np.asarray(got[0], dtype=np.int64), np.asarray(got[1]), np.asarray(got[2], dtype=bool)
+        order = np.argsort(us, kind="stable")
+        us, ids, own = us[order], ids[order], own[order]
+        cnt = np.searchsorted(us, us, side="right") - np.searchsorted(us, us - span_us, side="left")
+        hit = own & (cnt >= n)
+        out = pd.DataFrame({id_col: ids[hit], ts: pd.to_datetime(us[hit], unit="us"), "n_in_window": cnt[hit].astype(np.int64)})
+        for name, value in zip(keys, key):
+            out[name] = value
+        yield out[names]
+
+    return s.groupBy(*keys, "_slice").applyInPandasWithState(count_slice, out_schema, state_schema, "append",
+                                                             GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_ping(ev: DataFrame, ts: str, keys: list[str], amount: str, max_amount: float, gap: str,
