@@ -28,6 +28,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ GRAM = 25
 WINDOW = WIDTH - GRAM + 1
 #: Bytes worked on at once; positions in a piece fit 20 bits.
 PIECE, ROOM = 1 << 19, 1 << 20
+#: Bytes of text whose questions a task gathers before it sends them.  (In round 3 a byte may ask.)
+BATCH_BYTES, BATCH_BYTES_OPEN = 4 << 20, 1 << 20
 #: Questions that one partition sorts, about.
 PART_ENTRIES = 1_500_000
 
@@ -234,6 +237,18 @@ def _round3(table: pa.Table) -> pa.Table:
 
 # --- passes over the texts ---------------------------------------------------
 
+def _slices(batches, size: int):
+    """The same rows in batches of about ``size`` bytes of text (the third column)."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def _rows(batch):
     """(doc_id, tid, texts) of a batch whose first columns are doc_id, tid, text."""
     return (np.array(batch.column(0).to_pylist(), np.int64), np.array(batch.column(1).to_pylist(), np.int64).astype(np.uint32),
@@ -260,7 +275,7 @@ def _several(k1, doc) -> np.ndarray:
 
 def _pass1(parts: int):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches, BATCH_BYTES):
             doc, tid, texts = _rows(batch)
             found = []
             for group in pieces(texts):
@@ -276,7 +291,7 @@ def _pass1(parts: int):
 
 def _pass2(parts: int):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches, BATCH_BYTES):
             doc, tid, texts = _rows(batch)
             flagged = [np.unique(np.frombuffer(b"".join(x), np.uint64)) for x in batch.column(3).to_pylist()]
             found = []
@@ -297,7 +312,7 @@ def _pass2(parts: int):
 
 def _pass3(parts: int):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches, BATCH_BYTES_OPEN):
             doc, tid, texts = _rows(batch)
             found = []
             for row, (at, size) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
