@@ -28,13 +28,21 @@ def row_width(df: DataFrame) -> int:
 
 
 def fits(df: DataFrame, limit: int | None = None) -> bool:
-    """True when rows x estimated row width stays within ``limit`` bytes
-    (default: ``spark.gridlens.broadcastLimitBytes``, else 64 MB).
-    Counting stops after limit/width + 1 rows (never a full count of a big side)."""
+    """True when the table stays within ``limit`` bytes (default:
+    ``spark.gridlens.broadcastLimitBytes``, else 64 MB): fixed widths plus the
+    measured bytes of its text.  Reading stops after as many rows as could fit
+    (never a full scan of a big side)."""
+    from pyspark.sql import types as T
+
     from gridlens.session import setting
     limit = limit or setting(df.sparkSession, "broadcastLimitBytes", BROADCAST_LIMIT)
-    cap = max(1, limit // row_width(df))
-    return df.limit(cap + 1).count() <= cap
+    width = row_width(df)
+    cap = max(1, limit // width)
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    extra = sum(text, F.lit(0)).cast("long")
+    rows, size = df.limit(cap + 1).select(extra.alias("_t")).agg(F.count(F.lit(1)), F.coalesce(F.sum("_t"), F.lit(0))).first()
+    return rows <= cap and rows * width + size <= limit
 
 
 def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "inner", limit: int | None = None) -> DataFrame:

@@ -64,6 +64,19 @@ def q_stream_ping(spark, sf):
     return ST.run_available_now(s, "ping")
 
 
+@register("stream_episodes", f"""WITH t AS (SELECT user_id, ts, event_id FROM events WHERE value >= 60.0),
+l AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM t),
+s AS (SELECT *, max(CASE WHEN p IS NULL OR ts - p >= INTERVAL 24 HOUR THEN ts END)
+        OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM l)
+SELECT user_id, min(ts) AS start_time, max(ts) AS end_time, count(*) AS n_rows FROM s GROUP BY user_id, sid
+HAVING max(ts) + INTERVAL 24 HOUR <= (SELECT max(ts) FROM t) - {DELAY_SQL}""")
+def q_stream_episodes(spark, sf):
+    """Closed runs of high readings per device, at most a day apart.
+    (The filter runs before the watermark, so that follows the flagged rows.)"""
+    s = ST.stream_episodes(_ev(spark, sf), "ts", ["user_id"], F.col("value") >= 60.0, "24 hours")
+    return ST.run_available_now(s, "episodes")
+
+
 @register("stream_label", f"""WITH {FE_SQL}
 SELECT event_id, device, time, event_type, start_time, end_time FROM s WHERE event_type IS NOT NULL""")
 def q_stream_label(spark, sf):

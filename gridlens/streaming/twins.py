@@ -175,6 +175,17 @@ def stream_ping(ev: DataFrame, ts: str, keys: list[str], amount: str, max_amount
     return g.where(F.col("n").between(min_n, max_n)).select(*keys, "session_start", "session_end", "n")
 
 
+def stream_episodes(ev: DataFrame, ts: str, keys: list[str], flagged, gap: str, delay: str = "10 minutes") -> DataFrame:
+    """T3 (twin of W2): runs of flagged readings of a key no more than ``gap``
+    apart (the sampling step and its slack), emitted once closed.  A stream
+    can't see that a reading is missing, so a run ends by time, not by an
+    unflagged reading."""
+    s = ev.withColumn("_t", to_instant(ts)).withWatermark("_t", delay).where(flagged)
+    g = s.groupBy(F.session_window("_t", gap).alias("w"), *keys).agg(
+        F.min(ts).alias("start_time"), F.max(ts).alias("end_time"), F.count(F.lit(1)).alias("n_rows"))
+    return g.select(*keys, "start_time", "end_time", "n_rows")
+
+
 def stream_label(ev: DataFrame, events_static: DataFrame, device: str, time: str) -> DataFrame:
     """T4 (twin of L1): stream x static fault windows - stateless.  The static
     side gets the same size check as the batch join, and open faults hold for
