@@ -25,6 +25,13 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables that nothing reads any more."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def filesystem(path: str):
     """pyarrow file system and path for a URI of the shared folder, opened inside tasks."""
     from pyarrow import fs

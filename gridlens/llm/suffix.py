@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import stored, workspace
+from gridlens.llm.common import discard, stored, workspace
 
 WIDTH = 50
 GRAM = 25
@@ -42,7 +42,7 @@ PIECE, ROOM = 1 << 19, 1 << 20
 #: Bytes of text whose questions a task gathers before it sends them.  (In round 3 a byte may ask.)
 BATCH_BYTES, BATCH_BYTES_OPEN = 4 << 20, 1 << 20
 #: Questions that one partition sorts, about.
-PART_ENTRIES = 1_500_000
+PART_ENTRIES = 500_000
 
 _U = np.uint64
 _RNG = np.random.default_rng(424242)
@@ -168,22 +168,39 @@ def _unpack(table: pa.Table) -> tuple[dict, np.ndarray]:
     return cols, np.repeat(np.array(table.column("known").to_pylist(), bool), sizes)
 
 
-def _answers(cols: dict, pick: np.ndarray, names: list[str], is_open: np.ndarray | None = None) -> pa.Table:
-    """One row per document: its picked entries, packed, and how many of them are open."""
-    doc, tid = cols["doc"][pick], cols["tid"][pick]
-    order = np.lexsort((tid, doc))
-    doc, tid, pick = doc[order], tid[order], pick[order]
-    edge = np.flatnonzero((np.diff(doc) != 0) | (np.diff(tid.astype(np.int64)) != 0)) + 1
-    first = np.concatenate([[0], edge]).astype(np.int64) if len(doc) else np.zeros(0, np.int64)
-    data = [pa.array(doc[first]), pa.array(tid[first].astype(np.int64))]
-    for n in names:
-        flat = np.ascontiguousarray(cols[n][pick]).tobytes()
-        width = _TYPES[n]().itemsize
-        ends = np.concatenate([first, [len(doc)]]) * width
-        data.append(pa.array([flat[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary()))
-    n = np.ones(len(doc), np.int64) if is_open is None else is_open[order].astype(np.int64)
-    data.append(pa.array(np.add.reduceat(n, first) if len(doc) else n))
-    return pa.Table.from_arrays(data, names=["doc_id", "tid", *names, "n"])
+ANSWER = "bucket int, doc binary, tid binary, at binary, size binary, k1 binary, open binary"
+
+
+def _answers(cols: dict, pick: np.ndarray, names: list[str], buckets: int, is_open: np.ndarray | None = None) -> pa.Table:
+    """The picked entries, packed in a row for each bucket of documents; other columns are empty."""
+    cols = {n: cols[n][pick] for n in ("doc", "tid", *names)}
+    cols["open"] = np.ones(len(pick), np.uint8) if is_open is None else is_open.astype(np.uint8)
+    bucket = (_mix(cols["doc"].astype(np.uint64)) % _U(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    chunks = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+    out = {"bucket": pa.array([int(bucket[c[0]]) for c in chunks], pa.int32())}
+    for n in ("doc", "tid", "at", "size", "k1", "open"):
+        out[n] = pa.array([np.ascontiguousarray(cols[n][c]).tobytes() if n in cols else b"" for c in chunks], pa.binary())
+    return pa.table(out)
+
+
+def _by_document(names: list[str]):
+    """A bucket's answers as one row per document: its entries, and how many of them are open."""
+    def run(table: pa.Table) -> pa.Table:
+        types = _TYPES | {"open": np.uint8}
+        cols = {n: np.frombuffer(b"".join(table.column(n).to_pylist()), types[n]) for n in ("doc", "tid", "open", *names)}
+        order = np.lexsort((cols["tid"], cols["doc"]))
+        doc, tid = cols["doc"][order], cols["tid"][order]
+        edge = np.flatnonzero((np.diff(doc) != 0) | (np.diff(tid.astype(np.int64)) != 0)) + 1
+        first = np.concatenate([[0], edge]).astype(np.int64)
+        data = [pa.array(doc[first]), pa.array(tid[first].astype(np.int64))]
+        for n in names:
+            flat, width = np.ascontiguousarray(cols[n][order]).tobytes(), types[n]().itemsize
+            ends = (np.concatenate([first, [len(doc)]]) * width).tolist()
+            data.append(pa.array([flat[i:j] for i, j in zip(ends[:-1], ends[1:])], pa.binary()))
+        data.append(pa.array(np.add.reduceat(cols["open"][order].astype(np.int64), first)))
+        return pa.Table.from_arrays(data, names=["doc_id", "tid", *names, "n"])
+    return run
 
 
 def _classes(k1, k2, doc):
@@ -195,44 +212,50 @@ def _classes(k1, k2, doc):
     return order, np.cumsum(new) - 1, d[new], a[new]
 
 
-def _round1(table: pa.Table) -> pa.Table:
+def _round1(buckets: int):
     """Anchors whose 25 bytes are in two documents or more.  (A batch that has a class twice says so: size 1.)"""
-    cols, known = _unpack(table)
-    ask = np.flatnonzero(~known)
-    order, group, least, _ = _classes(cols["k1"][ask], cols["k2"][ask], cols["doc"][ask])
-    doc = cols["doc"][ask][order]
-    most = np.zeros(len(least), np.int64)
-    most[group] = doc  # the last of each class
-    several = most > least
-    np.logical_or.at(several, group, cols["size"][ask][order] > 0)
-    pick = np.concatenate([np.flatnonzero(known), ask[order][several[group]]])
-    return _answers(cols, pick, ["k1"])
-
-
-def _round2(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
+        cols, known = _unpack(table)
+        ask = np.flatnonzero(~known)
+        order, group, least, _ = _classes(cols["k1"][ask], cols["k2"][ask], cols["doc"][ask])
+        doc = cols["doc"][ask][order]
+        most = np.zeros(len(least), np.int64)
+        most[group] = doc  # the last of each class
+        several = most > least
+        np.logical_or.at(several, group, cols["size"][ask][order] > 0)
+        pick = np.concatenate([np.flatnonzero(known), ask[order][several[group]]])
+        return _answers(cols, pick, ["k1"], buckets)
+    return run
+
+
+def _round2(buckets: int):
     """Stretches that a smaller document has (size + 100), and those of anchors with several stretches (to go on)."""
-    cols, known = _unpack(table)
-    ask = np.flatnonzero(~known)
-    order, group, least, rank = _classes(cols["k1"][ask], cols["k2"][ask], cols["doc"][ask])
-    later = cols["doc"][ask][order] > least[group]
-    alone = np.ones(len(rank), bool)
-    alone[1:] &= rank[1:] != rank[:-1]
-    alone[:-1] &= rank[1:] != rank[:-1]
-    on = ~later & ~alone[group]
-    cols["size"] = cols["size"].copy()
-    done = np.concatenate([np.flatnonzero(known), ask[order][later]])
-    cols["size"][done] += np.uint8(100)
-    pick = np.concatenate([done, ask[order][on]])
-    return _answers(cols, pick, ["at", "size"], np.arange(len(pick)) >= len(done))
-
-
-def _round3(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
+        cols, known = _unpack(table)
+        ask = np.flatnonzero(~known)
+        order, group, least, rank = _classes(cols["k1"][ask], cols["k2"][ask], cols["doc"][ask])
+        later = cols["doc"][ask][order] > least[group]
+        alone = np.ones(len(rank), bool)
+        alone[1:] &= rank[1:] != rank[:-1]
+        alone[:-1] &= rank[1:] != rank[:-1]
+        on = ~later & ~alone[group]
+        cols["size"] = cols["size"].copy()
+        done = np.concatenate([np.flatnonzero(known), ask[order][later]])
+        cols["size"][done] += np.uint8(100)
+        pick = np.concatenate([done, ask[order][on]])
+        return _answers(cols, pick, ["at", "size"], buckets, np.arange(len(pick)) >= len(done))
+    return run
+
+
+def _round3(buckets: int):
     """Windows that a smaller document has."""
-    cols, known = _unpack(table)
-    ask = np.flatnonzero(~known)
-    order, group, least, _ = _classes(cols["k1"][ask], cols["k2"][ask], cols["doc"][ask])
-    later = cols["doc"][ask][order] > least[group]
-    return _answers(cols, np.concatenate([np.flatnonzero(known), ask[order][later]]), ["at"])
+    def run(table: pa.Table) -> pa.Table:
+        cols, known = _unpack(table)
+        ask = np.flatnonzero(~known)
+        order, group, least, _ = _classes(cols["k1"][ask], cols["k2"][ask], cols["doc"][ask])
+        later = cols["doc"][ask][order] > least[group]
+        return _answers(cols, np.concatenate([np.flatnonzero(known), ask[order][later]]), ["at"], buckets)
+    return run
 
 
 # --- passes over the texts ---------------------------------------------------
@@ -293,7 +316,7 @@ def _pass2(parts: int):
     def run(batches):
         for batch in _slices(batches, BATCH_BYTES):
             doc, tid, texts = _rows(batch)
-            flagged = [np.unique(np.frombuffer(b"".join(x), np.uint64)) for x in batch.column(3).to_pylist()]
+            flagged = [np.unique(np.frombuffer(x, np.uint64)) for x in batch.column(3).to_pylist()]
             found = []
             for group in pieces(texts):
                 s = Stretch(group)
@@ -316,7 +339,7 @@ def _pass3(parts: int):
             doc, tid, texts = _rows(batch)
             found = []
             for row, (at, size) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
-                at, size = np.frombuffer(b"".join(at), np.uint32).astype(np.int64), np.frombuffer(b"".join(size), np.uint8)
+                at, size = np.frombuffer(at, np.uint32).astype(np.int64), np.frombuffer(size, np.uint8)
                 at, size = at[size < 100], size[size < 100].astype(np.int64)
                 # every window of the open stretches, as two 25-byte ranks
                 p = np.repeat(at, size + 1) + (np.arange(int((size + 1).sum())) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1))
@@ -351,9 +374,9 @@ def _spans(batches):
     for batch in batches:
         out = []
         for at, size, single in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-            at, size = np.frombuffer(b"".join(at or []), np.uint32).astype(np.int64), np.frombuffer(b"".join(size or []), np.uint8).astype(np.int64)
+            at, size = np.frombuffer(at, np.uint32).astype(np.int64), np.frombuffer(size, np.uint8).astype(np.int64)
             whole = size >= 100
-            one = np.frombuffer(b"".join(single or []), np.uint32).astype(np.int64)
+            one = np.frombuffer(single or b"", np.uint32).astype(np.int64)
             starts = np.concatenate([at[whole], one])
             out.append(merge_windows(starts, np.concatenate([at[whole] + size[whole] - 100, one]) + WIDTH))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.list_(pa.int64())))], names=["doc_id", "tid", "spans"])
@@ -380,32 +403,33 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     def parts(n):
         return max(1, -(-n // PART_ENTRIES))
 
-    def answered(questions, rank, names):
-        got = questions.groupBy("part").applyInArrow(rank, "doc_id long, tid long, " + ", ".join(f"{n} binary" for n in names) + ", n long")
-        return got.groupBy("doc_id", "tid").agg(*[F.collect_list(n).alias(n) for n in names], F.sum("n").alias("n"))
+    def answered(n, texts, ask, rank, names):
+        """Questions of ``texts`` (about ``n``), ranked, and their answers by document."""
+        got = texts.mapInArrow(ask(parts(n)), ASK).groupBy("part").applyInArrow(rank(parts(n)), ANSWER)
+        return got.groupBy("bucket").applyInArrow(_by_document(names), "doc_id long, tid long, " + ", ".join(f"{c} binary" for c in names) + ", n long")
 
     # whole copies need no search: every window is in the smallest doc_id with that text
     narrow = rows.select("doc_id", "tid", F.xxhash64("text").alias("_h"), F.octet_length("text").cast("long").alias("_n"), F.crc32("text").alias("_c"))
     text = ["_h", "_n", "_c"]
     least = narrow.groupBy(*text).agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most")).where("_least < _most")
+    least = stored(least.drop("_most"), folder + "/least")  # a table of its own, so that a text's many rows can be dealt to many tasks
     copies = stored(narrow.join(least, text).where("doc_id > _least").select("doc_id", "tid", "_n").distinct(), folder + "/copies")
 
-    first = rows.select("doc_id", "tid", "text").mapInArrow(_pass1(parts(total // 13)), ASK)
-    flagged = answered(first, _round1, ["k1"]).join(copies, ["doc_id", "tid"], "left_anti")
-    flagged = stored(flagged, folder + "/flagged")
+    flagged = answered(total // 13, rows.select("doc_id", "tid", "text"), _pass1, _round1, ["k1"])
+    flagged = stored(flagged.join(copies, ["doc_id", "tid"], "left_anti"), folder + "/flagged")
     n = flagged.agg(F.sum("n")).first()[0] or 0
-    second = (rows.join(flagged, ["doc_id", "tid"]).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", "text", "k1")
-              .mapInArrow(_pass2(parts(n)), ASK))
-    stretches = stored(answered(second, _round2, ["at", "size"]), folder + "/stretches")
+    second = rows.join(flagged, ["doc_id", "tid"]).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", "text", "k1")
+    stretches = stored(answered(n, second, _pass2, _round2, ["at", "size"]), folder + "/stretches")
     open_ = stretches.where("n > 0")
     n = open_.agg(F.sum("n")).first()[0] or 0
-    third = (rows.join(open_, ["doc_id", "tid"]).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", "text", "at", "size")
-             .mapInArrow(_pass3(parts(n * 13)), ASK))
-    windows = answered(third, _round3, ["at"]).select("doc_id", "tid", F.col("at").alias("single"))
+    third = rows.join(open_, ["doc_id", "tid"]).dropDuplicates(["doc_id", "tid"]).select("doc_id", "tid", "text", "at", "size")
+    windows = answered(n * 13, third, _pass3, _round3, ["at"]).select("doc_id", "tid", F.col("at").alias("single"))
     spans = stretches.join(windows, ["doc_id", "tid"], "left").select("doc_id", "tid", "at", "size", "single").mapInArrow(
         _spans, "doc_id long, tid long, spans array<array<long>>").where(F.size("spans") > 0)
     whole = copies.select("doc_id", "tid", F.array(F.array(F.lit(0).cast("long"), F.col("_n"))).alias("spans"))
-    return stored(spans.unionByName(whole), folder + "/spans")
+    spans = stored(spans.unionByName(whole), folder + "/spans")
+    discard(spark, *(f"{folder}/{x}" for x in ("least", "copies", "flagged", "stretches")))
+    return spans
 
 
 def cut(text: bytes, spans) -> bytes:
