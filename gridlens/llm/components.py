@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import stored
+from gridlens.llm.common import discard, stored
 
 
 def _neighbours(edges: DataFrame) -> DataFrame:
@@ -41,6 +41,7 @@ def connected(edges: DataFrame, folder: str) -> DataFrame:
     while True:
         i += 1
         now = stored(clean(_small_star(clean(_large_star(now)))), f"{folder}/edges-{i}")
+        discard(edges.sparkSession, f"{folder}/edges-{i - 1}")
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break

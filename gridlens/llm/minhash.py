@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import stored, workspace
+from gridlens.llm.common import discard, stored, workspace
 from gridlens.llm.components import connected
 
 WORDS = 5
@@ -253,6 +253,7 @@ def near_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("_task", F.pmod(F.xxhash64("component", "bi", "bj"), F.lit(many)))
     links = stored(pairs.drop("_o", "blocks").groupBy("_task").applyInPandas(_verify, "u long, v long"), folder + "/links")
     linked = connected(links, folder + "/links-star").withColumnRenamed("component", "_c")
+    discard(spark, *(f"{folder}/{x}" for x in ("nodes", "candidates", "groups", "links")))
     return rows.select("key", "doc_id", "n_shingles", "node").join(linked, "node", "left").select(
         "key", "doc_id", "n_shingles", "node", F.coalesce("_c", "node").alias("component"))
 

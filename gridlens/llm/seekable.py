@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -212,11 +213,26 @@ def _fetch(pdf):
 
 
 def fetch(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Ids of the requested doc_ids only: one read of the tables per touched file, then single frames."""
-    files = F.broadcast(manifest.select("path", "first_doc", "last_doc"))
-    hits = wanted.select("doc_id").where("doc_id IS NOT NULL").distinct().join(
-        files, F.col("doc_id").between(F.col("first_doc"), F.col("last_doc")))
-    return hits.groupBy("path").applyInPandas(_fetch, "doc_id long, ids binary")
+    """Ids of the requested doc_ids only: each is looked up among the files' ranges
+    (one row per file), then a touched file gives its tables and single frames."""
+    low = -(1 << 63)  # null doc_ids, which can't be asked for, come first
+    files = [(r["first_doc"] if r["first_doc"] is not None else low, r["last_doc"] if r["last_doc"] is not None else low, r["path"])
+             for r in manifest.orderBy("part").collect()]
+    firsts, lasts, paths = (list(x) for x in zip(*files)) if files else ([], [], [])
+
+    def place(batches):
+        import pandas as pd
+        for pdf in batches:
+            out = []
+            for d in pdf["doc_id"].tolist():
+                i = bisect_left(lasts, d)
+                while i < len(firsts) and firsts[i] <= d:
+                    out.append((d, paths[i]))
+                    i += 1
+            yield pd.DataFrame(out, columns=["doc_id", "path"])
+
+    ids = wanted.select(F.col("doc_id").cast("long")).where("doc_id IS NOT NULL").distinct()
+    return ids.mapInPandas(place, "doc_id long, path string").groupBy("path").applyInPandas(_fetch, "doc_id long, ids binary")
 
 
 def token_digest(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
