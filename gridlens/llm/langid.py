@@ -197,9 +197,15 @@ def pad(segments: list[bytes]):
 
 
 def training_slices(docs: DataFrame, per_lang: int = DOCS_PER_LANG) -> list:
-    """(lang, slices) of a bounded sample: the ``per_lang`` smallest hashes of each language."""
+    """(lang, slices) of a bounded sample: the ``per_lang`` smallest hashes of a hashed share of each language."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
     rows = rows.select("lang", "text", F.xxhash64(F.col("doc_id").cast("long"), "text").alias("_h"))
+    # of each language about four times as many as asked for go on to be ranked, however many there are
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("_h").alias("n")).collect()  # a row per language
+    share = F.lit(0)
+    for r in sizes:
+        share = F.when(F.col("lang") == r["lang"], int((1 << 30) * min(1.0, 4 * per_lang / max(1, r["n"])))).otherwise(share)
+    rows = rows.where(F.pmod("_h", F.lit(1 << 30)) < share)
     ranked = rows.select("lang", "_h").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_h")))
     last = ranked.where(F.col("_n") <= per_lang).groupBy("lang").agg(F.max("_h").alias("_h")).collect()  # a row per language
     if not last:
