@@ -20,9 +20,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.reject(docs)
 
 
+#: Share of the union of 5-word shingles, in percent, from which on documents count as near-duplicates (op6 has 85).
+NEAR_PERCENT = 80
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates, that of the smallest doc_id."""
-    return minhash.deduplicate(spark, docs)
+    return minhash.deduplicate(spark, docs, NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,11 +27,12 @@ from gridlens.llm.common import discard, stored, workspace
 from gridlens.llm.components import connected
 
 WORDS = 5
-#: A link: PERCENT or more of the union is shared.
+#: A link: PERCENT or more of the union is shared, if the caller names no other percentage.
 PERCENT = 85
-#: 7 registers a band, 32 bands: a pair at 0.85 is missed once in 200,000 times, one at 0.3 found once in 140.
-ROWS, BANDS = 7, 32
-REGISTERS = ROWS * BANDS
+#: Registers a band and bands, by percentage: a pair at the threshold is missed once in 200,000 times (85) or 190,000 (80),
+#: one at 0.3 found once in 140 or 35.
+SHAPES = {85: (7, 32), 80: (6, 40)}
+REGISTERS = max(rows * bands for rows, bands in SHAPES.values())
 #: SetSketch base, rate and largest register.
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 #: Standard errors below the threshold at which an estimate still leads to verification.
@@ -93,13 +94,13 @@ def shingles(text: bytes | None) -> np.ndarray:
     return np.unique(_mix(s))
 
 
-def sketch(sets: list[np.ndarray]) -> np.ndarray:
-    """(len(sets), REGISTERS) registers of non-empty sets."""
+def sketch(sets: list[np.ndarray], count: int = REGISTERS) -> np.ndarray:
+    """(len(sets), count) registers of non-empty sets."""
     x = np.concatenate(sets)
     x = (x >> _U(32)).astype(np.uint32) ^ x.astype(np.uint32)
     first = np.cumsum([0, *map(len, sets[:-1])])
-    low, v = np.empty((REGISTERS, len(sets)), np.uint32), np.empty_like(x)
-    for i in range(REGISTERS):
+    low, v = np.empty((count, len(sets)), np.uint32), np.empty_like(x)
+    for i in range(count):
         np.multiply(x, _MULTIPLY[i], out=v)
         v += _ADD[i]
         np.minimum.reduceat(v, first, out=low[i])
@@ -107,11 +108,12 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(h) / math.log(BASE)), 0, TOP).astype(np.uint16)
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    keys = np.zeros((len(registers), BANDS), np.uint64)
-    for i in range(ROWS):
-        keys = _mix(keys * _U(0x9E3779B97F4A7C15) + registers[:, i::ROWS].astype(np.uint64) + _U(1))
-    return _mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def band_keys(registers: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    rows, bands = SHAPES[percent]
+    keys = np.zeros((len(registers), bands), np.uint64)
+    for i in range(rows):
+        keys = _mix(keys * _U(0x9E3779B97F4A7C15) + registers[:, i:rows * bands:rows].astype(np.uint64) + _U(1))
+    return _mix(keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
 def _log_slope(plus, minus, equal, n, m, j):
@@ -132,12 +134,13 @@ def _log_slope(plus, minus, equal, n, m, j):
     return plus * da / pa_ + minus * db / pb - equal * (da + db) / np.maximum(1 - pa_ - pb, 1e-12)
 
 
-def _floor_similarity() -> float:
-    t = PERCENT / 100
-    return t - MARGIN * math.sqrt(t * (1 - t) / REGISTERS)
+def _floor_similarity(percent: int) -> float:
+    t = percent / 100
+    return t - MARGIN * math.sqrt(t * (1 - t) / math.prod(SHAPES[percent]))
 
 
-def links_in_group(sizes: np.ndarray, registers: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None):
+def links_in_group(sizes: np.ndarray, registers: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None,
+                   percent: int = PERCENT):
     """Spanning forest (pairs of places) of the verified links; with ``side``, only links across the two sides.
 
     A pair is compared if sizes allow the threshold, then if the likelihood
@@ -154,16 +157,16 @@ def links_in_group(sizes: np.ndarray, registers: np.ndarray, sets: list[np.ndarr
 
     order = np.argsort(sizes, kind="stable")
     sizes, registers = sizes[order], registers[order]
-    floor, forest = _floor_similarity(), []
+    floor, forest, count = _floor_similarity(percent), [], registers.shape[1]
     for a in range(len(order) - 1):
-        # larger sets up to 100/85 of this one
-        end = np.searchsorted(sizes, sizes[a] * 100 // PERCENT, "right")
+        # larger sets up to 100 / percent of this one
+        end = np.searchsorted(sizes, sizes[a] * 100 // percent, "right")
         if end <= a + 1:
             continue
         other = registers[a + 1:end]
         plus = (registers[a] > other).sum(axis=1)
         equal = (registers[a] == other).sum(axis=1)
-        slope = _log_slope(plus, REGISTERS - plus - equal, equal, float(sizes[a]), sizes[a + 1:end].astype(float), floor)
+        slope = _log_slope(plus, count - plus - equal, equal, float(sizes[a]), sizes[a + 1:end].astype(float), floor)
         near = np.flatnonzero(slope >= 0)
         for b in (near[np.argsort(-equal[near], kind="stable")] + a + 1).tolist():
             i, j = int(order[a]), int(order[b])
@@ -173,29 +176,31 @@ def links_in_group(sizes: np.ndarray, registers: np.ndarray, sets: list[np.ndarr
             if ri == rj:
                 continue
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= PERCENT * (len(sets[i]) + len(sets[j]) - both):
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 parent[max(ri, rj)] = min(ri, rj)
                 forest.append((i, j))
     return forest
 
 
-def _sketcher(batches):
-    for batch in batches:
-        keys, ids, texts = (batch.column(i) for i in range(3))
-        sets = [shingles(t) for t in texts.to_pylist()]
-        full = [i for i, s in enumerate(sets) if len(s)]
-        n = np.array([len(s) for s in sets], np.int64)
-        registers, bands, node = [None] * len(sets), [None] * len(sets), [None] * len(sets)
-        for k in range(0, len(full), 256):
-            part = full[k:k + 256]
-            r = sketch([sets[i] for i in part])
-            b = band_keys(r)
-            for row, i in enumerate(part):
-                registers[i], bands[i] = r[row].tobytes(), b[row]
-                node[i] = int((_mix(sets[i]).sum(dtype=np.uint64) + _U(len(sets[i]))).view(np.int64))
-        yield pa.RecordBatch.from_arrays([keys, ids, pa.array(n), pa.array(node, pa.int64()), pa.array(registers, pa.binary()),
-                                          pa.array(bands, pa.list_(pa.int64()))],
-                                         names=["key", "doc_id", "n_shingles", "node", "registers", "bands"])
+def _sketcher(percent: int):
+    def run(batches):
+        for batch in batches:
+            keys, ids, texts = (batch.column(i) for i in range(3))
+            sets = [shingles(t) for t in texts.to_pylist()]
+            full = [i for i, s in enumerate(sets) if len(s)]
+            n = np.array([len(s) for s in sets], np.int64)
+            registers, bands, node = [None] * len(sets), [None] * len(sets), [None] * len(sets)
+            for k in range(0, len(full), 256):
+                part = full[k:k + 256]
+                r = sketch([sets[i] for i in part], math.prod(SHAPES[percent]))
+                b = band_keys(r, percent)
+                for row, i in enumerate(part):
+                    registers[i], bands[i] = r[row].tobytes(), b[row]
+                    node[i] = int((_mix(sets[i]).sum(dtype=np.uint64) + _U(len(sets[i]))).view(np.int64))
+            yield pa.RecordBatch.from_arrays([keys, ids, pa.array(n), pa.array(node, pa.int64()), pa.array(registers, pa.binary()),
+                                              pa.array(bands, pa.list_(pa.int64()))],
+                                             names=["key", "doc_id", "n_shingles", "node", "registers", "bands"])
+    return run
 
 
 def _sets(batches):
@@ -205,32 +210,35 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([cols[n] for n in batch.schema.names], names=batch.schema.names)
 
 
-def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for (_, bi, bj), group in pdf.groupby(["component", "bi", "bj"], sort=False):
-        sets = [np.frombuffer(s, np.uint64) for s in group["text"]]
-        registers = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), REGISTERS)
-        side = None if bi == bj else group["block"].to_numpy()
-        node = group["node"].to_numpy()
-        out += [(node[i], node[j]) for i, j in links_in_group(group["n"].to_numpy(), registers, sets, side)]
-    return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+def _verifier(percent: int):
+    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (_, bi, bj), group in pdf.groupby(["component", "bi", "bj"], sort=False):
+            sets = [np.frombuffer(s, np.uint64) for s in group["text"]]
+            registers = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), math.prod(SHAPES[percent]))
+            side = None if bi == bj else group["block"].to_numpy()
+            node = group["node"].to_numpy()
+            out += [(node[i], node[j]) for i, j in links_in_group(group["n"].to_numpy(), registers, sets, side, percent)]
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+    return verify
 
 
 def row_key() -> F.Column:
     return F.xxhash64(F.col("doc_id").cast("long"), "text")
 
 
-def near_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def near_components(spark: SparkSession, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(key, doc_id, n_shingles, node, component) of every row; component is null for an empty set.
 
-    Rows with equal sets share a node; ``component`` names the linked nodes.
+    Rows with equal sets share a node; ``component`` names the nodes linked at
+    ``percent`` (85 or 80).
     ``key`` is a digest of doc_id and text.  Null and wordless texts have the
     empty set and no link; null ids take part; repeated rows share a node;
     other columns are ignored.
     """
     folder = workspace(spark, "near")
     rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    rows = stored(rows.mapInArrow(_sketcher, "key long, doc_id long, n_shingles long, node long, registers binary, bands array<long>"), folder + "/rows")
+    rows = stored(rows.mapInArrow(_sketcher(percent), "key long, doc_id long, n_shingles long, node long, registers binary, bands array<long>"), folder + "/rows")
     # one row of each distinct set (the registers of equal sets are equal)
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("key"))
     nodes = stored(rows.join(nodes, ["node", "key"], "left_semi").dropDuplicates(["node"])
@@ -251,7 +259,7 @@ def near_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "*", F.least("block", "_o").alias("bi"), F.greatest("block", "_o").alias("bj"))
     many = max(1, groups.count() // 512)
     pairs = pairs.withColumn("_task", F.pmod(F.xxhash64("component", "bi", "bj"), F.lit(many)))
-    links = stored(pairs.drop("_o", "blocks").groupBy("_task").applyInPandas(_verify, "u long, v long"), folder + "/links")
+    links = stored(pairs.drop("_o", "blocks").groupBy("_task").applyInPandas(_verifier(percent), "u long, v long"), folder + "/links")
     linked = connected(links, folder + "/links-star").withColumnRenamed("component", "_c")
     discard(spark, *(f"{folder}/{x}" for x in ("nodes", "candidates", "groups", "links")))
     return rows.select("key", "doc_id", "n_shingles", "node").join(linked, "node", "left").select(
@@ -260,7 +268,7 @@ def near_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document its set size, the smallest doc_id reachable, and whether it is that (the registered query)."""
-    rows = near_components(spark, docs)
+    rows = near_components(spark, docs, PERCENT)
     rows = rows.withColumn("_own", F.when(F.col("component").isNull(), F.col("doc_id")))
     least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("_least"))
     out = rows.join(least, "component", "left")
@@ -268,12 +276,12 @@ def duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row of each group of near-duplicates: that of the smallest doc_id, then of the smallest row digest.
+def deduplicate(spark: SparkSession, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of near-duplicates at ``percent``: that of the smallest doc_id, then of the smallest row digest.
 
     Rows with an empty set are all kept.
     """
-    rows = near_components(spark, docs).where("component IS NOT NULL")
+    rows = near_components(spark, docs, percent).where("component IS NOT NULL")
     # a null id loses against any other
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
     keep = first.select(F.col("first.key").alias("_key")).distinct()
