@@ -8,8 +8,11 @@ candidates; inside a group of candidates the similarity is estimated by
 likelihood from the registers and the set sizes, and what may reach the
 threshold is verified on the full sets.  Links become connected components.
 
-Equal sets are one node from the start.  A group emits a spanning forest of
-its links, never its pairs; a large group is dealt into pairs of blocks.
+Equal sets are one node from the start.  Every node is first verified against
+the hub it shares most bands with; nodes linked so are one cluster, and only
+nodes of different clusters are compared after that.  A group emits a spanning
+forest of its links, never its pairs; a large group is dealt into pairs of
+blocks, which compare registers, and sets only of nodes with a likely partner.
 Sets are compared by 64-bit digests of their shingles.
 """
 
@@ -139,15 +142,57 @@ def _floor_similarity(percent: int) -> float:
     return t - MARGIN * math.sqrt(t * (1 - t) / math.prod(SHAPES[percent]))
 
 
+def _near_places(sizes: np.ndarray, registers: np.ndarray, percent: int):
+    """(a, places b > a) of the pairs that may reach the threshold, likeliest first; rows are sorted by size.
+
+    A pair passes if sizes allow the threshold, then if the likelihood still
+    rises at the floor similarity (the estimate is at least that).
+    """
+    floor, count = _floor_similarity(percent), registers.shape[1]
+    for a in range(len(sizes) - 1):
+        # larger sets up to 100 / percent of this one
+        end = np.searchsorted(sizes, sizes[a] * 100 // percent, "right")
+        if end <= a + 1:
+            continue
+        other = registers[a + 1:end]
+        plus = (registers[a] > other).sum(axis=1)
+        equal = (registers[a] == other).sum(axis=1)
+        slope = _log_slope(plus, count - plus - equal, equal, float(sizes[a]), sizes[a + 1:end].astype(float), floor)
+        near = np.flatnonzero(slope >= 0)
+        yield a, near[np.argsort(-equal[near], kind="stable")] + a + 1
+
+
+def _linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+        return False
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
+def near_in_group(sizes: np.ndarray, registers: np.ndarray, cluster: np.ndarray, side: np.ndarray | None = None, percent: int = PERCENT):
+    """Mask of the places with a partner in another cluster (and on the other side) that may reach the threshold."""
+    order = np.argsort(sizes, kind="stable")
+    cluster, side, hit = cluster[order], None if side is None else side[order], np.zeros(len(order), bool)
+    for a, near in _near_places(sizes[order], registers[order], percent):
+        near = near[(cluster[near] != cluster[a]) & (True if side is None else side[near] != side[a])]
+        hit[near] = True
+        hit[a] |= len(near) > 0
+    out = np.zeros(len(order), bool)
+    out[order] = hit
+    return out
+
+
 def links_in_group(sizes: np.ndarray, registers: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None,
-                   percent: int = PERCENT):
+                   percent: int = PERCENT, cluster: np.ndarray | None = None):
     """Spanning forest (pairs of places) of the verified links; with ``side``, only links across the two sides.
 
-    A pair is compared if sizes allow the threshold, then if the likelihood
-    still rises at the floor similarity (the estimate is at least that), then
-    exactly - unless a link already connects the two.
+    A pair is compared exactly if sizes and registers let it reach the
+    threshold - unless a link, or a cluster known from before, already connects the two.
     """
     parent = list(range(len(sizes)))
+    if cluster is not None:
+        first = {}
+        parent = [first.setdefault(c, i) for i, c in enumerate(cluster.tolist())]
 
     def root(i):
         while parent[i] != i:
@@ -155,28 +200,14 @@ def links_in_group(sizes: np.ndarray, registers: np.ndarray, sets: list[np.ndarr
             i = parent[i]
         return i
 
-    order = np.argsort(sizes, kind="stable")
-    sizes, registers = sizes[order], registers[order]
-    floor, forest, count = _floor_similarity(percent), [], registers.shape[1]
-    for a in range(len(order) - 1):
-        # larger sets up to 100 / percent of this one
-        end = np.searchsorted(sizes, sizes[a] * 100 // percent, "right")
-        if end <= a + 1:
-            continue
-        other = registers[a + 1:end]
-        plus = (registers[a] > other).sum(axis=1)
-        equal = (registers[a] == other).sum(axis=1)
-        slope = _log_slope(plus, count - plus - equal, equal, float(sizes[a]), sizes[a + 1:end].astype(float), floor)
-        near = np.flatnonzero(slope >= 0)
-        for b in (near[np.argsort(-equal[near], kind="stable")] + a + 1).tolist():
+    order, forest = np.argsort(sizes, kind="stable"), []
+    for a, near in _near_places(sizes[order], registers[order], percent):
+        for b in near.tolist():
             i, j = int(order[a]), int(order[b])
             if side is not None and side[i] == side[j]:
                 continue
             ri, rj = root(i), root(j)
-            if ri == rj:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            if ri != rj and _linked(sets[i], sets[j], percent):
                 parent[max(ri, rj)] = min(ri, rj)
                 forest.append((i, j))
     return forest
@@ -205,24 +236,102 @@ def _sketcher(percent: int):
 
 def _sets(batches):
     for batch in batches:
-        cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        cols["text"] = pa.array([shingles(t).tobytes() for t in cols["text"].to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([cols[n] for n in batch.schema.names], names=batch.schema.names)
+        nodes, sets, size = [], [], 0
+        for node, text in zip(batch.column(0), batch.column(1)):
+            nodes.append(node.as_py())
+            sets.append(shingles(text.as_py()).tobytes())
+            size += len(sets[-1])
+            if size >= 8 * BLOCK_SHINGLES:
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
+                nodes, sets, size = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
+
+
+def _hub_verifier(percent: int):
+    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (hub, _), group in pdf.groupby(["hub", "chunk"], sort=False):
+            sets = {node: np.frombuffer(s, np.uint64) for node, s in zip(group["node"].tolist(), group["set"])}
+            centre = sets.pop(hub)
+            out += [(node, hub) for node, s in sets.items() if _linked(s, centre, percent)]
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+    return verify
+
+
+def _blocks_of(pdf: pd.DataFrame, percent: int):
+    """Rows, registers and sides of each pair of blocks of a frame."""
+    for (_, bi, bj), group in pdf.groupby(["component", "bi", "bj"], sort=False):
+        registers = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), math.prod(SHAPES[percent]))
+        yield group, registers, None if bi == bj else group["block"].to_numpy()
+
+
+def _near_finder(percent: int):
+    def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [group[near_in_group(group["n"].to_numpy(), registers, group["cluster"].to_numpy(), side, percent)]
+               for group, registers, side in _blocks_of(pdf, percent)]
+        return pd.concat(out).drop(columns="_task")
+    return find
 
 
 def _verifier(percent: int):
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (_, bi, bj), group in pdf.groupby(["component", "bi", "bj"], sort=False):
-            sets = [np.frombuffer(s, np.uint64) for s in group["text"]]
-            registers = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), math.prod(SHAPES[percent]))
-            side = None if bi == bj else group["block"].to_numpy()
+        for group, registers, side in _blocks_of(pdf, percent):
+            sets = [np.frombuffer(s, np.uint64) for s in group["set"]]
             node = group["node"].to_numpy()
-            out += [(node[i], node[j]) for i, j in links_in_group(group["n"].to_numpy(), registers, sets, side, percent)]
+            out += [(node[i], node[j]) for i, j in links_in_group(group["n"].to_numpy(), registers, sets, side, percent, group["cluster"].to_numpy())]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
     return verify
 
 
+def _blocks(rows, shingles_) -> F.Column:
+    return F.greatest(F.ceil(rows / BLOCK_NODES), F.ceil(shingles_ / BLOCK_SHINGLES)).cast("int")
+
+
+def with_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``_task``: a large group of ``keys`` is a task of its own, small ones share tasks of about a block.
+
+    Groups are bounded by blocks; column n counts the shingles of a row.
+    """
+    per = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), F.sum("n").alias("_n"))
+    total = per.agg(F.sum("_rows"), F.sum("_n")).first()
+    many = 1 + max((total[0] or 0) * 2 // BLOCK_NODES, (total[1] or 0) * 2 // BLOCK_SHINGLES)
+    small = (F.col("_rows") * 8 <= BLOCK_NODES) & (F.col("_n") * 8 <= BLOCK_SHINGLES)
+    task = F.when(small, F.pmod(F.xxhash64(*keys), F.lit(many))).otherwise(F.xxhash64(*keys))
+    return rows.join(per.select(*keys, task.alias("_task")), keys)
+
+
+def hub_rows(edges: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(hub, chunk, node, n): every node with the hub that it shares most bands with; a chunk is a block, and has the hub too."""
+    best = edges.groupBy("u").agg(F.max(F.struct("shared", "v")).alias("_b")).select(F.col("u").alias("node"), F.col("_b.v").alias("hub"))
+    best = best.join(sizes, "node")
+    chunks = best.groupBy("hub").agg(_blocks(F.count("*"), F.sum("n")).alias("chunks"))
+    members = best.join(chunks, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), "node", "n")
+    centres = members.select("hub", "chunk").distinct().withColumn("node", F.col("hub")).join(sizes, "node")
+    return members.unionByName(centres)
+
+
+def block_rows(nodes: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Rows of ``nodes`` (component, node, n, ...) once for each pair of blocks (bi, bj) in which they meet others.
+
+    A component of one cluster is settled.  Blocks of the largest cluster
+    meet all other blocks, but not each other: its nodes are linked already.
+    """
+    nodes = nodes.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    per = nodes.groupBy("component", "cluster").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    per = per.groupBy("component").agg(F.max(F.struct("c", "cluster", "w")).alias("top"), F.sum("c").alias("c"), F.sum("w").alias("w"),
+                                       F.count("*").alias("clusters")).where("clusters > 1")
+    one = _blocks(F.col("c"), F.col("w")) <= 1
+    per = per.select("component", F.col("top.cluster").alias("_top"), F.when(one, 0).otherwise(_blocks(F.col("top.c"), F.col("top.w"))).alias("_first"),
+                     F.when(one, 1).otherwise(_blocks(F.col("c") - F.col("top.c"), F.col("w") - F.col("top.w"))).alias("_rest"))
+    top, deal = (F.col("cluster") == F.col("_top")) & (F.col("_first") > 0), F.xxhash64("node")
+    block = F.when(top, F.pmod(deal, F.nullif("_first", F.lit(0)))).otherwise(F.col("_first") + F.pmod(deal, F.col("_rest"))).cast("int")
+    rows = nodes.join(per, "component").withColumn("block", block)
+    other = F.sequence(F.when(top, F.col("_first")).otherwise(0), F.col("_first") + F.col("_rest") - 1)
+    return rows.withColumn("_o", F.explode(other)).select(
+        *nodes.columns, "block", F.least("block", "_o").alias("bi"), F.greatest("block", "_o").alias("bj"))
+
+
 def row_key() -> F.Column:
     return F.xxhash64(F.col("doc_id").cast("long"), "text")
 
@@ -245,23 +354,26 @@ def near_components(spark: SparkSession, docs: DataFrame, percent: int = PERCENT
                    .select("node", "key", F.col("n_shingles").alias("n"), "registers", "bands"), folder + "/nodes")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     hubs = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("band", "hub")
-    edges = bands.join(hubs, "band").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    edges = bands.join(hubs, "band").where("node <> hub").groupBy(F.col("node").alias("u"), F.col("hub").alias("v")).agg(F.count("*").alias("shared"))
+    edges = stored(edges, folder + "/edges")
     groups = stored(connected(edges, folder + "/candidates"), folder + "/groups")
-
-    size = groups.join(nodes.select("node", "n"), "node").groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    chosen = nodes.select("node", "key", "n", "registers").join(groups, "node").join(size, "component")
-    chosen = chosen.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     texts = docs.select(row_key().alias("key"), F.col("text").cast("binary").alias("text"))
-    sets = texts.join(chosen, "key").dropDuplicates(["node"]).select("node", "n", "registers", "component", "block", "blocks", "text")
-    sets = sets.mapInArrow(_sets, sets.schema)
-    pairs = sets.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "*", F.least("block", "_o").alias("bi"), F.greatest("block", "_o").alias("bj"))
-    many = max(1, groups.count() // 512)
-    pairs = pairs.withColumn("_task", F.pmod(F.xxhash64("component", "bi", "bj"), F.lit(many)))
-    links = stored(pairs.drop("_o", "blocks").groupBy("_task").applyInPandas(_verifier(percent), "u long, v long"), folder + "/links")
+    sets = texts.join(nodes.select("node", "key").join(groups, "node"), "key").dropDuplicates(["node"]).select("node", "text")
+    sets = stored(sets.mapInArrow(_sets, "node long, set binary"), folder + "/sets")
+
+    # every node against one hub; what that links is one cluster and is not compared again
+    asked = with_tasks(hub_rows(edges, nodes.select("node", "n")), ["hub", "chunk"])
+    near = stored(asked.join(sets, "node").groupBy("_task").applyInPandas(_hub_verifier(percent), "u long, v long"), folder + "/hub-links")
+    clusters = stored(connected(near, folder + "/clusters-star"), folder + "/clusters").withColumnRenamed("component", "cluster")
+    # then blocks of nodes by their registers, then the sets of those with a likely partner
+    pair = ["component", "bi", "bj"]
+    pairs = block_rows(nodes.select("node", "n", "registers").join(groups, "node"), clusters)
+    found = with_tasks(pairs, pair).groupBy("_task").applyInPandas(_near_finder(percent), pairs.schema)
+    found = stored(found, folder + "/found")
+    links = with_tasks(found, pair).join(sets, "node").groupBy("_task").applyInPandas(_verifier(percent), "u long, v long")
+    links = stored(links.union(near), folder + "/links")
     linked = connected(links, folder + "/links-star").withColumnRenamed("component", "_c")
-    discard(spark, *(f"{folder}/{x}" for x in ("nodes", "candidates", "groups", "links")))
+    discard(spark, *(f"{folder}/{x}" for x in ("nodes", "edges", "candidates", "groups", "sets", "hub-links", "clusters-star", "clusters", "found", "links")))
     return rows.select("key", "doc_id", "n_shingles", "node").join(linked, "node", "left").select(
         "key", "doc_id", "n_shingles", "node", F.coalesce("_c", "node").alias("component"))
 

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from gridlens.llm import minhash
 from test_text_ops import brute_sets
@@ -60,3 +61,27 @@ def test_the_stage_links_from_four_fifths_on(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()}
     assert kept == set(brute_groups(texts, 80)) != set(brute_groups(texts, 85))
+
+
+def test_verification_frames_are_bounded_and_linked_nodes_are_not_paired_again(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 16)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 4000)
+    nodes = spark.createDataFrame([(i, 100 + i % 3, 7) for i in range(400)] + [(1000, 50, 8), (1001, 51, 8)], "node long, n long, component long")
+    none = spark.createDataFrame([], "node long, cluster long")
+    rows = minhash.with_tasks(minhash.block_rows(nodes, none), ["component", "bi", "bj"])
+    frames = [(r["c"], r["n"]) for r in rows.groupBy("_task").agg(F.count("*").alias("c"), F.sum("n").alias("n")).collect()]
+    assert max(c for c, _ in frames) <= 6 * 16 and max(n for _, n in frames) <= 4 * 4000
+    met = {(min(a, b), max(a, b)) for ids in rows.groupBy("component", "bi", "bj").agg(F.collect_list("node").alias("ids")).collect()
+           for a in ids.ids for b in ids.ids if a != b}
+    assert met == {(a, b) for a in range(400) for b in range(a + 1, 400)} | {(1000, 1001)}
+    # 390 linked nodes meet the other 10, not each other
+    clusters = spark.createDataFrame([(i, 0) for i in range(390)] + [(1000, 1000), (1001, 1000)], "node long, cluster long")
+    rows = minhash.block_rows(nodes, clusters)
+    assert rows.where("component = 8").count() == 0 and rows.count() < 2 * 400 + 10 * 40
+    met = {(a, b) for ids in rows.groupBy("component", "bi", "bj").agg(F.collect_list("node").alias("ids")).collect() for a in ids.ids for b in ids.ids if a < b}
+    assert {(a, b) for a in range(400) for b in range(390, 400) if a < b} <= met
+    # members of a hub are dealt into chunks, each with the hub
+    edges = spark.createDataFrame([(i, 0, 5) for i in range(1, 400)] + [(1001, 1000, 1)], "u long, v long, shared long")
+    chunks = minhash.hub_rows(edges, nodes.select("node", "n")).groupBy("hub", "chunk").agg(
+        F.count("*").alias("c"), F.sum(F.expr("CAST(node = hub AS INT)")).alias("centres")).collect()
+    assert len(chunks) > 20 and {r.centres for r in chunks} == {1} and max(r.c for r in chunks) <= 40 and sum(r.c - 1 for r in chunks) == 400
