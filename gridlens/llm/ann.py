@@ -25,6 +25,8 @@ SAMPLE = 16_384
 MAX_LISTS = 2048
 #: Share of the lists that a query scans, and at least so many.
 PROBE_SHARE, MIN_PROBES = 0.6, 16
+#: Up to so many vectors every list is scanned.
+SMALL_TABLE = 2048
 #: Columns of a block, and the strictness of the abandoning test.
 BLOCK_COLUMNS, EPSILON = 16, 2.1
 #: Candidates and queries that meet in one task: small lists share a group, a large list is dealt into parts.
@@ -149,6 +151,16 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.tolist(), dtype=np.float32).reshape(len(column), -1)
 
 
+def probed_lists(x: np.ndarray, centres: np.ndarray, counts: np.ndarray, probes: int, need: np.ndarray) -> list[np.ndarray]:
+    """The ``probes`` nearest lists of each row of ``x``, and the next ones until they hold ``need`` candidates (or all)."""
+    near = list(nearest(x, centres, probes))
+    short = np.flatnonzero([counts[row].sum() < n for row, n in zip(near, need)])
+    if len(short) and probes < len(centres):
+        for i, row in zip(short, nearest(x[short], centres, len(centres))):
+            near[i] = row[:max(probes, np.searchsorted(np.cumsum(counts[row]), need[i]) + 1)]
+    return near
+
+
 def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: int = 20, probe_share: float = PROBE_SHARE) -> DataFrame:
     """The ``k`` nearest of every query (rows whose vec_id is divisible by ``every``): query_id, rank, vec_id, score.
 
@@ -170,7 +182,7 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
     lists = max(1, min(MAX_LISTS, 4 * round(math.sqrt(n))))
     turn = rotation(dim + 1)
     centres = k_means(lift(_matrix(sample), norm2) @ turn, lists)
-    probes = min(len(centres), max(MIN_PROBES, math.ceil(probe_share * len(centres))))
+    probes = len(centres) if n <= SMALL_TABLE else min(len(centres), max(MIN_PROBES, math.ceil(probe_share * len(centres))))
     shared = spark.sparkContext.broadcast((centres, turn))  # at most MAX_LISTS vectors
 
     def to_list(batches):
@@ -181,7 +193,10 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
     cands = stored(valid.mapInPandas(to_list, "vec_id long, v array<float>, list int"), workspace(spark, "lists"))
     sizes = {r["list"]: r["count"] for r in cands.groupBy("list").count().collect()}  # a row per list
     group, parts = deal(sizes, len(centres))
-    queries = valid.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    counts = np.array([sizes.get(i, 0) for i in range(len(centres))])
+    queries = valid.where(F.col("vec_id") % every == 0)
+    # rows of the query's own id are no answers
+    queries = queries.dropDuplicates(["vec_id"]).join(queries.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id")
     q_parts = max(1, math.ceil(queries.count() / GROUP_QUERIES))
 
     def to_groups(batches):
@@ -189,7 +204,7 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
         cs, rot = shared.value
         for pdf in batches:
             x = _matrix(pdf["v"])
-            near = nearest(np.concatenate([x, np.zeros((len(x), 1), np.float32)], axis=1) @ rot, cs, probes)
+            near = probed_lists(np.concatenate([x, np.zeros((len(x), 1), np.float32)], axis=1) @ rot, cs, counts, probes, k + pdf["own"].to_numpy())
             ids, out = pdf["vec_id"].to_numpy(), []
             for i, row in enumerate(near):
                 for g in np.unique(group[row]):

@@ -168,6 +168,23 @@ def test_neighbours_of_uneven_norms_equal_vectors_and_invalid_rows(spark):
     assert ann.neighbours(spark, e.where("vec_id = 20")).count() == 0
 
 
+@pytest.mark.parametrize("n", [21, 28, 40])
+def test_neighbours_of_small_tables_are_complete(spark, monkeypatch, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(n)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    check_recall(ann.neighbours(spark, e).toPandas(), brute_neighbours(e.toPandas()), 0.99)
+    monkeypatch.setattr(ann, "SMALL_TABLE", 0)
+    got = ann.neighbours(spark, e.union(e.where("vec_id = 20"))).toPandas()
+    assert (got.groupby("query_id").size() == 20).all() and set(got["query_id"]) == set(range(0, n, 20))
+
+
+def test_probing_goes_on_until_the_lists_hold_enough():
+    centres, counts = np.array([[float(i), 0] for i in range(6)]), np.array([1, 2, 0, 4, 5, 6])
+    lists = ann.probed_lists(np.zeros((3, 2)), centres, counts, 2, np.array([3, 7, 99]))
+    assert [x.tolist() for x in lists] == [[0, 1], [0, 1, 2, 3], [0, 1, 2, 3, 4, 5]]
+
+
 def test_large_lists_are_dealt_into_parts(spark, monkeypatch):
     monkeypatch.setattr(ann, "GROUP_ROWS", 37)
     monkeypatch.setattr(ann, "GROUP_QUERIES", 7)
