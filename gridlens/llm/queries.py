@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlens.llm import ann, chat, decontam, langid, minhash, packing, quality, seekable, sharding, suffix
+from gridlens.llm import ann, chat, decontam, langid, minhash, packing, quality, repair, seekable, sharding, simplex, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,9 +53,22 @@ def op10_packing(spark, sf_dir):
     return packing.pack_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_toxicity(spark, sf_dir):
+    return toxicity.predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_repair(spark, sf_dir):
+    return repair.repair_digest(spark, _table(spark, sf_dir, "conversations"))
+
+
+def op13_clusters(spark, sf_dir):
+    return simplex.cluster_digest(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_sharding, op3_chat, op4_tokens, op5_suffix, op6_minhash, op7_decontamination, op8_quality, op9_neighbours, op10_packing, pipeline)}
-ORACLE = {"op3_chat": chat.ROTATE_SQL, "op7_decontamination": decontam.CONTAMINATION_SQL}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_sharding, op3_chat, op4_tokens, op5_suffix, op6_minhash, op7_decontamination, op8_quality, op9_neighbours, op10_packing,
+                                      op11_toxicity, op12_repair, op13_clusters, pipeline)}
+ORACLE = {"op3_chat": chat.ROTATE_SQL, "op7_decontamination": decontam.CONTAMINATION_SQL, "op13_clusters": simplex.CLUSTER_SQL}
