@@ -105,7 +105,7 @@ def apply_outages(tel: DataFrame, events: DataFrame, cols: list[str], device: st
     size check passes): one scan, no duplicates when outages overlap.
     """
     out = events.where(F.col("event_type") == "downtime")
-    j = with_active_events(tel, out, device, time, **join_kw).withColumn("in_outage", (F.size("_active") > 0).cast("int"))
+    j = with_active_events(tel, out, device, time, need="any", **join_kw).withColumn("in_outage", (F.size("_active") > 0).cast("int"))
     return mask_when(j.drop("_active"), F.col("in_outage") == 1, cols)
 
 

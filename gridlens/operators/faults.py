@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlens.functions.exprs import epoch_s, severity_class
+from gridlens.operators.sweep import chunks, join_chunks
 
 DAY = 86400
 # Fixed value that must equal the reference: the intermittent pattern repeats
@@ -37,7 +38,8 @@ EVENT_SCHEMA = T.StructType([
 
 # Default upper bound (bytes) for shipping the event table to every executor.
 BROADCAST_LIMIT = 64 * 1024 * 1024
-EVENT_ROW_BYTES = 160
+# Faults of one device up to which a row simply goes through all of them.
+FAULTS_PER_DEVICE = 64
 
 
 def severity_sql(dt: str = "_dt", dur: str = "_dur", shape: str = "shape",
@@ -107,43 +109,48 @@ def normalise_events(faults: DataFrame, site_start: str, outages: DataFrame | No
     return ev
 
 
-def _event_bytes_ok(events: DataFrame, limit: int) -> bool:
-    """Size check before broadcasting.  Counting stops after the first
-    limit/row-size + 1 rows, so a large event table is never fully counted."""
-    cap = max(1, limit // EVENT_ROW_BYTES)
-    return events.limit(cap + 1).count() <= cap
-
-
 def join_strategy(events: DataFrame, broadcast_limit: int | None = None, force: str | None = None) -> str:
-    """'broadcast' when the event table passes the size check, else 'bucketed'."""
+    """How fault events meet telemetry.  One count per device (map-side
+    combined) decides: 'sweep' where a device has more than ``faultsPerDevice``
+    faults, else 'broadcast' when the table fits the limit, else 'bucketed'."""
     if force:
         return force
+    from gridlens.operators.joins import row_bytes
     from gridlens.session import setting
-    broadcast_limit = broadcast_limit or setting(events.sparkSession, "broadcastLimitBytes", BROADCAST_LIMIT)
-    ev = events.select("device", "event_type", "start_time", "end_time", "shape", "max_severity",
-                       "ramp_seconds", "ramp_down_seconds", "ord")
-    return "broadcast" if _event_bytes_ok(ev, broadcast_limit) else "bucketed"
+    limit = broadcast_limit or setting(events.sparkSession, "broadcastLimitBytes", BROADCAST_LIMIT)
+    ev = events.select("device", *EVENT_FIELDS)
+    size = row_bytes(ev)
+    got = ev.groupBy("device").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("s")).agg(F.max("n"), F.sum("s")).first()
+    if (got[0] or 0) > setting(events.sparkSession, "faultsPerDevice", FAULTS_PER_DEVICE):
+        return "sweep"
+    return "broadcast" if (got[1] or 0) <= limit else "bucketed"
 
 
 EVENT_FIELDS = ["event_type", "start_time", "end_time", "shape", "max_severity", "ramp_seconds", "ramp_down_seconds", "ord"]
 
 
 def with_active_events(tel: DataFrame, events: DataFrame, device: str = "device", time: str = "time",
-                       broadcast_limit: int | None = None, force: str | None = None) -> DataFrame:
+                       broadcast_limit: int | None = None, force: str | None = None, need: str = "all",
+                       period: float = INTERMITTENT_PERIOD_S) -> DataFrame:
     """Telemetry rows as they are, plus ``_active``: the fault events that hold at the row's time.
 
     Windows are half-open; a NULL end never ends.  Events come as one array per
-    key, so a row is joined once and never multiplied.  If the event table
-    passes the size check, the arrays are keyed by device and broadcast: no
-    shuffle of the telemetry.  Otherwise bounded events are keyed by
-    (device, day), which splits a hot device over its days, and open ones by
-    device alone, however long ago they began.  Each event carries ``dt`` /
-    ``dur`` seconds for the severity expression.
+    key, so a row is joined once and never multiplied.  Where every device has
+    few faults, the arrays are keyed by device and broadcast (no shuffle of the
+    telemetry) if the table passes the size check; otherwise bounded events are
+    keyed by (device, day), which splits a hot device over its days, and open
+    ones by device alone.  Where a device has many, its time line is swept into
+    chunks (:mod:`gridlens.operators.sweep`).  ``need`` says what the events are
+    for: ``all`` of them, ``any`` (whether there is one), or ``labels``, for
+    which those suffice that decide a flag, label or greatest severity.  Each
+    event carries ``dt`` / ``dur`` seconds for the severity expression.
     """
     one = F.collect_list(F.struct(*EVENT_FIELDS))
     ev = events.select(F.col("device").alias("_ev_device"), *EVENT_FIELDS)
     strategy = force or join_strategy(events, broadcast_limit)
-    if strategy == "broadcast":
+    if strategy == "sweep":
+        j = join_chunks(tel, chunks(events, EVENT_FIELDS, need, period), device, time, period)
+    elif strategy == "broadcast":
         per = ev.groupBy("_ev_device").agg(one.alias("_all"))
         j = tel.join(F.broadcast(per), F.col(device) == F.col("_ev_device"), "left").drop("_ev_device")
     else:
@@ -178,8 +185,9 @@ def attach_faults(tel: DataFrame, events: DataFrame, device: str = "device", tim
     """Interval join telemetry x fault events (L1): telemetry columns, event
     columns, ``_dt`` / ``_dur`` seconds; ``how`` is left, inner, left_semi or
     left_anti.  See :func:`with_active_events` for the join."""
-    j = with_active_events(tel, events, device, time, broadcast_limit, force)
-    if how in ("left_semi", "left_anti"):
+    some = how in ("left_semi", "left_anti")
+    j = with_active_events(tel, events, device, time, broadcast_limit, force, "any" if some else "all")
+    if some:
         return j.where(F.size("_active") > 0 if how == "left_semi" else F.size("_active") == 0).drop("_active")
     explode = F.explode if how == "inner" else F.explode_outer
     j = j.withColumn("_e", explode("_active")).drop("_active")
@@ -208,7 +216,7 @@ def label_telemetry(tel: DataFrame, events: DataFrame, fault_types: list[str],
     ``time_since_fault`` (NULL before that start).
     """
     keep = keep or []
-    j = with_active_events(tel.select(device, time, *keep), events, device, time, **join_kw)
+    j = with_active_events(tel.select(device, time, *keep), events, device, time, need="labels", **join_kw)
     j = j.withColumn("_sev", active_severities()).drop("_active")
     # a fault type of no severity counts as it is when normalised
     value = "s.severity / nullif(s.max_severity, 0)" if normalise else "s.severity"

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlens.operators.windows import null_safe_join
+
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
@@ -27,22 +29,24 @@ def row_width(df: DataFrame) -> int:
     return sum(_width(f.dataType) for f in df.schema.fields) + 16
 
 
+def row_bytes(df: DataFrame):
+    """Bytes of each row: fixed widths plus the bytes of its text."""
+    from pyspark.sql import types as T
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    return sum(text, F.lit(row_width(df))).cast("long")
+
+
 def fits(df: DataFrame, limit: int | None = None) -> bool:
     """True when the table stays within ``limit`` bytes (default:
     ``spark.gridlens.broadcastLimitBytes``, else 64 MB): fixed widths plus the
     measured bytes of its text.  Reading stops after as many rows as could fit
     (never a full scan of a big side)."""
-    from pyspark.sql import types as T
-
     from gridlens.session import setting
     limit = limit or setting(df.sparkSession, "broadcastLimitBytes", BROADCAST_LIMIT)
-    width = row_width(df)
-    cap = max(1, limit // width)
-    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
-            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    extra = sum(text, F.lit(0)).cast("long")
-    rows, size = df.limit(cap + 1).select(extra.alias("_t")).agg(F.count(F.lit(1)), F.coalesce(F.sum("_t"), F.lit(0))).first()
-    return rows <= cap and rows * width + size <= limit
+    cap = max(1, limit // row_width(df))
+    rows, size = df.limit(cap + 1).select(row_bytes(df).alias("_t")).agg(F.count(F.lit(1)), F.coalesce(F.sum("_t"), F.lit(0))).first()
+    return rows <= cap and size <= limit
 
 
 def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "inner", limit: int | None = None) -> DataFrame:
@@ -121,7 +125,7 @@ def missing_charges(charges: DataFrame, key: list[str], ts: str, until: str | No
     end = F.greatest(F.max("month"), F.trunc(F.lit(until).cast("date"), "MM")) if until else F.max("month")
     span = have.groupBy(*key).agg(F.min("month").alias("_a"), end.alias("_z"))
     spine = expected_months(span, key, "_a", "_z")
-    return spine.join(have, [*key, "month"], "left_anti")
+    return null_safe_join(spine, have, [*key, "month"], "left_anti")
 
 
 def late_charges(charges: DataFrame, key: list[str], ts: str, period_days: int = 31, grace_days: int = 3,

@@ -162,7 +162,7 @@ def severity_wide(tel: DataFrame, events: DataFrame, types: list[str], device: s
 
     With ``row_key`` all columns of ``tel`` are kept, otherwise (device, time, keep)."""
     src = tel if row_key else tel.select(device, time, *(keep or []))
-    j = with_active_events(src, events, device, time, **join_kw).withColumn("_sev", active_severities())
+    j = with_active_events(src, events, device, time, need="labels", **join_kw).withColumn("_sev", active_severities())
     return j.select(*src.columns, *[
         F.expr(f"coalesce(array_max(transform(filter(_sev, s -> s.event_type = '{t}'), s -> s.severity)), 0.0D)").alias(f"sev_{t}")
         for t in types])

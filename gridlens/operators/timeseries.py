@@ -121,7 +121,7 @@ def time_spine_gaps(tel: DataFrame, device: str = "device", time: str = "time")
     days = tel.select(device, F.col(time).cast("date").alias("day")).distinct()
     spine = (days.groupBy(device).agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
              .select(device, F.explode(F.sequence("_a", "_b")).alias("day")))
-    return spine.join(days, [device, "day"], "left_anti")
+    return null_safe_join(spine, days, [device, "day"], "left_anti")
 
 
 def spine_gaps(tel: DataFrame, step_seconds: int, start: str, end: str, device: str = "device", time: str = "time") -> DataFrame:

@@ -38,7 +38,7 @@ def _bucket(ts: str, seconds: int):
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` where null equals null, with one copy of the key columns."""
+    """Join on ``keys`` where null equals null, with one copy of the key columns (any ``how`` that keeps the left side's)."""
     side = right.select(*[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = None
     for k in keys:

@@ -85,9 +85,9 @@ s AS (SELECT *, CASE WHEN event_type IS NULL THEN 0.0 ELSE {fo.severity_sql()} E
 FE_SQL = fe_sql()
 
 
-def _labelled(spark, sf):
+def _labelled(spark, sf, **how):
     return fo.label_telemetry(telemetry(spark, sf), fault_events(spark, sf), TYPE_NAMES,
-                              keep=["event_id", "value"])
+                              keep=["event_id", "value"], **how)
 
 
 # --- L1 -------------------------------------------------------------------------
@@ -107,6 +107,14 @@ def q_fault_interval_join_bucketed(spark, sf):
     return j.select("event_id", "device", "time", "event_type", "start_time", "end_time")
 
 
+@register("fault_interval_join_sweep", f"""WITH {FE_SQL}
+SELECT event_id, device, time, event_type, start_time, end_time FROM s WHERE event_type IS NOT NULL""")
+def q_fault_interval_join_sweep(spark, sf):
+    """Same join through the sweep over each device's fault bounds, used where a device has many faults."""
+    j = fo.attach_faults(telemetry(spark, sf), fault_events(spark, sf), how="inner", force="sweep")
+    return j.select("event_id", "device", "time", "event_type", "start_time", "end_time")
+
+
 # --- L2 -------------------------------------------------------------------------
 
 @register("fault_severity", f"""WITH {FE_SQL}
@@ -152,6 +160,16 @@ def q_label_telemetry(spark, sf):
                     r6("time_since_fault").alias("time_since_fault"))
 
 
+@register("label_telemetry_sweep", _label_sql(
+    f"SELECT {', '.join(_LABEL_COLS)}, {r6_sql('severity')} AS severity, "
+    f"{r6_sql('time_since_fault')} AS time_since_fault FROM L"))
+def q_label_telemetry_sweep(spark, sf):
+    """Same labels through the sweep, used where a device has many faults."""
+    L = _labelled(spark, sf, force="sweep")
+    return L.select(*_LABEL_COLS, r6("severity").alias("severity"),
+                    r6("time_since_fault").alias("time_since_fault"))
+
+
 @register("fault_start_broadcast", _label_sql(
     "SELECT device, min(fault_start_time) AS fault_start_time, count(*) AS n_rows, "
     "CAST(sum(is_faulted) AS BIGINT) AS n_faulted FROM L GROUP BY device"))

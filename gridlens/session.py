@@ -98,3 +98,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialised(df, name: str):
+    """``df`` written once to the shared folder and read back: computed once, no lineage to redo."""
+    path = scratch_path(df.sparkSession, name)
+    if path.startswith("/") and df.sparkSession.sparkContext.master.startswith("local"):
+        path = "file://" + path
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -35,7 +35,7 @@ def test_half_open_abrupt(spark):
     assert [L[h]["fault_soiling"] for h in ("09:50", "10:00", "10:50", "11:00")] == [0, 1, 1, 0]
 
 
-@pytest.mark.parametrize("force", ["broadcast", "bucketed"])
+@pytest.mark.parametrize("force", ["broadcast", "bucketed", "sweep"])
 def test_linear_first_step_not_flagged(spark, force):
     t = tel(spark, "d", "2024-01-01 10:00", 8)
     e = ev(spark, [("d", "soiling", ts("2024-01-01 10:00"), None, "linear", 1.0, 3600.0, 0.0, 0)])

@@ -75,7 +75,7 @@ def events(spark):
     return spark.createDataFrame(rows, fo.EVENT_SCHEMA)
 
 
-@pytest.mark.parametrize("force", ["broadcast", "bucketed"])
+@pytest.mark.parametrize("force", ["broadcast", "bucketed", "sweep"])
 def test_open_faults_hold_for_ever(spark, force):
     tel = spark.createDataFrame([("a", ts("2023-12-31")), ("a", ts("2024-01-04")), ("a", ts("2026-09-27")), ("b", ts("2024-01-03")), (None, ts("2024-01-04"))],
                                 "device string, time timestamp_ntz")
@@ -87,7 +87,7 @@ def test_open_faults_hold_for_ever(spark, force):
     assert fo.attach_faults(tel, events(spark), how="left_anti", force=force).count() == 3
 
 
-@pytest.mark.parametrize("force", ["broadcast", "bucketed"])
+@pytest.mark.parametrize("force", ["broadcast", "bucketed", "sweep"])
 def test_labels_are_one_row_per_row(spark, force):
     tel = spark.createDataFrame([("a", ts("2024-01-04"))] * 3 + [("a", ts("2023-01-01"))] * 2, "device string, time timestamp_ntz")
     got = fo.label_telemetry(tel, events(spark), ["x", "y"], force=force).collect()
