@@ -60,12 +60,23 @@ def mask_when(df: DataFrame, cond, cols: list[str], value: float = 0.0) -> DataF
     return df.withColumns({c: F.when(cond, F.lit(value)).otherwise(F.col(c)) for c in cols})
 
 
+#: Doubles from here on have no decimals to round.
+WHOLE = float(1 << 52)
+
+
+def half_up(x, decimals: int):
+    """Half-up rounding that stays a double: nulls, NaN, infinities and large values are kept."""
+    scale = float(10 ** decimals)
+    return F.when(F.abs(x) * scale < WHOLE, F.floor(x * scale + 0.5).cast("double") / scale).otherwise(x)
+
+
 def apply_bounds(df: DataFrame, bounds: dict) -> DataFrame:
     """clip each column to [lo, hi] (None = open), 'mod360' wraps angles,
-    then keep ``decimals`` with half-up rounding.  bounds: col -> (lo, hi, decimals)."""
+    then keep ``decimals`` with half-up rounding.  bounds: col -> (lo, hi, decimals).
+    A missing reading stays missing: null gives null and NaN gives NaN."""
     out = {}
     for c, (lo, hi, dec) in bounds.items():
-        x = F.col(c).cast("double")
+        raw = x = F.col(c).cast("double")
         if lo == "mod360":
             x = F.pmod(x, F.lit(360.0))
         else:
@@ -74,9 +85,8 @@ def apply_bounds(df: DataFrame, bounds: dict) -> DataFrame:
             if hi is not None:
                 x = F.least(F.lit(float(hi)), x)
         if dec is not None:
-            s = float(10 ** dec)
-            x = (F.floor(x * s + 0.5) / s).cast("double")
-        out[c] = x
+            x = half_up(x, dec)
+        out[c] = F.when(raw.isNull() | F.isnan(raw), raw).otherwise(x)
     return df.withColumns(out)
 
 
@@ -143,7 +153,7 @@ PUMP_BOUNDS = {
 
 def bound_sql(col: str, lo, hi, dec) -> str:
     """Oracle twin of :func:`apply_bounds` for one column."""
-    x = f"CAST({col} AS DOUBLE)"
+    raw = x = f"CAST({col} AS DOUBLE)"
     if lo == "mod360":   # Spark's pmod: r = x % n; r < 0 -> (r + n) % n
         x = f"(CASE WHEN ({x} % 360.0) < 0 THEN (({x} % 360.0) + 360.0) % 360.0 ELSE {x} % 360.0 END)"
     else:
@@ -153,8 +163,8 @@ def bound_sql(col: str, lo, hi, dec) -> str:
             x = f"least({hi!r}, {x})"
     if dec is not None:
         s = f"{float(10 ** dec):.1f}"
-        x = f"CAST(floor({x} * {s} + 0.5) / {s} AS DOUBLE)"
-    return x
+        x = f"CASE WHEN abs({x}) * {s} < {WHOLE!r} THEN CAST(floor({x} * {s} + 0.5) / {s} AS DOUBLE) ELSE {x} END"
+    return f"CASE WHEN {raw} IS NULL OR isnan({raw}) THEN {raw} ELSE {x} END"
 
 
 def finish_table(df: DataFrame, bounds: dict, night_cols: list[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ Exact percentiles are holistic: ``exact=False`` switches to
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -190,24 +191,63 @@ def top_n_by(df: DataFrame, key: str, col: str, n: int = 10) -> DataFrame:
             .orderBy(F.desc("n"), F.col(key)).limit(n))
 
 
+#: Aggregates computed at once; many more make generated code too large to compile.
+MOST_AGGREGATES = 48
+
+
+def _scalars(df: DataFrame, aggs: dict) -> dict:
+    """Values of many scalar aggregates, some at a time."""
+    names, out = list(aggs), {}
+    for i in range(0, len(names), MOST_AGGREGATES):
+        some = names[i:i + MOST_AGGREGATES]
+        out.update(zip(some, df.agg(*[aggs[n].alias(f"_{k}") for k, n in enumerate(some)]).first()))
+    return out
+
+
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation of all numeric column pairs
-    (a < b), one aggregate pass.  Constant columns give NULL, not an error."""
+    (a < b), from co-moments: sums of shifted values, squares and products.
+
+    A first aggregate gives each column's mean (the shift, so that large
+    offsets cost no digits), extremes and number of values; a second one the
+    sums.  Only pairs with a column that has nulls need sums of their own, over
+    the rows where both are there.  Constant columns give NULL, not an error."""
     cols = cols or cols_of_kind(df, "numeric")
-    aggs, names = [], []
-    for i, a in enumerate(cols):
-        for j in range(i + 1, len(cols)):
-            b = cols[j]
-            xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
-            both = xa.isNotNull() & xb.isNotNull()
-            num = F.covar_pop(xa, xb)
-            den = F.stddev_pop(F.when(both, xa)) * F.stddev_pop(F.when(both, xb))
-            aggs.append(F.when(den > 0, num / den).alias(f"_r{len(names)}"))
-            names.append((a, b))
-    wide = df.agg(*aggs)
-    parts = ", ".join(f"'{a}', '{b}', _r{k}" for k, (a, b) in enumerate(names))
-    return wide.selectExpr(f"stack({len(names)}, {parts}) AS (col_a, col_b, corr)").select(
-        "col_a", "col_b", "corr")
+    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    first = _scalars(df, {"n": F.count(F.lit(1)), **{(f, c): g(x[c]) for c in cols for f, g in
+                                                     (("n", F.count), ("lo", F.min), ("hi", F.max), ("mean", F.avg))}})
+    shift = {c: first["mean", c] if first["mean", c] is not None and math.isfinite(first["mean", c]) else 0.0 for c in cols}
+    d = {c: x[c] - F.lit(shift[c]) for c in cols}
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    apart = {p for p in pairs if any(first["n", c] < first["n"] for c in p)}
+    want = {}
+    for c in {c for p in pairs if p not in apart for c in p}:
+        want["s", c], want["ss", c] = F.sum(d[c]), F.sum(d[c] * d[c])
+    for a, b in pairs:
+        want["sp", a, b] = F.sum(d[a] * d[b])
+        if (a, b) in apart:
+            want["n", a, b] = F.count(d[a] * d[b])
+            for one, other in ((a, b), (b, a)):
+                v = F.when(x[other].isNotNull(), d[one])
+                for f, g in (("s", F.sum(v)), ("ss", F.sum(v * v)), ("lo", F.min(v)), ("hi", F.max(v))):
+                    want[f, one, a, b] = g
+    got = _scalars(df, want) if first["n"] else {}
+
+    def corr(a, b):
+        own = (a, b) in apart
+        n = got["n", a, b] if own else first["n"]
+        if not n:
+            return None
+        var = []
+        for c in (a, b):
+            lo, hi = (got["lo", c, a, b], got["hi", c, a, b]) if own else (first["lo", c], first["hi", c])
+            if lo == hi:
+                return None
+            s, ss = (got["s", c, a, b], got["ss", c, a, b]) if own else (got["s", c], got["ss", c])
+            var.append((s / n, ss / n - (s / n) ** 2))
+        den = math.sqrt(max(var[0][1], 0.0)) * math.sqrt(max(var[1][1], 0.0)) if not any(math.isnan(v[1]) for v in var) else math.nan
+        return None if den == 0 else (got["sp", a, b] / n - var[0][0] * var[1][0]) / den
+    return df.sparkSession.createDataFrame([(a, b, corr(a, b)) for a, b in pairs], "col_a string, col_b string, corr double")
 
 
 def class_balance(df: DataFrame, label: str, target_rate: float) -> DataFrame:
@@ -258,19 +298,24 @@ def manifest(tables: dict[str, DataFrame], with_samples: bool = False, sample_or
     """One row per table: rows, columns, mean null % and column kinds
     (from the schema, no job); per-table aggregates are unioned into one job.
     ``with_samples`` adds the first 3 rows (by ``sample_order[name]`` or the
-    first column) as a JSON array - a top-3, not a scan into the driver."""
+    first column) as a JSON array: a top-3 of each table, brought to its row
+    by a group of at most four rows."""
     parts = []
     for name, df in tables.items():
-        ov = overview(df)
         kinds = ",".join(f"{f.name}:{kind_of(f.dataType)}" for f in df.schema.fields)
-        row = ov.select(F.lit(name).alias("dataset"), "n_rows", "n_cols", "null_pct", F.lit(kinds).alias("schema_kinds"))
+        row = overview(df).select(F.lit(name).alias("dataset"), "n_rows", "n_cols", "null_pct", F.lit(kinds).alias("schema_kinds"))
         if with_samples:
-            order = (sample_order or {}).get(name, [df.columns[0]])
-            samples = sample_rows_json(df, order).agg(F.to_json(F.collect_list("row_json")).alias("sample_rows"))
-            # both sides hold exactly one row: a one-to-one pairing on a constant key
-            row = row.withColumn("_k", F.lit(1)).join(samples.withColumn("_k", F.lit(1)), "_k").drop("_k")
+            none = F.lit(None)
+            samples = sample_rows_json(df, (sample_order or {}).get(name, [df.columns[0]])).select(
+                F.lit(name).alias("dataset"), none.cast("long").alias("n_rows"), none.cast("long").alias("n_cols"), none.cast("double").alias("null_pct"),
+                none.cast("string").alias("schema_kinds"), F.struct(F.monotonically_increasing_id().alias("i"), "row_json").alias("_s"))
+            row = row.withColumn("_s", none.cast(samples.schema["_s"].dataType)).unionByName(samples)
         parts.append(row)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    got = reduce(lambda a, b: a.unionByName(b), parts)
+    if not with_samples:
+        return got
+    rows = F.transform(F.array_sort(F.collect_list("_s")), lambda s: s["row_json"])
+    return got.groupBy("dataset").agg(*[F.max(c).alias(c) for c in ("n_rows", "n_cols", "null_pct", "schema_kinds")], F.to_json(rows).alias("sample_rows"))
 
 
 def sample_rows_json(df: DataFrame, order: list[str], n: int = 3) -> DataFrame:

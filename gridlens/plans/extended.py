@@ -230,14 +230,69 @@ def q_stringify(spark, sf):
     return C.stringify(o)
 
 
-@register("manifest_samples", """SELECT 'nation' AS dataset, count(*) AS n_rows, 'n_nationkey:int,n_name:string,n_regionkey:int' AS schema_kinds,
-  (SELECT string_agg(n_name, '|' ORDER BY n_nationkey) FROM (SELECT * FROM nation ORDER BY n_nationkey LIMIT 3)) AS sample_names FROM nation""")
+#: What orders the sample rows of each table; the first column tells which rows they are.
+SAMPLE_ORDER = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"], "part": ["p_partkey"],
+                "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
+                "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"]}
+
+
+def _kinds_sql(t: str) -> str:
+    return (f"(SELECT string_agg(column_name || ':' || CASE WHEN column_type IN ('INTEGER', 'BIGINT') THEN 'int' WHEN column_type = 'DOUBLE' THEN 'float' "
+            f"WHEN column_type = 'VARCHAR' THEN 'string' WHEN column_type = 'TIMESTAMP' THEN 'datetime' WHEN column_type = 'FLOAT[]' THEN 'array<float>' END, ',') "
+            f"FROM (DESCRIBE {t}))")
+
+
+@register("manifest_samples", "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS dataset, count(*) AS n_rows, {_kinds_sql(t)} AS schema_kinds,
+  (SELECT string_agg({o[0]}, '|' ORDER BY {', '.join(o)}) FROM (SELECT * FROM {t} ORDER BY {', '.join(o)} LIMIT 3)) AS sample_keys FROM {t}"""
+    for t, o in SAMPLE_ORDER.items()))
 def q_manifest_samples(spark, sf):
-    """Column kinds and three sample rows."""
-    m = P.manifest({"nation": table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")}, with_samples=True)
+    """Every table's rows, column kinds and three sample rows."""
+    m = P.manifest({t: table(spark, sf, t) for t in SAMPLE_ORDER}, with_samples=True, sample_order=SAMPLE_ORDER)
+    first = F.element_at(F.split(F.element_at(F.split("schema_kinds", ","), 1), ":"), 1)
     rows = F.from_json("sample_rows", "array<string>")
-    names = F.array_join(F.transform(rows, lambda r: F.get_json_object(r, "$.n_name")), "|")
-    return m.select("dataset", "n_rows", "schema_kinds", names.alias("sample_names"))
+    keys = F.transform(rows, lambda r: F.element_at(F.from_json(r, "map<string,string>"), first))
+    return m.select("dataset", "n_rows", "schema_kinds", F.array_join(keys, "|").alias("sample_keys"))
+
+
+@register("missing_charges_nulls", """WITH o AS (SELECT CASE WHEN o_custkey % 40 <> 0 THEN o_custkey END AS o_custkey, o_orderdate FROM orders),
+m AS (SELECT DISTINCT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS k FROM o),
+n AS (SELECT o_custkey, k, lead(k) OVER (PARTITION BY o_custkey ORDER BY k) AS nxt FROM m),
+g AS (SELECT o_custkey, unnest(range(k + 1, nxt)) AS k FROM n WHERE nxt > k + 1)
+SELECT o_custkey, make_date(k // 12, k % 12 + 1, 1) AS month FROM g""")
+def q_missing_charges_nulls(spark, sf):
+    """L12 where some charges have no customer: those are one calendar of their own."""
+    o = table(spark, sf, "orders").select(F.when(F.col("o_custkey") % 40 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderdate")
+    return J.missing_charges(o, ["o_custkey"], "o_orderdate")
+
+
+@register("missing_steps_nulls", """WITH d AS (SELECT DISTINCT CASE WHEN user_id % 10 <> 0 THEN user_id END AS device, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'error'),
+n AS (SELECT device, day, lead(day) OVER (PARTITION BY device ORDER BY day) AS nxt FROM d)
+SELECT device, CAST(unnest(generate_series(day + 1, nxt - 1, INTERVAL 1 DAY)) AS DATE) AS day FROM n WHERE nxt > day + 1""")
+def q_missing_steps_nulls(spark, sf):
+    """L13 where some readings have no device: those are one spine of their own."""
+    t = table(spark, sf, "events").where("event_type = 'error'").select(
+        F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("device"), F.col("ts").alias("time"))
+    return TS.time_spine_gaps(t)
+
+
+@register("apply_bounds_nulls", """WITH r AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN CAST('NaN' AS DOUBLE)
+    WHEN event_id % 13 = 0 THEN value * 1e16 WHEN event_id % 17 = 0 THEN value * -1.013 ELSE value * 1.37 END AS v FROM events),
+k AS (SELECT event_id, v, CASE WHEN v IS NULL THEN 'missing' WHEN isnan(v) THEN 'not a number' ELSE 'number' END AS kind FROM r)
+SELECT event_id, kind,
+  CASE WHEN kind = 'number' AND v < 0 THEN 0.0 WHEN kind = 'number' AND abs(v) < 1e12 THEN round(v, 2) WHEN kind = 'number' THEN v END AS floored,
+  CASE WHEN kind = 'number' AND v > 90 THEN 90.0 WHEN kind = 'number' AND v < -5 THEN -5.0 WHEN kind = 'number' THEN round(v, 1) END AS clipped,
+  CASE WHEN kind = 'number' THEN v END AS kept FROM k""")
+def q_apply_bounds_nulls(spark, sf):
+    """F6 on missing readings, NaN and values beyond 64-bit integers."""
+    e = F.col("event_id")
+    v = (F.when(e % 7 == 0, None).when(e % 11 == 0, float("nan")).when(e % 13 == 0, F.col("value") * 1e16)
+         .when(e % 17 == 0, F.col("value") * -1.013).otherwise(F.col("value") * 1.37))
+    raw = table(spark, sf, "events").select("event_id", v.alias("floored")).withColumns({"clipped": F.col("floored"), "kept": F.col("floored")})
+    got = C.apply_bounds(raw, {"floored": (0.0, None, 2), "clipped": (-5.0, 90.0, 1), "kept": (None, None, None)})
+    kind = F.when(F.col("kept").isNull(), "missing").when(F.isnan("kept"), "not a number").otherwise("number")
+    number = {c: F.when(~F.isnan(c), F.col(c)) for c in ("floored", "clipped", "kept")}
+    return got.withColumn("kind", kind).withColumns(number).select("event_id", "kind", "floored", "clipped", "kept")
 
 
 @register("fault_types_known", "SELECT CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'error' AND value >= 150.0")

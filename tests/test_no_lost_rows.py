@@ -144,3 +144,40 @@ def test_solar_curve_is_linear_between_knots(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double").select(F.expr(for_spark("solar_curve(x)")).alias("p"))
     kx, ky = zip(*SOLAR_CURVE)
     assert [r["p"] for r in df.collect()] == pytest.approx(np.interp(xs, kx, ky).tolist(), rel=1e-12)
+
+
+def test_bounds_keep_missing_and_large_values(spark):
+    from gridlens.operators.clean import apply_bounds
+    rows = [(None,), (float("nan"),), (1e18,), (float("inf"),), (-3.0,), (2.345,), (-1e18,)]
+    df = spark.createDataFrame(rows, "a double").withColumns({c: F.col("a") for c in ("b", "c")})
+    got = apply_bounds(df, {"a": (0.0, None, 2), "b": (-5.0, 10.0, 1), "c": (None, None, 2)}).collect()
+    assert got[0]["a"] is None and got[0]["b"] is None
+    assert got[1]["a"] != got[1]["a"] and got[1]["b"] != got[1]["b"]
+    assert got[2]["a"] == 1e18 and got[2]["b"] == 10.0 and got[3]["a"] == float("inf") and got[6]["c"] == -1e18
+    assert got[4]["a"] == 0.0 and got[4]["b"] == -3.0 and got[5]["a"] == 2.35 and got[5]["b"] == 2.3
+
+
+def test_null_keys_have_their_own_calendar(spark):
+    from gridlens.operators.joins import missing_charges
+    from gridlens.operators.timeseries import time_spine_gaps
+    rows = [(None, ts(f"2024-0{m}-10")) for m in (1, 2, 4)] + [("c", ts("2024-01-01"))]
+    df = spark.createDataFrame(rows, "device string, time timestamp_ntz")
+    assert [(r[0], str(r[1])) for r in missing_charges(df, ["device"], "time").collect()] == [(None, "2024-03-01")]
+    days = spark.createDataFrame([(None, ts("2024-01-01")), (None, ts("2024-01-03"))], "device string, time timestamp_ntz")
+    assert [(r[0], str(r[1])) for r in time_spine_gaps(days).collect()] == [(None, "2024-01-02")]
+
+
+def test_correlations_with_nulls_offsets_and_constants(spark):
+    import numpy as np
+    from gridlens.operators.profile import corr_matrix
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=400)
+    y = 0.6 * x + rng.normal(size=400)
+    rows = [(float(1e9 + a), float(b) if i % 3 else None, 7.0, float(a * b), None) for i, (a, b) in enumerate(zip(x, y))]
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in corr_matrix(spark.createDataFrame(rows, "x double, y double, k double, p double, n double")).collect()}
+    keep = np.array([i % 3 != 0 for i in range(400)])
+    xs = np.array([r[0] for r in rows]) - 1e9
+    assert abs(got["x", "y"] - np.corrcoef(xs[keep], y[keep])[0, 1]) < 1e-9
+    assert abs(got["x", "p"] - np.corrcoef(xs, x * y)[0, 1]) < 1e-6
+    assert got["x", "k"] is None and got["k", "p"] is None and got["x", "n"] is None and len(got) == 10
+    assert [r["corr"] for r in corr_matrix(spark.createDataFrame([], "a double, b double")).collect()] == [None]

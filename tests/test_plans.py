@@ -42,7 +42,13 @@ def test_no_python_udf(spark, Q, key):
 
 
 @pytest.mark.parametrize("key", ["velocity", "step_audit", "fault_episodes", "device_switch", "recurring"])
-def test_per_key_windows_are_bucketed(spark, Q, key):
-    """Ordered per-device windows are partitioned by (key, time bucket)."""
-    p = plan(Q[key](spark, SF_SMALL))
-    assert "Window [" in p and "_b" in p
+@pytest.mark.parametrize("full", [False, True])
+def test_per_key_windows(spark, Q, key, full):
+    """Where a key is full, ordered per-key windows are partitioned by (key, time bucket); else one sort per key does."""
+    if full:
+        spark.conf.set("spark.gridlens.bucketTargetRows", "5")
+    try:
+        p = plan(Q[key](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.gridlens.bucketTargetRows")
+    assert "Window [" in p and ("_b#" in p) == (full or key == "velocity")

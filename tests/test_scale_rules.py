@@ -16,7 +16,7 @@ SRC = os.path.join(ROOT, "gridlens")
 # result (scalars, distinct fault types, histograms of <= targets x buckets,
 # quantile remainders of <= max_final values, one-row size probes).
 COLLECT_OK = {"exact_quantiles", "by_percentile", "check_types", "histogram", "density2d", "value_shares", "hourly_profile",
-              "mix_audit", "dist_audit", "high_value", "older_than_quantile", "attach_faults",
+              "mix_audit", "dist_audit", "high_value", "older_than_quantile", "attach_faults", "join_strategy", "_scalars", "chunks",
               "auto_bucket_seconds", "_offsets", "one_sort_per_key", "fits", "sample_weighted", "rebalance", "stream_label", "q_quantile99"}
 # Functions allowed an unpartitioned window: they run it on a table whose size is bounded by a
 # parameter (bucket offsets, <= 1000 histogram bins, <= n_parts partition offsets).
