@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.llm import decontam, langid, minhash, packing, suffix
-from gridlens.llm.common import stored, workspace
+from gridlens.llm.common import bounded_batches, stored, workspace
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,17 +26,20 @@ NEAR_PERCENT = 80
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates, that of the smallest doc_id."""
+    bounded_batches(spark)
     return minhash.deduplicate(spark, docs, NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts strings of 50 bytes or more that a smaller doc_id has; a document of which nothing is left goes."""
+    bounded_batches(spark)
     left = suffix.remove_repeats(spark, docs.where("text <> ''"))
     return left.where("text <> ''").unionByName(docs.where("text IS NULL OR text = ''"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of benchmark items; a document that mostly consists of them goes."""
+    bounded_batches(spark)
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 

@@ -25,6 +25,19 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Arrow batches of texts are at most about this large, whatever the length of the rows.
+ARROW_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Limit Arrow batches of this session by bytes, unless they are limited to less already."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, "64m").lower().rstrip("b")
+    size = int(now.rstrip("kmgt")) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(now[-1], 0)
+    if not 0 < size <= ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete intermediate tables that nothing reads any more."""
     for path in paths:

@@ -12,14 +12,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlens.llm.common import bounded_batches
+
 #: Training sample: at most this many documents of each language, and slices of each.
 DOCS_PER_LANG, SLICES, SLICE_CHARS = 300, 12, 64
 #: Bytes of a segment: the network's state starts anew with each.
 SEGMENT = 64
 HIDDEN, STEPS, BATCH, RATE, SEED = 8, 220, 256, 0.02, 7
-#: Segments run side by side.
+#: Segments run side by side, and bytes (whole segments) laid out for it at once.
 LANES = 2048
+SIDE_BYTES = 1 << 20
 UNKNOWN = "und"
+TEXT = "_text"
 
 
 def held_out() -> F.Column:
@@ -166,23 +170,40 @@ class Model:
         return p.reshape(len(p), *x.shape).sum(axis=1).T
 
     def document_probabilities(self, texts: list[bytes]) -> np.ndarray:
-        """Mean position probabilities of each text, over all of its bytes; zeros for an empty one."""
+        """Mean position probabilities of each text, over all of its bytes; zeros for an empty one.
+
+        Segments are labelled ``SIDE_BYTES`` at a time, also those of one long
+        text: the working arrays are many times that size, never a text's."""
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        counts = -(-sizes // SEGMENT)
+        out = np.zeros((len(texts), len(self.langs)))
+        pieces = ((i, t[at:at + SIDE_BYTES]) for i, t in enumerate(texts) for at in range(0, len(t), SIDE_BYTES))
+        some, room = [], SIDE_BYTES
+        for i, piece in pieces:
+            if some and len(piece) > room:
+                self._add(some, out)
+                some, room = [], SIDE_BYTES
+            some.append((i, piece))
+            room -= len(piece)
+        if some:
+            self._add(some, out)
+        return out / np.maximum(sizes, 1)[:, None]
+
+    def _add(self, pieces: list[tuple[int, bytes]], out: np.ndarray) -> None:
+        """Add the position probabilities of the pieces to the rows they belong to."""
+        owner = np.array([i for i, _ in pieces])
+        counts = np.array([-(-len(p) // SEGMENT) for _, p in pieces])
         flat = np.zeros(int(counts.sum()) * SEGMENT, np.uint8)
         mask = np.zeros(len(flat), np.float32)
         at = 0
-        for t, c in zip(texts, counts.tolist()):
-            flat[at:at + len(t)] = np.frombuffer(t, np.uint8)
-            mask[at:at + len(t)] = 1
+        for (_, p), c in zip(pieces, counts.tolist()):
+            flat[at:at + len(p)] = np.frombuffer(p, np.uint8)
+            mask[at:at + len(p)] = 1
             at += c * SEGMENT
         x, keep = flat.reshape(-1, SEGMENT), mask.reshape(-1, SEGMENT)
-        sums = np.zeros((len(x), len(self.langs)), np.float64)
+        owner = np.repeat(owner, counts)
         for i in range(0, len(x), LANES):
-            sums[i:i + LANES] = self.label_segments(np.ascontiguousarray(x[i:i + LANES].T), np.ascontiguousarray(keep[i:i + LANES].T))
-        out = np.zeros((len(texts), len(self.langs)))
-        np.add.at(out, np.repeat(np.arange(len(texts)), counts), sums)
-        return out / np.maximum(sizes, 1)[:, None]
+            part = slice(i, i + LANES)
+            np.add.at(out, owner[part], self.label_segments(np.ascontiguousarray(x[part].T), np.ascontiguousarray(keep[part].T)))
 
 
 def pad(segments: list[bytes]):
@@ -234,11 +255,13 @@ def _predictor(model):
     def run(batches):
         m = model.value
         for batch in batches:
-            texts = [x or b"" for x in batch.column(0).to_pylist()]
+            doc = batch.column(1)
+            text = batch.column(0) if TEXT in batch.schema.names else doc.field(doc.type.get_field_index("text"))
+            texts = [x or b"" for x in text.cast(pa.binary()).to_pylist()]
             p = m.document_probabilities(texts)
             best = p.argmax(axis=1)
             cols = [pa.array([m.langs[k] for k in best], pa.string()), pa.array(p[np.arange(len(p)), best].clip(0, 1), pa.float64())]
-            yield pa.RecordBatch.from_arrays([*cols, batch.column(1)], names=["_lang", "_score", "_doc"])
+            yield pa.RecordBatch.from_arrays([*cols, doc, batch.column(2)], names=["_lang", "_score", "_doc", "_letters"])
     return run
 
 
@@ -246,21 +269,30 @@ def identify(docs: DataFrame, model: Model | None, carry: list[str] | None = Non
     """Columns ``carry`` of ``docs`` (all by default), ``lang_pred`` and ``score``.
 
     Null, empty and letterless texts get ``und`` and score 0, as does every
-    text when there was nothing to learn from.  Rows are labelled each for
-    itself: repeated rows and null ids are kept.
+    text when there was nothing to learn from.  Whole texts are labelled, some
+    of a long one at a time.  Rows are labelled each for themselves: repeated
+    rows and null ids are kept, an empty table gives no row.  Columns of
+    ``docs`` called ``lang_pred`` or ``score`` give way to the new ones.
     """
-    carry = docs.columns if carry is None else carry
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    own = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score")]
+    got = _labelled(docs, model, own)
+    return got.select(*[F.col(f"_doc.`{c}`") for c in own],
+                      F.when(F.col("_letters"), F.col("_lang")).otherwise(UNKNOWN).alias("lang_pred"),
+                      F.when(F.col("_letters"), F.col("_score")).otherwise(0.0).alias("score"))
+
+
+def _labelled(docs: DataFrame, model: Model | None, own: list[str]) -> DataFrame:
+    """``_doc`` (columns ``own``), ``_lang``, ``_score`` and ``_letters``; the text travels once."""
+    bounded_batches(docs.sparkSession)
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters")
+    doc = F.struct(*[F.col(f"`{c}`") for c in own]).alias("_doc")
     if model is None:
-        return docs.select(*[F.col(f"`{c}`") for c in carry], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    doc = F.struct(*[F.col(f"`{c}`") for c in carry], letters.alias("_letters"))
-    work = docs.select(F.col("text").cast("binary").alias("_text"), doc.alias("_doc"))
+        return docs.select(doc, F.lit(UNKNOWN).alias("_lang"), F.lit(0.0).alias("_score"), letters)
+    work = docs.select(F.lit(0).alias("_none") if "text" in own else F.col("text").alias(TEXT), doc, letters)
     handle = docs.sparkSession.sparkContext.broadcast(model)  # some 50 kB
     kind = work.schema["_doc"].dataType.simpleString()
-    work = work.mapInArrow(_predictor(handle), f"_lang string, _score double, _doc {kind}")
-    return work.select(*[F.col(f"_doc.`{c}`") for c in carry],
-                       F.when(F.col("_doc._letters"), F.col("_lang")).otherwise(UNKNOWN).alias("lang_pred"),
-                       F.when(F.col("_doc._letters"), F.col("_score")).otherwise(0.0).alias("score"))
+    work = work.mapInArrow(_predictor(handle), f"_lang string, _score double, _doc {kind}, _letters boolean")
+    return work.select("_doc", "_lang", "_score", "_letters")
 
 
 def predictions(docs: DataFrame) -> DataFrame:
@@ -274,6 +306,5 @@ def reject(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
     model = train(docs)
     if model is None:  # nothing to learn from: only letterless texts go
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    rows = docs.select(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    got = identify(rows, model, carry=["_row"])
-    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("_row.*")
+    got = _labelled(docs, model, docs.columns).where((F.col("_letters")) & (F.col("_score") >= min_score))
+    return got.select(*[F.col(f"_doc.`{c}`") for c in docs.columns])

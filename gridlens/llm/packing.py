@@ -1,25 +1,32 @@
 """Best-fit-decreasing packing of documents into fixed windows of tokens.
 
 Every task tokenizes its own rows and packs them in blocks of at most
-``BLOCK_IDS`` ids, so nothing is shuffled and memory is bounded by the block.
-Within a block overlong documents are cut into full windows first; the rest go,
-longest first, each into the open window with the least room that still holds
-it, found by a segment tree indexed by remaining capacity.
+``BLOCK_IDS`` ids, so memory is bounded by the block.  Within a block overlong
+documents are cut into full windows first; the rest go, longest first, each
+into the open window with the least room that still holds it, found by a
+segment tree indexed by remaining capacity.  The pieces of windows that stay
+under-filled, however many tasks there are, are dealt together and packed
+once more, by size alone.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlens.llm.common import bounded_batches, stored, workspace
 from gridlens.llm.tokens import BYTE_UNITS, encoder
 
 BLOCK_IDS = 1 << 22
-PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+#: A window with more than this share of its capacity left goes to the second round.
+LOOSE = 1 / 64
+#: Sequence ids of the second round begin here.
+SECOND = 1 << 61
 
 
 class RoomTree:
@@ -73,62 +80,108 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[tuple[int
     return placed, windows
 
 
-def _packer(tokenizer: str, units: str, end_id: int, capacity: int, block_ids: int):
+def _schema(digest: bool) -> tuple[str, list]:
+    """Spark and Arrow types of the pieces; with ``digest`` a crc32 stands for the ids."""
+    ids = ("ids_crc32 long", pa.int64()) if digest else ("ids binary", pa.binary())
+    return (f"doc_id long, start long, length long, {ids[0]}, doc_tokens long, sequence_id long, offset long",
+            [pa.int64(), pa.int64(), pa.int64(), ids[1], pa.int64(), pa.int64(), pa.int64()])
+
+
+def _rows(rows, digest: bool):
+    sql, kinds = _schema(digest)
+    names = [x.split()[0] for x in sql.split(", ")]
+    for i in range(0, len(rows), 4096):
+        part = rows[i:i + 4096]
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], t) for j, t in enumerate(kinds)], names=names)
+
+
+def _packer(tokenizer: str, units: str, end_id: int, capacity: int, block_ids: int, digest: bool):
     end = struct.pack("<I", end_id)
+    keep = zlib.crc32 if digest else (lambda ids: ids)
 
     def pack_block(docs, sequence):
         rows, rest = [], []
-        for doc_id, ids in docs:
-            n = len(ids) // 4
-            full = n // capacity
-            for k in range(full):
-                rows.append((doc_id, k * capacity, capacity, ids[4 * k * capacity:4 * (k + 1) * capacity], n, sequence, 0))
+        for doc_id, n, full, tail in docs:
+            for k, ids in enumerate(full):
+                rows.append((doc_id, k * capacity, capacity, ids, n, sequence, 0))
                 sequence += 1
-            if n > full * capacity:
-                rest.append((doc_id, full * capacity, n - full * capacity, ids[4 * full * capacity:], n))
+            if n > len(full) * capacity:
+                rest.append((doc_id, len(full) * capacity, n - len(full) * capacity, tail, n))
         placed, windows = best_fit_decreasing([r[2] for r in rest], capacity)
-        rows += [(*r, sequence + w, at) for r, (w, at) in zip(rest, placed)]
+        room = [capacity] * windows
+        for r, (w, _) in zip(rest, placed):
+            room[w] -= r[2]
+        loose = [x > LOOSE * capacity for x in room]
+        rows += [(*r, None, None) if loose[w] else (*r, sequence + w, at) for r, (w, at) in zip(rest, placed)]
         return rows, sequence + windows
 
-    def out(rows):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        names = [x.split()[0] for x in PIECES.split(", ")]
-        for i in range(0, len(rows), 4096):
-            part = rows[i:i + 4096]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], t) for j, t in enumerate(kinds)], names=names)
+    def cut(doc_id, ids):
+        n = len(ids) // 4
+        full = n // capacity
+        return doc_id, n, [keep(ids[4 * k * capacity:4 * (k + 1) * capacity]) for k in range(full)], keep(ids[4 * full * capacity:])
 
     def pack(batches):
         enc = encoder(tokenizer, units)
         sequence = TaskContext.get().partitionId() << 40
         docs, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = enc.encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_many(batch.column(1).to_pylist())):
+                ids += end
                 if docs and size + len(ids) > 4 * block_ids:
                     rows, sequence = pack_block(docs, sequence)
-                    yield from out(rows)
+                    yield from _rows(rows, digest)
                     docs, size = [], 0
-                docs.append((doc_id, ids))
+                docs.append(cut(doc_id, ids))
                 size += len(ids)
         rows, sequence = pack_block(docs, sequence)
-        yield from out(rows)
+        yield from _rows(rows, digest)
     return pack
 
 
+def _repacker(capacity: int, block_ids: int, digest: bool):
+    """Best-fit decreasing over the loose pieces of a partition, a block at a time."""
+    def run(batches):
+        sequence = SECOND + (TaskContext.get().partitionId() << 40)
+        rest, size = [], 0
+
+        def packed():
+            placed, windows = best_fit_decreasing([r[2] for r in rest], capacity)
+            return [(*r[:5], sequence + w, at) for r, (w, at) in zip(rest, placed)], windows
+        for batch in batches:
+            for r in zip(*[c.to_pylist() for c in batch.columns]):
+                if rest and size + r[2] > block_ids:
+                    rows, windows = packed()
+                    yield from _rows(rows, digest)
+                    rest, size, sequence = [], 0, sequence + windows
+                rest.append(r)
+                size += r[2]
+        yield from _rows(packed()[0], digest)
+    return run
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, units: str = BYTE_UNITS, end_id: int = 0, capacity: int = 1024,
-                   block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Pieces of all documents with their ids and places; sequences are padded to ``capacity``.
+                   block_ids: int = BLOCK_IDS, digest: bool = False) -> DataFrame:
+    """Pieces of all documents with their ids (``digest``: crc32 of them) and places; sequences are padded to ``capacity``.
 
     A document is the ids of its whole text plus ``end_id`` (null text: only
     that).  ``sequence_id`` is unique over all tasks; offsets in a sequence are
     gapless from 0.  Repeated rows are packed each for itself, null doc_ids are
-    kept, other columns are ignored, an empty table gives no row.
+    kept, other columns are ignored, an empty table gives no row.  A very long
+    text is a block of its own, cut into full windows.  The pieces are written
+    to the shared folder, from where the second round reads the loose ones.
     """
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return rows.mapInArrow(_packer(tokenizer, units, end_id, capacity, block_ids), PIECES)
+    sql = _schema(digest)[0]
+    first = stored(rows.mapInArrow(_packer(tokenizer, units, end_id, capacity, block_ids, digest), sql), workspace(spark, "packing"))
+    loose = first.where("sequence_id IS NULL")
+    total = loose.agg(F.sum("length")).first()[0] or 0
+    # by hash, so that every block has pieces of all sizes; each block then packs the largest first, in a fixed order
+    dealt = loose.repartition(max(1, -(-total // block_ids)), "doc_id", "start", "length").sortWithinPartitions("doc_id", "start", "length", loose.columns[3])
+    return first.where("sequence_id IS NOT NULL").unionByName(dealt.mapInArrow(_repacker(capacity, block_ids, digest), sql))
 
 
 def pack_digest(docs: DataFrame, tokenizer: str, capacity: int = 1024) -> DataFrame:
     """The packed pieces with a digest in place of the ids (the rows of the registered query)."""
-    return pack_documents(docs, tokenizer, capacity=capacity).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pack_documents(docs, tokenizer, capacity=capacity, digest=True)

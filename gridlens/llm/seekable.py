@@ -134,8 +134,8 @@ def _writer(folder: str, tokenizer: str, units: str, lower: bool, end_id: int):
                 fs.create_dir(path.rpartition("/")[0], recursive=True)
                 out = fs.open_output_stream(path, compression=None)
                 frames = FrameWriter(out)
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = enc.encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_many(batch.column(1).to_pylist())):
+                ids += end
                 frames.add(doc_id, ids)
                 n, total = n + 1, total + len(ids) // 4
                 first = doc_id if first is None else first

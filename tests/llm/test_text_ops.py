@@ -166,6 +166,33 @@ def test_packing_places_every_id_once(spark, docs, empty):
     assert packing.pack_digest(empty, path).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 211])
+def test_little_padding_however_the_rows_are_dealt(spark, partitions):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = packing.pack_digest(table.repartition(partitions), path).collect()
+    sequences = collections.defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        parts.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:])) and parts[0][0] == 0 and sum(parts[-1]) <= 1024
+    total = sum(r.length for r in got)
+    assert 1 - total / (1024 * len(sequences)) <= 0.01
+    assert total == sum({(r.doc_id, r.doc_tokens): r.doc_tokens for r in got}.values())
+
+
+def test_memo_generations_change_no_ids(monkeypatch):
+    from gridlens.llm import tokens
+    monkeypatch.setattr(tokens, "MEMO_UNITS", 20)
+    monkeypatch.setattr(tokens, "SLICE_CHARS", 50)
+    mine = tokens.UnitEncoder(public_tokenizers.path("byte_bpe_50k.json"), tokens.BYTE_UNITS)
+    texts = ["", None, "a <|endoftext|> b", *[" ".join(f"word{i * j % 37} and" for j in range(9)) for i in range(40)]]
+    whole = [np.array(mine.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(mine.encode_many(texts)) == whole and [mine.encode(t) for t in texts] == whole
+    assert len(mine.memo) + len(mine.memo.old) < 120
+
+
 # --- sharding ---------------------------------------------------------------------
 
 def brute_position(i, n, seed):
