@@ -57,3 +57,38 @@ def words_column(text, pattern: str = r"[^\x20\x09-\x0D]+"):
     """Words of a text after lower-casing A-Z only."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), upper, upper.lower()), F.lit(f"({pattern})"), F.lit(1))
+
+
+#: What operators keep in this Python worker between tasks.
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """The operator's cache in this worker; those of other operators are dropped."""
+    others = [k for k in _KEPT if k != owner]
+    for k in others:
+        del _KEPT[k]
+    if others:
+        release_memory()
+    return _KEPT.setdefault(owner, {})
+
+
+def release_memory() -> None:
+    """Give freed memory of this worker back to the system, which else keeps it for the worker's life."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run):
+    """A ``mapInArrow`` function that gives freed memory back at the end of each task."""
+    def whole(batches):
+        yield from run(batches)
+        release_memory()
+    return whole

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import bounded_batches
+from gridlens.llm.common import bounded_batches, releasing, worker_cache
 
 #: Training sample: at most this many documents of each language, and slices of each.
 DOCS_PER_LANG, SLICES, SLICE_CHARS = 300, 12, 64
@@ -253,6 +253,7 @@ def train(docs: DataFrame) -> Model | None:
 
 def _predictor(model):
     def run(batches):
+        worker_cache("langid")
         m = model.value
         for batch in batches:
             doc = batch.column(1)
@@ -291,7 +292,7 @@ def _labelled(docs: DataFrame, model: Model | None, own: list[str]) -> DataFrame
     work = docs.select(F.lit(0).alias("_none") if "text" in own else F.col("text").alias(TEXT), doc, letters)
     handle = docs.sparkSession.sparkContext.broadcast(model)  # some 50 kB
     kind = work.schema["_doc"].dataType.simpleString()
-    work = work.mapInArrow(_predictor(handle), f"_lang string, _score double, _doc {kind}, _letters boolean")
+    work = work.mapInArrow(releasing(_predictor(handle)), f"_lang string, _score double, _doc {kind}, _letters boolean")
     return work.select("_doc", "_lang", "_score", "_letters")
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import discard, stored, workspace
+from gridlens.llm.common import discard, releasing, stored, workspace
 from gridlens.llm.components import connected
 
 WORDS = 5
@@ -347,7 +347,7 @@ def near_components(spark: SparkSession, docs: DataFrame, percent: int = PERCENT
     """
     folder = workspace(spark, "near")
     rows = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    rows = stored(rows.mapInArrow(_sketcher(percent), "key long, doc_id long, n_shingles long, node long, registers binary, bands array<long>"), folder + "/rows")
+    rows = stored(rows.mapInArrow(releasing(_sketcher(percent)), "key long, doc_id long, n_shingles long, node long, registers binary, bands array<long>"), folder + "/rows")
     # one row of each distinct set (the registers of equal sets are equal)
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("key"))
     nodes = stored(rows.join(nodes, ["node", "key"], "left_semi").dropDuplicates(["node"])
@@ -359,7 +359,7 @@ def near_components(spark: SparkSession, docs: DataFrame, percent: int = PERCENT
     groups = stored(connected(edges, folder + "/candidates"), folder + "/groups")
     texts = docs.select(row_key().alias("key"), F.col("text").cast("binary").alias("text"))
     sets = texts.join(nodes.select("node", "key").join(groups, "node"), "key").dropDuplicates(["node"]).select("node", "text")
-    sets = stored(sets.mapInArrow(_sets, "node long, set binary"), folder + "/sets")
+    sets = stored(sets.mapInArrow(releasing(_sets), "node long, set binary"), folder + "/sets")
 
     # every node against one hub; what that links is one cluster and is not compared again
     asked = with_tasks(hub_rows(edges, nodes.select("node", "n")), ["hub", "chunk"])

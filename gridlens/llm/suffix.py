@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import discard, stored, workspace
+from gridlens.llm.common import discard, releasing, stored, workspace
 
 WIDTH = 50
 GRAM = 25
@@ -405,7 +405,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     def answered(n, texts, ask, rank, names):
         """Questions of ``texts`` (about ``n``), ranked, and their answers by document."""
-        got = texts.mapInArrow(ask(parts(n)), ASK).groupBy("part").applyInArrow(rank(parts(n)), ANSWER)
+        got = texts.mapInArrow(releasing(ask(parts(n))), ASK).groupBy("part").applyInArrow(rank(parts(n)), ANSWER)
         return got.groupBy("bucket").applyInArrow(_by_document(names), "doc_id long, tid long, " + ", ".join(f"{c} binary" for c in names) + ", n long")
 
     # whole copies need no search: every window is in the smallest doc_id with that text

@@ -2,8 +2,8 @@
 
 A text is cut into units at places where the tokenizer itself always cuts, so
 the ids of the text are the ids of its units in order.  Each distinct unit is
-encoded once per worker, those that some texts lack in one call, and kept as
-its little-endian unsigned 32-bit ids; a text is then a join of byte strings.
+encoded once per worker and kept as its little-endian unsigned 32-bit ids;
+a text is then a join of byte strings.
 The memo has two generations of ``MEMO_UNITS`` / 2 entries: units in use move
 to the younger, the older is dropped when that is full.  This bounds a
 worker's memory and changes no result.
@@ -15,10 +15,10 @@ import os
 import re
 import sys
 from array import array
-from itertools import chain
 
-MEMO_UNITS = 500_000
-SLICE_CHARS = 1 << 19
+from gridlens.llm.common import worker_cache
+
+MEMO_UNITS = 1_500_000
 
 # Where a tokenizer always cuts.  A run of Latin letters ends
 # before any ASCII character that isn't one (possessive, so never earlier).
@@ -35,19 +35,12 @@ _KEEP_CASE = re.compile("[^\\x00-įı-ɏ]|<\\|").search
 
 assert array("I").itemsize == 4 and sys.byteorder == "little"
 
-_LOADED: dict[str, UnitEncoder] = {}
-
 
 class _Memo(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.old = {}
-        self.batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-
-    def learn(self, units: list[str]) -> None:
-        """Encode units that the memo lacks, in one call."""
-        for unit, got in zip(units, self.batch(units, add_special_tokens=False)):
-            self[unit] = array("I", got.ids).tobytes()
+        self.batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)  # without offsets
 
     def whole(self, text: str) -> bytes:
         return array("I", self.batch([text], add_special_tokens=False)[0].ids).tobytes()
@@ -75,34 +68,23 @@ class UnitEncoder:
         self.special = re.compile("|".join(marks) or r"(?!)").search
         self.memo = _Memo(self.tokenizer)
 
-    def _units(self, text: str) -> list[str]:
-        return self.find(text.lower() if self.lower and not _KEEP_CASE(text) else text)
-
     def encode(self, text: str | None) -> bytes:
-        return next(self.encode_many([text]))
+        if not text:
+            return b""
+        if self.special(text):  # cuts around special tokens are the tokenizer's own
+            return self.memo.whole(text)
+        self.memo.rotate()
+        if self.lower and not _KEEP_CASE(text):
+            text = text.lower()
+        return b"".join(map(self.memo.__getitem__, self.find(text)))
 
     def encode_many(self, texts):
-        """Id bytes of each text, some texts (about ``SLICE_CHARS``) at a time."""
-        some, size = [], 0
-        for text in texts:
-            some.append(text or "")
-            size += len(some[-1])
-            if size >= SLICE_CHARS:
-                yield from self._encode(some)
-                some, size = [], 0
-        yield from self._encode(some)
-
-    def _encode(self, texts: list[str]):
-        self.memo.rotate()
-        # cuts around special tokens are the tokenizer's own: such a text is encoded whole, and not remembered
-        units = [None if t and self.special(t) else self._units(t) for t in texts]
-        self.memo.learn([u for u in set(chain.from_iterable(filter(None, units))) if u not in self.memo and u not in self.memo.old])
-        ids = self.memo.__getitem__
-        return [self.memo.whole(t) if u is None else b"".join(map(ids, u)) for t, u in zip(texts, units)]
+        return map(self.encode, texts)
 
 
 def encoder(path: str, units: str, lower: bool = False) -> UnitEncoder:
-    """The encoder of this worker for ``path``; loaded once per Python process."""
-    if path not in _LOADED:
-        _LOADED[path] = UnitEncoder(path, units, lower)
-    return _LOADED[path]
+    """The encoder of this worker for ``path``; kept while the worker stays with it."""
+    kept = worker_cache("tokens")
+    if path not in kept:
+        kept[path] = UnitEncoder(path, units, lower)
+    return kept[path]

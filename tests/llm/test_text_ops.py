@@ -185,7 +185,6 @@ def test_little_padding_however_the_rows_are_dealt(spark, partitions):
 def test_memo_generations_change_no_ids(monkeypatch):
     from gridlens.llm import tokens
     monkeypatch.setattr(tokens, "MEMO_UNITS", 20)
-    monkeypatch.setattr(tokens, "SLICE_CHARS", 50)
     mine = tokens.UnitEncoder(public_tokenizers.path("byte_bpe_50k.json"), tokens.BYTE_UNITS)
     texts = ["", None, "a <|endoftext|> b", *[" ".join(f"word{i * j % 37} and" for j in range(9)) for i in range(40)]]
     whole = [np.array(mine.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
