@@ -13,7 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = ["faults", "profile", "scans", "timeseries", "joins", "fraud", "scoring",
-           "sampling", "overlays", "stream_twins", "extended"]
+           "sampling", "overlays", "stream_twins", "extended", "thermal"]
 
 
 def register(key: str, sql: str | None = None, digits: int | None = None):

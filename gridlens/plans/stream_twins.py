@@ -12,6 +12,7 @@ from gridlens import streaming as ST
 from gridlens.functions.exprs import r6, r6_sql as R
 from gridlens.plans.faults import FE_SQL, fault_events
 from gridlens.plans.registry import register
+from gridlens.session import scratch_path
 
 DELAY_SQL = "INTERVAL 10 MINUTE"
 
@@ -87,6 +88,20 @@ def q_stream_label(spark, sf):
     return ST.run_available_now(s, "label")
 
 
+@register("stream_label_refresh", f"""WITH {FE_SQL}
+SELECT event_id, device, time, event_type, start_time, end_time FROM s WHERE event_type IS NOT NULL""")
+def q_stream_label_refresh(spark, sf):
+    """T4: half of the faults arrive in files after the telemetry has been read; equals the batch join."""
+    folder = scratch_path(spark, "late-faults")
+    faults = fault_events(spark, sf)
+    for half in (0, 1):
+        faults.where(F.pmod(F.unix_seconds(F.col("start_time").cast("timestamp")), F.lit(2)) == half).write.mode("append").parquet(folder)
+    late = ST.file_stream(spark, folder, "*.parquet", faults.schema, max_files_per_trigger=1)
+    ev = _ev(spark, sf).select("event_id", F.col("user_id").alias("device"), F.col("ts").alias("time"))
+    s = ST.stream_label_late(ev, late, "device", "time", "400 days")
+    return ST.run_available_now(s.select("event_id", "device", "time", "event_type", "start_time", "end_time"), "label-late")
+
+
 @register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stream_dedup(spark, sf):
     """T5: the events stream arriving twice; duplicates dropped within the watermark."""

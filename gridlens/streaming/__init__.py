@@ -2,5 +2,5 @@
 
 from gridlens.streaming.twins import (  # noqa: F401
     file_stream, run_available_now, to_instant, to_ntz, stream_resample, stream_velocity, stream_velocity_exact, stream_ping,
-    stream_label, stream_dedup, stream_episodes, stream_copy,
+    stream_label, stream_label_late, stream_dedup, stream_episodes, stream_copy,
 )

@@ -190,12 +190,29 @@ def stream_label(ev: DataFrame, events_static: DataFrame, device: str, time: str
     """T4 (twin of L1): stream x static fault windows - stateless.  The static
     side gets the same size check as the batch join, and open faults hold for
     any later row on either path.  The fault table is the one given when the
-    query starts; restart the query (its checkpoint keeps its place) to take
-    up new faults."""
+    query starts; for faults that arrive later see :func:`stream_label_late`."""
     from gridlens.operators.faults import attach_faults
     return attach_faults(ev, events_static, device, time, how="inner")
 
 
+def stream_label_late(tel: DataFrame, faults: DataFrame, device: str, time: str, delay: str) -> DataFrame:
+    """T4 with faults that arrive while the stream runs (twin of L1): an inner
+    stream-stream interval join of telemetry and fault windows, both as streams.
+
+    A reading and a fault meet whichever of them comes first.  Both sides carry
+    a watermark of ``delay``: a reading waits in the state until no fault that
+    began by its time can still arrive, then it is dropped; faults stay, as an
+    open one may hold for any later reading.  A null end never ends; rows
+    without device or time match nothing; equal rows are kept.  Columns: those
+    of ``tel``, then those of the fault but its device.
+    """
+    fields = [c for c in faults.columns if c != "device"]
+    t = tel.withColumn("_t", to_instant(time)).withWatermark("_t", delay)
+    f = faults.select(F.col("device").alias("_fd"), *fields).withColumn("_s", to_instant("start_time")).withWatermark("_s", delay)
+    on = (F.col(device) == F.col("_fd")) & (F.col("_t") >= F.col("_s")) & (F.col("end_time").isNull() | (F.col(time) < F.col("end_time")))
+    return t.join(f, on, "inner").drop("_t", "_s", "_fd")
+
+
 def stream_dedup(ev: DataFrame, ts: str, keys: list[str], delay: str = "10 minutes") -> DataFrame:
     """T5: drop repeated (keys, time) rows arriving within the watermark delay.
     Rows older than the watermark are dropped as late; Spark filters late rows

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, ts
 from gridlens import streaming as ST
 from gridlens.operators import fraud as A
 
@@ -111,3 +111,23 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     out = ST.run_available_now(ST.stream_dedup(s, "ts", ["user_id"]), "t_late", metrics=m)
     assert m["late_rows_dropped"] >= 1
     assert out.count() == 60   # the late row is dropped, the 11:05 duplicate is removed
+
+
+def test_faults_that_arrive_after_the_telemetry(spark, tmp_path):
+    """Readings wait in the state for faults of a later micro-batch; late and early ones give the batch join."""
+    from gridlens.operators import faults as fo
+    from gridlens import streaming as ST
+    tel = spark.createDataFrame([("a", ts(f"2024-01-{d:02d}")) for d in range(1, 21)] + [("b", ts("2024-01-05")), (None, ts("2024-01-05"))] + [("a", ts("2024-01-04"))],
+                                "device string, time timestamp_ntz")
+    early = [("a", "x", ts("2024-01-03"), ts("2024-01-06"), "abrupt", 1.0, None, 0.0, 0)]
+    late = [("a", "y", ts("2024-01-05"), None, "linear", 1.0, 60.0, 0.0, 1), ("b", "x", ts("2024-01-05"), ts("2024-01-05 00:00:01"), "abrupt", 1.0, None, 0.0, 0)]
+    tel.coalesce(1).write.parquet(f"{tmp_path}/tel")
+    for part in (early, late):
+        spark.createDataFrame(part, fo.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/faults")
+    metrics = {}
+    s = ST.stream_label_late(ST.file_stream(spark, f"{tmp_path}/tel"), ST.file_stream(spark, f"{tmp_path}/faults", max_files_per_trigger=1), "device", "time", "400 days")
+    got = ST.run_available_now(s, "late", metrics=metrics).collect()
+    both = spark.createDataFrame(early + late, fo.EVENT_SCHEMA)
+    want = fo.attach_faults(tel, both, how="inner").collect()
+    pick = lambda rows: sorted((r["device"], str(r["time"]), r["event_type"], str(r["end_time"])) for r in rows)
+    assert pick(got) == pick(want) and len(got) > 15 and metrics["batches"] >= 2
