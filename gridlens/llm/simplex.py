@@ -250,13 +250,13 @@ def cluster_digest(spark: SparkSession, vectors: DataFrame) -> DataFrame:
     return labels.join(F.broadcast(info), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
-_Q = "list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+_Q = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
 
 
 def _assigned(i: int) -> str:
     return f"""a{i} AS MATERIALIZED (
   SELECT r, min(struct_pack(d := d, c := cluster)) AS best FROM (
-    SELECT k.r, c.cluster, CAST(list_sum(list_transform(list_zip(k.q, c.q), p -> (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM k, c{i} c)
+    SELECT k.r, c.cluster, CAST(list_sum(list_transform(list_zip(k.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM k, c{i} c)
   GROUP BY r)"""
 
 
@@ -270,7 +270,7 @@ c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.q, c.q) AS q FROM c{i} c
 
 CLUSTER_SQL = f"""WITH k AS MATERIALIZED (
   SELECT row_number() OVER () AS r, vec_id, {_Q} AS q FROM embeddings
-  WHERE len(embedding) = {COMPONENTS} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = {COMPONENTS}),
+  WHERE len(embedding) = {COMPONENTS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = {COMPONENTS}),
 c0 AS MATERIALIZED (
   SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS INTEGER) AS cluster, q FROM k WHERE vec_id IS NOT NULL
   QUALIFY cluster < {CENTROIDS}),
