@@ -10,15 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.operators.windows import null_safe_join, prev_row, range_count, sessionize
+from gridlens.operators.windows import null_safe_join, prev_row, range_count, range_count_by_rank, sessionize
 
 
 def velocity(tx: DataFrame, keys: list[str], ts: str, n: int = 10, secs: float = 300,
-             bucket_seconds: int | None = None) -> DataFrame:
+             bucket_seconds: int | None = None, by_rank: bool = False) -> DataFrame:
     """A1: rows with >= n transactions of the same keys in [ts - secs, ts].
-    The range window runs per (keys, day) with a halo of the previous day's
-    tail, so a hot merchant is split by day."""
-    r = range_count(tx, keys, ts, secs, out="n_in_window", bucket_seconds=bucket_seconds)
+    The range window runs per (keys, time bucket) with a halo of the buckets
+    before; a merchant too dense for that, or ``by_rank``, is counted by the
+    difference of two global ranks, which splits any key."""
+    if by_rank:
+        r = range_count_by_rank(tx, keys, ts, secs, out="n_in_window")
+    else:
+        r = range_count(tx, keys, ts, secs, out="n_in_window", bucket_seconds=bucket_seconds)
     return r.where(F.col("n_in_window") >= n)
 
 

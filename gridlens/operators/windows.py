@@ -13,6 +13,9 @@ small per-bucket summary tables (one row per key and bucket):
 * :func:`range_count` / :func:`range_agg` - aggregates over a trailing time
   range; rows are copied into every later bucket their range reaches ("halo"),
   so the frame is complete for any span and bucket width.
+* :func:`range_count_by_rank` - a trailing count as the difference of two
+  ranks in one global order: no frame, no halo, and a key whose rows all lie
+  within one span still splits.
 * :func:`top_k_per` - two-phase top-k per key with salted first phase.
 """
 
@@ -150,9 +153,62 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, span_seconds: float, aggs
 
 def range_count(df: DataFrame, keys: list[str], ts: str, span_seconds: float, out: str = "n_in_range",
                 bucket_seconds: int | None = None) -> DataFrame:
+    """Rows of the same keys in [ts - span, ts].  Where a (key, day) - or span, if that is
+    longer - is too full for one window, ranks are subtracted instead (:func:`range_count_by_rank`)."""
+    if bucket_seconds is None:
+        bucket_seconds = max(DAY, int(math.ceil(span_seconds)))
+        if auto_bucket_seconds(df, keys, ts, start=bucket_seconds) < bucket_seconds:
+            return range_count_by_rank(df, keys, ts, span_seconds, out)
     return range_agg(df, keys, ts, span_seconds, {out: F.count(F.lit(1))}, bucket_seconds)
 
 
+def _micros(ts: str):
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+
+
+def rank_entries(df: DataFrame, keys: list[str], ts: str, span_seconds: float, n_parts: int | None = None) -> DataFrame:
+    """The merged order behind :func:`range_count_by_rank`: per distinct (keys, time)
+    one entry where its rows stand (``_add`` of them) and one where its range
+    begins (``_add`` 0), dealt by ranges of the whole order into parts ``_p``.
+
+    Rows of one instant are counted before anything is ordered, so an entry
+    stands for any number of them, and ranges are cut on (keys, time, kind):
+    no key and no instant can fill a part.  The checkpoint fixes the parts.
+    """
+    from gridlens.session import checkpoint_dir, default_parallelism
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n_parts = n_parts or max(8, 4 * default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    span = int(round(span_seconds * 1_000_000))
+    at = df.groupBy(*keys, _micros(ts).alias("_e")).agg(F.count(F.lit(1)).alias("_n"))
+    kinds = F.array(F.struct((F.col("_e") - span).alias("at"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("add")),
+                    F.struct(F.col("_e").alias("at"), F.lit(1).alias("kind"), F.col("_n").alias("add")))
+    entries = at.select(*keys, "_e", F.explode(kinds).alias("_k")).select(
+        *keys, "_e", F.col("_k.at").alias("_at"), F.col("_k.kind").alias("_kind"), F.col("_k.add").alias("_add"))
+    dealt = entries.repartitionByRange(n_parts, *keys, "_at", "_kind")
+    return dealt.withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def range_count_by_rank(df: DataFrame, keys: list[str], ts: str, span_seconds: float, out: str = "n_in_range",
+                        n_parts: int | None = None) -> DataFrame:
+    """Rows of the same keys in [ts - span, ts], as rank(ts) - rank(ts - span).
+
+    Both ranks are running sums over one global order of :func:`rank_entries`
+    (range beginnings before the rows of their instant), summed inside each
+    part and shifted by the sums of the parts before it; what earlier keys
+    add cancels out.  Rows without a time count those without one.
+    """
+    entries = rank_entries(df, keys, ts, span_seconds, n_parts)
+    order = Window.partitionBy("_p").orderBy(*keys, "_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    inside = entries.withColumn("_in", F.sum("_add").over(order))
+    sums = entries.groupBy("_p").agg(F.sum("_add").alias("_s"))  # one row a part
+    before = F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = inside.join(F.broadcast(sums.select("_p", before.alias("_off"))), "_p")
+    rank = F.col("_off") + F.col("_in")
+    counted = ranked.groupBy(*keys, "_e").agg(F.sum(F.when(F.col("_kind") == 1, rank).otherwise(-rank)).alias(out))
+    return null_safe_join(df.withColumn("_e", _micros(ts)), counted, [*keys, "_e"]).drop("_e")
+
+
 def top_k_per(df: DataFrame, keys: list[str], order_cols: list, k: int, salt_buckets: int = 32,
               salt_col: str | None = None, out: str = "rank") -> DataFrame:
     """Top k rows per key by ``order_cols`` (Columns with direction, total order).

@@ -28,6 +28,15 @@ def q_velocity(spark, sf):
     return A.velocity(ev, ["event_type"], "ts", n=25, secs=6 * 3600)
 
 
+@register("velocity_ranked", """SELECT event_id, event_type, ts, n_in_window FROM (
+  SELECT event_id, event_type, ts, count(*) OVER (PARTITION BY event_type ORDER BY ts
+    RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS n_in_window FROM events) WHERE n_in_window >= 40""")
+def q_velocity_ranked(spark, sf):
+    """A1 by rank difference: >= 40 transactions at one merchant within a day, at any density of the merchant."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    return A.velocity(ev, ["event_type"], "ts", n=40, secs=24 * 3600, by_rank=True)
+
+
 @register("ping", f"""WITH t AS (SELECT user_id, ts, value, event_id FROM events WHERE value < 5.0),
 l AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM t),
 s AS (SELECT *, max(CASE WHEN p IS NULL OR epoch_us(ts) / 1e6 - epoch_us(p) / 1e6 > 43200.0 THEN ts END)

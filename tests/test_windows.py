@@ -97,3 +97,43 @@ def test_sequential_ids_with_ties(spark):
     ours = W.sequential_ids(df.repartition(7), ["day", "k"], start=100, n_parts=5)
     plain = df.withColumn("seq_id", F.row_number().over(Window.orderBy("day", "k")) + 99)
     assert sorted(ours.select("k", "seq_id").collect()) == sorted(plain.select("k", F.col("seq_id").cast("long")).collect())
+
+
+def _plain_range_count(df, keys, span):
+    e = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    w = Window.partitionBy(*keys).orderBy("_e").rangeBetween(-span * 10**6, 0)
+    return sorted(df.withColumn("_e", e).select("id", F.count(F.lit(1)).over(w).alias("n")).collect())
+
+
+def test_range_count_by_rank(data):
+    odd = data.limit(40).select((F.col("id") + 10_000).alias("id"), F.lit(None).cast("long").alias("k"), "v", "ts")
+    timeless = data.limit(3).select((F.col("id") + 20_000).alias("id"), "k", "v", F.lit(None).cast("timestamp_ntz").alias("ts"))
+    tied = data.limit(50).select((F.col("id") + 30_000).alias("id"), F.lit(0).cast("long").alias("k"), "v",
+                                 F.expr("TIMESTAMP_NTZ'2024-01-02 00:00:00'").alias("ts"))
+    rows = data.unionByName(odd).unionByName(timeless).unionByName(tied)
+    for span in (1, 1800, 10 * 86400):
+        ours = W.range_count_by_rank(rows, ["k"], "ts", span, out="n", n_parts=5).select("id", "n")
+        assert sorted(ours.collect()) == _plain_range_count(rows, ["k"], span)
+    assert W.range_count_by_rank(rows.limit(0), ["k"], "ts", 60).count() == 0
+
+
+def test_range_count_by_rank_by_hand(spark):
+    rows = spark.createDataFrame([(1, "a", 0), (2, "a", 60), (3, "a", 60), (4, "a", 121), (5, "b", 60)], "id long, k string, s long")
+    rows = rows.withColumn("ts", F.expr("timestampadd(SECOND, s, TIMESTAMP_NTZ'2024-01-01 00:00:00')"))
+    got = {r["id"]: r["n"] for r in W.range_count_by_rank(rows, ["k"], "ts", 60, out="n").collect()}
+    assert got == {1: 1, 2: 3, 3: 3, 4: 1, 5: 1}
+
+
+def test_a_key_denser_than_its_span_is_split(spark):
+    """One merchant, all rows within one span: the count takes the rank path and no part holds 5 % of the rows."""
+    rows = spark.range(40_000).select("id", F.lit("m").alias("k"), F.expr(
+        "timestampadd(MILLISECOND, id * 7 % 3000000, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("ts"))
+    parts = [r["count"] for r in W.rank_entries(rows, ["k"], "ts", 3600, n_parts=64).groupBy("_p").count().collect()]
+    assert sum(parts) == 80_000 and max(parts) < 0.05 * 80_000
+    spark.conf.set("spark.gridlens.bucketTargetRows", "500")
+    try:
+        ours = W.range_count(rows, ["k"], "ts", 3600, out="n")
+        assert "_kind" in ours._jdf.queryExecution().analyzed().toString()
+        assert sorted(ours.select("id", "n").collect()) == _plain_range_count(rows, ["k"], 3600)
+    finally:
+        spark.conf.unset("spark.gridlens.bucketTargetRows")
