@@ -92,6 +92,46 @@ def basket_pairs(lines: DataFrame, order: str, item: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_orders"))
 
 
+#: Items of an order that are paired in one group; longer orders are dealt into more of them.
+PAIR_BLOCK = 1024
+
+
+def _pairs(baskets: DataFrame, order: str, item: str, block: int) -> DataFrame:
+    """(item_a, item_b), a < b, of every order: an equality join on (order, block of b), where an order of
+    k items has k / ``block`` blocks, so that no group pairs more than about ``block`` items with all of its order."""
+    sizes = baskets.groupBy(order).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks"))
+    sized = baskets.join(sizes, order)
+    left = sized.select(F.col(order).alias("_o"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_b"), F.col(item).alias("item_a"))
+    right = sized.select(F.col(order).alias("_o"), F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int").alias("_b"), F.col(item).alias("item_b"))
+    return left.join(right, ["_o", "_b"]).where(F.col("item_a") < F.col("item_b")).select("item_a", "item_b")
+
+
+def frequent_pairs(lines: DataFrame, order: str, item: str, min_orders: int, buckets: int = 1 << 20,
+                   block: int = PAIR_BLOCK) -> DataFrame:
+    """L10 over any number of items: pairs (item_a < item_b) that occur together in ``min_orders`` orders or
+    more, with n_orders and the orders of each item (n_a, n_b).
+
+    Orders become sets of the items that are frequent themselves.  Pairs are
+    first counted in hash ``buckets`` (a fixed number, so the map-side counts
+    and the broadcast list of full buckets are bounded by it); only pairs of a
+    full bucket are counted one by one.  Neither step can lose a frequent
+    pair.  Rows without order or item are in no pair; a repeated line counts once.
+    """
+    from gridlens.session import materialised
+    sets = lines.where(F.col(order).isNotNull() & F.col(item).isNotNull()).select(order, item).distinct()
+    support = sets.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_orders)
+    baskets = materialised(sets.join(support.select(item), item, "left_semi"), "baskets")
+    support = baskets.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
+    bucket = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)).cast("int")
+    pairs = _pairs(baskets, order, item, block).withColumn("_h", bucket)
+    full = pairs.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= min_orders).select("_h")
+    found = (pairs.join(F.broadcast(full), "_h", "left_semi").groupBy("item_a", "item_b")  # at most ``buckets`` ints
+             .agg(F.count(F.lit(1)).alias("n_orders")).where(F.col("n_orders") >= min_orders))
+    for side in ("a", "b"):
+        found = found.join(support.select(F.col(item).alias(f"item_{side}"), F.col("_n").alias(f"n_{side}")), f"item_{side}")
+    return found.select("item_a", "item_b", "n_orders", "n_a", "n_b")
+
+
 def attach_rate(lines: DataFrame, order: str, item: str, anchors: list[str]) -> DataFrame:
     """P(order has item | order has anchor) for every anchor and item,
     from the per-order item sets (bounded by the number of categories)."""

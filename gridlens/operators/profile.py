@@ -17,9 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.operators.clean import cols_of_kind, kind_of
-from gridlens.operators.quantiles import exact_quantiles
+from gridlens.operators.quantiles import exact_quantiles, refined_quantiles
 from gridlens.operators.windows import null_safe_join
-from gridlens.session import setting
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -114,35 +113,26 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 
 def describe_num(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """Count, mean, std (sample), min, quartiles, max per numeric column."""
+    """Count, mean, std (sample), min, quartiles, max per numeric column.
+    Exact quartiles come from sketched brackets (:func:`refined_quantiles`), the
+    moments from its first scan; otherwise ``percentile_approx``."""
     cols = cols or cols_of_kind(df, "numeric")
-    if exact and df.count() <= setting(df.sparkSession, "quantileHotRows", 5_000_000):
-        def quartiles(x):
-            return F.percentile(x, QUARTILES)
-    elif exact:
-        quartiles = None
-    else:
-        def quartiles(x):
-            return F.percentile_approx(x, QUARTILES, 10000)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"_c{i}"), F.avg(x).alias(f"_m{i}"), F.stddev_samp(x).alias(f"_s{i}"),
-                 F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-        if quartiles:
-            aggs.append(quartiles(x).alias(f"_q{i}"))
-    names = ["mean", "std", "min", "p25", "p50", "p75", "max"]
-    if quartiles:  # one scan, one aggregate
-        parts = ", ".join(f"'{c}', _c{i}, _m{i}, _s{i}, _lo{i}, _hi{i}, _q{i}" for i, c in enumerate(cols))
-        long = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, max, _q)")
-        long = long.withColumns({n: F.col("_q")[k] for k, n in enumerate(["p25", "p50", "p75"])})
-        return long.select("column_name", F.col("n").cast("long").alias("n"), *names)
-    parts = ", ".join(f"'{c}', _c{i}, _m{i}, _s{i}, _lo{i}, _hi{i}" for i, c in enumerate(cols))
-    moments = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, max)")
-    stacked = df.selectExpr(f"stack({len(cols)}, " + ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-                            + ") AS (column_name, _v)")
-    qs = quantile_columns(stacked, "_v", QUARTILES, ["p25", "p50", "p75"], ["column_name"])
-    return _join_keys(moments, qs, ["column_name"]).select("column_name", F.col("n").cast("long").alias("n"), *names)
+        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, QUARTILES, 10000).alias(f"q{i}"))
+    if exact:
+        row, quartiles = refined_quantiles(df, cols, QUARTILES, aggs)
+        rows = [(c, row[f"c{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], *quartiles[c], row[f"hi{i}"]) for i, c in enumerate(cols)]
+        return df.sparkSession.createDataFrame(
+            rows, "column_name string, n long, mean double, std double, min double, p25 double, p50 double, p75 double, max double")
+    parts = ", ".join(f"'{c}', c{i}, m{i}, s{i}, lo{i}, hi{i}, q{i}" for i, c in enumerate(cols))
+    long = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, n, mean, std, min, max, _q)")
+    return long.select("column_name", F.col("n").cast("long").alias("n"), "mean", "std", "min",
+                       *[F.col("_q")[k].alias(n) for k, n in enumerate(["p25", "p50", "p75"])], "max")
 
 
 def describe_all(df: DataFrame) -> DataFrame:

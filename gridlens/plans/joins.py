@@ -86,6 +86,16 @@ def q_basket_pairs(spark, sf):
     return J.basket_pairs(_line_types(spark, sf), "l_orderkey", "p_type")
 
 
+@register("product_pairs", """WITH b AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+n AS (SELECT l_partkey, count(*) AS n FROM b GROUP BY l_partkey),
+p AS (SELECT x.l_partkey AS item_a, y.l_partkey AS item_b, count(*) AS n_orders FROM b x JOIN b y
+  ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey GROUP BY 1, 2 HAVING count(*) >= 3)
+SELECT item_a, item_b, n_orders, na.n AS n_a, nb.n AS n_b FROM p JOIN n na ON na.l_partkey = item_a JOIN n nb ON nb.l_partkey = item_b""")
+def q_product_pairs(spark, sf):
+    """L10 over products: parts that three orders or more hold together."""
+    return J.frequent_pairs(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey", 3)
+
+
 ANCHORS = ["PROMO", "STANDARD"]
 
 

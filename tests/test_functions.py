@@ -185,3 +185,38 @@ def test_rounding_stays_a_double(spark):
     row = spark.createDataFrame([(2e13, 1e-5, -2.5e15, 1.23456749)], "a double, b double, c double, d double").select(
         *[r6(c).alias(c) for c in "abcd"], F.expr(r6_sql("a")).alias("e")).first()
     assert tuple(row) == (2e13, 1e-5, -2.5e15, 1.234567, 2e13)
+
+
+def test_refined_quantiles_match_percentile(spark):
+    """Ties, infinities, NaN, a column of nulls, skewed values: gathered at once, after one sketch, after many."""
+    import math
+    import random
+
+    from gridlens.operators.quantiles import refined_quantiles
+    rnd = random.Random(1)
+    rows = [(rnd.choice([None, 1.0, 2.0, 2.0, math.inf]), rnd.gauss(0, 1) if rnd.random() < .9 else math.nan,
+             float(rnd.randrange(50)), None, rnd.random() ** 9 * 1e9) for _ in range(8000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").cache()
+    qs = [0.0, 0.1, 0.25, 0.5, 0.95, 1.0]
+
+    def same(x, y):
+        if x is None or y is None:
+            return x is y
+        return x == y or (math.isnan(x) and math.isnan(y)) or abs(x - y) <= 1e-12 * max(1, abs(x))
+
+    want = df.agg(*[F.percentile(c, qs).alias(c) for c in df.columns]).first()
+    for gather in (10 ** 6, 500, 20):
+        _, got = refined_quantiles(df, df.columns, qs, gather_rows=gather)
+        for c in df.columns:
+            assert all(same(x, y) for x, y in zip(got[c], want[c] or [None] * len(qs))), (gather, c)
+    row, got = refined_quantiles(df.limit(0), ["a"], [0.5], [F.count("a").alias("n")])
+    assert row["n"] == 0 and got == {"a": [None]}
+
+
+def test_refined_quantiles_survive_a_sketch_that_misses(spark, monkeypatch):
+    """Counts decide: with no margin at all the brackets miss and the values stay exact."""
+    from gridlens.operators import quantiles as Q
+    monkeypatch.setattr(Q, "SKETCH_MARGIN", -0.02)
+    df = spark.range(3000).select((F.col("id") * 7919 % 3000).cast("double").alias("x"))
+    _, got = Q.refined_quantiles(df, ["x"], [0.25, 0.5, 0.9], gather_rows=10)
+    assert got["x"] == df.agg(F.percentile("x", [0.25, 0.5, 0.9])).first()[0]

@@ -181,3 +181,29 @@ def test_correlations_with_nulls_offsets_and_constants(spark):
     assert abs(got["x", "p"] - np.corrcoef(xs, x * y)[0, 1]) < 1e-6
     assert got["x", "k"] is None and got["k", "p"] is None and got["x", "n"] is None and len(got) == 10
     assert [r["corr"] for r in corr_matrix(spark.createDataFrame([], "a double, b double")).collect()] == [None]
+
+
+def test_frequent_pairs_against_counting(spark):
+    """One order with a third of all lines (dealt into blocks), repeated lines, null keys; few buckets lose nothing."""
+    import itertools
+    import random
+
+    from gridlens.operators.joins import frequent_pairs
+    rnd = random.Random(3)
+    lines = [(o, rnd.randrange(40)) for o in range(60) for _ in range(rnd.randrange(1, 7))]
+    lines += [(1000, i) for i in range(0, 90)] + [(1, 5), (1, 5), (None, 3), (None, 4), (2, None)]
+    orders, together = {}, {}
+    for o, i in lines:
+        if o is not None and i is not None:
+            orders.setdefault(o, set()).add(i)
+    alone = {}
+    for items in orders.values():
+        for i in items:
+            alone[i] = alone.get(i, 0) + 1
+        for p in itertools.combinations(sorted(items), 2):
+            together[p] = together.get(p, 0) + 1
+    want = sorted((a, b, n, alone[a], alone[b]) for (a, b), n in together.items() if n >= 3)
+    df = spark.createDataFrame(lines, "o long, i long")
+    for buckets, block in ((1 << 20, 1024), (7, 16)):
+        assert want and sorted(map(tuple, frequent_pairs(df, "o", "i", 3, buckets, block).collect())) == want
+    assert frequent_pairs(df.limit(0), "o", "i", 1).count() == 0

@@ -17,10 +17,12 @@ SRC = os.path.join(ROOT, "gridlens")
 # quantile remainders of <= max_final values, one-row size probes).
 COLLECT_OK = {"exact_quantiles", "by_percentile", "check_types", "histogram", "density2d", "value_shares", "hourly_profile",
               "mix_audit", "dist_audit", "high_value", "older_than_quantile", "attach_faults", "join_strategy", "_scalars", "chunks",
-              "auto_bucket_seconds", "_offsets", "one_sort_per_key", "fits", "sample_weighted", "rebalance", "stream_label", "q_quantile99"}
+              "auto_bucket_seconds", "_offsets", "one_sort_per_key", "fits", "sample_weighted", "rebalance", "stream_label", "q_quantile99",
+              # a row of counts and fixed sketch steps; a row per cell between the ends of the brackets
+              "refined_quantiles", "_narrow_all"}
 # Functions allowed an unpartitioned window: they run it on a table whose size is bounded by a
 # parameter (bucket offsets, <= 1000 histogram bins, <= n_parts partition offsets).
-GLOBAL_WINDOW_OK = {"positions_by_uniform", "dist_audit", "sequential_ids"}
+GLOBAL_WINDOW_OK = {"positions_by_uniform", "dist_audit", "sequential_ids", "range_count_by_rank"}
 
 
 def plan(df):
