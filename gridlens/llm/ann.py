@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from gridlens.llm.common import stored, workspace
 
@@ -106,8 +107,11 @@ def adaptive_scan(queries: np.ndarray, cands: np.ndarray, k: int, probed: np.nda
     return q, c
 
 
-def scan_group(query_ids, queries, probes, cand_ids, cands, cand_lists, k: int, norm2: float, turn: np.ndarray):
-    """(query_id, vec_id, score) of the best ``k`` candidates of each query in its probed lists, its own id left out."""
+def scan_group(query_ids, queries, probes, cand_ids, cands, cand_lists, k: int, norm2: float, turn: np.ndarray, scale: float = 1.0):
+    """(query_id, vec_id, score) of the best ``k`` candidates of each query in its probed lists, its own id left out.
+
+    Rows are original vectors; they are scanned as float32 over ``scale``, scored in double as they are.
+    """
     # of equal vectors the smallest ids are enough: k, and one more for the query's own
     order = np.argsort(cand_ids, kind="stable")
     cand_ids, cands, cand_lists = cand_ids[order], np.ascontiguousarray(cands[order]), cand_lists[order]
@@ -118,11 +122,11 @@ def scan_group(query_ids, queries, probes, cand_ids, cands, cand_lists, k: int,
     cand_ids, cands, cand_lists = cand_ids[keep], cands[keep], cand_lists[keep]
     own = np.unique(cand_lists)
     column = np.searchsorted(own, cand_lists)
-    turned = lift(cands, norm2) @ turn
+    turned = lift(scaled(cands, scale), norm2) @ turn
     out = []
     for i in range(0, len(queries), BATCH_QUERIES):
         qs, ids = queries[i:i + BATCH_QUERIES], query_ids[i:i + BATCH_QUERIES]
-        lifted = np.concatenate([qs, np.zeros((len(qs), 1), np.float32)], axis=1) @ turn
+        lifted = np.concatenate([scaled(qs, scale), np.zeros((len(qs), 1), np.float32)], axis=1) @ turn
         asked = np.zeros((len(qs), len(own)), bool)
         for j, p in enumerate(probes[i:i + BATCH_QUERIES]):
             asked[j] = np.isin(own, p, assume_unique=True)
@@ -140,15 +144,21 @@ def scan_group(query_ids, queries, probes, cand_ids, cands, cand_lists, k: int,
 
 
 def valid_vectors(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, v): rows with an id whose vector is not null, not zero and wholly finite."""
-    v = F.col("embedding").cast("array<float>")
+    """(vec_id, v): rows with an id whose vector is not null, not zero and wholly finite; floats stay floats, all else is double."""
+    floats = embeddings.schema["embedding"].dataType == ArrayType(FloatType(), embeddings.schema["embedding"].dataType.containsNull)
+    v = F.col("embedding") if floats else F.col("embedding").cast("array<double>")
     return embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(
         ~F.exists(F.col("v"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(F.col("v"), lambda x: x != 0))
 
 
-def _matrix(column) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float32).reshape(len(column), -1)
+def _matrix(column, dtype=np.float64) -> np.ndarray:
+    return np.array(column.tolist(), dtype=dtype).reshape(len(column), -1)
+
+
+def scaled(x: np.ndarray, scale: float) -> np.ndarray:
+    """float32 rows over ``scale``, a power of two (so nothing is rounded that fits): no square of them overflows."""
+    return (x / scale).astype(np.float32)
 
 
 def probed_lists(x: np.ndarray, centres: np.ndarray, counts: np.ndarray, probes: int, need: np.ndarray) -> list[np.ndarray]:
@@ -167,7 +177,8 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
     Ties go to the smaller vec_id.  Rows without id take no part, nor do
     invalid vectors, nor vectors of another length than the commonest.  A
     repeated row is a candidate each time, a repeated query id asks once.  No
-    valid vector, no row.
+    valid vector, no row.  Finite components of any size take part: lists and
+    scan work on vectors over a power of two, scores on the vectors as they are.
     """
     empty = "query_id long, rank int, vec_id long, score double"
     valid = valid_vectors(embeddings)
@@ -176,21 +187,25 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
         return spark.createDataFrame([], empty)
     dim, n = dims["d"], dims["count"]
     valid = valid.where(F.size("v") == dim)
-    norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    kind = valid.schema["v"].dataType.simpleString()
+    dtype = np.float32 if kind == "array<float>" else np.float64
+    largest = valid.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x.cast("double")))))).first()[0]
+    scale = math.ldexp(1.0, min(1023, math.frexp(largest)[1]))
+    norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x.cast("double") / scale) * (x.cast("double") / scale))
     norm2 = valid.agg(F.max(norm2)).first()[0]
     sample = valid.orderBy(F.xxhash64("vec_id", "v")).limit(SAMPLE).select("v").toPandas()["v"]
     lists = max(1, min(MAX_LISTS, 4 * round(math.sqrt(n))))
     turn = rotation(dim + 1)
-    centres = k_means(lift(_matrix(sample), norm2) @ turn, lists)
+    centres = k_means(lift(scaled(_matrix(sample), scale), norm2) @ turn, lists)
     probes = len(centres) if n <= SMALL_TABLE else min(len(centres), max(MIN_PROBES, math.ceil(probe_share * len(centres))))
     shared = spark.sparkContext.broadcast((centres, turn))  # at most MAX_LISTS vectors
 
     def to_list(batches):
         cs, rot = shared.value
         for pdf in batches:
-            yield pdf.assign(list=nearest(lift(_matrix(pdf["v"]), norm2) @ rot, cs, 1)[:, 0].astype(np.int32))
+            yield pdf.assign(list=nearest(lift(scaled(_matrix(pdf["v"], dtype), scale), norm2) @ rot, cs, 1)[:, 0].astype(np.int32))
 
-    cands = stored(valid.mapInPandas(to_list, "vec_id long, v array<float>, list int"), workspace(spark, "lists"))
+    cands = stored(valid.mapInPandas(to_list, f"vec_id long, v {kind}, list int"), workspace(spark, "lists"))
     sizes = {r["list"]: r["count"] for r in cands.groupBy("list").count().collect()}  # a row per list
     group, parts = deal(sizes, len(centres))
     counts = np.array([sizes.get(i, 0) for i in range(len(centres))])
@@ -203,8 +218,8 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
         """A row for each group (and part of it) that holds probed lists."""
         cs, rot = shared.value
         for pdf in batches:
-            x = _matrix(pdf["v"])
-            near = probed_lists(np.concatenate([x, np.zeros((len(x), 1), np.float32)], axis=1) @ rot, cs, counts, probes, k + pdf["own"].to_numpy())
+            x = _matrix(pdf["v"], dtype)
+            near = probed_lists(np.concatenate([scaled(x, scale), np.zeros((len(x), 1), np.float32)], axis=1) @ rot, cs, counts, probes, k + pdf["own"].to_numpy())
             ids, out = pdf["vec_id"].to_numpy(), []
             for i, row in enumerate(near):
                 for g in np.unique(group[row]):
@@ -215,7 +230,7 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
                     out = []
             yield pd.DataFrame(out, columns=["g", "c", "q", "vec_id", "v", "probes"])
 
-    asked = queries.mapInPandas(to_groups, "g int, c int, q int, vec_id long, v array<float>, probes array<int>")
+    asked = queries.mapInPandas(to_groups, f"g int, c int, q int, vec_id long, v {kind}, probes array<int>")
 
     def place(batches):
         for pdf in batches:
@@ -224,13 +239,13 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
             for q in range(q_parts):
                 yield pdf.assign(g=to, c=part.astype(np.int32), q=np.int32(q))
 
-    dealt = cands.mapInPandas(place, "vec_id long, v array<float>, list int, g int, c int, q int")
+    dealt = cands.mapInPandas(place, f"vec_id long, v {kind}, list int, g int, c int, q int")
 
     def scan(key, left, right):
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return scan_group(left["vec_id"].to_numpy(), _matrix(left["v"]), left["probes"].tolist(), right["vec_id"].to_numpy(),
-                          _matrix(right["v"]), right["list"].to_numpy(), k, norm2, shared.value[1])
+        return scan_group(left["vec_id"].to_numpy(), _matrix(left["v"], dtype), left["probes"].tolist(), right["vec_id"].to_numpy(),
+                          _matrix(right["v"], dtype), right["list"].to_numpy(), k, norm2, shared.value[1], scale)
 
     found = asked.groupBy("g", "c", "q").cogroup(dealt.groupBy("g", "c", "q")).applyInPandas(scan, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -219,3 +219,20 @@ def test_query_matches_oracle(spark, key):
     import oracle_check
     status, msg = oracle_check.check(spark, oracle_check.duck(SF), key, queries.QUERIES[key], queries.ORACLE[key], SF)
     assert status == "OK", msg
+
+
+@pytest.mark.parametrize("size", [1.0, 1e30, 1e39, 1e-30])
+def test_neighbours_score_doubles_of_any_size_exactly(spark, size):
+    """Double vectors: no component is rounded to a float, none is lost for its size."""
+    from gridlens.llm import ann
+    x = np.random.default_rng(8).standard_normal((300, 16)) * size
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.neighbours(spark, df, probe_share=1.0).collect()
+    dots = x @ x.T
+    assert len(got) == 15 * 20
+    for r in got:
+        assert r["score"] == pytest.approx(dots[r["query_id"], r["vec_id"]], rel=1e-12, abs=1e-13 * size * size)
+    for q in range(0, 300, 20):
+        want = [i for i in np.lexsort((np.arange(300), -dots[q])) if i != q][:20]
+        found = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert len(set(found) & set(want)) >= 18
