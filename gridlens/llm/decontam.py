@@ -1,10 +1,12 @@
 """Benchmark decontamination by a generalised suffix automaton over words.
 
 The normalised items become one automaton of word ids (or several, of bounded
-size, when the benchmark is large).  Every document is streamed through it and
-the longest match ending at each word is tracked; where it reaches the window
-length, the window's words are hit.  Spans of hit words can then be cut out,
-and documents covered beyond a limit dropped.
+size, when the benchmark is large).  The windows of the items hang on its
+states, each on the one that holds it.  Every document is streamed through the
+automaton, which tracks the longest match ending at each word and its state;
+the windows of that state no longer than the match, and those of the shorter
+classes it links to, end there, and their words are hit.  Spans of hit words can
+then be cut out, and documents covered beyond a limit dropped.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import stored, workspace
+from gridlens.llm.common import discard, stored, worker_cache, workspace
 
 WINDOW = 10
 #: Words of benchmark items in one automaton (some tens of MB in a worker).
@@ -36,10 +38,16 @@ def words_of(raw: bytes | None) -> list[bytes]:
 
 
 class SuffixAutomaton:
-    """All substrings of all items: ``step`` maps word id to state, ``link`` to the next shorter class."""
+    """All substrings of all items: ``step`` maps word id to state, ``link`` to the next shorter class.
+
+    ``windows`` maps a state to its windows (size to item names), ``above`` a
+    state to the nearest shorter class that has windows (0: none).
+    """
 
     def __init__(self):
         self.step, self.link, self.length = [{}], [-1], [0]
+        self.windows: dict[int, dict[int, set[str]]] = {}
+        self.above: list[int] = []
 
     def _state(self, length: int, step: dict, link: int) -> int:
         self.step.append(step)
@@ -72,8 +80,8 @@ class SuffixAutomaton:
                 self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, word, q)
             last = new
 
-    def matches(self, ids):
-        """Length of the longest item substring that ends at each word."""
+    def walk(self, ids):
+        """State and length of the longest item substring that ends at each word."""
         step, link, length = self.step, self.link, self.length
         state, n = 0, 0
         for word in ids:
@@ -86,45 +94,82 @@ class SuffixAutomaton:
                 n = 0
             else:
                 state, n = nxt, n + 1
+            yield state, n
+
+    def matches(self, ids):
+        """Length of the longest item substring that ends at each word."""
+        for _, n in self.walk(ids):
             yield n
 
+    def mark(self, item: list[int], size: int, name: str | None) -> None:
+        """Hang each window of ``size`` words of an item on its state; call once all items are added."""
+        state, n = 0, 0
+        for word in item:
+            state, n = self.step[state][word], n + 1
+            if n > size:  # one word too many: the class of the last ``size``
+                n = size
+                if self.length[self.link[state]] >= size:
+                    state = self.link[state]
+            if n == size:
+                names = self.windows.setdefault(state, {}).setdefault(size, set())
+                if name is not None:
+                    names.add(name)
+
+    def finish(self) -> None:
+        """Link every state to the nearest shorter class with windows."""
+        self.above = [0] * len(self.link)
+        for state in sorted(range(1, len(self.link)), key=self.length.__getitem__):
+            shorter = self.link[state]
+            self.above[state] = shorter if shorter in self.windows else self.above[shorter]
+
+    def windows_ending(self, state: int, n: int):
+        """(size, item names), the longest first, of the windows that end where ``walk`` is in ``state`` with a match of ``n``."""
+        while state:
+            here = self.windows.get(state)
+            if here:
+                for size in sorted(here, reverse=True):
+                    if size <= n:
+                        yield size, here[size]
+            state = self.above[state]
+
 
 class Screen:
     """One block of items, ready to screen documents."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
-        self.vocabulary, self.automaton, self.windows = {}, SuffixAutomaton(), {}
-        for item_id, raw in items:
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
+        self.vocabulary, self.automaton = {}, SuffixAutomaton()
+        known = []
+        for name, raw in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(raw)]
-            if not ids:
-                continue
-            self.automaton.add(ids)
-            n = min(window, len(ids))
-            for i in range(len(ids) - n + 1):
-                self.windows.setdefault(tuple(ids[i:i + n]), set()).add(item_id)
-        self.lengths = sorted({len(w) for w in self.windows})
+            if ids:
+                self.automaton.add(ids)
+                known.append((ids, min(window, len(ids)), name))
+        for ids, size, name in known:
+            self.automaton.mark(ids, size, name)
+        self.automaton.finish()
+        self.shortest = min((size for _, size, _ in known), default=0)
 
     def screen(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Spans of hit windows (first word, end) and the items whose windows occur."""
         spans, items = [], set()
-        if not self.lengths or len(words) < self.lengths[0]:
+        if not self.shortest or len(words) < self.shortest:
             return spans, items
         get = self.vocabulary.get
         ids = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
         # a match is inside a run of words that items know; shorter runs can't hold a window
         edge = np.flatnonzero(np.diff(np.concatenate([[0], ids >= 0, [0]]).astype(np.int8)))
         starts, ends = edge[::2], edge[1::2]
-        keep = ends - starts >= self.lengths[0]
+        keep = ends - starts >= self.shortest
         for a, b in zip(starts[keep].tolist(), ends[keep].tolist()):
-            run = ids[a:b].tolist()
-            for j, n in enumerate(self.automaton.matches(run)):
-                for size in self.lengths:
-                    if size > n:
-                        break
-                    got = self.windows.get(tuple(run[j + 1 - size:j + 1]))
-                    if got:
-                        items |= got
-                        spans.append((a + j + 1 - size, a + j + 1))
+            for end, (state, n) in enumerate(self.automaton.walk(ids[a:b].tolist()), a + 1):
+                if n < self.shortest:
+                    continue
+                longest = 0
+                for size, names in self.automaton.windows_ending(state, n):
+                    longest = longest or size
+                    items |= names
+                if longest:  # the shorter ones are inside it
+                    spans.append((end - longest, end))
         return spans, items
 
 
@@ -148,16 +193,14 @@ def merge(spans) -> list[list[int]]:
     return merged
 
 
-_SCREENS: dict[str, Screen] = {}
-
-
 def _screener(key: str, items, window: int, carry: list[str], last: bool):
     """Adds one block's spans and items to each row's; the last block also cuts and counts."""
     def run(batches):
-        if key not in _SCREENS:
-            _SCREENS.clear()
-            _SCREENS[key] = Screen(items.value, window)
-        screen = _SCREENS[key].screen
+        kept = worker_cache("decontam")
+        if key not in kept:
+            kept.clear()  # one automaton in a worker
+            kept[key] = Screen(items.value, window)
+        screen = kept[key].screen
         for batch in batches:
             cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             out = []
@@ -187,7 +230,7 @@ def _screener(key: str, items, window: int, carry: list[str], last: bool):
 
 def _items(benchmark: DataFrame) -> DataFrame:
     return benchmark.where("text IS NOT NULL").select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("binary").alias("raw"))
+        F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("raw"))
 
 
 def _n_blocks(benchmark: DataFrame, block_words: int) -> int:
@@ -196,7 +239,7 @@ def _n_blocks(benchmark: DataFrame, block_words: int) -> int:
     return max(1, -(-total // (6 * block_words)))
 
 
-def _block(benchmark: DataFrame, i: int, n: int) -> list[tuple[str, bytes]]:
+def _block(benchmark: DataFrame, i: int, n: int) -> list[tuple[str | None, bytes]]:
     rows = _items(benchmark).where(F.pmod(F.xxhash64("item_id", "raw"), F.lit(n)) == i)
     return [(r.item_id, bytes(r.raw)) for r in rows.toLocalIterator()]
 
@@ -207,8 +250,10 @@ def screen_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
     n_words, n_hit, spans, items, items_sha256, clean_text (null where nothing is hit).
 
     Null text has no words; items without words, or null, have no window; an
-    empty benchmark hits nothing.  Rows are screened each for itself, so
-    repeated rows and null ids are kept; columns may have any name but ``screen``.
+    item without an id hits, but is not listed; an empty benchmark hits
+    nothing, an empty table gives no row.  Rows are screened each for itself, so
+    repeated rows and null ids are kept, and a text of any length streams
+    through the automaton; columns may have any name but ``screen``.
     """
     spark = docs.sparkSession
     carry = docs.columns if carry is None else carry
@@ -216,6 +261,7 @@ def screen_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
                        F.array().cast("array<array<int>>").alias("_spans"), F.col("text").cast("binary").alias("_text"))
     doc = work.schema["_doc"].dataType.simpleString()
     blocks = list(range(_n_blocks(benchmark, block_words)))
+    before = None
     for i in blocks:
         last = i == blocks[-1]
         handle = spark.sparkContext.broadcast(_block(benchmark, i, len(blocks)))  # about block_words words at most
@@ -223,7 +269,11 @@ def screen_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
         kind |= {"_words": "long", "_hit": "long", "_sha": "string", "_clean": "string"} if last else {"_text": "binary"}
         work = work.mapInArrow(_screener(uuid.uuid4().hex, handle, window, carry, last), ", ".join(f"{k} {kind[k]}" for k in sorted(kind)))
         if not last:  # a pass per block over a stored table: one automaton in a worker at a time
-            work = stored(work, workspace(spark, "screened"))
+            path = workspace(spark, "screened")
+            work = stored(work, path)
+            if before is not None:
+                discard(spark, before)
+            before = path
     return work.select("_doc.*", F.struct(
         F.col("_words").alias("n_words"), F.col("_hit").alias("n_hit"), F.col("_spans").alias("spans"), F.col("_items").alias("items"),
         F.col("_sha").alias("items_sha256"), F.col("_clean").alias("clean_text")).alias("screen"))

@@ -392,7 +392,7 @@ def brute_leaks(data, items):
         w = norm(t)
         n = min(10, len(w))
         for k in range(len(w) - n + 1 if n else 0):
-            windows[tuple(w[k:k + n])].add("" if i is None else str(i))
+            windows[tuple(w[k:k + n])].update([] if i is None else [str(i)])  # an item without an id hits, but is not listed
     out = []
     for d, t in data:
         w = norm(t)
@@ -400,7 +400,7 @@ def brute_leaks(data, items):
         for n in {len(x) for x in windows}:
             for k in range(len(w) - n + 1):
                 got = windows.get(tuple(w[k:k + n]))
-                if got:
+                if got is not None:
                     hit.update(range(k, k + n))
                     found |= got
         out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
@@ -433,6 +433,30 @@ def test_automaton_tracks_longest_matches():
         assert list(auto.matches(text)) == want
 
 
+def test_windows_hang_on_the_states_that_hold_them():
+    """Items shorter and longer than a window, parts of each other and repeated: every window that occurs, and no other."""
+    rng = random.Random(5)
+    for _ in range(200):
+        size = rng.randrange(1, 6)
+        items = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.randrange(0, 9))).encode()) for i in range(rng.randrange(1, 7))]
+        windows = collections.defaultdict(set)
+        for name, raw in items:
+            w = raw.split()
+            n = min(size, len(w))
+            for k in range(len(w) - n + 1 if n else 0):
+                windows[tuple(w[k:k + n])].add(name)
+        text = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(30)]
+        hit, names = set(), set()
+        for i in range(len(text)):
+            for n in range(1, size + 1):
+                got = windows.get(tuple(text[i:i + n])) if i + n <= len(text) else None
+                if got:
+                    hit |= set(range(i, i + n))
+                    names |= got
+        spans, found = decontam.Screen(items, size).screen(text)
+        assert {p for a, b in spans for p in range(a, b)} == hit and found == names
+
+
 def test_decontaminate_cuts_spans_and_drops_covered_documents(spark):
     docs = spark.createDataFrame(leak_rows(), SCHEMA)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
