@@ -57,21 +57,64 @@ def overview(df: DataFrame) -> DataFrame:
 
 
 def profile_columns(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Per column kind, nulls, null %, distinct non-null values (long form)."""
-    cols = df.columns
-    dist = F.approx_count_distinct if approx else F.count_distinct
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_z{i}"), dist(F.col(c)).alias(f"_d{i}")]
-    a = df.agg(*aggs)
+    """Per column kind, nulls, null %, distinct non-null values (long form).
+
+    Exact counts come from a count per value of each column, side by side: a
+    branch scans its own column only, combines values before the shuffle and
+    copies no row (``count_distinct`` of k columns would write k copies of every row).
+    Over a costly plan give a stored table, as each branch reads it again.
+    ``approx`` counts all columns in one pass over HyperLogLog registers.
+    """
     kinds = {f.name: kind_of(f.dataType) for f in df.schema.fields}
-    parts = ", ".join(f"'{c}', '{kinds[c]}', _z{i}, _d{i}" for i, c in enumerate(cols))
-    long = a.selectExpr("_rows", f"stack({len(cols)}, {parts}) AS (column_name, kind, n_nulls, n_distinct)")
+    if approx:
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, c in enumerate(df.columns):
+            aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_z{i}"), F.approx_count_distinct(F.col(f"`{c}`")).alias(f"_d{i}")]
+        entry = lambda i, c: F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("kind"), F.col(f"_z{i}").alias("n_nulls"),
+                                      F.col(f"_d{i}").alias("n_distinct"))
+        long = df.agg(*aggs).select("_rows", F.explode(F.array(*[entry(i, c) for i, c in enumerate(df.columns)])).alias("_e")).select("_rows", "_e.*")
+    else:
+        one = lambda c: (df.groupBy(F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+                         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("n_nulls"),
+                              F.count("v").alias("n_distinct"))
+                         .select("_rows", F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("kind"), "n_nulls", "n_distinct"))
+        long = reduce(DataFrame.union, [one(c) for c in df.columns])
     return long.select("column_name", "kind", F.col("n_nulls").cast("long").alias("n_nulls"),
                        (F.when(F.col("_rows") > 0, F.col("n_nulls") / F.col("_rows") * 100.0).otherwise(0.0)).alias("null_pct"),
                        F.col("n_distinct").cast("long").alias("n_distinct"))
 
 
+#: log2 of the registers of a distinct sketch: a standard error of 0.8 % at 14.
+SKETCH_BITS = 14
+
+
+def column_sketches(df: DataFrame, by: list[str]) -> DataFrame:
+    """P2, in parts: per group ``by`` (a day, a file) and column, rows, nulls and a distinct sketch, in one pass.
+
+    Store it beside the data: a new day adds its rows, and :func:`merge_sketches` profiles any range of days without a
+    scan.  A null in ``by`` is a group; an empty table has no row.
+    """
+    cols = [f for f in df.schema.fields if f.name not in by]
+    numbers = ("tinyint", "smallint", "int", "bigint")
+
+    def sketched(f):
+        c = F.col(f"`{f.name}`")
+        return c if f.dataType.simpleString() in (*numbers[2:], "string", "binary") else c.cast("int") if f.dataType.simpleString() in numbers else c.cast("string")
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, f in enumerate(cols):
+        aggs += [F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_z{i}"), F.hll_sketch_agg(sketched(f), SKETCH_BITS).alias(f"_s{i}")]
+    entry = lambda i, f: F.struct(F.lit(f.name).alias("column_name"), F.lit(kind_of(f.dataType)).alias("kind"), F.col("_rows").alias("n_rows"),
+                                  F.col(f"_z{i}").alias("n_nulls"), F.col(f"_s{i}").alias("sketch"))
+    return df.groupBy(*by).agg(*aggs).select(*by, F.explode(F.array(*[entry(i, f) for i, f in enumerate(cols)])).alias("_e")).select(*by, "_e.*")
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """One profile of many groups: column_name, kind, n_rows, n_nulls, null_pct, and n_distinct to within the sketch's error."""
+    a = sketches.groupBy("column_name", "kind").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_nulls").alias("n_nulls"),
+                                                    F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
+    return a.select("column_name", "kind", "n_rows", "n_nulls", (F.col("n_nulls") / F.col("n_rows") * 100.0).alias("null_pct"), "n_distinct")
+
+
 def null_report(df: DataFrame) -> DataFrame:
     """Only the columns that have nulls (one aggregate of counts)."""
     cols = df.columns

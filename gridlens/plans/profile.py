@@ -59,6 +59,20 @@ def q_profile_columns(spark, sf):
     return P.profile_columns(customer_n(spark, sf))
 
 
+EVENT_COLS = ["event_id", "event_type", "user_id", "value"]
+
+
+@register("profile_merged", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, true AS within_error FROM events" for c in EVENT_COLS))
+def q_profile_merged(spark, sf):
+    """Distinct sketches of each day, merged; every estimate within four standard errors of the exact count."""
+    ev = table(spark, sf, "events").select(F.col("ts").cast("date").alias("day"), *EVENT_COLS)
+    merged = P.merge_sketches(P.column_sketches(ev, ["day"]))
+    exact = P.profile_columns(ev.select(*EVENT_COLS)).select("column_name", F.col("n_distinct").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact")) / F.greatest("exact", F.lit(1))
+    return merged.join(exact, "column_name").select("column_name", "n_rows", "n_nulls", (off <= 4 * 0.0081).alias("within_error"))
+
+
 @register("null_report", f"SELECT column_name, n_nulls, null_pct FROM ({_profile_sql(ORDERS_N, ORDER_COLS)}) x WHERE n_nulls > 0", digits=6)
 def q_null_report(spark, sf):
     return P.null_report(orders_n(spark, sf))

@@ -42,6 +42,46 @@ def q_sink_roundtrip(spark, sf):
     return back.select(*[c for c in back.columns if c != "day"], F.col("day").cast("date").alias("day"))
 
 
+@register("nanosecond_ingest", "SELECT event_id, ts, user_id, value FROM events")
+def q_nanosecond_ingest(spark, sf):
+    """Events written with nanosecond timestamps, as pandas does, and read back."""
+    path = scratch_path(spark, "nanoseconds")
+    ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
+    S.write_nanoseconds(ev, path, ["ts"]).agg({"n_rows": "sum"}).write.format("noop").mode("overwrite").save()
+    return S.read_pandas_parquet(spark, path, ["ts"])
+
+
+@register("month_rewrite", """SELECT event_id, ts, user_id, CASE WHEN day(ts) BETWEEN 8 AND 14 THEN value * 2 ELSE value END AS value,
+  CAST(((day(ts) - 1) // 7) AS INTEGER) AS week FROM events""")
+def q_month_rewrite(spark, sf):
+    """Events stored by week of the month, then one week written again with its values doubled."""
+    path = scratch_path(spark, "weeks")
+    ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "value", F.floor((F.dayofmonth("ts") - 1) / 7).cast("int").alias("week"))
+    S.write_dataset(ev, path, partition_by=["week"])
+    S.replace_partitions(ev.where("week = 1").withColumn("value", F.col("value") * 2), path, ["week"])
+    return spark.read.schema(ev.schema).parquet(path)
+
+
+def bucketed_telemetry(spark, sf, buckets: int = 16):
+    """Events and orders as tables bucketed by customer."""
+    name = scratch_path(spark, "bucketed")
+    ev = table(spark, sf, "events").select(F.col("user_id").alias("device"), "ts", "value")
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("device"), "o_orderdate", "o_totalprice")
+    tag = name.rsplit("-", 1)[-1]
+    return (S.write_bucketed(ev, f"events_{tag}", f"{name}/events", ["device"], buckets, ["device", "ts"]),
+            S.write_bucketed(orders, f"orders_{tag}", f"{name}/orders", ["device"], buckets))
+
+
+@register("bucketed_join", """SELECT user_id AS device, count(*) AS n, count(DISTINCT ts) AS n_times, max(o_totalprice) AS top_price
+FROM events JOIN orders ON user_id = o_custkey GROUP BY 1""")
+def q_bucketed_join(spark, sf):
+    """Events meet the orders of their customer; two tables in the same buckets, so the join and its groups shuffle nothing."""
+    ev, orders = bucketed_telemetry(spark, sf)
+    j = ev.hint("merge").join(orders, "device")
+    return (j.groupBy("device", "ts").agg(F.count(F.lit(1)).alias("k"), F.max("o_totalprice").alias("p"))
+            .groupBy("device").agg(F.sum("k").alias("n"), F.count("ts").alias("n_times"), F.max("p").alias("top_price")))
+
+
 @register("publish_view", """SELECT o_orderkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
   o_orderpriority FROM orders""")
 def q_publish_view(spark, sf):

@@ -88,8 +88,72 @@ def read_pandas_parquet(spark: SparkSession, path: str, ts_cols: list[str]) -> D
     own = spark.newSession()
     own.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = own.read.parquet(path)
-    return df.select(*[F.timestamp_micros(F.floor(F.col(c) / 1000)).cast("timestamp_ntz").alias(c) if c in ts_cols else F.col(c)
-                       for c in df.columns])
+    # whole numbers throughout: a double has not the digits of nanoseconds; the microsecond at or before, also before 1970
+    micros = lambda c: F.expr(f"(`{c}` - pmod(`{c}`, 1000)) DIV 1000")
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return df.select(*[F.timestamp_add("MICROSECOND", micros(c), epoch).alias(c) if c in ts_cols else F.col(c) for c in df.columns])
+
+
+def write_nanoseconds(df: DataFrame, path: str, ts_cols: list[str]) -> DataFrame:
+    """S7, the other way: Parquet with INT64 nanosecond timestamps, as pandas writes it.
+
+    Spark has no such type, so each task writes its rows with Arrow, in row
+    groups of one batch, to ``path`` (a folder that executors share).  A file
+    gets its name once it is whole, so a repeated task replaces its own file.
+    Returns one row per file: file, n_rows (lazy: nothing is written before).
+    """
+    names = df.columns
+    # wall clock to micros without a time zone
+    parted = df.select(*[F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(c)).alias(c) if c in ts_cols
+                         else F.col(c) for c in names])
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        if path.startswith("file:"):
+            system, folder = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+        else:
+            system, folder = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        system.create_dir(folder, recursive=True)
+        name, writer, n = f"part-{part:05d}.parquet", None, 0
+        hidden = f"{folder}/_{name}.{TaskContext.get().taskAttemptId()}"
+        for batch in batches:
+            columns = [pc.multiply(batch.column(i), 1000).cast(pa.timestamp("ns")) if c in ts_cols else batch.column(i)
+                       for i, c in enumerate(names)]
+            table = pa.Table.from_arrays(columns, names=names)
+            if writer is None:
+                writer = pq.ParquetWriter(hidden, table.schema, filesystem=system, version="2.6")
+            writer.write_table(table)
+            n += table.num_rows
+        if writer is not None:
+            writer.close()
+            system.move(hidden, f"{folder}/{name}")
+            yield pa.RecordBatch.from_pydict({"file": [name], "n_rows": pa.array([n], pa.int64())})
+
+    return parted.mapInArrow(write, "file string, n_rows long")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int, sort_by: list[str] | None = None) -> DataFrame:
+    """A bucketed table ``name`` over ``path``: rows of equal keys in one bucket, sorted inside it.
+
+    Tables with equal numbers of buckets on a key join, group and window on it
+    without a shuffle.  Rows are dealt by the bucket hash before they are
+    written, so a bucket is one file and its order survives.
+    """
+    sort_by = sort_by or keys
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*sort_by).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Overwrite only the partitions (e.g. months) that ``df`` has rows of; all others stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def publish_view(df: DataFrame, target: str, row_id: str, ignore: list[str] | None = None,

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from gridlens.session import scratch_path
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -50,19 +51,28 @@ def file_stream(spark: SparkSession, directory: str, file_glob: str = "*.parquet
     return r.parquet(path)
 
 
-def _dropped(progress) -> int:
+def _state(progress, name: str) -> int:
+    """A number of a progress report, over all its stateful operators."""
     ops = progress.get("stateOperators", []) if isinstance(progress, dict) else getattr(progress, "stateOperators", [])
-    return sum(int((op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(op, "numRowsDroppedByWatermark", 0)) or 0)
-               for op in ops)
+    return sum(int((op.get(name, 0) if isinstance(op, dict) else getattr(op, name, 0)) or 0) for op in ops)
+
+
+def _dropped(progress) -> int:
+    return _state(progress, "numRowsDroppedByWatermark")
+
+
+def _held(progress) -> int:
+    return _state(progress, "numRowsTotal")
 
 
 def run_available_now(sdf: DataFrame, name: str, output_mode: str = "append",
                       partition_by: list[str] | None = None, metrics: dict | None = None) -> DataFrame:
     """Run a streaming query to completion over all available input and
     return its Parquet sink as a batch DataFrame.  ``metrics`` (a dict), when
-    given, receives the number of batches and of late rows dropped by
-    watermarks, gathered while the query runs (a query keeps its last 100
-    progress reports only)."""
+    given, receives the number of batches, of late rows dropped by watermarks
+    and the most rows of state held at once, gathered while the query runs (a
+    query keeps its last 100 progress reports only).  State lives in RocksDB,
+    outside the JVM heap."""
     spark = sdf.sparkSession
     out = scratch_path(spark, f"stream-{name}")
     w = (sdf.writeStream.format("parquet").outputMode(output_mode)
@@ -70,12 +80,19 @@ def run_available_now(sdf: DataFrame, name: str, output_mode: str = "append",
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    seen = {}
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB)  # a query copies the settings when it starts
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(provider, before)
+    seen, held = {}, 0
     while True:
         ended = q.awaitTermination(0.5 if metrics is not None else 3600)
         for p in q.recentProgress if metrics is not None else []:
             seen[p["batchId"] if isinstance(p, dict) else p.batchId] = _dropped(p)
+            held = max(held, _held(p))
         if ended:
             break
     if q.exception() is not None:
@@ -83,6 +100,7 @@ def run_available_now(sdf: DataFrame, name: str, output_mode: str = "append",
     if metrics is not None:
         metrics["late_rows_dropped"] = sum(seen.values())
         metrics["batches"] = len(seen)
+        metrics["state_rows"] = held
     return spark.read.schema(sdf.schema).parquet(out + "/data")
 
 
@@ -106,65 +124,6 @@ def stream_velocity(ev: DataFrame, ts: str, keys: list[str], n: int, width: str,
     return g.where(F.col("n") >= n).select(to_ntz("w.start").alias("window_start"), *keys, "n")
 
 
-def stream_velocity_exact(ev: DataFrame, ts: str, keys: list[str], id_col: str, n: int, span_seconds: float,
-                          slice_seconds: float | None = None, delay: str = "10 minutes") -> DataFrame:
-    """T2 exact (twin of A1): per row the number of events of its keys in the
-    trailing range, as the batch form counts them, for rows of closed slices.
-
-    Time is cut into slices (by default as long as the range); an event goes to
-    its own slice and to the later ones its range reaches.  A custom stateful
-    operator keeps each (keys, slice) until the watermark passes its end, then
-    counts and emits its rows and drops its state.  Files may arrive in any
-    order within the watermark delay.  State is bounded by the events of a
-    slice and the range before it; a hot key is spread over its slices.
-    """
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    span_us = int(round(span_seconds * 1_000_000))
-    slice_us = int(round((slice_seconds or span_seconds) * 1_000_000))
-    key_fields = [f for f in ev.schema.fields if f.name in keys]
-    id_field = ev.schema[id_col]
-    out_schema = T.StructType([*key_fields, id_field, T.StructField(ts, T.TimestampNTZType()),
-                               T.StructField("n_in_window", T.LongType())])
-    state_schema = T.StructType([T.StructField("us", T.ArrayType(T.LongType())), T.StructField("id", T.ArrayType(id_field.dataType)),
-                                 T.StructField("own", T.ArrayType(T.BooleanType()))])
-    s = (ev.select(*keys, id_col, ts).withColumn("_t", to_instant(ts)).withWatermark("_t", delay)
-         .withColumn("_us", F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col(ts)))
-         .withColumn("_own", F.floor(F.col("_us") / F.lit(slice_us)).cast("long"))
-         .withColumn("_slice", F.explode(F.sequence("_own", F.floor((F.col("_us") + span_us) / F.lit(slice_us)).cast("long")))))
-    names = [*keys, id_col, ts, "n_in_window"]
-
-    def count_slice(key, pdfs, state):
-        import numpy as np
-        import pandas as pd
-
-        got = [list(x) for x in state.get] if state.exists else [[], [], []]
-        for p in [] if state.hasTimedOut else pdfs:
-            got[0] += p["_us"].tolist()
-            got[1] += p[id_col].tolist()
-            got[2] += (p["_slice"] == p["_own"]).tolist()
-        end_ms = int((key[-1] + 1) * slice_us // 1000)
-        if not state.hasTimedOut and end_ms > state.getCurrentWatermarkMs():
-            state.update(tuple(got))
-            state.setTimeoutTimestamp(end_ms)
-            return
-        # closed: later batches drop rows older than this watermark
-        if state.exists:
-            state.remove()
-        us, ids, own = np.asarray(got[0], dtype=np.int64), np.asarray(got[1]), np.asarray(got[2], dtype=bool)
-        order = np.argsort(us, kind="stable")
-        us, ids, own = us[order], ids[order], own[order]
-        cnt = np.searchsorted(us, us, side="right") - np.searchsorted(us, us - span_us, side="left")
-        hit = own & (cnt >= n)
-        out = pd.DataFrame({id_col: ids[hit], ts: pd.to_datetime(us[hit], unit="us"), "n_in_window": cnt[hit].astype(np.int64)})
-        for name, value in zip(keys, key):
-            out[name] = value
-        yield out[names]
-
-    return s.groupBy(*keys, "_slice").applyInPandasWithState(count_slice, out_schema, state_schema, "append",
-                                                             GroupStateTimeout.EventTimeTimeout)
-
-
 def stream_ping(ev: DataFrame, ts: str, keys: list[str], amount: str, max_amount: float, gap: str,
                 min_n: int, max_n: int, delay: str = "10 minutes") -> DataFrame:
     """T3 (twin of A2): session windows of tiny payments; closed sessions of

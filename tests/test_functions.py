@@ -220,3 +220,22 @@ def test_refined_quantiles_survive_a_sketch_that_misses(spark, monkeypatch):
     df = spark.range(3000).select((F.col("id") * 7919 % 3000).cast("double").alias("x"))
     _, got = Q.refined_quantiles(df, ["x"], [0.25, 0.5, 0.9], gather_rows=10)
     assert got["x"] == df.agg(F.percentile("x", [0.25, 0.5, 0.9])).first()[0]
+
+
+def test_profiles_copy_no_rows_and_sketches_merge(spark):
+    """Exact profile without an Expand, of nulls, NaN, signed zeros and an empty table; merged sketches near the exact counts."""
+    from gridlens.operators import profile as P
+    rows = [(i, None if i % 7 == 0 else f"v{i % 5000}", [0.0, -0.0, float("nan"), float("nan"), 1.5][i % 5], i % 9) for i in range(20000)]
+    df = spark.createDataFrame(rows, "id long, `a name` string, x double, day int")
+    exact = P.profile_columns(df)
+    assert "Expand" not in exact._jdf.queryExecution().executedPlan().toString()
+    got = {r.column_name: (r.n_nulls, r.n_distinct) for r in exact.collect()}
+    assert got == {"id": (0, 20000), "a name": (2858, 5000), "x": (0, 3), "day": (0, 9)}
+    assert {r.column_name: (r.n_nulls, r.null_pct, r.n_distinct) for r in P.profile_columns(df.limit(0)).collect()} == {c: (0, 0.0, 0) for c in df.columns}
+    near = {r.column_name: r.n_distinct for r in P.profile_columns(df, approx=True).collect()}
+    assert abs(near["id"] - 20000) < 0.15 * 20000
+    days = P.column_sketches(df, ["day"])
+    assert days.count() == 9 * 3
+    merged = {r.column_name: (r.n_rows, r.n_nulls, r.n_distinct) for r in P.merge_sketches(days).collect()}
+    assert merged["a name"][:2] == (20000, 2858) and merged["x"][2] in (3, 4)
+    assert abs(merged["id"][2] - 20000) < 4 * 0.0081 * 20000 and abs(merged["a name"][2] - 5000) < 4 * 0.0081 * 5000

@@ -54,6 +54,28 @@ def test_exact_velocity_of_files_out_of_order(spark, tmp_path):
     assert want.where(early).count() > 0
 
 
+def test_exact_velocity_carries_counts_between_sub_slices(spark, tmp_path):
+    """One hot merchant, a null one, ties on slice borders; any number of sub-slices gives the batch counts, and the state stays bounded."""
+    import datetime as dt
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, "hot", start + dt.timedelta(seconds=37 * (i // 2))) for i in range(4000)]
+    rows += [(5000 + i, None, start + dt.timedelta(minutes=15 * i)) for i in range(80)] + [(9000, "hot", None)]
+    ev = spark.createDataFrame(rows, "event_id long, event_type string, ts timestamp_ntz")
+    for lo, hi in ((0, 5), (5, 11), (11, 30)):  # files in the order of time
+        hours = [(start + dt.timedelta(hours=h)) for h in (lo, hi)]
+        ev.where(F.col("ts").isNull() | F.col("ts").between(hours[0], hours[1] - dt.timedelta(microseconds=1))).coalesce(1).write.mode("append").parquet(f"{tmp_path}/hot")
+    last = max(r[2] for r in rows if r[2])
+    want = _closed(A.velocity(ev.where("ts IS NOT NULL"), ["event_type"], "ts", n=3, secs=3600), last, slice_s=3600)
+    want = sorted(map(tuple, want.select("event_id", "n_in_window").collect()))
+    assert len(want) > 3500
+    for parts in (1, 4):
+        s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/hot")
+        metrics = {}
+        got = ST.run_available_now(ST.stream_velocity_exact(s, "ts", ["event_type"], "event_id", 3, 3600, parts=parts), f"t_hot{parts}", metrics=metrics)
+        assert sorted(map(tuple, got.select("event_id", "n_in_window").collect())) == want
+        assert 0 < metrics["state_rows"] < len(rows)
+
+
 def test_stream_resample_closed_windows(spark):
     s = ST.stream_resample(ST.file_stream(spark, SF_SMALL, "events.parquet"), "ts", ["event_type"], "value", "1 day")
     got = ST.run_available_now(s, "t_res")
