@@ -26,8 +26,8 @@ SAMPLE = 16_384
 MAX_LISTS = 2048
 #: Share of the lists that a query scans, and at least so many.
 PROBE_SHARE, MIN_PROBES = 0.6, 16
-#: Up to so many vectors every list is scanned.
-SMALL_TABLE = 2048
+#: A query goes on to further lists until they hold so many candidates for each neighbour asked for, in a table of any size.
+DEPTH = 100
 #: Columns of a block, and the strictness of the abandoning test.
 BLOCK_COLUMNS, EPSILON = 16, 2.1
 #: Candidates and queries that meet in one task: small lists share a group, a large list is dealt into parts.
@@ -177,7 +177,7 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
     Ties go to the smaller vec_id.  Rows without id take no part, nor do
     invalid vectors, nor vectors of another length than the commonest.  A
     repeated row is a candidate each time, a repeated query id asks once.  No
-    valid vector, no row.  Finite components of any size take part: lists and
+    valid vector, no row.  ``probe_share`` 1 scans every list.  Finite components of any size take part: lists and
     scan work on vectors over a power of two, scores on the vectors as they are.
     """
     empty = "query_id long, rank int, vec_id long, score double"
@@ -197,7 +197,7 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
     lists = max(1, min(MAX_LISTS, 4 * round(math.sqrt(n))))
     turn = rotation(dim + 1)
     centres = k_means(lift(scaled(_matrix(sample), scale), norm2) @ turn, lists)
-    probes = len(centres) if n <= SMALL_TABLE else min(len(centres), max(MIN_PROBES, math.ceil(probe_share * len(centres))))
+    probes = min(len(centres), max(MIN_PROBES, math.ceil(probe_share * len(centres))))
     shared = spark.sparkContext.broadcast((centres, turn))  # at most MAX_LISTS vectors
 
     def to_list(batches):
@@ -219,7 +219,7 @@ def neighbours(spark: SparkSession, embeddings: DataFrame, k: int = 20, every: i
         cs, rot = shared.value
         for pdf in batches:
             x = _matrix(pdf["v"], dtype)
-            near = probed_lists(np.concatenate([scaled(x, scale), np.zeros((len(x), 1), np.float32)], axis=1) @ rot, cs, counts, probes, k + pdf["own"].to_numpy())
+            near = probed_lists(np.concatenate([scaled(x, scale), np.zeros((len(x), 1), np.float32)], axis=1) @ rot, cs, counts, probes, DEPTH * k + pdf["own"].to_numpy())
             ids, out = pdf["vec_id"].to_numpy(), []
             for i, row in enumerate(near):
                 for g in np.unique(group[row]):

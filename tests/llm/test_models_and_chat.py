@@ -174,7 +174,7 @@ def test_neighbours_of_small_tables_are_complete(spark, monkeypatch, n):
     rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(n)]
     e = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
     check_recall(ann.neighbours(spark, e).toPandas(), brute_neighbours(e.toPandas()), 0.99)
-    monkeypatch.setattr(ann, "SMALL_TABLE", 0)
+    monkeypatch.setattr(ann, "DEPTH", 1)
     got = ann.neighbours(spark, e.union(e.where("vec_id = 20"))).toPandas()
     assert (got.groupby("query_id").size() == 20).all() and set(got["query_id"]) == set(range(0, n, 20))
 
