@@ -35,6 +35,10 @@ DAY = 86400
 # from the data (bucket_seconds=None).
 TARGET_BUCKET_ROWS = 2_000_000
 
+# Most rows of a (key, time bucket) whose trailing ranges go through a sliding
+# frame, which adds up its rows anew for every row: rows times frame.
+FRAME_ROWS = 1_000
+
 
 def _bucket(ts: str, seconds: int):
     return F.floor(epoch_s(F.col(ts)) / F.lit(float(seconds))).cast("long")
@@ -154,10 +158,13 @@ def range_agg(df: DataFrame, keys: list[str], ts: str, span_seconds: float, aggs
 def range_count(df: DataFrame, keys: list[str], ts: str, span_seconds: float, out: str = "n_in_range",
                 bucket_seconds: int | None = None) -> DataFrame:
     """Rows of the same keys in [ts - span, ts].  Where a (key, day) - or span, if that is
-    longer - is too full for one window, ranks are subtracted instead (:func:`range_count_by_rank`)."""
+    longer - holds more than ``FRAME_ROWS`` rows, ranks are subtracted instead
+    (:func:`range_count_by_rank`), whose work does not grow with the rows of a span."""
     if bucket_seconds is None:
+        from gridlens.session import setting
         bucket_seconds = max(DAY, int(math.ceil(span_seconds)))
-        if auto_bucket_seconds(df, keys, ts, start=bucket_seconds) < bucket_seconds:
+        most = min(FRAME_ROWS, setting(df.sparkSession, "bucketTargetRows", TARGET_BUCKET_ROWS))
+        if auto_bucket_seconds(df, keys, ts, target_rows=most, start=bucket_seconds) < bucket_seconds:
             return range_count_by_rank(df, keys, ts, span_seconds, out)
     return range_agg(df, keys, ts, span_seconds, {out: F.count(F.lit(1))}, bucket_seconds)
 

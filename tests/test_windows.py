@@ -137,3 +137,14 @@ def test_a_key_denser_than_its_span_is_split(spark):
         assert sorted(ours.select("id", "n").collect()) == _plain_range_count(rows, ["k"], 3600)
     finally:
         spark.conf.unset("spark.gridlens.bucketTargetRows")
+
+
+def test_a_dense_day_takes_no_sliding_frame(spark):
+    """A few thousand rows of a key in a day are counted by ranks: a sliding frame adds up its rows anew for every row."""
+    rows = spark.range(3 * W.FRAME_ROWS).select("id", F.lit("m").alias("k"), F.expr(
+        "timestampadd(SECOND, id * 7 % 20000, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("ts"))
+    ours = W.range_count(rows, ["k"], "ts", 6 * 3600, out="n")
+    assert "_kind" in ours._jdf.queryExecution().analyzed().toString()
+    assert sorted(ours.select("id", "n").collect()) == _plain_range_count(rows, ["k"], 6 * 3600)
+    few = W.range_count(rows.limit(W.FRAME_ROWS // 2), ["k"], "ts", 6 * 3600, out="n")
+    assert "_kind" not in few._jdf.queryExecution().analyzed().toString()
