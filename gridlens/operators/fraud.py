@@ -231,8 +231,10 @@ def detector_report(pred: DataFrame, truth: DataFrame, key: str, pred_col: str,
 def velocity_bursts(tx: DataFrame, keys: list[str], ts: str, n: int = 10, secs: float = 300,
                     tiebreak: list[str] | None = None) -> DataFrame:
     """A1 report: flagged rows grouped into bursts - flagged rows of the same
-    keys less than ``secs`` apart belong to one burst (skew-safe sessions)."""
-    flagged = velocity(tx, keys, ts, n, secs)
+    keys less than ``secs`` apart belong to one burst (skew-safe sessions).
+    The flagged rows are written once, as the sessions read them several times."""
+    from gridlens.session import materialised
+    flagged = materialised(velocity(tx, keys, ts, n, secs), "velocity")
     s = sessionize(flagged, keys, ts, secs, tiebreak)
     return s.groupBy(*keys, F.col("session_start").alias("burst_start")).agg(
         F.max(ts).alias("burst_end"), F.count(F.lit(1)).alias("n_flagged"), F.max("n_in_window").alias("peak"))

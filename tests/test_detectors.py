@@ -60,3 +60,13 @@ def test_detector_report(spark):
     truth = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "k int, t int")
     r = A.detector_report(pred, truth, "k", "p", "t").first()
     assert (r["tp"], r["fp"], r["fn"], r["tn"]) == (1, 1, 1, 1) and r["precision"] == 0.5 and r["f1"] == 0.5
+
+
+def test_velocity_bursts_of_a_dense_merchant(spark):
+    """Two runs of 1,500 rows a second apart, ten hours between them: two bursts, and the flagged rows are computed once."""
+    rows = spark.range(3000).select("id", F.lit("m").alias("merchant"), F.expr(
+        "timestampadd(SECOND, IF(id < 1500, id, id + 36000), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("ts"))
+    bursts = A.velocity_bursts(rows, ["merchant"], "ts", 10, 300, ["id"])
+    assert sorted((r["n_flagged"], r["peak"]) for r in bursts.collect()) == [(1491, 301), (1491, 301)]
+    plan = bursts._jdf.queryExecution().analyzed().toString()
+    assert "n_in_window" in plan and "_kind" not in plan and "_halo" not in plan
