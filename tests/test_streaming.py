@@ -153,3 +153,18 @@ def test_faults_that_arrive_after_the_telemetry(spark, tmp_path):
     want = fo.attach_faults(tel, both, how="inner").collect()
     pick = lambda rows: sorted((r["device"], str(r["time"]), r["event_type"], str(r["end_time"])) for r in rows)
     assert pick(got) == pick(want) and len(got) > 15 and metrics["batches"] >= 2
+
+
+def test_late_fault_files_make_two_batches(spark, tmp_path, monkeypatch):
+    """The halves of the faults are two micro-batches, however many tasks write them; the rows are those of the batch join."""
+    from gridlens.plans import faults as PF
+    from gridlens.plans import stream_twins as PS
+    ev = spark.range(240).select(F.col("id").alias("event_id"), F.expr("timestampadd(SECOND, id * 601, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("ts"),
+                                 (F.col("id") % 5).alias("user_id"), F.lit("error").alias("event_type"),
+                                 (F.col("id") % 7 * 50.0 + 20.0).alias("value"), F.lit("").alias("props"))
+    ev.repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    metrics, run = {}, ST.run_available_now
+    monkeypatch.setattr(ST, "run_available_now", lambda s, name: run(s, name, metrics=metrics))
+    got = PS.q_stream_label_refresh(spark, str(tmp_path))
+    assert sorted(map(str, got.collect())) == sorted(map(str, PF.q_fault_interval_join(spark, str(tmp_path)).collect()))
+    assert got.count() > 100 and 2 <= metrics["batches"] <= 4
