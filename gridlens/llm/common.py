@@ -18,10 +18,23 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends, lost executors cost nothing."""
+    """Write ``df`` to the shared folder and read it back: lineage ends, lost executors cost nothing,
+    and the shuffle files of the write are deleted."""
     spark = df.sparkSession
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -466,3 +466,28 @@ def test_decontaminate_cuts_spans_and_drops_covered_documents(spark):
     assert text[1] == leak_rows()[1][1] and text[6] == leak_rows()[6][1] and 4 in text and 7 not in text and 9 not in text
     again = decontam.contamination(got, bench)
     assert again.where("contaminated").count() == 0
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    """What a stored table shuffled is deleted with the write, not when the driver collects its garbage; the setting is restored."""
+    import gc
+    import time
+
+    from gridlens.llm.common import CLEANUP, stored, workspace
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "/shuffle_" in f}
+    rows = spark.range(50_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    before, set_before = shuffled(), spark.conf.get(CLEANUP, None)
+    gc.disable()
+    try:
+        assert stored(rows, workspace(spark, "shuffles") + "/rows").count() == 1000
+        for _ in range(50):
+            left = {f for f in shuffled() - before if f.endswith(".data")}
+            if len(left) <= 4:  # those of the count
+                break
+            time.sleep(0.1)
+    finally:
+        gc.enable()
+    assert len(left) <= 4 and spark.conf.get(CLEANUP, None) == set_before
