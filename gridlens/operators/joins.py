@@ -94,16 +94,24 @@ def basket_pairs(lines: DataFrame, order: str, item: str) -> DataFrame:
 
 #: Items of an order that are paired in one group; longer orders are dealt into more of them.
 PAIR_BLOCK = 1024
+#: Order lines, and pairs, that one task groups, about; the number of tasks grows with the table.
+LINES_PER_TASK, PAIRS_PER_TASK = 500_000, 1_000_000
 
 
-def _pairs(baskets: DataFrame, order: str, item: str, block: int) -> DataFrame:
+def _tasks(n: int, per_task: int) -> int:
+    return min(20_000, max(1, -(-n // per_task)))
+
+
+def _pairs(baskets: DataFrame, order: str, item: str, block: int, lines: int, pairs: int) -> DataFrame:
     """(item_a, item_b), a < b, of every order: an equality join on (order, block of b), where an order of
     k items has k / ``block`` blocks, so that no group pairs more than about ``block`` items with all of its order."""
-    sizes = baskets.groupBy(order).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks"))
-    sized = baskets.join(sizes, order)
+    dealt = baskets.repartition(lines, order)
+    sizes = dealt.groupBy(order).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks"))
+    sized = dealt.join(sizes, order)
     left = sized.select(F.col(order).alias("_o"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_b"), F.col(item).alias("item_a"))
     right = sized.select(F.col(order).alias("_o"), F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int").alias("_b"), F.col(item).alias("item_b"))
-    return left.join(right, ["_o", "_b"]).where(F.col("item_a") < F.col("item_b")).select("item_a", "item_b")
+    both = left.repartition(pairs, "_o", "_b").join(right.repartition(pairs, "_o", "_b"), ["_o", "_b"])
+    return both.where(F.col("item_a") < F.col("item_b")).select("item_a", "item_b")
 
 
 def frequent_pairs(lines: DataFrame, order: str, item: str, min_orders: int, buckets: int = 1 << 20,
@@ -116,16 +124,23 @@ def frequent_pairs(lines: DataFrame, order: str, item: str, min_orders: int, buc
     and the broadcast list of full buckets are bounded by it); only pairs of a
     full bucket are counted one by one.  Neither step can lose a frequent
     pair.  Rows without order or item are in no pair; a repeated line counts once.
+    Lines and pairs are dealt to as many tasks as their numbers ask for, before
+    they are grouped, so that a task's memory does not grow with the table.
     """
     from gridlens.session import materialised
-    sets = lines.where(F.col(order).isNotNull() & F.col(item).isNotNull()).select(order, item).distinct()
+    given = lines.where(F.col(order).isNotNull() & F.col(item).isNotNull()).select(order, item)
+    sets = given.repartition(_tasks(lines.count(), LINES_PER_TASK), order, item).distinct()
     support = sets.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_orders)
     baskets = materialised(sets.join(support.select(item), item, "left_semi"), "baskets")
     support = baskets.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
+    n_lines = _tasks(baskets.count(), LINES_PER_TASK)
+    k = baskets.repartition(n_lines, order).groupBy(order).agg(F.count(F.lit(1)).cast("double").alias("_k"))
+    n_pairs = _tasks(int(k.agg(F.sum(F.col("_k") * (F.col("_k") - 1) / 2)).first()[0] or 0), PAIRS_PER_TASK)
     bucket = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)).cast("int")
-    pairs = _pairs(baskets, order, item, block).withColumn("_h", bucket)
+    pairs = _pairs(baskets, order, item, block, n_lines, n_pairs).withColumn("_h", bucket)
     full = pairs.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= min_orders).select("_h")
-    found = (pairs.join(F.broadcast(full), "_h", "left_semi").groupBy("item_a", "item_b")  # at most ``buckets`` ints
+    found = (pairs.join(F.broadcast(full), "_h", "left_semi")  # at most ``buckets`` ints
+             .repartition(n_pairs, "item_a", "item_b").groupBy("item_a", "item_b")
              .agg(F.count(F.lit(1)).alias("n_orders")).where(F.col("n_orders") >= min_orders))
     for side in ("a", "b"):
         found = found.join(support.select(F.col(item).alias(f"item_{side}"), F.col("_n").alias(f"n_{side}")), f"item_{side}")

@@ -207,3 +207,22 @@ def test_frequent_pairs_against_counting(spark):
     for buckets, block in ((1 << 20, 1024), (7, 16)):
         assert want and sorted(map(tuple, frequent_pairs(df, "o", "i", 3, buckets, block).collect())) == want
     assert frequent_pairs(df.limit(0), "o", "i", 1).count() == 0
+
+
+def test_frequent_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Lines and pairs are grouped in as many tasks as their numbers ask for; the pairs stay those of counting."""
+    from collections import Counter
+    from itertools import combinations
+
+    from gridlens.operators import joins as J
+    orders = {o: sorted({(o * 7 + j * j) % 23 for j in range(o % 9)}) for o in range(200)}
+    df = spark.createDataFrame([(o, i) for o, s in orders.items() for i in s], "o long, i long")
+    n = Counter(p for s in orders.values() for p in combinations(s, 2))
+    items = Counter(i for s in orders.values() for i in s)
+    want = sorted((a, b, c, items[a], items[b]) for (a, b), c in n.items() if c >= 5)
+    monkeypatch.setattr(J, "LINES_PER_TASK", 40)
+    monkeypatch.setattr(J, "PAIRS_PER_TASK", 150)
+    got = J.frequent_pairs(df, "o", "i", 5)
+    assert want and sorted(map(tuple, got.collect())) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert f"], {-(-sum(n.values()) // 150)}" in plan and "RepartitionByExpression [item_a" in plan
