@@ -127,6 +127,7 @@ def frequent_pairs(lines: DataFrame, order: str, item: str, min_orders: int, buc
     Lines and pairs are dealt to as many tasks as their numbers ask for, before
     they are grouped, so that a task's memory does not grow with the table.
     """
+    from gridlens.operators.profile import _scalars
     from gridlens.session import materialised
     given = lines.where(F.col(order).isNotNull() & F.col(item).isNotNull()).select(order, item)
     sets = given.repartition(_tasks(lines.count(), LINES_PER_TASK), order, item).distinct()
@@ -135,7 +136,7 @@ def frequent_pairs(lines: DataFrame, order: str, item: str, min_orders: int, buc
     support = baskets.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
     n_lines = _tasks(baskets.count(), LINES_PER_TASK)
     k = baskets.repartition(n_lines, order).groupBy(order).agg(F.count(F.lit(1)).cast("double").alias("_k"))
-    n_pairs = _tasks(int(k.agg(F.sum(F.col("_k") * (F.col("_k") - 1) / 2)).first()[0] or 0), PAIRS_PER_TASK)
+    n_pairs = _tasks(int(_scalars(k, {"n": F.sum(F.col("_k") * (F.col("_k") - 1) / 2)})["n"] or 0), PAIRS_PER_TASK)
     bucket = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)).cast("int")
     pairs = _pairs(baskets, order, item, block, n_lines, n_pairs).withColumn("_h", bucket)
     full = pairs.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= min_orders).select("_h")
